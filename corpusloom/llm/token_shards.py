@@ -17,10 +17,12 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, scratch_path
+from .common import bound_batches, scratch_path, shared_table
 
 INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
+#: Shards whose places are broadcast: some tens of MB.
+MOST_BROADCAST = 500_000
 #: Documents of one output batch: their ids are in memory at once.
 BATCH_DOCS = 250
 
@@ -85,6 +87,10 @@ def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
     totals = files.groupBy("__shard").agg(F.sum("n_tokens").alias("__n"))
     before = Window.orderBy(number, "__shard").rowsBetween(Window.unboundedPreceding, -1)
     places = totals.select("__shard", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    # A row a shard: broadcast, as long as that is small, or else the ids would be shuffled.
+    places = shared_table(places, "shard-places")
+    if places.count() <= MOST_BROADCAST:
+        places = F.broadcast(places)
     return files.join(places, "__shard").select("doc_id", (F.col("__before") + F.col("shard_start")).alias("start"), "n_tokens", "ids")
 
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 #: A run of blanks and the word after it.  A tokenizer whose pre-tokens never hold a blank behind a word gives the same
 #: ids for a text as for these pieces one by one, so pieces that recur need no second encoding.
+#: What some vocabularies put behind the last bytes of a word.
+WORD_END = "</w>"
 BLANKS = " \t\n\r"
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: For tokenizers that drop blanks, the words alone.
 WORD = re.compile(r"[^ \t\n\r]+")
-#: Pieces that one process remembers, and the longest piece that it remembers.
-REMEMBERED, LONGEST = 500_000, 48
+#: Pieces that one process remembers, the longest piece that it remembers, and those that stay when there are too many.
+REMEMBERED, LONGEST, SHORT = 400_000, 48, 10
 #: New pieces that go to the tokenizer in one call.
 GROUP = 2000
 
@@ -26,37 +29,35 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, decoders
+        import numpy as np
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
-        drops_blanks = not self.tokenizer.encode(" \n ", add_special_tokens=False).ids
-        self.split = (WORD if drops_blanks else PIECE).findall
-        self.byte_lengths = None
-        if self.tokenizer.normalizer is None and isinstance(self.tokenizer.decoder, decoders.ByteLevel):
-            self.byte_lengths = self._byte_lengths()
-
-    def _byte_lengths(self):
-        """Bytes of each id: a byte-level vocabulary writes every byte as one character."""
-        import numpy as np
-
+        self.drops_blanks = not self.tokenizer.encode(" \n ", add_special_tokens=False).ids
+        self.split = (WORD if self.drops_blanks else PIECE).findall
+        # Byte-level vocabularies write every byte as one character, and may mark the end of a word.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
-        lengths[list(vocabulary.values())] = [len(x) for x in vocabulary]
-        return lengths
+        self.byte_lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
+        self.byte_lengths[list(vocabulary.values())] = [len(x.removesuffix(WORD_END)) for x in vocabulary]
+
+    def _length(self, piece: str) -> int:
+        """Bytes of a piece as the tokenizer sees it, as far as can be told."""
+        if piece.isascii():
+            return len(piece)
+        return len((unicodedata.normalize("NFC", piece).lower() if self.tokenizer.normalizer else piece).encode())
 
     def _encode_new(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces, by one call: cut where the bytes of the ids reach the bytes of the pieces, if there are
-        bytes to count, and else by the tokenizer's own record of which piece an id is from."""
+        """The ids of pieces, by one call: cut where the bytes of the ids reach the bytes of the pieces.  If they miss any
+        of these places, the tokenizer's own record tells which piece an id is from."""
         import numpy as np
 
-        if self.byte_lengths is not None:
-            (got,) = self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
-            ids = np.array(got.ids, dtype="<u4")
-            reached = np.cumsum(self.byte_lengths[ids])
-            ends = np.searchsorted(reached, np.cumsum([len(x.encode()) for x in pieces]), "left") + 1
-        else:
+        (got,) = self.tokenizer.encode_batch_fast([(" " if self.drops_blanks else "").join(pieces)], add_special_tokens=False)
+        ids = np.array(got.ids, dtype="<u4")
+        reached, wanted = np.cumsum(self.byte_lengths[ids]), np.cumsum(list(map(self._length, pieces)))
+        ends = np.searchsorted(reached, wanted, "left") + 1
+        if len(ids) != ends[-1] or (reached[ends - 1] != wanted).any():
             (got,) = self.tokenizer.encode_batch([pieces], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(got.ids, dtype="<u4")
             ends = np.searchsorted(np.array(got.word_ids, dtype=np.int64), np.arange(len(pieces)), "right")
@@ -66,27 +67,39 @@ class PieceEncoder:
             at = end
         return out
 
+    def _encode_all(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of different pieces, by calls of GROUP."""
+        out: dict[str, bytes] = {}
+        if not self.drops_blanks:
+            # Blanks before a word keep it apart from the word before; other pieces go alone.
+            for x in [x for x in pieces if x[0] not in BLANKS or x[-1] in BLANKS]:
+                out[x] = self._encode_new([x])[0]
+            pieces = [x for x in pieces if x not in out]
+        for i in range(0, len(pieces), GROUP):
+            part = pieces[i : i + GROUP]
+            out.update(zip(part, self._encode_new(part), strict=True))
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null is an empty text."""
-        pieces = [self.split(x) if x else [] for x in texts]
-        found = [list(map(self.known.get, x)) for x in pieces]
-        lacking = [i for i, x in enumerate(found) if None in x]
-        new = list({p for i in lacking for p, ids in zip(pieces[i], found[i], strict=True) if ids is None})
-        fresh: dict[str, bytes] = {}
-        for i in range(0, len(new), GROUP):
-            part = new[i : i + GROUP]
-            # Blanks before a word keep it apart from the word before; other pieces go alone.
-            bare = [x for x in part if self.byte_lengths is not None and (x[0] not in BLANKS or x[-1] in BLANKS)]
-            for x in bare:
-                fresh[x] = self._encode_new([x])[0]
-            if rest := [x for x in part if x not in fresh]:
-                fresh.update(zip(rest, self._encode_new(rest), strict=True))
+        pieces, ends = [], [0]
+        for x in texts:
+            if x:
+                pieces += self.split(x)
+            ends.append(len(pieces))
+        found = list(map(self.known.get, pieces))
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        fresh = self._encode_all(list({pieces[i] for i in lacking}))
         for i in lacking:
-            found[i] = [fresh[p] if ids is None else ids for p, ids in zip(pieces[i], found[i], strict=True)]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
-        self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
-        return [b"".join(x) for x in found]
+            found[i] = fresh[pieces[i]]
+        self.known.update(fresh)
+        for x in [x for x in fresh if len(x) > LONGEST]:
+            del self.known[x]
+        if len(self.known) > REMEMBERED:  # short pieces come again more often
+            self.known = {x: ids for x, ids in self.known.items() if len(x) <= SHORT}
+            if len(self.known) > REMEMBERED // 2:
+                self.known = {}
+        return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 _encoders: dict[str, PieceEncoder] = {}
