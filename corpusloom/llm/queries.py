@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, kmeans_tree, packing, pivot_index, secrets, token_shards
+from . import byte_bpe, kmeans_tree, line_dedup, packing, pivot_index, secrets, token_shards
 
 QUERIES = {
     "op1_token_orc": token_shards.op1_token_orc,
     "op2_embedding_neardup": pivot_index.op2_embedding_neardup,
     "op6_secret_scan": secrets.op6_secret_scan,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_packing": packing.op9_packing,
     "op10_nearest": kmeans_tree.op10_nearest,
