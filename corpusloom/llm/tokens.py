@@ -42,20 +42,23 @@ class PieceEncoder:
         self.byte_lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
         self.byte_lengths[list(vocabulary.values())] = [len(x.removesuffix(WORD_END)) for x in vocabulary]
 
-    def _length(self, piece: str) -> int:
-        """Bytes of a piece as the tokenizer sees it, as far as can be told."""
-        if piece.isascii():
-            return len(piece)
-        return len((unicodedata.normalize("NFC", piece).lower() if self.tokenizer.normalizer else piece).encode())
+    def _lengths(self, text: str, pieces: list[str]) -> list[int]:
+        """Bytes of the pieces that make a text, as the tokenizer sees them, as far as can be told."""
+        if text.isascii():
+            return list(map(len, pieces))
+        if self.tokenizer.normalizer is None:
+            return list(map(len, map(str.encode, pieces)))
+        return [len(x) if x.isascii() else len(unicodedata.normalize("NFC", x).lower().encode()) for x in pieces]
 
     def _encode_new(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces, by one call: cut where the bytes of the ids reach the bytes of the pieces.  If they miss any
         of these places, the tokenizer's own record tells which piece an id is from."""
         import numpy as np
 
-        (got,) = self.tokenizer.encode_batch_fast([(" " if self.drops_blanks else "").join(pieces)], add_special_tokens=False)
+        text = (" " if self.drops_blanks else "").join(pieces)
+        (got,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         ids = np.array(got.ids, dtype="<u4")
-        reached, wanted = np.cumsum(self.byte_lengths[ids]), np.cumsum(list(map(self._length, pieces)))
+        reached, wanted = np.cumsum(self.byte_lengths[ids]), np.cumsum(self._lengths(text, pieces))
         ends = np.searchsorted(reached, wanted, "left") + 1
         if len(ids) != ends[-1] or (reached[ends - 1] != wanted).any():
             (got,) = self.tokenizer.encode_batch([pieces], is_pretokenized=True, add_special_tokens=False)
@@ -67,29 +70,38 @@ class PieceEncoder:
             at = end
         return out
 
-    def _encode_all(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of different pieces, by calls of GROUP."""
+    def _encode_all(self, pieces: set[str], bare: set[str], blank: set[str]) -> dict[str, bytes]:
+        """The ids of different pieces, by calls of GROUP.  Blanks before a word keep it apart from the word before; the
+        bare pieces, without them, stand behind a line break of their own, and those that end in blanks go alone."""
+        if self.drops_blanks:
+            bare = blank = set()
+        alone = {x: self._encode_new([x])[0] for x in pieces & blank}
+        first = pieces & bare - blank
+        row = list(pieces - blank - bare)
+        for x in first:
+            row += ("\n", x)
         out: dict[str, bytes] = {}
-        if not self.drops_blanks:
-            # Blanks before a word keep it apart from the word before; other pieces go alone.
-            for x in [x for x in pieces if x[0] not in BLANKS or x[-1] in BLANKS]:
-                out[x] = self._encode_new([x])[0]
-            pieces = [x for x in pieces if x not in out]
-        for i in range(0, len(pieces), GROUP):
-            part = pieces[i : i + GROUP]
+        for i in range(0, len(row), GROUP):
+            part = row[i : i + GROUP]
             out.update(zip(part, self._encode_new(part), strict=True))
-        return out
+        if first and "\n" not in alone:
+            del out["\n"]
+        return out | alone
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null is an empty text."""
-        pieces, ends = [], [0]
+        pieces, ends, bare, blank = [], [0], set(), set()
         for x in texts:
-            if x:
-                pieces += self.split(x)
+            if x and (own := self.split(x)):
+                if own[0][0] not in BLANKS:
+                    bare.add(own[0])
+                if own[-1][-1] in BLANKS:
+                    blank.add(own[-1])
+                pieces += own
             ends.append(len(pieces))
         found = list(map(self.known.get, pieces))
         lacking = [i for i, ids in enumerate(found) if ids is None]
-        fresh = self._encode_all(list({pieces[i] for i in lacking}))
+        fresh = self._encode_all({pieces[i] for i in lacking}, bare, blank)
         for i in lacking:
             found[i] = fresh[pieces[i]]
         self.known.update(fresh)
