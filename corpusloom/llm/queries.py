@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, kmeans_tree, language, line_dedup, packing, pivot_index, secrets, token_shards, toxicity
+from . import byte_bpe, kmeans_tree, language, line_dedup, ngram_join, packing, pivot_index, secrets, token_shards, toxicity
 
 QUERIES = {
     "op1_token_orc": token_shards.op1_token_orc,
     "op2_embedding_neardup": pivot_index.op2_embedding_neardup,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language_id": language.op4_language_id,
+    "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
