@@ -3,13 +3,17 @@
 A document is the set of its n-grams, kept as 64-bit hashes.  N-grams have one global order: first by how frequent they
 are, rare ones before frequent ones, then by hash.  Documents with equal sets are one class and are compared once.
 
-Candidates.  Two sets with a Jaccard similarity of t share one of the first n - ceil(t*n) + 1 n-grams of each in the
-global order, so classes meet in the lists of those.  Short lists give all their pairs.  A long list gives the pairs with
-its first class; once components are known, the pairs of its classes that are still in different components follow.  Thus
-no pair that could matter is left out, and a group of near copies costs a row a member and not a row a pair.
-
-Counting.  The order is cut into FRAGMENTS ranges (of hashes); each set is cut into its segments.  The overlap of a pair is
-counted fragment by fragment, apart, and summed up; the sums decide.
+The order is cut vertically.  The first fragment of a set is its prefix of n - ceil(t*n) + 1 n-grams, of which two sets
+with a Jaccard similarity of t share one at least; so classes meet in the lists of those.  Short lists give all their
+pairs, with the overlaps counted.  A long list gives the pairs with its first class; once components are known, the pairs
+of its classes that are still in different components follow.  Thus no pair that could matter is left out, and a group of
+near copies costs a row a member and not a row a pair.
+
+The first fragment's count bounds the whole.  Of the two prefixes, the one that ends first in the global order lies in the
+range of the other, so what it does not share there is not shared at all: the overlap is at most the shared n-grams of the
+prefixes and that set's n-grams behind its prefix.  Pairs that cannot reach the similarity go.  (Shared n-grams in long
+lists are counted as if all that both sets have there were shared.)  Of the other pairs, the overlap is counted in
+FRAGMENTS ranges of hashes, each apart, and summed up; the sums decide.
 
 Frequencies are needed only to keep frequent n-grams out of candidate lists: they are counted over all documents in a
 sketch of SKETCH_CELLS cells, and every document sees the same cells, so the order is the same everywhere and results do
@@ -35,38 +39,33 @@ FRAGMENTS = 4
 SHORT_LIST = 8
 SKETCH_CELLS, SKETCH_BLOCK = 1 << 22, 1 << 16
 BITMAP_BITS = 1 << 23
-#: Remembered word hashes of a process; rows of an output batch; members of a list that are held at once.
-WORDS, ROWS, HELD = 1_000_000, 100_000, 200_000
-
-
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+#: Rows of an output batch; members of a list that are held at once.
+ROWS, HELD = 100_000, 200_000
 
 
-_hashes = WordHashes()
+def prefix_size(n, percent: int):
+    """N-grams of a set of n in its first fragment; n is a number or a column of them."""
+    return n - (percent * n + 99) // 100 + 1
 
 
 def shingles(text: str | None, n: int):
     """Sorted distinct 64-bit hashes of the word n-grams of a text.  A-Z are lower-cased; words are runs without ASCII
     blanks."""
     import numpy as np
+    import xxhash
 
     words = text.encode().lower().split() if text else []
     k = min(n, len(words))
     if not k:
         return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     out = np.full(len(words) - k + 1, k, dtype=np.uint64)
     for i in range(k):
         out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[i : len(words) - k + 1 + i]
     out = (out ^ (out >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
-    return np.unique(out ^ (out >> np.uint64(31)))
+    out ^= out >> np.uint64(31)
+    out.sort()
+    return out[np.r_[True, out[1:] != out[:-1]]]
 
 
 def _texts(batches, rows=250):
@@ -125,7 +124,7 @@ def _levels(survey: DataFrame):
 
 
 def _list_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """(key, node) rows: each class in the lists of its first n-grams in the global order."""
+    """(key, node, last) rows: each class in the lists of its first fragment; last marks the end of the fragment."""
     import numpy as np
     import pyarrow as pa
 
@@ -135,84 +134,109 @@ def _list_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
         import xxhash
 
         for _, texts in _texts(batches):
-            keys, nodes, counts = [], [], []
+            keys, nodes, counts, last = [], [], [], []
             for text in texts:
                 s = shingles(text, n)
                 if len(s):
                     level = shared.value[s >> np.uint64(64 - SKETCH_CELLS.bit_length() + 1)].astype(np.uint64)
                     order = (np.minimum(level, np.uint64(63)) << np.uint64(58)) | (s >> np.uint64(6))
-                    k = len(s) - -(-percent * len(s) // 100) + 1
+                    k = prefix_size(len(s), percent)
                     keys.append(np.partition(order, k - 1)[:k])
+                    last.append(np.arange(k) == k - 1)
                     nodes.append(xxhash.xxh3_64_intdigest(s.tobytes(), seed=1))
                     counts.append(k)
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(nodes, dtype=np.uint64), counts).view(np.int64))], ["key", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(nodes, dtype=np.uint64), counts).view(np.int64)), pa.array(np.concatenate(last))], ["key", "node", "last"])
 
-    return docs.mapInArrow(run, "key long, node long")
+    return docs.mapInArrow(run, "key long, node long, last boolean")
+
+
+PAIR, LIST, LONG, LAST = range(4)
 
 
 def _pairs_of_lists(batches):
-    """From (key, node) rows sorted by both: kind 0 rows with pairs, kind 1 rows (key, node) of long lists."""
+    """From (key, node, last) rows sorted by key and node: rows (kind, a, b, n).
+
+    PAIR: classes a and b, and how often they met in short lists; 0 for pairs from long lists.  LIST: key a of a long list
+    has class b.  LONG: class a is in n long lists.  LAST: the first fragment of class a ends at key b.
+    """
     import numpy as np
     import pyarrow as pa
 
-    pairs, lists, seen = [], [], set()
+    pairs, lists, longs, seen = [], [], [], set()
+
+    def rows(kind, a, b, n):
+        for i in range(0, len(a), ROWS):
+            part = [np.ascontiguousarray(x[i : i + ROWS]) for x in (np.full(len(a), kind, dtype=np.int8), a, b, n)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, part)), ["kind", "a", "b", "n"])
 
     def flush():
-        for kind, found in ((0, pairs), (1, lists)):
+        for kind, found in ((PAIR, pairs), (LIST, lists)):
             if found:
-                rows = np.unique(np.concatenate(found), axis=0)
+                each = np.concatenate(found)
                 found.clear()
-                for i in range(0, len(rows), ROWS):
-                    a, b = rows[i : i + ROWS].T
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, dtype=np.int8)), pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b))], ["kind", "a", "b"])
+                each = each[np.lexsort(each.T)]
+                starts = np.flatnonzero(np.r_[True, (each[1:, :2] != each[:-1, :2]).any(axis=1)])
+                yield from rows(kind, each[starts, 0], each[starts, 1], np.add.reduceat(each[:, 2], starts))
+        if longs:
+            nodes, n = np.unique(np.concatenate(longs), return_counts=True)
+            longs.clear()
+            yield from rows(LONG, nodes, np.zeros_like(nodes), n)
+
+    def three(a, b, n):
+        return np.column_stack(np.broadcast_arrays(a, b, np.int64(n)))
 
     def star(key, leader, members):
-        pairs.append(np.column_stack([np.full(len(members), leader), members]))
-        lists.append(np.column_stack([np.full(len(members), key), members]))
+        pairs.append(three(leader, members, 0))
+        lists.append(three(key, members, 0))
 
     def take(keys, nodes, going_on):
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=int)
         sizes = np.diff(np.r_[starts, len(keys)])
         if going_on and len(keys) and keys[0] == going_on[0]:
-            star(going_on[0], going_on[1], nodes[: sizes[0]])
+            star(*going_on, nodes[: sizes[0]])
+            longs.append(nodes[: sizes[0]])
             starts, sizes = starts[1:], sizes[1:]
         for m in range(2, SHORT_LIST + 1):
             at = starts[sizes == m]
             for i in range(m - 1):
                 for j in range(i + 1, m):
                     if len(at):
-                        pairs.append(np.column_stack([nodes[at + i], nodes[at + j]]))
+                        pairs.append(three(nodes[at + i], nodes[at + j], 1))
         for s, m in zip(starts[sizes > SHORT_LIST].tolist(), sizes[sizes > SHORT_LIST].tolist(), strict=True):
             members = nodes[s : s + m]
+            longs.append(members)
             known = hash(members.tobytes())  # the lists of a group of copies have the same members
             if known not in seen:
                 if len(seen) > HELD:
                     seen.clear()
                 seen.add(known)
                 star(keys[s], members[0], members[1:])
-                lists.append(np.array([[keys[s], members[0]]]))
+                lists.append(np.array([[keys[s], members[0], 0]]))
 
     held_keys = held_nodes = np.zeros(0, dtype=np.int64)
     going_on = None
     for batch in batches:
-        keys = np.concatenate([held_keys, batch.column(0).to_numpy()])
-        nodes = np.concatenate([held_nodes, batch.column(1).to_numpy()])
+        keys, nodes, last = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        yield from rows(LAST, nodes[last], keys[last], np.zeros(int(last.sum()), dtype=np.int64))
+        keys, nodes = np.concatenate([held_keys, keys]), np.concatenate([held_nodes, nodes])
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])] if len(keys) else np.zeros(0, dtype=bool)
         keys, nodes = keys[fresh], nodes[fresh]
-        last = np.searchsorted(keys, keys[-1]) if len(keys) else 0
-        take(keys[:last], nodes[:last], going_on)
-        if last and going_on:
+        end = np.searchsorted(keys, keys[-1]) if len(keys) else 0
+        take(keys[:end], nodes[:end], going_on)
+        if end and going_on:
             going_on = None
-        held_keys, held_nodes = keys[last:], nodes[last:]
-        if len(held_keys) > HELD:  # a very long list: its members so far
+        held_keys, held_nodes = keys[end:], nodes[end:]
+        if len(held_keys) > HELD:  # a very long list: its members so far, but for the last
             if going_on is None:
                 going_on = (held_keys[0], held_nodes[0])
-                lists.append(np.array([going_on]))
+                lists.append(np.array([[*going_on, 0]]))
+                longs.append(held_nodes[:1])
                 held_keys, held_nodes = held_keys[1:], held_nodes[1:]
-            star(*going_on, held_nodes)
+            star(*going_on, held_nodes[:-1])
+            longs.append(held_nodes[:-1])
             held_keys, held_nodes = held_keys[-1:], held_nodes[-1:]
-        if sum(map(len, pairs)) + sum(map(len, lists)) > ROWS:
+        if sum(map(len, pairs)) + sum(map(len, lists)) + sum(map(len, longs)) > 10 * ROWS:
             yield from flush()
     take(held_keys, held_nodes, going_on)
     yield from flush()
@@ -274,10 +298,16 @@ def _segments(docs: DataFrame, wanted: bytes, n: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) documents, one a class, of the pairs of nodes that are similar enough."""
-    side = {x: classes.select(F.col("node").alias(x), F.col("id").alias(f"id_{x}"), F.col("check").alias(f"check_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab"}
-    fitting = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    wanted = shared_table(pairs.join(side["a"], "a").join(side["b"], "b").where(fitting & (F.col("id_a") != F.col("id_b"))), "ngram-pairs")
+    """(a, b) documents, one a class, of the pairs of nodes (a, b, met: times in short lists) that are similar enough."""
+    names = ("id", "check", "n", "last", "long")
+    side = {x: classes.select(F.col("node").alias(x), *(F.col(k).alias(f"{k}_{x}") for k in names)) for x in "ab"}
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    ends_first = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
+    behind = F.floor((ends_first * percent + 99) / 100) - 1
+    most = F.col("met") + F.least("long_a", "long_b") + behind
+    reachable = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    met = pairs.join(side["a"], "a").join(side["b"], "b").where(sizes & reachable & (F.col("id_a") != F.col("id_b")))
+    wanted = shared_table(met.select("a", "b", *(f"{k}_{x}" for k in names[:3] for x in "ab")), "ngram-pairs")
     ids = wanted.select(F.col("id_a").alias("id")).union(wanted.select(F.col("id_b").alias("id")))
     segments = _segments(docs, bitmap(ids, "id", BITMAP_BITS), n)
 
@@ -300,20 +330,22 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     survey = _survey(docs, n)
     rows = survey.where("block is null").select("doc_id", "n", "node", "check")
-    classes = shared_table(rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("id")), "ngram-classes")
-    listed = _list_rows(docs, n, percent, _levels(survey)).repartitionByRange("key").sortWithinPartitions("key", "node")
-    found = shared_table(listed.mapInArrow(_pairs_of_lists, "kind byte, a long, b long"), "ngram-lists")
-    first = shared_table(found.where("kind = 0").select("a", "b").distinct(), "ngram-candidates")
-    links = _verified(docs, first, classes, n, percent)
+    listed = _list_rows(docs, n, percent, _levels(survey)).repartition("key").sortWithinPartitions("key", "node")
+    found = shared_table(listed.mapInArrow(_pairs_of_lists, "kind byte, a long, b long, n long"), "ngram-lists")
+    facts = found.where(F.col("kind").isin(LONG, LAST)).groupBy(F.col("a").alias("node")).agg(F.max(F.when(F.col("kind") == LAST, F.col("b"))).alias("last"), F.sum("n").alias("long"))
+    named = rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("id"))
+    classes = shared_table(named.join(facts, "node"), "ngram-classes")
+    met = shared_table(found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("met")), "ngram-met")
+    links = _verified(docs, met, classes, n, percent)
     components = connected_components(links)
 
-    lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
+    lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
     own = classes.join(components.withColumnRenamed("node", "id"), "id", "left").select("node", F.coalesce("component", "id").alias("component"))
     open_lists = lists.join(own, "node").select("key", "component", "node").repartition("key").sortWithinPartitions("key", "component", "node")
-    second = open_lists.mapInArrow(_pairs_between_components, "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
-    second = shared_table(second, "ngram-candidates")
-    if not second.isEmpty():
-        components = connected_components(links.unionByName(_verified(docs, second, classes, n, percent)))
+    more = open_lists.mapInArrow(_pairs_between_components, "a long, b long").distinct().join(met, ["a", "b"], "left_anti").withColumn("met", F.lit(0).cast("long"))
+    more_links = _verified(docs, more, classes, n, percent)
+    if not more_links.isEmpty():
+        components = connected_components(links.unionByName(more_links))
     own = classes.select("node", "check", "id")
     labelled = rows.join(own, ["node", "check"], "left").join(components.withColumnRenamed("node", "id"), "id", "left")
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))

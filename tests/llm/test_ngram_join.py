@@ -64,9 +64,12 @@ def test_lists_across_batches():
     import pyarrow as pa
 
     keys, nodes = np.repeat([1, 2, 3, 4], [12, 1, 3, 30]), np.r_[np.arange(12), [5], [1, 1, 2], np.arange(30)]
+    last = nodes == 5
 
     def run(size):
-        batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + size]), pa.array(nodes[i : i + size])], ["key", "node"]) for i in range(0, len(keys), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + size]) for x in (keys, nodes, last)], ["key", "node", "last"]) for i in range(0, len(keys), size)]
         return {tuple(r.values()) for b in op._pairs_of_lists(iter(batches)) for r in b.to_pylist()}
 
-    assert run(1) == run(7) == run(100) >= {(0, 1, 2), (0, 0, 29), (1, 4, 0)}
+    got = run(100)
+    assert run(1) == run(7) == got
+    assert got >= {(op.PAIR, 0, 1, 0), (op.PAIR, 0, 29, 0), (op.PAIR, 1, 2, 1), (op.LIST, 4, 0, 0), (op.LONG, 3, 0, 2), (op.LONG, 20, 0, 1), (op.LAST, 5, 2, 0)}
