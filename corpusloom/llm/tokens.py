@@ -15,7 +15,7 @@ PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: For tokenizers that drop blanks, the words alone.
 WORD = re.compile(r"[^ \t\n\r]+")
 #: Pieces that one process remembers, the longest piece that it remembers, and those that stay when there are too many.
-REMEMBERED, LONGEST, SHORT = 400_000, 48, 10
+REMEMBERED, LONGEST, SHORT = 1_000_000, 48, 11
 #: New pieces that go to the tokenizer in one call.
 GROUP = 2000
 
@@ -37,6 +37,8 @@ class PieceEncoder:
         self.known: dict[str, bytes] = {}
         self.drops_blanks = not self.tokenizer.encode(" \n ", add_special_tokens=False).ids
         self.split = (WORD if self.drops_blanks else PIECE).findall
+        # Where case makes no difference, lower case makes pieces come again more often.
+        self.lowers = self.tokenizer.encode("ABC Word").ids == self.tokenizer.encode("abc word").ids
         # Byte-level vocabularies write every byte as one character, and may mark the end of a word.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.byte_lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
@@ -92,7 +94,7 @@ class PieceEncoder:
         """The ids of each text; a null is an empty text."""
         pieces, ends, bare, blank = [], [0], set(), set()
         for x in texts:
-            if x and (own := self.split(x)):
+            if x and (own := self.split(x.lower() if self.lowers and x.isascii() else x)):
                 if own[0][0] not in BLANKS:
                     bare.add(own[0])
                 if own[-1][-1] in BLANKS:
