@@ -5,9 +5,10 @@ are, rare ones before frequent ones, then by hash.  Documents with equal sets ar
 
 The order is cut vertically.  The first fragment of a set is its prefix of n - ceil(t*n) + 1 n-grams, of which two sets
 with a Jaccard similarity of t share one at least; so classes meet in the lists of those.  Short lists give all their
-pairs, with the overlaps counted.  A long list gives the pairs with its first class; once components are known, the pairs
-of its classes that are still in different components follow.  Thus no pair that could matter is left out, and a group of
-near copies costs a row a member and not a row a pair.
+pairs, with the overlaps counted.  A long list gives the pairs with its first class.  Once components are known, each class
+of a long list is compared with one class of another component there, PROBES times over, which joins what belongs together;
+then all pairs of components that still share a list are compared in full.  Thus no pair that could matter is left out,
+and a group of near copies costs a row a member and not a row a pair.
 
 The first fragment's count bounds the whole.  Of the two prefixes, the one that ends first in the global order lies in the
 range of the other, so what it does not share there is not shared at all: the overlap is at most the shared n-grams of the
@@ -28,13 +29,14 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bitmap, bound_batches, in_bitmap, shared_table
 from .graph import connected_components
 
 FRAGMENTS = 4
+PROBES = 3
 #: Lists of so many classes give all their pairs at once.
 SHORT_LIST = 8
 SKETCH_CELLS, SKETCH_BLOCK = 1 << 22, 1 << 16
@@ -242,28 +244,73 @@ def _pairs_of_lists(batches):
     yield from flush()
 
 
-def _pairs_between_components(batches):
-    """From (key, component, node) rows sorted so: the pairs of each list whose components differ."""
+def _reachable(i: dict, j: dict, percent: int):
+    """Whether two sets can be similar enough, by their sizes (n), the ends of their first fragments (last) and their
+    n-grams in long lists (long), if they met in no short list.  Works on arrays."""
     import numpy as np
-    import pyarrow as pa
 
-    def pairs(components, nodes):
-        ends = np.r_[np.flatnonzero(components[1:] != components[:-1]) + 1, len(components)]
-        for end in ends[:-1]:
-            start = np.searchsorted(components, components[end - 1])
-            for x in nodes[start:end]:
-                for i in range(end, len(nodes), ROWS):
-                    other = nodes[i : i + ROWS]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, other)), pa.array(np.maximum(x, other))], ["a", "b"])
+    sizes = np.minimum(i["n"], j["n"]) * 100 >= np.maximum(i["n"], j["n"]) * percent
+    ends_first = np.where(i["last"] <= j["last"], i["n"], j["n"])
+    most = np.minimum(i["long"], j["long"]) + (ends_first * percent + 99) // 100 - 1
+    return sizes & (most * (100 + percent) >= (i["n"] + j["n"]) * percent)
+
+
+MEMBER = ("component", "node", "n", "last", "long")
+
 
-    held = [np.zeros(0, dtype=np.int64)] * 3
+def _each_list(batches):
+    """The members of each list, as arrays by name, from rows (key, *MEMBER) sorted by key."""
+    import numpy as np
+
+    held = [np.zeros(0, dtype=np.int64)] * (len(MEMBER) + 1)
     for batch in batches:
         held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)]
-        borders = np.r_[0, np.flatnonzero(held[0][1:] != held[0][:-1]) + 1] if len(held[0]) else [0]
+        borders = [0, *(np.flatnonzero(held[0][1:] != held[0][:-1]) + 1).tolist()] if len(held[0]) else [0]
         for a, b in zip(borders, borders[1:], strict=False):
-            yield from pairs(held[1][a:b], held[2][a:b])
+            yield dict(zip(MEMBER, (h[a:b] for h in held[1:]), strict=True))
         held = [h[borders[-1] :] for h in held]
-    yield from pairs(held[1], held[2])
+    yield dict(zip(MEMBER, held[1:], strict=True))
+
+
+def _probes(batches, turn: int, percent: int):
+    """From lists sorted by component: for each member one of another component, by its hash and the turn."""
+    import numpy as np
+    import pyarrow as pa
+
+    for x in _each_list(batches):
+        m, component = len(x["node"]), x["component"]
+        if m and component[0] != component[-1]:
+            start, end = np.searchsorted(component, component, "left"), np.searchsorted(component, component, "right")
+            draw = (x["node"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)) >> np.uint64(32)
+            other = (end + (draw % (m - (end - start)).astype(np.uint64)).astype(np.int64)) % m
+            fits = _reachable(x, {k: v[other] for k, v in x.items()}, percent)
+            a, b = x["node"][fits], x["node"][other][fits]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _open_components(batches, percent: int):
+    """The pairs of components (x < y) of which a list has members that can be similar enough."""
+    import numpy as np
+    import pyarrow as pa
+
+    found: list = []
+
+    def flush():
+        if found:
+            x, y = np.unique(np.concatenate(found), axis=0).T
+            found.clear()
+            for i in range(0, len(x), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c[i : i + ROWS])) for c in (x, y)], ["x", "y"])
+
+    for x in _each_list(batches):
+        for at in range(0, len(x["node"]), 512):
+            part = {k: v[at : at + 512, None] for k, v in x.items()}
+            i, j = np.nonzero((part["component"] < x["component"][None, :]) & _reachable(part, {k: v[None, :] for k, v in x.items()}, percent))
+            if len(i):
+                found.append(np.unique(np.column_stack([part["component"][i, 0], x["component"][j]]), axis=0))
+            if sum(map(len, found)) > 10 * ROWS:
+                yield from flush()
+    yield from flush()
 
 
 def _segments(docs: DataFrame, wanted: bytes, n: int) -> DataFrame:
@@ -297,33 +344,84 @@ def _segments(docs: DataFrame, wanted: bytes, n: int) -> DataFrame:
     return shared_table(cut, "segments")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) documents, one a class, of the pairs of nodes (a, b, met: times in short lists) that are similar enough."""
-    names = ("id", "check", "n", "last", "long")
-    side = {x: classes.select(F.col("node").alias(x), *(F.col(k).alias(f"{k}_{x}") for k in names)) for x in "ab"}
+def _bounded(percent: int) -> Column:
+    """The condition that a pair of classes (n_a, last_a, long_a, and the same of b, and met) can be similar enough."""
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     ends_first = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
-    behind = F.floor((ends_first * percent + 99) / 100) - 1
-    most = F.col("met") + F.least("long_a", "long_b") + behind
-    reachable = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    met = pairs.join(side["a"], "a").join(side["b"], "b").where(sizes & reachable & (F.col("id_a") != F.col("id_b")))
-    wanted = shared_table(met.select("a", "b", *(f"{k}_{x}" for k in names[:3] for x in "ab")), "ngram-pairs")
-    ids = wanted.select(F.col("id_a").alias("id")).union(wanted.select(F.col("id_b").alias("id")))
-    segments = _segments(docs, bitmap(ids, "id", BITMAP_BITS), n)
+    most = F.col("met") + F.least("long_a", "long_b") + F.floor((ends_first * percent + 99) / 100) - 1
+    return sizes & (most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
+
+
+def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Written table of the pairs of classes that can be similar enough, from pairs of nodes (a, b, met: times that they
+    met in short lists)."""
+    names = ("id", "check", "n", "last", "long")
+    side = {x: classes.select(F.col("node").alias(x), *(F.col(k).alias(f"{k}_{x}") for k in names)) for x in "ab"}
+    met = pairs.join(side["a"], "a").join(side["b"], "b").where((F.col("id_a") != F.col("id_b")) & _bounded(percent))
+    return shared_table(met.select("a", "b", *(f"{k}_{x}" for k in names[:3] for x in "ab")), "ngram-pairs")
+
+
+def _similar(wanted: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """(a, b) documents, one a class, of the candidates whose overlap, summed over the fragments, is large enough."""
 
     def of(x):
         return segments.select(F.col("id").alias(f"id_{x}"), F.col("node").alias(x), F.col("check").alias(f"check_{x}"), "fragment", F.col("segment").alias(f"segment_{x}"))
 
     each = wanted.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
     met = each.join(of("a"), ["id_a", "a", "check_a", "fragment"]).join(of("b"), ["id_b", "b", "check_b", "fragment"])
-    partial = met.select("id_a", "a", "check_a", "n_a", "id_b", "b", "check_b", "n_b", F.size(F.array_intersect("segment_a", "segment_b")).alias("overlap"), "fragment")
+    pair = ["id_a", "a", "check_a", "n_a", "id_b", "b", "check_b", "n_b"]
+    partial = met.select(*pair, "fragment", F.size(F.array_intersect("segment_a", "segment_b")).alias("overlap"))
     # Rows that repeat an id and a text repeat its segments: each fragment of a pair counts once.
-    once = partial.groupBy("id_a", "a", "check_a", "n_a", "id_b", "b", "check_b", "n_b", "fragment").agg(F.max("overlap").alias("overlap"))
-    total = once.groupBy("id_a", "a", "check_a", "n_a", "id_b", "b", "check_b", "n_b").agg(F.sum("overlap").alias("overlap"))
+    once = partial.groupBy(*pair, "fragment").agg(F.max("overlap").alias("overlap"))
+    total = once.groupBy(*pair).agg(F.sum("overlap").alias("overlap"))
     similar = F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent
     return shared_table(total.where(similar).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "ngram-links")
 
 
+def _settled(docs: DataFrame, members: DataFrame, classes: DataFrame, met: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
+    """Components once the long lists (members: key, id, and MEMBER without component) are compared in full."""
+    components, tested, segments = connected_components(links), met.select("a", "b"), None
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    for turn in range(PROBES + 1):
+        rows = labelled(members)
+        spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+        rows = shared_table(rows.join(spread, "key").select("key", *MEMBER, "id"), "open-lists")
+        if rows.isEmpty():
+            return components
+        if segments is None:
+            segments = _segments(docs, bitmap(rows.select("id"), "id", BITMAP_BITS), n)
+        if turn < PROBES:  # each class in one of its lists, the same for classes with the same lists
+            one = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key")).alias("k")).select("node", F.col("k.key").alias("key"))
+            lists = rows.join(one, ["node", "key"]).select("key", *MEMBER)
+            drawn = lists.repartition("key").sortWithinPartitions("key", "component", "node").mapInArrow(lambda b, t=turn: _probes(b, t, percent), "a long, b long")
+        else:
+            lists = rows.select("key", *MEMBER).repartition("key").sortWithinPartitions("key", "component", "node")
+            apart = shared_table(lists.mapInArrow(lambda b: _open_components(b, percent), "x long, y long").distinct(), "open-components")
+            each = rows.select(*MEMBER).distinct()
+            a, b = (each.select(F.col("component").alias(c), *(F.col(k).alias(f"{k}_{x}") for k in MEMBER[1:])) for c, x in (("x", "a"), ("y", "b")))
+            zero = apart.withColumn("met", F.lit(0).cast("long"))
+            drawn = _pairs_of_components(zero, a, b, percent)
+        fresh = drawn.distinct().join(tested, ["a", "b"], "left_anti").withColumn("met", F.lit(0).cast("long"))
+        wanted = _candidates(fresh, classes, percent)
+        tested = tested.union(wanted.select("a", "b"))
+        more = _similar(wanted, segments, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            components = connected_components(links)
+    return components
+
+
+def _pairs_of_components(apart: DataFrame, a: DataFrame, b: DataFrame, percent: int) -> DataFrame:
+    """(a, b) nodes of pairs of components (x, y, met) that can be similar enough; the join itself tests that."""
+    left = apart.join(a, "x")
+    right = b.withColumnRenamed("y", "__y")
+    joined = left.join(right, (F.col("y") == F.col("__y")) & _bounded(percent))
+    return joined.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+
 def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (doc_id, text)."""
     bound_batches(docs.sparkSession)
@@ -336,16 +434,12 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     named = rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("id"))
     classes = shared_table(named.join(facts, "node"), "ngram-classes")
     met = shared_table(found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("met")), "ngram-met")
-    links = _verified(docs, met, classes, n, percent)
-    components = connected_components(links)
-
+    wanted = _candidates(met, classes, percent)
+    ids = wanted.select(F.col("id_a").alias("id")).union(wanted.select(F.col("id_b").alias("id")))
+    links = _similar(wanted, _segments(docs, bitmap(ids, "id", BITMAP_BITS), n), percent)
     lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
-    own = classes.join(components.withColumnRenamed("node", "id"), "id", "left").select("node", F.coalesce("component", "id").alias("component"))
-    open_lists = lists.join(own, "node").select("key", "component", "node").repartition("key").sortWithinPartitions("key", "component", "node")
-    more = open_lists.mapInArrow(_pairs_between_components, "a long, b long").distinct().join(met, ["a", "b"], "left_anti").withColumn("met", F.lit(0).cast("long"))
-    more_links = _verified(docs, more, classes, n, percent)
-    if not more_links.isEmpty():
-        components = connected_components(links.unionByName(more_links))
+    members = shared_table(lists.join(classes.select("node", "id", "n", "last", "long"), "node"), "list-members")
+    components = _settled(docs, members, classes, met, links, n, percent)
     own = classes.select("node", "check", "id")
     labelled = rows.join(own, ["node", "check"], "left").join(components.withColumnRenamed("node", "id"), "id", "left")
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))
