@@ -1,13 +1,14 @@
-"""What the operators of this subpackage share: scratch tables, batch sizes, bitmaps."""
+"""What the operators of this subpackage share: batch sizes and bitmaps, and the tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import scratch_path, shared_table
+
+__all__ = ["bitmap", "bound_batches", "in_bitmap", "scratch_path", "shared_table"]
+
 #: Rows of one Arrow batch that goes to a Python worker.  Texts may be long, so it is far below Spark's 10,000.
 BATCH_ROWS = 1000
 
@@ -18,32 +19,6 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; a temporary one where none is set (tests)."""
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not named:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
-        named = context.getCheckpointDir()
-    return named.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder; Hadoop deletes it when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def shared_table(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage is cut, and a lost executor costs nothing."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def bitmap(hashes: DataFrame, column: str, bits: int) -> bytes:
     """A bitmap of `bits` bits (a power of two) with bit (hash mod bits) set for each non-null hash of a long column.
 
