@@ -361,8 +361,12 @@ def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return shared_table(met.select("a", "b", *(f"{k}_{x}" for k in names[:3] for x in "ab")), "ngram-pairs")
 
 
-def _similar(wanted: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def _similar(docs: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) documents, one a class, of the candidates whose overlap, summed over the fragments, is large enough."""
+    if wanted.isEmpty():
+        return wanted.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    ids = wanted.select(F.col("id_a").alias("id")).union(wanted.select(F.col("id_b").alias("id")))
+    segments = _segments(docs, bitmap(ids, "id", BITMAP_BITS), n)
 
     def of(x):
         return segments.select(F.col("id").alias(f"id_{x}"), F.col("node").alias(x), F.col("check").alias(f"check_{x}"), "fragment", F.col("segment").alias(f"segment_{x}"))
@@ -380,7 +384,7 @@ def _similar(wanted: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 def _settled(docs: DataFrame, members: DataFrame, classes: DataFrame, met: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
     """Components once the long lists (members: key, id, and MEMBER without component) are compared in full."""
-    components, tested, segments = connected_components(links), met.select("a", "b"), None
+    components, tested = connected_components(links), met.select("a", "b")
 
     def labelled(rows: DataFrame) -> DataFrame:
         return rows.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -391,8 +395,6 @@ def _settled(docs: DataFrame, members: DataFrame, classes: DataFrame, met: DataF
         rows = shared_table(rows.join(spread, "key").select("key", *MEMBER, "id"), "open-lists")
         if rows.isEmpty():
             return components
-        if segments is None:
-            segments = _segments(docs, bitmap(rows.select("id"), "id", BITMAP_BITS), n)
         if turn < PROBES:  # each class in one of its lists, the same for classes with the same lists
             one = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key")).alias("k")).select("node", F.col("k.key").alias("key"))
             lists = rows.join(one, ["node", "key"]).select("key", *MEMBER)
@@ -401,24 +403,27 @@ def _settled(docs: DataFrame, members: DataFrame, classes: DataFrame, met: DataF
             lists = rows.select("key", *MEMBER).repartition("key").sortWithinPartitions("key", "component", "node")
             apart = shared_table(lists.mapInArrow(lambda b: _open_components(b, percent), "x long, y long").distinct(), "open-components")
             each = rows.select(*MEMBER).distinct()
-            a, b = (each.select(F.col("component").alias(c), *(F.col(k).alias(f"{k}_{x}") for k in MEMBER[1:])) for c, x in (("x", "a"), ("y", "b")))
-            zero = apart.withColumn("met", F.lit(0).cast("long"))
-            drawn = _pairs_of_components(zero, a, b, percent)
+            drawn = _pairs_of_components(apart, each, percent)
         fresh = drawn.distinct().join(tested, ["a", "b"], "left_anti").withColumn("met", F.lit(0).cast("long"))
         wanted = _candidates(fresh, classes, percent)
         tested = tested.union(wanted.select("a", "b"))
-        more = _similar(wanted, segments, percent)
+        more = _similar(docs, wanted, n, percent)
         if not more.isEmpty():
             links = links.unionByName(more)
             components = connected_components(links)
     return components
 
 
-def _pairs_of_components(apart: DataFrame, a: DataFrame, b: DataFrame, percent: int) -> DataFrame:
-    """(a, b) nodes of pairs of components (x, y, met) that can be similar enough; the join itself tests that."""
-    left = apart.join(a, "x")
-    right = b.withColumnRenamed("y", "__y")
-    joined = left.join(right, (F.col("y") == F.col("__y")) & _bounded(percent))
+def _pairs_of_components(apart: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) nodes of pairs of components (x, y) that can be similar enough.  The members of the smaller component are
+    put in first; the join with those of the larger one tests the bound, so only pairs that meet it are made."""
+    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
+    size = {c: sizes.select(F.col("component").alias(c), F.col("size").alias(f"size_{c}")) for c in "xy"}
+    sized = apart.join(size["x"], "x").join(size["y"], "y")
+    swap = F.col("size_x") > F.col("size_y")
+    turned = sized.select(F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"), F.lit(0).cast("long").alias("met"))
+    a, b = (members.select(F.col("component").alias(c), *(F.col(k).alias(f"{k}_{x}") for k in MEMBER[1:])) for c, x in (("x", "a"), ("__y", "b")))
+    joined = turned.join(a, "x").join(b, (F.col("y") == F.col("__y")) & _bounded(percent))
     return joined.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 
@@ -434,9 +439,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     named = rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("id"))
     classes = shared_table(named.join(facts, "node"), "ngram-classes")
     met = shared_table(found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("met")), "ngram-met")
-    wanted = _candidates(met, classes, percent)
-    ids = wanted.select(F.col("id_a").alias("id")).union(wanted.select(F.col("id_b").alias("id")))
-    links = _similar(wanted, _segments(docs, bitmap(ids, "id", BITMAP_BITS), n), percent)
+    links = _similar(docs, _candidates(met, classes, percent), n, percent)
     lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
     members = shared_table(lists.join(classes.select("node", "id", "n", "last", "long"), "node"), "list-members")
     components = _settled(docs, members, classes, met, links, n, percent)
