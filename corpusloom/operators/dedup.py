@@ -103,8 +103,9 @@ def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", t
         raise ValueError(f"{n} permutations do not make {bands} equal bands")
     forms = docs.select(F.col(order).alias("ord"), F.coalesce(hash_form(F.col(text)), F.lit("")).alias("form"))
     rows = shared_table(forms.select("ord", F.sha2("form", 256).alias("hash"), minhash(F.col("form"), n).alias("signature")), "signatures")
-    firsts = rows.groupBy("hash").agg(F.min("ord").alias("first"))
-    entries = shared_table(rows.join(firsts, "hash").where("ord = first").select("ord", "hash", "signature"), "entries")
+    # Written, so that Spark can split the joins with it where very many documents are equal.
+    firsts = shared_table(rows.groupBy("hash").agg(F.min("ord").alias("first")), "first-copies")
+    entries = shared_table(rows.join(firsts.select(F.col("first").alias("ord")), "ord", "left_semi"), "entries")
     banded = shared_table(entries.select("ord", F.explode(_bands(F.col("signature"), bands)).alias("b")).select("ord", "b.band", F.xxhash64("b.band", "b.values").alias("key")), "bands")
     crowded = banded.groupBy("key").count().where("count > 1").select("key")
     banded = shared_table(banded.join(crowded, "key"), "crowded-bands")
@@ -117,7 +118,7 @@ def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", t
 
     open_rows, decided = banded, []
     while not open_rows.isEmpty():
-        heads = open_rows.groupBy("key").agg(F.min("ord").alias("early"))
+        heads = shared_table(open_rows.groupBy("key").agg(F.min("ord").alias("early")), "heads")
         led = shared_table(open_rows.join(heads, "key"), "led-bands")
         kept = led.groupBy("ord").agg(F.min(F.col("ord") == F.col("early")).alias("leads")).where("leads").select("ord")
         kept = shared_table(kept, "kept-now")
@@ -148,10 +149,11 @@ def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", t
 def exact_duplicates(docs: DataFrame, order: str = "ord", text: str = "text") -> DataFrame:
     """order, hash, first: the first document with the same content hash."""
     rows = docs.select(order, content_hash(F.coalesce(text, F.lit(""))).alias("hash"))
-    return rows.join(rows.groupBy("hash").agg(F.min(order).alias("first")), "hash").select(order, "hash", "first")
+    firsts = shared_table(rows.groupBy("hash").agg(F.min(order).alias("first")), "first-copies")
+    return rows.join(firsts, "hash").select(order, "hash", "first")
 
 
 def colliding_ids(docs: DataFrame, key: str = "id", order: str = "ord") -> DataFrame:
     """order of the documents whose id an earlier one has; partial minima, so an id may be in any number of rows."""
-    firsts = docs.groupBy(key).agg(F.min(order).alias("__first"))
+    firsts = shared_table(docs.groupBy(key).agg(F.min(order).alias("__first")), "first-owners")
     return docs.select(key, order).join(firsts, key).where(F.col(order) > F.col("__first")).select(order)
