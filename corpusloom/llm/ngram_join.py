@@ -314,7 +314,7 @@ def _open_components(batches, percent: int):
 
 
 def _segments(docs: DataFrame, wanted: bytes, n: int) -> DataFrame:
-    """Written table (id, node, check, fragment, segment) of the documents in a bitmap of ids."""
+    """Written table (id, node, check, segments) of the documents in a bitmap of ids: each set cut into its fragments."""
     import numpy as np
     import pyarrow as pa
 
@@ -323,24 +323,19 @@ def _segments(docs: DataFrame, wanted: bytes, n: int) -> DataFrame:
     def run(batches):
         import xxhash
 
-        names = ["id", "node", "check", "fragment", "segment"]
+        starts = np.arange(FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
         for batch in batches:
             batch = batch.filter(pa.array(in_bitmap(shared.value, batch.column(0).to_numpy().astype(np.int64)), pa.bool_()))
             for ids, texts in _texts([batch]):
-                columns = [[], [], [], [], []]
-                for i, text in zip(ids.to_pylist(), texts, strict=True):
-                    s = shingles(text, n)
-                    raw = s.tobytes()
-                    node, check = (np.uint64(xxhash.xxh3_64_intdigest(raw, seed=k)).view(np.int64) for k in (1, 2))
-                    borders = np.searchsorted(s, np.arange(FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)).tolist() + [len(s)]
-                    for f, (a, b) in enumerate(zip(borders, borders[1:], strict=False)):
-                        if b > a:
-                            for column, value in zip(columns, (i, int(node), int(check), f, s[a:b].view(np.int64)), strict=True):
-                                column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-    cut = docs.where("doc_id is not null").mapInArrow(run, "id long, node long, check long, fragment int, segment array<long>")
+                sets = [shingles(x, n) for x in texts]
+                nodes, checks = (np.array([xxhash.xxh3_64_intdigest(s.tobytes(), seed=k) for s in sets], dtype=np.uint64).view(np.int64) for k in (1, 2))
+                ends = np.concatenate([np.r_[np.searchsorted(s, starts)[1:], len(s)] for s in sets]).reshape(len(sets), FRAGMENTS)
+                before = np.cumsum([0, *(len(s) for s in sets)])
+                inner = pa.ListArray.from_arrays(pa.array(np.r_[0, (ends + before[:-1, None]).ravel()], pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+                outer = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * FRAGMENTS, pa.int32()), inner)
+                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(nodes), pa.array(checks), outer], ["id", "node", "check", "segments"])
+
+    cut = docs.where("doc_id is not null").mapInArrow(run, "id long, node long, check long, segments array<array<long>>")
     return shared_table(cut, "segments")
 
 
@@ -369,17 +364,13 @@ def _similar(docs: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFr
     segments = _segments(docs, bitmap(ids, "id", BITMAP_BITS), n)
 
     def of(x):
-        return segments.select(F.col("id").alias(f"id_{x}"), F.col("node").alias(x), F.col("check").alias(f"check_{x}"), "fragment", F.col("segment").alias(f"segment_{x}"))
-
-    each = wanted.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
-    met = each.join(of("a"), ["id_a", "a", "check_a", "fragment"]).join(of("b"), ["id_b", "b", "check_b", "fragment"])
-    pair = ["id_a", "a", "check_a", "n_a", "id_b", "b", "check_b", "n_b"]
-    partial = met.select(*pair, "fragment", F.size(F.array_intersect("segment_a", "segment_b")).alias("overlap"))
-    # Rows that repeat an id and a text repeat its segments: each fragment of a pair counts once.
-    once = partial.groupBy(*pair, "fragment").agg(F.max("overlap").alias("overlap"))
-    total = once.groupBy(*pair).agg(F.sum("overlap").alias("overlap"))
+        return segments.select(F.col("id").alias(f"id_{x}"), F.col("node").alias(x), F.col("check").alias(f"check_{x}"), F.col("segments").alias(f"segments_{x}"))
+
+    met = wanted.join(of("a"), ["id_a", "a", "check_a"]).join(of("b"), ["id_b", "b", "check_b"])
+    partial = F.zip_with("segments_a", "segments_b", lambda x, y: F.size(F.array_intersect(x, y)))
+    total = met.select("id_a", "id_b", "n_a", "n_b", F.aggregate(partial, F.lit(0), lambda x, y: x + y).alias("overlap"))
     similar = F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent
-    return shared_table(total.where(similar).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "ngram-links")
+    return shared_table(total.where(similar).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "ngram-links")
 
 
 def _settled(docs: DataFrame, members: DataFrame, classes: DataFrame, met: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
