@@ -48,3 +48,20 @@ def test_repeated_rows_and_empty(spark):
     got = sorted((r.doc_id, r["__gone_lines"]) for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got[0][1] == got[1][1] == 0 and got[2][1] > 30
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_no_shared_run_of_over_50_words_stays(spark):
+    """Planted passages of 1 to 6 lines, found line by line and not by compared()."""
+    draw = random.Random(11)
+    line = lambda n: " ".join("".join(draw.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    passages = ["\n".join(["" if n > 3 and k == 1 else line(-(-51 // max(1, n - (n > 3)))) for k in range(n)]) for n in range(1, 7) for _ in range(5)]
+    short = line(12)
+    texts = ["\n".join([line(draw.randrange(1, 20)) for _ in range(draw.randrange(1, 6))] + [p, short] + [line(draw.randrange(1, 20)) for _ in range(draw.randrange(1, 6))]) for _ in range(3) for p in passages]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = len(passages)
+    for i, text in rows:
+        left = text if i < n else text.replace(passages[i % n] + "\n" + short + "\n", "")
+        assert got[i] == left, i
+    assert not any(p in got[i] for i in range(n, 3 * n) for p in passages)
+    assert all(short in got[i] for i in range(n))
