@@ -44,7 +44,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets, but for widely copied examples."""
+    """Replaces secrets; values without a known shape stay if many texts of many owners have them."""
     return _measured(redacted(docs))
 
 

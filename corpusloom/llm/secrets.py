@@ -34,6 +34,9 @@ MIXED = r"[A-Za-z0-9+/_-]{20,}"
 MIXED_DIFFERENT = 10
 #: A value is widely copied if it is in so many repositories and belongs to so many owners at least.
 COPIED_REPOSITORIES = COPIED_OWNERS = 2
+#: Redaction asks for more: so many different texts and owners at least, and half of the owners up to EXAMPLE_MANY, or one
+#: in EXAMPLE_SHARE of them where that is more.
+EXAMPLE_LEAST, EXAMPLE_MANY, EXAMPLE_SHARE = 3, 10, 1000
 
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
@@ -126,15 +129,29 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     )
 
 
+def _unmasked(scanned: DataFrame) -> DataFrame:
+    """hash, size of the values that redaction leaves where they have no known shape: in many different texts of many owners."""
+    owner = F.substring_index("__repository", "/", 1)
+    owners = scanned.select(owner).distinct().count()
+    least = max(EXAMPLE_LEAST, min(EXAMPLE_MANY, -(-owners // 2)), -(-owners // EXAMPLE_SHARE))
+    each = scanned.select(owner.alias("owner"), "__digest", F.explode("__found").alias("s")).select("owner", "__digest", "s.hash", "s.size")
+    counted = each.groupBy("hash", "size").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("__digest").alias("texts"))
+    return counted.where((F.col("owners") >= least) & (F.col("texts") >= least)).select("hash", "size", F.lit(True).alias("example"))
+
+
 def redacted(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
-    """docs with every span that stays replaced by the marker, but for widely copied values, which are no secrets.
+    """docs with every base span, and every candidate without a known shape but for examples, replaced by the marker.
 
-    Overlapping spans make one marker.  Documents without spans are not shuffled.
+    Examples are in many different texts (case and white space apart, so copies of a text count once) of many owners; see
+    EXAMPLE_LEAST.  Overlapping spans make one marker.  Documents without spans are not shuffled.
     """
     names = docs.columns
-    scanned = scan(docs, *names)
+    scanned = scan(docs.withColumn("__digest", F.xxhash64(F.regexp_replace(F.lower(F.trim("text")), r"\s+", " "))), *names, "__digest")
     clean, rest = (scanned.where(x) for x in ("size(__found) = 0", "size(__found) > 0"))
-    spans = F.array_sort(F.filter(F.coalesce("__spans", F.array()), lambda s: ~s["copied"]))
+    unmasked = shared_table(_unmasked(scanned), "secret-examples")
+    each = rest.select("__row", F.explode("__found").alias("s")).select("__row", "s.*").join(unmasked, ["hash", "size"], "left")
+    masked = each.where((F.col("kind") < 3) | F.col("example").isNull()).groupBy("__row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("__spans"))
+    spans = F.array_sort(F.coalesce("__spans", F.array()))
 
     def add(held: Column, s: Column) -> Column:
         fresh = s["start"] >= held["at"]
@@ -142,7 +159,7 @@ def redacted(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
         return F.struct(F.greatest(held["at"], s["end"]).alias("at"), F.when(fresh, F.concat(held["out"], between, F.lit(marker))).otherwise(held["out"]).alias("out"))
 
     text = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add, lambda held: F.concat(held["out"], F.substring("text", held["at"] + 1, F.length("text"))))
-    done = rest.join(judged(scanned), "__row", "left").withColumn("text", F.when(F.size(spans) > 0, text).otherwise(F.col("text")))
+    done = rest.join(masked, "__row", "left").withColumn("text", F.when(F.size(spans) > 0, text).otherwise(F.col("text")))
     return clean.select(*names).unionByName(done.select(*names))
 
 

@@ -58,3 +58,14 @@ def test_redaction_spares_copied_values_and_other_columns(spark):
 def test_empty(spark):
     assert secret_spans(docs(spark, [])).count() == 0
     assert redacted(docs(spark, [])).count() == 0
+
+
+def test_redaction_masks_credentials_in_a_few_sources(spark):
+    known = [(k, f"{word} token = {HEX40}", f"src{k}") for k, word in enumerate(["one", "two", "three", "four", "five"])]
+    few = [(10 + k, f"{word} {LIVE}", f"src{k}") for k, word in enumerate(["one", "two"])]
+    copies = [(20 + k, f"the  same text {COPIED}".replace("  ", " " * (k + 1)), f"src{k}") for k in range(15)]
+    example = "Ab12Cd34Ef56Gh78Ij90Kl"
+    many = [(40 + k, f"text {k} {example}", f"src{k}") for k in range(12)]
+    got = {r.doc_id: r.text for r in redacted(docs(spark, known + few + copies + many)).collect()}
+    assert not any(v in t for t in got.values() for v in (HEX40, LIVE, COPIED))
+    assert all(got[40 + k] == f"text {k} {example}" for k in range(12))
