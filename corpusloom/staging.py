@@ -17,20 +17,28 @@ def session(name: str = "corpusloom", **settings: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; a temporary one where none is set (tests)."""
+    """The folder of spark.checkpoint.dir, which all executors share.  Where none is set, a session with a local master
+    (tests) gets a temporary one; on a cluster that is an error, for executors would not see each other's files."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")
 
 
+def _folder(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder; Hadoop deletes it when the driver's JVM ends."""
+    """A new path in the shared folder; Hadoop deletes it when the driver's JVM ends, if nothing did before."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    files, folder = _folder(spark, path)
+    files.deleteOnExit(folder)
     return path
 
 
@@ -38,4 +46,16 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage is cut, and a lost executor costs nothing."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def drop_tables(*tables: DataFrame | None) -> None:
+    """Delete tables of shared_table that nothing will read again; nulls and other DataFrames are left alone."""
+    for table in tables:
+        path = vars(table).get("scratch_path") if table is not None else None
+        if path:
+            files, folder = _folder(table.sparkSession, path)
+            files.delete(folder, True)
+            files.cancelDeleteOnExit(folder)
