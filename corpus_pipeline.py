@@ -38,9 +38,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays; rows without a doc_id all stay."""
-    kept = ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """Of each group of near duplicates the document with the smallest doc_id stays (and of rows that repeat that doc_id the
+    one with the smallest hash of its text); rows equal in doc_id and text are one.  Rows that repeat a doc_id with texts
+    that are no duplicates all stay, as do rows without a doc_id and documents without words."""
+    keyed = docs.withColumn("__digest", F.xxhash64("text"))
+    found = ngram_join(keyed, carry=("__digest",)).where("doc_id is not null")
+    first = F.struct("doc_id", "__digest")
+    linked = found.where("set_id is not null").groupBy("component_id").agg(F.min(first).alias("first")).select("first.*")
+    kept = linked.union(found.where("set_id is null").select("doc_id", "__digest")).distinct()
+    names = [x for x in docs.columns if x not in ("doc_id", "text")]
+    rest = [F.min(F.struct(*names)).alias("__rest")] if names else []
+    one = keyed.join(kept, ["doc_id", "__digest"], "left_semi").groupBy("doc_id", "__digest").agg(F.first("text").alias("text"), *rest)
+    restored = [F.col(x) if x in ("doc_id", "text") else F.col("__rest").getField(x).alias(x) for x in docs.columns]
+    return one.select(*restored).unionByName(docs.where("doc_id is null"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..staging import scratch_path, shared_table
+from ..staging import drop_tables, scratch_path, shared_table
 
-__all__ = ["bitmap", "bound_batches", "in_bitmap", "scratch_path", "shared_table"]
+__all__ = ["bitmap", "bound_batches", "drop_tables", "in_bitmap", "scratch_path", "shared_table"]
 
 #: Rows of one Arrow batch that goes to a Python worker.  Texts may be long, so it is far below Spark's 10,000.
 BATCH_ROWS = 1000
@@ -19,31 +21,50 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+#: Bytes of a bitmap that travel in one row.
+BITMAP_SLICE = 1 << 16
+
+
 def bitmap(hashes: DataFrame, column: str, bits: int) -> bytes:
     """A bitmap of `bits` bits (a power of two) with bit (hash mod bits) set for each non-null hash of a long column.
 
-    It has no false negatives.  The driver gets at most bits/64 rows, whatever the number of hashes.
+    It has no false negatives.  Executors set the bits of slices of it, so the driver gets a row a slice, whatever the
+    number of hashes.
     """
     import numpy as np
+    import pyarrow as pa
+
+    def merge(batches):
+        slices: dict[int, object] = {}
+        for batch in batches:
+            at = batch.column(0).to_numpy().astype(np.uint64) & np.uint64(bits - 1)
+            number = (at // np.uint64(8 * BITMAP_SLICE)).astype(np.int64)
+            for i in np.unique(number).tolist():
+                own = slices.setdefault(i, np.zeros(BITMAP_SLICE, dtype=np.uint8))
+                inside = at[number == i] % np.uint64(8 * BITMAP_SLICE)
+                np.bitwise_or.at(own, (inside >> np.uint64(3)).astype(np.int64), np.left_shift(np.uint8(1), (inside & np.uint64(7)).astype(np.uint8)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in slices.values()], pa.binary())], ["slice", "bits"])
+
+    def united(batches):
+        slices: dict[int, object] = {}
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
+                slices[i] = slices[i] | own if i in slices else own
+        yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array([x.tobytes() for x in slices.values()], pa.binary())], ["slice", "bits"])
 
-    at = F.col(column).bitwiseAND(F.lit(bits - 1))
-    words = (
-        hashes.where(F.col(column).isNotNull())
-        .select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .collect()
-    )
-    out = np.zeros(bits // 64, dtype=np.int64)
-    for word, value in words:
-        out[word] = value
-    return out.tobytes()
+    set_here = hashes.select(F.col(column).cast("long")).where(F.col(column).isNotNull()).mapInArrow(merge, "slice int, bits binary")
+    found = set_here.repartition("slice").mapInArrow(united, "slice int, bits binary")
+    out = bytearray(bits // 8)
+    for row in found.collect():  # bits/8 bytes, whatever the input
+        out[row.slice * BITMAP_SLICE : (row.slice + 1) * BITMAP_SLICE] = row.bits[: len(out)]
+    return bytes(out)
 
 
 def in_bitmap(bits: bytes, hashes):
     """Boolean numpy array: which of the int64 or uint64 hashes have their bit set."""
     import numpy as np
 
-    words = np.frombuffer(bits, dtype=np.uint64)
-    at = hashes.astype(np.uint64) & np.uint64(len(words) * 64 - 1)
-    return (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    cells = np.frombuffer(bits, dtype=np.uint8)
+    at = hashes.astype(np.uint64) & np.uint64(len(cells) * 8 - 1)
+    return (cells[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_table
+from .common import drop_tables, shared_table
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -13,22 +13,29 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     In each round every node hooks to the smallest of itself and its neighbours and then to where that one hooked; edges
     whose ends met are gone, and the others go on between the nodes hooked to.  A round leaves at most half of the nodes
-    that still have edges.  Each round's tables are written to the shared folder; neighbour lists are never gathered.
-    Rows with a null end are ignored.  No edges give no rows.
+    that still have edges, so each one's tables are smaller; the hooks of all rounds are put together at the end.
+    Neighbour lists are never gathered.  Rows with a null end are ignored.  No edges give no rows.
     """
     left = shared_table(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = None
-    while labels is None or not left.isEmpty():
+    rounds = []
+    while not rounds or not left.isEmpty():
         ends = left.select("a", "b").union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooks = shared_table(ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to")), "hooks")
-        then = hooks.select(F.col("node").alias("to"), F.col("to").alias("then"))
-        hooks = shared_table(hooks.join(then, "to").select("node", F.col("then").alias("to")), "hooks")
-        if labels is None:
-            labels = hooks
-        else:
-            moved = hooks.select(F.col("node").alias("to"), F.col("to").alias("then"))
-            labels = shared_table(labels.join(moved, "to", "left").select("node", F.coalesce("then", "to").alias("to")), "labels")
+        first = ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))
+        then = first.select(F.col("node").alias("to"), F.col("to").alias("then"))
+        hooks = shared_table(first.join(then, "to").select("node", F.col("then").alias("to")), "hooks")
+        rounds.append(hooks)
         at_a, at_b = (hooks.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
         met = left.join(at_a, "a").join(at_b, "b").where("to_a <> to_b")
-        left = shared_table(met.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
-    return labels.select("node", F.col("to").alias("component"))
+        after = shared_table(met.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
+        drop_tables(left)
+        left = after
+    drop_tables(left)
+    labels = rounds[0].select("node", F.col("to").alias("component"))
+    for hooks in rounds[1:]:
+        moved = hooks.select(F.col("node").alias("component"), F.col("to").alias("then"))
+        labels = labels.join(moved, "component", "left").select("node", F.coalesce("then", "component").alias("component"))
+    if len(rounds) == 1:
+        return labels
+    out = shared_table(labels, "components")
+    drop_tables(*rounds)
+    return out

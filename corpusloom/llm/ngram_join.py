@@ -1,28 +1,36 @@
 """Exact Jaccard join of documents on word n-grams, by vertical partitioning.
 
-A document is the set of its n-grams, kept as 64-bit hashes.  N-grams have one global order: first by how frequent they
-are, rare ones before frequent ones, then by hash.  Documents with equal sets are one class and are compared once.
-
-The order is cut vertically.  The first fragment of a set is its prefix of n - ceil(t*n) + 1 n-grams, of which two sets
-with a Jaccard similarity of t share one at least; so classes meet in the lists of those.  Short lists give all their
-pairs, with the overlaps counted.  A long list gives the pairs with its first class.  Once components are known, each class
-of a long list is compared with one class of another component there, PROBES times over, which joins what belongs together;
-then all pairs of components that still share a list are compared in full.  Thus no pair that could matter is left out,
-and a group of near copies costs a row a member and not a row a pair.
-
-The first fragment's count bounds the whole.  Of the two prefixes, the one that ends first in the global order lies in the
-range of the other, so what it does not share there is not shared at all: the overlap is at most the shared n-grams of the
+A document is the set of its n-grams, kept as 64-bit keys.  N-grams have one global order, which is the order of their
+keys: first by how frequent they are, rare ones before frequent ones, then by hash.  Documents with equal sets are one
+class and are compared once.
+
+The global order is cut vertically into FRAGMENTS fragments that hold equal shares of all n-grams, and with it every set
+is cut into segments, one a fragment.  The overlap of a candidate pair is counted in each fragment apart, in rows of their
+own (pair, fragment), spread by (class, fragment); the partial counts are summed up per pair, and the sums decide.
+
+Candidates come from the front of the order.  A set's prefix are its first n - ceil(t*n) + 1 n-grams; two sets with a
+Jaccard similarity of t share one of those at least, so classes meet in the lists of their prefixes.  Short lists give all
+their pairs, with the overlaps counted.  A long list gives the pairs with its first class, and for some PROBES of the long
+lists of each class the pair with the next one there; that joins nearly all that belongs together.  Then the
+components that still share a long list are compared pair by pair.  Thus no pair that could matter is left out, and a
+group of near copies costs a few rows a member and not a row a pair.
+
+The prefixes' count bounds the whole.  Of the two prefixes, the one that ends first in the global order lies in the range
+of the other, so what it does not share there is not shared at all: the overlap is at most the shared n-grams of the
 prefixes and that set's n-grams behind its prefix.  Pairs that cannot reach the similarity go.  (Shared n-grams in long
-lists are counted as if all that both sets have there were shared.)  Of the other pairs, the overlap is counted in
-FRAGMENTS ranges of hashes, each apart, and summed up; the sums decide.
+lists are counted as if all that both sets have there were shared.)
 
-Frequencies are needed only to keep frequent n-grams out of candidate lists: they are counted over all documents in a
-sketch of SKETCH_CELLS cells, and every document sees the same cells, so the order is the same everywhere and results do
-not depend on the sketch.
+Frequencies are needed only to keep frequent n-grams out of candidate lists and to cut fragments of equal size: they are
+counted over all documents in a sketch of SKETCH_CELLS cells, and every document sees the same cells, so the order is the
+same everywhere and results do not depend on the sketch.
+
+Keys take 58 bits of a hash.  A result is wrong only if two different n-grams of one pair of compared sets have the same
+key: with 10,000 n-grams each, once in some 10^9 pairs.
 
 Edge cases: a text with fewer words than n is one n-gram, its whole word sequence.  Null texts and texts without words
-have the empty set and link with nothing.  Rows with a null doc_id get no component.  Rows that repeat a doc_id are one
-node for components, each with its own set.
+have the empty set and link with nothing.  Rows with a null doc_id get no component and join nothing.  Rows that repeat a
+doc_id each count with their own set.  Empty tables give no rows; other columns than doc_id, text and those to carry are
+ignored.
 """
 
 from __future__ import annotations
@@ -32,14 +40,17 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, bound_batches, in_bitmap, shared_table
+from .common import bitmap, bound_batches, drop_tables, in_bitmap, shared_table
 from .graph import connected_components
 
 FRAGMENTS = 4
+#: Long lists of a class, on average, in which it is compared with the next class there.
 PROBES = 3
 #: Lists of so many classes give all their pairs at once.
 SHORT_LIST = 8
 SKETCH_CELLS, SKETCH_BLOCK = 1 << 22, 1 << 16
+#: A key has the level of the n-gram's frequency above HASH_BITS of its hash.
+HASH_BITS = 58
 BITMAP_BITS = 1 << 23
 #: Rows of an output batch; members of a list that are held at once.
 ROWS, HELD = 100_000, 200_000
@@ -70,97 +81,121 @@ def shingles(text: str | None, n: int):
     return out[np.r_[True, out[1:] != out[:-1]]]
 
 
-def _texts(batches, rows=250):
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            yield part.column(0), part.column(1).to_pylist()
+def _cells(hashes):
+    """The cell of the sketch of each hash: its top bits."""
+    import numpy as np
+
+    return hashes >> np.uint64(64 - SKETCH_CELLS.bit_length() + 1)
+
+
+def _keys(hashes, levels):
+    """The places of n-grams in the global order, unsorted."""
+    import numpy as np
+
+    level = np.minimum(levels[_cells(hashes)], 31).astype(np.uint64)
+    return (level << np.uint64(HASH_BITS)) | (hashes >> np.uint64(64 - HASH_BITS))
+
+
+def _digests(sets):
+    """Two 64-bit hashes of each set, as signed numbers; nulls for empty sets."""
+    import numpy as np
+    import pyarrow as pa
+    import xxhash
+
+    empty = np.array([not len(x) for x in sets], dtype=bool)
+    return [pa.array(np.array([xxhash.xxh3_64_intdigest(x.tobytes(), seed=k) for x in sets], dtype=np.uint64).view(np.int64), mask=empty) for k in (1, 2)]
 
 
-def _survey(docs: DataFrame, n: int) -> DataFrame:
-    """Written table of two kinds of rows: doc_id, n, node, check of each document (node and check: hashes of its set,
-    null if it is empty), and block, counts of the frequency sketch, by task."""
+def _survey(docs: DataFrame, n: int, carry: list[str]) -> DataFrame:
+    """Written table of two kinds of rows: doc_id, the carried columns, n, node, check of each document (node and check:
+    hashes of its set, null if it is empty), and block, counts of the frequency sketch, by task."""
     import numpy as np
     import pyarrow as pa
 
     def run(batches):
-        import xxhash
-
-        cells = np.zeros(SKETCH_CELLS, dtype=np.uint32)
-        for ids, texts in _texts(batches):
-            sets = [shingles(x, n) for x in texts]
-            np.add.at(cells, np.concatenate(sets) >> np.uint64(64 - SKETCH_CELLS.bit_length() + 1), 1)
-            size = len(sets)
-            node, check = ([f(s.tobytes(), seed=k) if len(s) else None for s in sets] for f, k in ((xxhash.xxh3_64_intdigest, 1), (xxhash.xxh3_64_intdigest, 2)))
-            signed = ([x if x is None or x < 1 << 63 else x - (1 << 64) for x in column] for column in (node, check))
-            none = [pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.int64()) for x in signed), *none], names)
-        blocks = [i for i in range(SKETCH_CELLS // SKETCH_BLOCK) if cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].any()]
-        packed = [zlib.compress(cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].tobytes(), 1) for i in blocks]
-        none = [pa.nulls(len(blocks), pa.int64())] * 4
-        yield pa.RecordBatch.from_arrays([*none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names)
-
-    names = ["doc_id", "n", "node", "check", "block", "counts"]
-    return shared_table(docs.mapInArrow(run, "doc_id long, n long, node long, check long, block int, counts binary"), "ngram-survey")
-
-
-def _levels(survey: DataFrame):
-    """A byte for each cell of the sketch: 0 for usual frequencies, then a step for each doubling."""
+        cells, fields = np.zeros(SKETCH_CELLS, dtype=np.uint32), None
+        for batch in batches:
+            fields = [batch.schema.field(i).type for i in range(batch.num_columns) if i != 1]
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
+                sets = [shingles(x, n) for x in part.column(1).to_pylist()]
+                np.add.at(cells, _cells(np.concatenate(sets)), 1)
+                given = [part.column(i) for i in range(batch.num_columns) if i != 1]
+                yield pa.RecordBatch.from_arrays([*given, pa.array([len(x) for x in sets], pa.int64()), *_digests(sets), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
+        if fields:
+            blocks = [i for i in range(SKETCH_CELLS // SKETCH_BLOCK) if cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].any()]
+            packed = [zlib.compress(cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].tobytes(), 1) for i in blocks]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(blocks), x) for x in [*fields, *[pa.int64()] * 3]), pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names)
+
+    names = ["doc_id", *carry, "n", "node", "check", "block", "counts"]
+    given = "".join(f"`{x}` {docs.schema[x].dataType.simpleString()}, " for x in carry)
+    return shared_table(docs.select("doc_id", "text", *carry).mapInArrow(run, f"doc_id long, {given}n long, node long, check long, block int, counts binary"), "ngram-survey")
+
+
+def _order(survey: DataFrame):
+    """The global order: a level for each cell of the sketch (0 for usual frequencies, then a step for each doubling), and
+    the first keys of all fragments but the first.  The driver gets a byte a cell, whatever the input."""
     import numpy as np
     import pyarrow as pa
 
-    def add(batches):
+    total = survey.agg(F.sum("n")).first()[0] or 0
+    usual = 2 * total / SKETCH_CELLS + 16
+
+    def levels(batches):
         sums: dict[int, object] = {}
         for batch in batches:
             for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts = np.frombuffer(zlib.decompress(raw), dtype=np.uint32).astype(np.int64)
                 sums[block] = sums[block] + counts if block in sums else counts
-        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "counts"])
-
-    cells = np.zeros(SKETCH_CELLS, dtype=np.int64)
-    merged = survey.where("block is not null").select("block", "counts").repartition("block").mapInArrow(add, "block int, counts binary")
-    for row in merged.collect():  # as many bytes as the sketch has, whatever the input
-        cells[row.block * SKETCH_BLOCK : (row.block + 1) * SKETCH_BLOCK] = np.frombuffer(bytes(row.counts), dtype=np.int64)
-    usual = 2 * cells.mean() + 16
-    return np.where(cells <= usual, 0, 1 + np.floor(np.log2(np.maximum(cells, usual) / usual))).astype(np.uint8)
-
-
-def _list_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """(key, node, last) rows: each class in the lists of its first fragment; last marks the end of the fragment."""
+        steps = {k: np.where(x <= usual, 0, 1 + np.log2(np.maximum(x, usual) / usual).astype(np.int64)).astype(np.uint8) for k, x in sums.items()}
+        mass = [np.bincount(np.minimum(steps[k], 31), weights=x, minlength=32).tolist() for k, x in sums.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(steps), pa.int32()), pa.array([x.tobytes() for x in steps.values()], pa.binary()), pa.array(mass, pa.list_(pa.float64()))], ["block", "levels", "mass"])
+
+    out, mass = np.zeros(SKETCH_CELLS, dtype=np.uint8), np.zeros(32)
+    merged = survey.where("block is not null").select("block", "counts").repartition("block")
+    for row in merged.mapInArrow(levels, "block int, levels binary, mass array<double>").collect():
+        out[row.block * SKETCH_BLOCK : (row.block + 1) * SKETCH_BLOCK] = np.frombuffer(row.levels, dtype=np.uint8)
+        mass += row.mass
+    before = np.concatenate([[0.0], np.cumsum(mass)])
+    wanted = before[-1] * np.arange(1, FRAGMENTS) / FRAGMENTS
+    level = np.clip(np.searchsorted(before, wanted, "right") - 1, 0, 31)
+    within = (wanted - before[level]) / np.maximum(mass[level], 1)
+    cuts = (level.astype(np.uint64) << np.uint64(HASH_BITS)) + (np.clip(within, 0, 1) * ((1 << HASH_BITS) - 1)).astype(np.uint64)
+    return out, cuts
+
+
+def _list_rows(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
+    """(key, node, place) rows: each class in the lists of its prefix; place is the size of the prefix, negative at its
+    end."""
     import numpy as np
     import pyarrow as pa
 
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
-
     def run(batches):
-        import xxhash
-
-        for _, texts in _texts(batches):
-            keys, nodes, counts, last = [], [], [], []
-            for text in texts:
-                s = shingles(text, n)
-                if len(s):
-                    level = shared.value[s >> np.uint64(64 - SKETCH_CELLS.bit_length() + 1)].astype(np.uint64)
-                    order = (np.minimum(level, np.uint64(63)) << np.uint64(58)) | (s >> np.uint64(6))
-                    k = prefix_size(len(s), percent)
-                    keys.append(np.partition(order, k - 1)[:k])
-                    last.append(np.arange(k) == k - 1)
-                    nodes.append(xxhash.xxh3_64_intdigest(s.tobytes(), seed=1))
-                    counts.append(k)
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(nodes, dtype=np.uint64), counts).view(np.int64)), pa.array(np.concatenate(last))], ["key", "node", "last"])
-
-    return docs.mapInArrow(run, "key long, node long, last boolean")
+        levels = order.value[0]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 250):
+                sets = [x for x in (shingles(t, n) for t in batch.column(1).slice(at, 250).to_pylist()) if len(x)]
+                if not sets:
+                    continue
+                keys, sizes = [], [prefix_size(len(x), percent) for x in sets]
+                for x, k in zip(sets, sizes, strict=True):
+                    keys.append(np.partition(_keys(x, levels), k - 1)[:k])
+                place = np.repeat(sizes, sizes)
+                place[np.cumsum(sizes) - 1] *= -1
+                nodes = np.repeat(_digests(sets)[0].to_numpy(), sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes), pa.array(place.astype(np.int32))], ["key", "node", "place"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "key long, node long, place int")
 
 
 PAIR, LIST, LONG, LAST = range(4)
 
 
 def _pairs_of_lists(batches):
-    """From (key, node, last) rows sorted by key and node: rows (kind, a, b, n).
+    """From (key, node, place) rows sorted by key and node: rows (kind, a, b, n).
 
     PAIR: classes a and b, and how often they met in short lists; 0 for pairs from long lists.  LIST: key a of a long list
-    has class b.  LONG: class a is in n long lists.  LAST: the first fragment of class a ends at key b.
+    has class b.  LONG: class a is in n long lists.  LAST: the prefix of class a ends at key b.
     """
     import numpy as np
     import pyarrow as pa
@@ -192,22 +227,32 @@ def _pairs_of_lists(batches):
         pairs.append(three(leader, members, 0))
         lists.append(three(key, members, 0))
 
-    def take(keys, nodes, going_on):
+    def probes(key, nodes, sizes):
+        """Pairs of neighbours in an order of the list's own; a class with a long prefix takes part in few of its lists."""
+        draw = (nodes.astype(np.uint64) ^ np.uint64(key * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+        turn = np.argsort(draw, kind="stable")
+        first, second = nodes[turn], nodes[np.roll(turn, -1)]
+        drawn = (draw[turn] >> np.uint64(32)).astype(np.float64) * sizes[turn] < PROBES * 2.0**32
+        pairs.append(three(np.minimum(first, second)[drawn], np.maximum(first, second)[drawn], 0))
+
+    def take(keys, nodes, sizes, going_on):
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=int)
-        sizes = np.diff(np.r_[starts, len(keys)])
+        lengths = np.diff(np.r_[starts, len(keys)])
         if going_on and len(keys) and keys[0] == going_on[0]:
-            star(*going_on, nodes[: sizes[0]])
-            longs.append(nodes[: sizes[0]])
-            starts, sizes = starts[1:], sizes[1:]
+            star(*going_on, nodes[: lengths[0]])
+            probes(int(keys[0]), nodes[: lengths[0]], sizes[: lengths[0]])
+            longs.append(nodes[: lengths[0]])
+            starts, lengths = starts[1:], lengths[1:]
         for m in range(2, SHORT_LIST + 1):
-            at = starts[sizes == m]
+            at = starts[lengths == m]
             for i in range(m - 1):
                 for j in range(i + 1, m):
                     if len(at):
                         pairs.append(three(nodes[at + i], nodes[at + j], 1))
-        for s, m in zip(starts[sizes > SHORT_LIST].tolist(), sizes[sizes > SHORT_LIST].tolist(), strict=True):
+        for s, m in zip(starts[lengths > SHORT_LIST].tolist(), lengths[lengths > SHORT_LIST].tolist(), strict=True):
             members = nodes[s : s + m]
             longs.append(members)
+            probes(int(keys[s]), members, sizes[s : s + m])
             known = hash(members.tobytes())  # the lists of a group of copies have the same members
             if known not in seen:
                 if len(seen) > HELD:
@@ -216,229 +261,177 @@ def _pairs_of_lists(batches):
                 star(keys[s], members[0], members[1:])
                 lists.append(np.array([[keys[s], members[0], 0]]))
 
-    held_keys = held_nodes = np.zeros(0, dtype=np.int64)
+    held_keys = held_nodes = held_sizes = np.zeros(0, dtype=np.int64)
     going_on = None
     for batch in batches:
-        keys, nodes, last = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        keys, nodes, place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        last = place < 0
         yield from rows(LAST, nodes[last], keys[last], np.zeros(int(last.sum()), dtype=np.int64))
-        keys, nodes = np.concatenate([held_keys, keys]), np.concatenate([held_nodes, nodes])
+        keys, nodes, sizes = np.concatenate([held_keys, keys]), np.concatenate([held_nodes, nodes]), np.concatenate([held_sizes, np.abs(place)])
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])] if len(keys) else np.zeros(0, dtype=bool)
-        keys, nodes = keys[fresh], nodes[fresh]
+        keys, nodes, sizes = keys[fresh], nodes[fresh], sizes[fresh]
         end = np.searchsorted(keys, keys[-1]) if len(keys) else 0
-        take(keys[:end], nodes[:end], going_on)
+        take(keys[:end], nodes[:end], sizes[:end], going_on)
         if end and going_on:
             going_on = None
-        held_keys, held_nodes = keys[end:], nodes[end:]
+        held_keys, held_nodes, held_sizes = keys[end:], nodes[end:], sizes[end:]
         if len(held_keys) > HELD:  # a very long list: its members so far, but for the last
             if going_on is None:
                 going_on = (held_keys[0], held_nodes[0])
                 lists.append(np.array([[*going_on, 0]]))
                 longs.append(held_nodes[:1])
-                held_keys, held_nodes = held_keys[1:], held_nodes[1:]
+                held_keys, held_nodes, held_sizes = held_keys[1:], held_nodes[1:], held_sizes[1:]
             star(*going_on, held_nodes[:-1])
+            probes(int(held_keys[0]), held_nodes[:-1], held_sizes[:-1])
             longs.append(held_nodes[:-1])
-            held_keys, held_nodes = held_keys[-1:], held_nodes[-1:]
+            held_keys, held_nodes, held_sizes = held_keys[-1:], held_nodes[-1:], held_sizes[-1:]
         if sum(map(len, pairs)) + sum(map(len, lists)) + sum(map(len, longs)) > 10 * ROWS:
             yield from flush()
-    take(held_keys, held_nodes, going_on)
+    take(held_keys, held_nodes, held_sizes, going_on)
     yield from flush()
 
 
-def _reachable(i: dict, j: dict, percent: int):
-    """Whether two sets can be similar enough, by their sizes (n), the ends of their first fragments (last) and their
-    n-grams in long lists (long), if they met in no short list.  Works on arrays."""
-    import numpy as np
-
-    sizes = np.minimum(i["n"], j["n"]) * 100 >= np.maximum(i["n"], j["n"]) * percent
-    ends_first = np.where(i["last"] <= j["last"], i["n"], j["n"])
-    most = np.minimum(i["long"], j["long"]) + (ends_first * percent + 99) // 100 - 1
-    return sizes & (most * (100 + percent) >= (i["n"] + j["n"]) * percent)
-
-
-MEMBER = ("component", "node", "n", "last", "long")
-
-
-def _each_list(batches):
-    """The members of each list, as arrays by name, from rows (key, *MEMBER) sorted by key."""
-    import numpy as np
-
-    held = [np.zeros(0, dtype=np.int64)] * (len(MEMBER) + 1)
-    for batch in batches:
-        held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)]
-        borders = [0, *(np.flatnonzero(held[0][1:] != held[0][:-1]) + 1).tolist()] if len(held[0]) else [0]
-        for a, b in zip(borders, borders[1:], strict=False):
-            yield dict(zip(MEMBER, (h[a:b] for h in held[1:]), strict=True))
-        held = [h[borders[-1] :] for h in held]
-    yield dict(zip(MEMBER, held[1:], strict=True))
-
-
-def _probes(batches, turn: int, percent: int):
-    """From lists sorted by component: for each member one of another component, by its hash and the turn."""
-    import numpy as np
-    import pyarrow as pa
-
-    for x in _each_list(batches):
-        m, component = len(x["node"]), x["component"]
-        if m and component[0] != component[-1]:
-            start, end = np.searchsorted(component, component, "left"), np.searchsorted(component, component, "right")
-            draw = (x["node"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)) >> np.uint64(32)
-            other = (end + (draw % (m - (end - start)).astype(np.uint64)).astype(np.int64)) % m
-            fits = _reachable(x, {k: v[other] for k, v in x.items()}, percent)
-            a, b = x["node"][fits], x["node"][other][fits]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-
-def _open_components(batches, percent: int):
-    """The pairs of components (x < y) of which a list has members that can be similar enough."""
-    import numpy as np
-    import pyarrow as pa
-
-    found: list = []
-
-    def flush():
-        if found:
-            x, y = np.unique(np.concatenate(found), axis=0).T
-            found.clear()
-            for i in range(0, len(x), ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c[i : i + ROWS])) for c in (x, y)], ["x", "y"])
-
-    for x in _each_list(batches):
-        for at in range(0, len(x["node"]), 512):
-            part = {k: v[at : at + 512, None] for k, v in x.items()}
-            i, j = np.nonzero((part["component"] < x["component"][None, :]) & _reachable(part, {k: v[None, :] for k, v in x.items()}, percent))
-            if len(i):
-                found.append(np.unique(np.column_stack([part["component"][i, 0], x["component"][j]]), axis=0))
-            if sum(map(len, found)) > 10 * ROWS:
-                yield from flush()
-    yield from flush()
-
-
-def _segments(docs: DataFrame, wanted: bytes, n: int) -> DataFrame:
-    """Written table (id, node, check, segments) of the documents in a bitmap of ids: each set cut into its fragments."""
+def _segments(docs: DataFrame, wanted: bytes, n: int, order) -> DataFrame:
+    """Written table (node, check, fragment, segment) of the documents in a bitmap of ids: a row a fragment in which the
+    set has n-grams."""
     import numpy as np
     import pyarrow as pa
 
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    bits = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        import xxhash
-
-        starts = np.arange(FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
+        levels, cuts = order.value
         for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(shared.value, batch.column(0).to_numpy().astype(np.int64)), pa.bool_()))
-            for ids, texts in _texts([batch]):
-                sets = [shingles(x, n) for x in texts]
-                nodes, checks = (np.array([xxhash.xxh3_64_intdigest(s.tobytes(), seed=k) for s in sets], dtype=np.uint64).view(np.int64) for k in (1, 2))
-                ends = np.concatenate([np.r_[np.searchsorted(s, starts)[1:], len(s)] for s in sets]).reshape(len(sets), FRAGMENTS)
-                before = np.cumsum([0, *(len(s) for s in sets)])
-                inner = pa.ListArray.from_arrays(pa.array(np.r_[0, (ends + before[:-1, None]).ravel()], pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
-                outer = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * FRAGMENTS, pa.int32()), inner)
-                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(nodes), pa.array(checks), outer], ["id", "node", "check", "segments"])
-
-    cut = docs.where("doc_id is not null").mapInArrow(run, "id long, node long, check long, segments array<array<long>>")
-    return shared_table(cut, "segments")
-
-
-def _bounded(percent: int) -> Column:
-    """The condition that a pair of classes (n_a, last_a, long_a, and the same of b, and met) can be similar enough."""
-    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    ends_first = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
-    most = F.col("met") + F.least("long_a", "long_b") + F.floor((ends_first * percent + 99) / 100) - 1
-    return sizes & (most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
+            batch = batch.filter(pa.array(in_bitmap(bits.value, batch.column(0).to_numpy()), pa.bool_()))
+            for at in range(0, batch.num_rows, 250):
+                sets = [x for x in (shingles(t, n) for t in batch.column(1).slice(at, 250).to_pylist()) if len(x)]
+                if not sets:
+                    continue
+                keys = [np.sort(_keys(x, levels)) for x in sets]
+                ends = np.array([[0, *np.searchsorted(k, cuts), len(k)] for k in keys], dtype=np.int64)
+                sizes = np.diff(ends, axis=1)
+                has = sizes > 0
+                offsets = np.r_[0, np.cumsum(sizes[has])]  # segments lie one behind the other, document by document
+                of, fragment = np.nonzero(has)
+                node, check = (x.take(pa.array(of)) for x in _digests(sets))
+                yield pa.RecordBatch.from_arrays([node, check, pa.array(fragment.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))], ["node", "check", "fragment", "segment"])
+
+    cut = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(run, "node long, check long, fragment int, segment array<long>")
+    out = shared_table(cut, "segments")
+    bits.destroy()
+    return out
+
+
+def _bounded(percent: int, a: str = "a", b: str = "b", met: Column | int = 0) -> Column:
+    """The condition that two sets can be similar enough, by their sizes n, the ends of their prefixes last, their n-grams
+    in long lists long, and how often they met in short lists.  Columns end in _a and _b."""
+    n, last, long = ({x: F.col(f"{name}_{x}") for x in (a, b)} for name in ("n", "last", "long"))
+    sizes = F.least(n[a], n[b]) * 100 >= F.greatest(n[a], n[b]) * percent
+    ends_first = F.when(last[a] <= last[b], n[a]).otherwise(n[b])
+    most = met + F.least(long[a], long[b]) + F.floor((ends_first * percent + 99) / 100) - 1
+    return sizes & (most * (100 + percent) >= (n[a] + n[b]) * percent)
 
 
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Written table of the pairs of classes that can be similar enough, from pairs of nodes (a, b, met: times that they
     met in short lists)."""
-    names = ("id", "check", "n", "last", "long")
+    names = ("id", "doc", "check", "n", "last", "long")
     side = {x: classes.select(F.col("node").alias(x), *(F.col(k).alias(f"{k}_{x}") for k in names)) for x in "ab"}
-    met = pairs.join(side["a"], "a").join(side["b"], "b").where((F.col("id_a") != F.col("id_b")) & _bounded(percent))
-    return shared_table(met.select("a", "b", *(f"{k}_{x}" for k in names[:3] for x in "ab")), "ngram-pairs")
+    met = pairs.join(side["a"], "a").join(side["b"], "b").where((F.col("id_a") != F.col("id_b")) & _bounded(percent, met=F.col("met")))
+    return shared_table(met.select("a", "b", *(f"{k}_{x}" for k in names[:4] for x in "ab")), "ngram-pairs")
 
 
-def _similar(docs: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) documents, one a class, of the candidates whose overlap, summed over the fragments, is large enough."""
+def _similar(docs: DataFrame, wanted: DataFrame, n: int, percent: int, order) -> DataFrame:
+    """Written table (a, b) of the ids of classes, of the candidates whose overlap is large enough: it is counted in each
+    fragment apart, and the partial counts are summed up."""
+    none = wanted.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     if wanted.isEmpty():
-        return wanted.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    ids = wanted.select(F.col("id_a").alias("id")).union(wanted.select(F.col("id_b").alias("id")))
-    segments = _segments(docs, bitmap(ids, "id", BITMAP_BITS), n)
+        return none
+    docs_of = wanted.select(F.col("doc_a").alias("doc")).union(wanted.select(F.col("doc_b").alias("doc"))).distinct()
+    segments = _segments(docs, bitmap(docs_of, "doc", BITMAP_BITS), n, order)
 
     def of(x):
-        return segments.select(F.col("id").alias(f"id_{x}"), F.col("node").alias(x), F.col("check").alias(f"check_{x}"), F.col("segments").alias(f"segments_{x}"))
+        return segments.select(F.col("node").alias(x), F.col("check").alias(f"check_{x}"), "fragment", F.col("segment").alias(f"segment_{x}"))
 
-    met = wanted.join(of("a"), ["id_a", "a", "check_a"]).join(of("b"), ["id_b", "b", "check_b"])
-    partial = F.zip_with("segments_a", "segments_b", lambda x, y: F.size(F.array_intersect(x, y)))
-    total = met.select("id_a", "id_b", "n_a", "n_b", F.aggregate(partial, F.lit(0), lambda x, y: x + y).alias("overlap"))
+    met = wanted.join(of("a"), ["a", "check_a"]).join(of("b"), ["b", "check_b", "fragment"])
+    pair = ["id_a", "id_b", "n_a", "n_b"]
+    partial = met.select(*pair, "fragment", F.size(F.array_intersect("segment_a", "segment_b")).alias("both"))
+    # A document that is there twice gives the same partial count twice.
+    total = partial.groupBy(*pair, "fragment").agg(F.max("both").alias("both")).groupBy(*pair).agg(F.sum("both").alias("overlap"))
     similar = F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent
-    return shared_table(total.where(similar).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "ngram-links")
-
-
-def _settled(docs: DataFrame, members: DataFrame, classes: DataFrame, met: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
-    """Components once the long lists (members: key, id, and MEMBER without component) are compared in full."""
-    components, tested = connected_components(links), met.select("a", "b")
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        return rows.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-    for turn in range(PROBES + 1):
-        rows = labelled(members)
-        spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-        rows = shared_table(rows.join(spread, "key").select("key", *MEMBER, "id"), "open-lists")
-        if rows.isEmpty():
-            return components
-        if turn < PROBES:  # each class in one of its lists, the same for classes with the same lists
-            one = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key")).alias("k")).select("node", F.col("k.key").alias("key"))
-            lists = rows.join(one, ["node", "key"]).select("key", *MEMBER)
-            drawn = lists.repartition("key").sortWithinPartitions("key", "component", "node").mapInArrow(lambda b, t=turn: _probes(b, t, percent), "a long, b long")
-        else:
-            lists = rows.select("key", *MEMBER).repartition("key").sortWithinPartitions("key", "component", "node")
-            apart = shared_table(lists.mapInArrow(lambda b: _open_components(b, percent), "x long, y long").distinct(), "open-components")
-            each = rows.select(*MEMBER).distinct()
-            drawn = _pairs_of_components(apart, each, percent)
-        fresh = drawn.distinct().join(tested, ["a", "b"], "left_anti").withColumn("met", F.lit(0).cast("long"))
-        wanted = _candidates(fresh, classes, percent)
-        tested = tested.union(wanted.select("a", "b"))
-        more = _similar(docs, wanted, n, percent)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            components = connected_components(links)
-    return components
-
-
-def _pairs_of_components(apart: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(a, b) nodes of pairs of components (x, y) that can be similar enough.  The members of the smaller component are
-    put in first; the join with those of the larger one tests the bound, so only pairs that meet it are made."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
+    out = shared_table(total.where(similar).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "ngram-links")
+    drop_tables(segments)
+    return out
+
+
+MEMBER = ("id", "node", "n", "last", "long")
+
+
+def _open_pairs(members: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """(a, b, met) nodes that share a long list (members: key, *MEMBER), are in different components and can be similar
+    enough.  Pairs of components come from joins on the list that Spark can split; of two components, the members of the
+    smaller one are put in first, and the join with those of the larger one tests the bound."""
+    rows = members.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = shared_table(rows, "labelled-lists")
+    spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    open_rows = shared_table(rows.join(spread, "key").groupBy("key", "component").agg(F.min("n").alias("least"), F.max("n").alias("most")), "open-lists")
+    drop = [rows, open_rows]
+    side = {c: open_rows.select("key", F.col("component").alias(c), F.col("least").alias(f"least_{c}"), F.col("most").alias(f"most_{c}")) for c in "xy"}
+    fit = (F.col("x") < F.col("y")) & (F.col("most_x") * 100 >= F.col("least_y") * percent) & (F.col("most_y") * 100 >= F.col("least_x") * percent)
+    apart = shared_table(side["x"].join(side["y"], "key").where(fit).select("x", "y").distinct(), "open-components")
+    each = shared_table(rows.select("component", *MEMBER).distinct(), "open-members")
+    sizes = each.groupBy("component").agg(F.count("*").alias("size"))
     size = {c: sizes.select(F.col("component").alias(c), F.col("size").alias(f"size_{c}")) for c in "xy"}
-    sized = apart.join(size["x"], "x").join(size["y"], "y")
     swap = F.col("size_x") > F.col("size_y")
-    turned = sized.select(F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"), F.lit(0).cast("long").alias("met"))
-    a, b = (members.select(F.col("component").alias(c), *(F.col(k).alias(f"{k}_{x}") for k in MEMBER[1:])) for c, x in (("x", "a"), ("__y", "b")))
+    turned = apart.join(size["x"], "x").join(size["y"], "y").select(F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"))
+    a, b = (each.select(F.col("component").alias(c), *(F.col(k).alias(f"{k}_{x}") for k in MEMBER[1:])) for c, x in (("x", "a"), ("__y", "b")))
     joined = turned.join(a, "x").join(b, (F.col("y") == F.col("__y")) & _bounded(percent))
-    return joined.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    out = shared_table(joined.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"), F.lit(0).cast("long").alias("met")).distinct(), "open-pairs")
+    drop_tables(*drop, apart, each)
+    return out
+
 
+def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns of docs, n_shingles, component_id, set_id for each row of docs (doc_id, text).
 
-def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of docs (doc_id, text)."""
+    component_id is the smallest doc_id reachable by links; set_id is the same for rows with equal sets only, and null for
+    empty sets and null doc_ids.
+    """
     bound_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    survey = _survey(docs, n)
-    rows = survey.where("block is null").select("doc_id", "n", "node", "check")
-    listed = _list_rows(docs, n, percent, _levels(survey)).repartition("key").sortWithinPartitions("key", "node")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    survey = _survey(docs, n, list(carry))
+    found_order = _order(survey)
+    order = docs.sparkSession.sparkContext.broadcast(found_order)
+    rows = survey.where("block is null").select("doc_id", *carry, "n", "node", "check")
+    listed = _list_rows(docs, n, percent, order).repartition("key").sortWithinPartitions("key", "node")
     found = shared_table(listed.mapInArrow(_pairs_of_lists, "kind byte, a long, b long, n long"), "ngram-lists")
     facts = found.where(F.col("kind").isin(LONG, LAST)).groupBy(F.col("a").alias("node")).agg(F.max(F.when(F.col("kind") == LAST, F.col("b"))).alias("last"), F.sum("n").alias("long"))
-    named = rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("id"))
-    classes = shared_table(named.join(facts, "node"), "ngram-classes")
-    met = shared_table(found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("met")), "ngram-met")
-    links = _similar(docs, _candidates(met, classes, percent), n, percent)
+    named = rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("doc"))
+    classes = shared_table(named.join(facts, "node").withColumn("id", F.monotonically_increasing_id()), "ngram-classes")
+    met = found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("met"))
+    wanted = _candidates(met, classes, percent)
+    links = _similar(docs, wanted, n, percent, order)
+    components = connected_components(links)
     lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
-    members = shared_table(lists.join(classes.select("node", "id", "n", "last", "long"), "node"), "list-members")
-    components = _settled(docs, members, classes, met, links, n, percent)
-    own = classes.select("node", "check", "id")
-    labelled = rows.join(own, ["node", "check"], "left").join(components.withColumnRenamed("node", "id"), "id", "left")
-    return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))
+    members = lists.join(classes.select("node", "id", "n", "last", "long"), "node").select("key", *MEMBER)
+    fresh = _open_pairs(members, components, percent).join(wanted.select("a", "b"), ["a", "b"], "left_anti")
+    more_wanted = _candidates(fresh, classes, percent)
+    more = _similar(docs, more_wanted, n, percent, order)
+    # Links between components make larger ones; what they join is small beside all links.
+    at = {x: components.select(F.col("node").alias(x), F.col("component").alias(f"to_{x}")) for x in "ab"}
+    between = more.join(at["a"], "a", "left").join(at["b"], "b", "left").select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
+    merged = connected_components(between).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    known = classes.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("old", F.coalesce("component", "id")).join(merged, "old", "left")
+    own = shared_table(known.select("id", "node", "check", "doc", F.coalesce("new", "old").alias("component")), "ngram-components")
+    first = own.groupBy("component").agg(F.min("doc").alias("first"))
+    named_own = shared_table(own.join(first, "component").select("node", "check", F.col("id").alias("set_id"), F.col("first").alias("component_id")), "ngram-classes-named")
+    labelled = rows.withColumnRenamed("n", "n_shingles").join(named_own, ["node", "check"], "left")
+    order.destroy()
+    drop_tables(found, classes, wanted, links, more_wanted, more, own)
+    has_id = F.col("doc_id").isNotNull()
+    return labelled.select("doc_id", *carry, "n_shingles", F.when(has_id, F.coalesce("component_id", "doc_id")).alias("component_id"), F.when(has_id, F.col("set_id")).alias("set_id"))
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: components of all documents at a Jaccard similarity of 0.75 on five words."""
-    return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")

@@ -51,12 +51,34 @@ def test_equals_all_pairs(spark, monkeypatch, seed, short, held):
     assert got == brute(rows)
 
 
+def test_overlaps_are_counted_by_fragment(spark, monkeypatch):
+    """Each fragment has n-grams of a large set, in rows of its own, and the partial counts add up to the overlap."""
+    seen = []
+    monkeypatch.setattr(op, "drop_tables", lambda *tables: seen.extend(tables))
+    words = [f"w{i}" for i in range(2000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:1900])), (3, " ".join(words[:1000]))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in op.ngram_join(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    segments = next(x for x in seen if x is not None and "segment" in x.columns)
+    rows = segments.collect()
+    sizes = {}
+    for r in rows:
+        sizes.setdefault(r.node, {})[r.fragment] = set(r.segment)
+    assert all(len(x) == op.FRAGMENTS for x in sizes.values())
+    ranges = [(min(r.segment), max(r.segment)) for r in sorted(rows, key=lambda r: r.fragment)]
+    assert all(a[1] < b[0] for a in ranges for b in ranges if ranges.index(a) // len(sizes) < ranges.index(b) // len(sizes))
+    a, b = sorted(sizes.values(), key=lambda x: -sum(map(len, x.values())))[:2]
+    assert sum(len(a[f] & b[f]) for f in range(op.FRAGMENTS)) == 1896
+
+
 def test_null_and_repeated_ids_and_empty(spark):
     text = "a b c d e f g h"
     docs = spark.createDataFrame([(None, text), (4, text), (4, text), (2, text + " i j k l m n o"), (9, text)], "doc_id long, text string")
     got = sorted(((r.doc_id, r.component_id) for r in op.ngram_join(docs).collect()), key=str)
     assert got == [(2, 2), (4, 4), (4, 4), (9, 4), (None, None)]
     assert op.ngram_join(docs.where("false")).count() == 0
+    unlike = spark.createDataFrame([(1, text, 7), (1, "quite another text of so many words", 8)], "doc_id long, text string, tag long")
+    got = {r.tag: (r.component_id, r.set_id) for r in op.ngram_join(unlike, carry=("tag",)).collect()}
+    assert got[7][0] == got[8][0] == 1 and got[7][1] != got[8][1]
 
 
 def test_lists_across_batches():
@@ -64,10 +86,10 @@ def test_lists_across_batches():
     import pyarrow as pa
 
     keys, nodes = np.repeat([1, 2, 3, 4], [12, 1, 3, 30]), np.r_[np.arange(12), [5], [1, 1, 2], np.arange(30)]
-    last = nodes == 5
+    place = np.where(nodes == 5, -7, 7).astype(np.int32)
 
     def run(size):
-        batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + size]) for x in (keys, nodes, last)], ["key", "node", "last"]) for i in range(0, len(keys), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + size]) for x in (keys, nodes, place)], ["key", "node", "place"]) for i in range(0, len(keys), size)]
         return {tuple(r.values()) for b in op._pairs_of_lists(iter(batches)) for r in b.to_pylist()}
 
     got = run(100)
