@@ -4,10 +4,16 @@ A document is a duplicate of an earlier *kept* one: of the first with the same c
 most similar MinHash signature among those that share a band, if the similarity reaches the threshold.  Dropped documents
 never drop others, so this is not connected components.
 
-Equal documents are one entry.  Kept entries are found in rounds: an entry that is the first undecided one in all its
-bands has met every kept entry before it, so it is kept; all others of its bands are compared with it, and drop out if
-they are similar.  A round emits a row for each undecided entry of a band at most, never all pairs of a band, and the
-tables of each round are written out.
+Equal documents are one entry.  Kept entries are found in two steps.
+
+1. Rounds: an entry that is the first undecided one in all its bands has met every kept entry before it, so it is kept; all
+   others of its bands are compared with it, and drop out if they are similar.  A round makes a row for each undecided entry
+   of a band at most, and groups of copies are gone after one.  Rounds end when one decides less than a ROUND_SHARE.
+2. What is left in a band is compared within pairs of blocks of BLOCK entries, and only pairs that are similar make a row.
+   On those, an entry without an undecided similar one before it is kept, and the entries similar to it drop out.
+
+Then each dropped entry meets the kept ones of its bands, again in pairs of blocks, and only its best ones make rows.  So no
+task holds more than two blocks, and a band of entries that are not similar makes no rows, however many they are.
 """
 
 from __future__ import annotations
@@ -15,16 +21,17 @@ from __future__ import annotations
 import random
 import zlib
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, hash_form
-from ..staging import shared_table
+from ..staging import bound_batches, drop_tables, shared_table
 
 # Permutations, bands, words of a shingle, similarity threshold, and the seed of the permutations.
 PERMUTATIONS, BANDS, SHINGLE_WORDS, THRESHOLD, SEED = 128, 16, 5, 0.85, 20260721
 PRIME, HASH_MAX = (1 << 61) - 1, (1 << 32) - 1
+#: Hashes that are permuted at once; entries of a block; rounds go on while one decides such a share of the rows.
+STEP_HASHES, BLOCK, ROUND_SHARE = 8192, 512, 0.25
 
 
 def permutations(n: int = PERMUTATIONS, seed: int = SEED) -> list[tuple[int, int]]:
@@ -33,53 +40,78 @@ def permutations(n: int = PERMUTATIONS, seed: int = SEED) -> list[tuple[int, int
     return [(draw.randint(1, PRIME - 1), draw.randint(0, PRIME - 1)) for _ in range(n)]
 
 
-def shingle_hashes(words: list[str], size: int = SHINGLE_WORDS):
-    """Distinct crc32 hashes of the word shingles; few words make one shingle."""
+def shingle_hashes(form: str, size: int = SHINGLE_WORDS):
+    """crc32 hashes of the word shingles of a text in hash form; few words make one shingle.
+
+    Words are parted by single blanks, so a shingle is a slice of the text.
+    """
     import numpy as np
 
-    if not words:
+    raw = form.encode()
+    if not raw:
         return np.zeros(0, dtype=np.uint64)
-    runs = [" ".join(words)] if len(words) <= size else map(" ".join, zip(*(words[i:] for i in range(size))))
-    return np.unique(np.fromiter((zlib.crc32(x.encode()) for x in runs), dtype=np.uint64))
+    blanks = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 32)
+    starts, ends = np.r_[0, blanks + 1], np.r_[blanks, len(raw)]
+    most = min(size, len(starts))
+    cuts = zip(starts[: len(starts) - most + 1].tolist(), ends[most - 1 :].tolist(), strict=True)
+    return np.fromiter((zlib.crc32(raw[a:b]) for a, b in cuts), dtype=np.uint64, count=len(starts) - most + 1)
 
 
-def _modulo(x):
-    """x mod 2^61-1 for x below 2^64."""
-    import numpy as np
+def signatures_of(sets, factors, offsets):
+    """A row for each set of hashes: the least permuted hash of each permutation.
 
-    prime = np.uint64(PRIME)
-    x = (x & prime) + (x >> np.uint64(61))
-    return np.where(x >= prime, x - prime, x)
-
-
-def signature_of(hashes, factors, offsets):
-    """Least permuted hash of each permutation.  a*s + b modulo 2^61-1 in 64 bits: a = high*2^32 + low, and a product with
-    2^32 is a rotation of 61 bits."""
+    The hashes of all sets lie one behind the other and are read in steps that fit a processor's cache.  a*s + b modulo
+    2^61-1 in 64 bits: a = high*2^32 + low, a product with 2^32 is a rotation of 61 bits, and what is above 61 bits counts as
+    ones.
+    """
     import numpy as np
 
-    if not len(hashes):
-        return np.full(len(factors), HASH_MAX, dtype=np.int64)
-    low32 = np.uint64(HASH_MAX)
-    best = np.full(len(factors), HASH_MAX, dtype=np.uint64)
-    high, low = (factors >> np.uint64(32))[:, None], (factors & low32)[:, None]
-    for at in range(0, len(hashes), 512):
-        s = hashes[None, at : at + 512]
-        top = _modulo(high * s)
-        rotated = ((top << np.uint64(32)) & np.uint64(PRIME)) | (top >> np.uint64(29))
-        value = _modulo(rotated + _modulo(low * s) + offsets[:, None])
-        best = np.minimum(best, (value & low32).min(axis=1))
-    return best.astype(np.int64)
+    prime, low32, one = np.uint64(PRIME), np.uint64(HASH_MAX), np.uint64(1)
+    shift = {k: np.uint64(k) for k in (29, 32, 61)}
+    out = np.full((len(factors), len(sets)), HASH_MAX, dtype=np.uint32)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    flat = np.concatenate(sets) if len(owner) else np.zeros(0, dtype=np.uint64)
+    for at in range(0, len(flat), STEP_HASHES):
+        s, own = flat[at : at + STEP_HASHES], owner[at : at + STEP_HASHES]
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        rows = own[starts]
+        top, low, rest = (np.empty_like(s) for _ in range(3))
+        for i, (a, b) in enumerate(zip(factors, offsets, strict=True)):
+            np.multiply(s, a >> shift[32], out=top)
+            np.right_shift(top, shift[29], out=rest)
+            np.left_shift(top, shift[32], out=top)
+            np.bitwise_and(top, prime, out=top)
+            np.bitwise_or(top, rest, out=top)
+            np.multiply(s, a & low32, out=low)
+            np.right_shift(low, shift[61], out=rest)
+            np.bitwise_and(low, prime, out=low)
+            np.add(top, low, out=top)
+            np.add(top, rest, out=top)
+            np.add(top, b, out=top)
+            np.right_shift(top, shift[61], out=rest)
+            np.bitwise_and(top, prime, out=top)
+            np.add(top, rest, out=top)
+            np.add(top, one, out=rest)  # the prime itself and what is above it lose the prime: one more, without bit 61
+            np.right_shift(rest, shift[61], out=rest)
+            np.add(top, rest, out=top)
+            out[i, rows] = np.minimum(out[i, rows], np.minimum.reduceat(top.astype(np.uint32), starts))
+    return out.T.astype(np.int64)
 
 
 def minhash(form: Column, n: int = PERMUTATIONS, seed: int = SEED, size: int = SHINGLE_WORDS) -> Column:
-    """array<long>: the signature of a text in hash form."""
+    """array<long>: the signature of a text in hash form; of one without words the largest hash everywhere.  Null for null."""
     import numpy as np
 
     factors, offsets = (np.array(x, dtype=np.uint64) for x in zip(*permutations(n, seed)))
 
-    @F.pandas_udf("array<long>")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else signature_of(shingle_hashes(t.split(), size), factors, offsets) for t in texts], dtype=object)
+    @F.arrow_udf("array<long>")
+    def run(texts):
+        import pyarrow as pa
+
+        found = [signatures_of([shingle_hashes(t or "", size) for t in texts.slice(i, 250).to_pylist()], factors, offsets) for i in range(0, len(texts), 250)]
+        flat = np.concatenate(found).ravel() if found else np.zeros(0, dtype=np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * n, pa.int32()), pa.array(flat))
+        return lists if not texts.null_count else pa.array([x if ok else None for x, ok in zip(lists.to_pylist(), texts.is_valid().to_pylist(), strict=True)], pa.list_(pa.int64()))
 
     return run(form)
 
@@ -94,6 +126,68 @@ def _bands(signature: Column, bands: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.slice(signature, (i * rows + 1).cast("int"), rows.cast("int")).alias("values")))
 
 
+def _met_in_blocks(one: DataFrame, other: DataFrame, signatures: DataFrame, keep, schema: str) -> DataFrame:
+    """keep(orders, limits, signatures of `one`; orders, signatures of `other`) of all pairs of blocks of each band.
+
+    one: key, ord, top; other: key, ord.  keep gives a table of the schema.  A band of over BLOCK entries on a side is dealt
+    to blocks by hash, so the groups of any band are small.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def dealt(rows: DataFrame, side: str) -> DataFrame:
+        blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"n_{side}"))
+        return blocks
+
+    n_one, n_other = dealt(one, "one"), dealt(other, "other")
+    both = shared_table(n_one.join(n_other, "key"), "band-blocks")
+
+    def placed(rows: DataFrame, mine: str, theirs: str, top: Column, side: int) -> DataFrame:
+        dealt_rows = rows.join(both, "key").withColumn(mine, F.pmod(F.xxhash64("ord"), F.col(f"n_{mine}")).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(f"n_{theirs}") - 1)))
+        return dealt_rows.select("key", "one", "other", F.lit(side).alias("side"), "ord", top.alias("top")).join(signatures, "ord")
+
+    rows = placed(one, "one", "other", F.col("top"), 0).unionByName(placed(other, "other", "one", F.lit(None).cast("long"), 1))
+    grouped = rows.select("key", "one", "other", "side", "ord", "top", "signature").repartition("key", "one", "other").sortWithinPartitions("key", "one", "other", "side")
+
+    def run(batches):
+        held = None
+        for batch in [*batches_and_end(batches)]:
+            table = batch if held is None else (held if batch is None else pa.concat_tables([held, batch]))
+            if table is None:
+                continue
+            group = np.column_stack([table[c].to_numpy() for c in ("key", "one", "other")])
+            starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)]) if len(group) else np.zeros(0, dtype=int)
+            ends = np.r_[starts[1:], len(group)]
+            done = len(starts) if batch is None else len(starts) - 1
+            side, orders, tops = table["side"].to_numpy(), table["ord"].to_numpy(), table["top"].to_numpy(zero_copy_only=False)
+            flat = table["signature"].combine_chunks()
+            matrix = flat.flatten().to_numpy().reshape(len(table), -1) if len(table) else None
+            out = []
+            for a, b in zip(starts[:done].tolist(), ends[:done].tolist(), strict=True):
+                m = a + int(np.searchsorted(side[a:b], 1))
+                if a < m < b:
+                    out.append(keep(orders[a:m], tops[a:m], matrix[a:m], orders[m:b], matrix[m:b]))
+            held = table.slice(int(starts[done])) if done < len(starts) else None
+            for found in out:
+                yield from found.to_batches()
+
+    def batches_and_end(batches):
+        for batch in batches:
+            yield pa.Table.from_batches([batch])
+        yield None
+
+    return grouped.mapInArrow(run, schema)
+
+
+def _shares(one, other):
+    """Share of equal places of each row of one signature matrix with each of another, and the first band that is equal."""
+    import numpy as np
+
+    for at in range(0, len(one), 32):
+        same = one[at : at + 32, None, :] == other[None, :, :]
+        yield at, same.mean(axis=2, dtype=np.float64), same
+
+
 def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, n: int = PERMUTATIONS) -> DataFrame:
     """order, kind ('' kept, 'exact', 'near'), matched (order of the kept document) and similarity of each document.
 
@@ -101,49 +195,106 @@ def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", t
     """
     if n % bands:
         raise ValueError(f"{n} permutations do not make {bands} equal bands")
-    forms = docs.select(F.col(order).alias("ord"), F.coalesce(hash_form(F.col(text)), F.lit("")).alias("form"))
-    rows = shared_table(forms.select("ord", F.sha2("form", 256).alias("hash"), minhash(F.col("form"), n).alias("signature")), "signatures")
+    import numpy as np
+    import pyarrow as pa
+
+    bound_batches(docs.sparkSession)
+    forms = docs.select(F.col(order).alias("given"), F.col(order).cast("long").alias("ord"), F.coalesce(hash_form(F.col(text)), F.lit("")).alias("form"))
+    rows = shared_table(forms.select("given", "ord", F.sha2("form", 256).alias("hash"), minhash(F.col("form"), n).alias("signature")), "signatures")
     # Written, so that Spark can split the joins with it where very many documents are equal.
-    firsts = shared_table(rows.groupBy("hash").agg(F.min("ord").alias("first")), "first-copies")
-    entries = shared_table(rows.join(firsts.select(F.col("first").alias("ord")), "ord", "left_semi"), "entries")
-    banded = shared_table(entries.select("ord", F.explode(_bands(F.col("signature"), bands)).alias("b")).select("ord", "b.band", F.xxhash64("b.band", "b.values").alias("key")), "bands")
-    crowded = banded.groupBy("key").count().where("count > 1").select("key")
-    banded = shared_table(banded.join(crowded, "key"), "crowded-bands")
-    signatures = entries.select("ord", "signature")
+    firsts = shared_table(rows.groupBy("hash").agg(F.min("ord").alias("first"), F.max("ord").alias("last")), "first-copies")
+    entries = shared_table(rows.join(firsts.select(F.col("first").alias("ord"), "last"), "ord").select("ord", "hash", "last", "signature"), "entries")
+    banded = entries.select("ord", F.explode(_bands(F.col("signature"), bands)).alias("b")).select("ord", F.xxhash64("b.band", "b.values").alias("key"))
+    crowded = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    crowd = shared_table(banded.join(crowded, "key"), "crowded-bands")
+    signatures = shared_table(entries.join(crowd.select("ord").distinct(), "ord", "left_semi").select("ord", "signature"), "crowded-signatures")
 
     def compared(pairs: DataFrame) -> DataFrame:
-        """(early, late, similarity) of pairs."""
+        """(early, late) of the pairs that are similar."""
         early, late = (signatures.select(F.col("ord").alias(x), F.col("signature").alias(f"s_{x}")) for x in ("early", "late"))
-        return pairs.join(early, "early").join(late, "late").withColumn("similarity", similarity(F.col("s_early"), F.col("s_late"))).drop("s_early", "s_late")
+        return pairs.join(early, "early").join(late, "late").where(similarity(F.col("s_early"), F.col("s_late")) >= threshold).select("early", "late")
 
-    open_rows, decided = banded, []
-    while not open_rows.isEmpty():
-        heads = shared_table(open_rows.groupBy("key").agg(F.min("ord").alias("early")), "heads")
+    open_rows, gone = crowd, []
+    size = open_rows.count()
+    while size:
+        heads = open_rows.groupBy("key").agg(F.min("ord").alias("early"))
         led = shared_table(open_rows.join(heads, "key"), "led-bands")
-        kept = led.groupBy("ord").agg(F.min(F.col("ord") == F.col("early")).alias("leads")).where("leads").select("ord")
-        kept = shared_table(kept, "kept-now")
+        kept = shared_table(led.groupBy("ord").agg(F.min(F.col("ord") == F.col("early")).alias("leads")).where("leads").select("ord"), "kept-now")
         pairs = led.where("ord <> early").join(kept.withColumnRenamed("ord", "early"), "early", "left_semi").select("early", F.col("ord").alias("late")).distinct()
-        dropped = shared_table(compared(pairs).where(F.col("similarity") >= threshold).select(F.col("late").alias("ord")).distinct(), "dropped-now")
-        decided.append(dropped)
-        open_rows = shared_table(open_rows.join(kept.union(dropped), "ord", "left_anti"), "open-bands")
-    gone = decided[0] if decided else entries.where("false").select("ord")
-    for more in decided[1:]:
-        gone = gone.union(more)
-    gone = shared_table(gone, "dropped")
+        dropped = shared_table(compared(pairs).select(F.col("late").alias("ord")).distinct(), "dropped-now")
+        gone.append(dropped)
+        left = led.select("key", "ord").join(kept.union(dropped), "ord", "left_anti")
+        alone = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        rest = shared_table(left.join(alone, "key"), "open-bands")
+        drop_tables(led, kept, open_rows if open_rows is not crowd else None)
+        before, size, open_rows = size, rest.count(), rest
+        if size > (1 - ROUND_SHARE) * before:
+            break
+
+    def edges_of(orders, tops, one, others, other):
+        found = [np.argwhere((share >= threshold) & (orders[at : at + 32, None] < others[None, :])) + [at, 0] for at, share, _ in _shares(one, other)]
+        pair = np.concatenate(found)
+        return pa.table({"early": pa.array(orders[pair[:, 0]]), "late": pa.array(others[pair[:, 1]])})
+
+    if size:
+        with_top = open_rows.select("key", "ord", F.lit(0).cast("long").alias("top"))
+        edges = shared_table(_met_in_blocks(with_top, open_rows.select("key", "ord"), signatures, edges_of, "early long, late long").distinct(), "similar")
+        while not edges.isEmpty():
+            firsts_now = edges.select(F.col("early").alias("ord")).distinct().join(edges.select(F.col("late").alias("ord")).distinct(), "ord", "left_anti")
+            kept = shared_table(firsts_now, "kept-now")
+            dropped = shared_table(edges.join(kept.withColumnRenamed("ord", "early"), "early", "left_semi").select(F.col("late").alias("ord")).distinct(), "dropped-now")
+            gone.append(dropped)
+            done = kept.union(dropped)
+            rest = edges.join(done.withColumnRenamed("ord", "early"), "early", "left_anti").join(done.withColumnRenamed("ord", "late"), "late", "left_anti")
+            rest = shared_table(rest.select("early", "late"), "similar")
+            drop_tables(edges, kept)
+            edges = rest
+    dropped_all = gone[0] if gone else entries.where("false").select("ord")
+    for more in gone[1:]:
+        dropped_all = dropped_all.union(more)
+    dropped_all = shared_table(dropped_all, "dropped")
+    drop_tables(*gone, open_rows if open_rows is not crowd else None)
 
     # Each dropped entry, and each copy of one, goes with its most similar kept document before it; ties: the first band
-    # shared, then the first document.
-    by_hash = rows.select("hash", F.col("ord").alias("late"))
-    dropped_entries = entries.join(gone, "ord", "left_semi").select("hash", F.col("ord").alias("entry"))
-    late = dropped_entries.join(by_hash, "hash").select("entry", "late")
-    kept_bands = banded.join(gone, "ord", "left_anti").select("key", F.col("ord").alias("early"))
-    met = banded.join(gone, "ord", "left_semi").join(kept_bands, "key").groupBy(F.col("ord").alias("entry"), "early").agg(F.min("band").alias("band"))
-    scored = compared(met.withColumn("late", F.col("entry"))).where(F.col("similarity") >= threshold).drop("late")
-    best = scored.join(late, "entry").where("early < late").groupBy("late").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "band", "early")).alias("m"))
-    near = best.select(F.col("late").alias("ord"), F.lit("near").alias("kind"), F.col("m.early").alias("matched"), (-F.col("m.s")).alias("similarity"))
-    exact = rows.select("ord", "hash").join(firsts, "hash").join(gone.withColumnRenamed("ord", "first"), "first", "left_anti").where("ord > first").select("ord", F.lit("exact").alias("kind"), F.col("first").alias("matched"), F.lit(1.0).alias("similarity"))
+    # shared, then the first document.  A copy may have better ones than the entry, which lie between the two.
+    width = n // bands
+
+    def best_of(orders, tops, one, others, other):
+        turn = np.argsort(others, kind="stable")
+        others, other, out = others[turn], other[turn], []
+        for at, share, same in _shares(one, other):
+            in_bands = same.reshape(*same.shape[:2], bands, width).all(axis=3)
+            for i in range(len(share)):
+                mine, top = orders[at + i], tops[at + i]
+                fits = np.flatnonzero((share[i] >= threshold) & (others < top) & in_bands[i].any(axis=1))
+                best, before = None, None
+                for j in fits.tolist():
+                    rank = (-share[i, j], int(in_bands[i, j].argmax()), int(others[j]))
+                    if others[j] < mine:
+                        before = min(before, rank) if before else rank
+                        best = before
+                    elif best is None or rank < best:
+                        out.append((int(mine), *rank))
+                        best = rank
+                if before:
+                    out.append((int(mine), *before))
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        kinds = {"entry": pa.int64(), "s": pa.float64(), "band": pa.int32(), "early": pa.int64()}
+        return pa.table({k: pa.array(c, kind) for (k, kind), c in zip(kinds.items(), columns, strict=True)})
+
+    copied = entries.join(dropped_all, "ord", "left_semi").select("ord", F.col("last").alias("top"), "hash")
+    gone_bands = crowd.join(copied.select("ord", (F.col("top") + 1).alias("top")), "ord").select("key", "ord", "top")
+    kept_bands = crowd.join(dropped_all, "ord", "left_anti").select("key", "ord")
+    best = shared_table(_met_in_blocks(gone_bands, kept_bands, signatures, best_of, "entry long, s double, band int, early long").distinct(), "best-kept")
+    late = rows.select("hash", F.col("ord").alias("late")).join(copied.select("hash", F.col("ord").alias("entry")), "hash")
+    chosen = late.join(best, "entry").where("early < late").groupBy("late").agg(F.min(F.struct("s", "band", "early")).alias("m"))
+    near = chosen.select(F.col("late").alias("ord"), F.lit("near").alias("kind"), F.col("m.early").alias("matched"), (-F.col("m.s")).alias("similarity"))
+    exact = rows.select("ord", "hash").join(firsts.select("hash", "first"), "hash").join(dropped_all.withColumnRenamed("ord", "first"), "first", "left_anti").where("ord > first").select("ord", F.lit("exact").alias("kind"), F.col("first").alias("matched"), F.lit(1.0).alias("similarity"))
     verdicts = near.unionByName(exact)
-    return rows.select("ord").join(verdicts, "ord", "left").select(F.col("ord").alias(order), F.coalesce("kind", F.lit("")).alias("kind"), "matched", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
+    kind = docs.schema[order].dataType
+    out = rows.select("given", "ord").join(verdicts, "ord", "left").select(F.col("given").alias(order), F.coalesce("kind", F.lit("")).alias("kind"), F.col("matched").cast(kind).alias("matched"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
+    drop_tables(crowd, signatures)
+    return out
 
 
 def exact_duplicates(docs: DataFrame, order: str = "ord", text: str = "text") -> DataFrame:

@@ -112,6 +112,29 @@ def test_greedy_duplicates_are_first_wins(spark):
     assert got == sequential(texts)
 
 
+def test_dissimilar_members_of_one_band_take_few_rounds(spark, monkeypatch):
+    """2,000 entries that share a band and nothing else, with one similar pair among them."""
+    import numpy as np
+
+    monkeypatch.setattr(dedup, "BLOCK", 300)
+    made = []
+    monkeypatch.setattr(dedup, "shared_table", lambda df, label, own=dedup.shared_table: made.append(label) or own(df, label))
+    draw = np.random.default_rng(3)
+    signatures = draw.integers(0, 1 << 32, size=(2000, 128))
+    signatures[:, :8] = 7
+    signatures[1500] = signatures[20]
+    signatures[1500, 100] += 1
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(signatures)], "ord long, signature array<long>")
+    monkeypatch.setattr(dedup, "minhash", lambda form, n: F.lit(None))
+    monkeypatch.setattr(dedup, "hash_form", lambda c: c)
+    real = dedup.shared_table
+    monkeypatch.setattr(dedup, "shared_table", lambda df, label: real(df.drop("signature").join(rows, "ord") if label == "signatures" else df, label))
+    docs = spark.range(2000).select(F.col("id").alias("ord"), F.concat(F.lit("text "), "id").alias("text"))
+    got = {r.ord: (r.kind, r.matched) for r in dedup.greedy_duplicates(docs).where("kind <> ''").collect()}
+    assert got == {1500: ("near", 20)}
+    assert made.count("led-bands") == 1 and made.count("similar") <= 3
+
+
 def test_unequal_bands(spark):
     with pytest.raises(ValueError):
         dedup.greedy_duplicates(spark.createDataFrame([], "ord int, text string"), n=100, bands=16)
