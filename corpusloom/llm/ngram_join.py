@@ -11,9 +11,10 @@ own (pair, fragment), spread by (class, fragment); the partial counts are summed
 Candidates come from the front of the order.  A set's prefix are its first n - ceil(t*n) + 1 n-grams; two sets with a
 Jaccard similarity of t share one of those at least, so classes meet in the lists of their prefixes.  Short lists give all
 their pairs, with the overlaps counted.  A long list gives the pairs with its first class, and for some PROBES of the long
-lists of each class the pair with the next one there; that joins nearly all that belongs together.  Then the
-components that still share a long list are compared pair by pair.  Thus no pair that could matter is left out, and a
-group of near copies costs a few rows a member and not a row a pair.
+lists of each class the pair with the next one there; that joins nearly all that belongs together.  Then members of long
+lists that are still in different components are compared pair by pair: two sets that are similar enough have their first
+common n-gram so far at the front of both that what is behind it suffices, so positions leave few pairs.  Thus no pair
+that could matter is left out, and a group of near copies costs a few rows a member and not a row a pair.
 
 The prefixes' count bounds the whole.  Of the two prefixes, the one that ends first in the global order lies in the range
 of the other, so what it does not share there is not shared at all: the overlap is at most the shared n-grams of the
@@ -52,8 +53,8 @@ SKETCH_CELLS, SKETCH_BLOCK = 1 << 22, 1 << 16
 #: A key has the level of the n-gram's frequency above HASH_BITS of its hash.
 HASH_BITS = 58
 BITMAP_BITS = 1 << 23
-#: Rows of an output batch; members of a list that are held at once.
-ROWS, HELD = 100_000, 200_000
+#: Rows of an output batch; members of a list that are held at once; members of a block.
+ROWS, HELD, BLOCK = 100_000, 200_000, 2048
 
 
 def prefix_size(n, percent: int):
@@ -165,8 +166,8 @@ def _order(survey: DataFrame):
 
 
 def _list_rows(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
-    """(key, node, place) rows: each class in the lists of its prefix; place is the size of the prefix, negative at its
-    end."""
+    """(key, node, place) rows: each class in the lists of its prefix; place has the size of the prefix in its upper 32 bits
+    and the n-gram's position there in its lower ones."""
     import numpy as np
     import pyarrow as pa
 
@@ -179,13 +180,12 @@ def _list_rows(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
                     continue
                 keys, sizes = [], [prefix_size(len(x), percent) for x in sets]
                 for x, k in zip(sets, sizes, strict=True):
-                    keys.append(np.partition(_keys(x, levels), k - 1)[:k])
-                place = np.repeat(sizes, sizes)
-                place[np.cumsum(sizes) - 1] *= -1
+                    keys.append(np.sort(np.partition(_keys(x, levels), k - 1)[:k]))
+                place = np.concatenate([(k << 32) + np.arange(k) for k in sizes])
                 nodes = np.repeat(_digests(sets)[0].to_numpy(), sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes), pa.array(place.astype(np.int32))], ["key", "node", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes), pa.array(place)], ["key", "node", "place"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, node long, place int")
+    return docs.select("doc_id", "text").mapInArrow(run, "key long, node long, place long")
 
 
 PAIR, LIST, LONG, LAST = range(4)
@@ -195,7 +195,8 @@ def _pairs_of_lists(batches):
     """From (key, node, place) rows sorted by key and node: rows (kind, a, b, n).
 
     PAIR: classes a and b, and how often they met in short lists; 0 for pairs from long lists.  LIST: key a of a long list
-    has class b.  LONG: class a is in n long lists.  LAST: the prefix of class a ends at key b.
+    has class b, whose position in its prefix is n.  LONG: class a is in n long lists.  LAST: the prefix of class a ends at
+    key b.
     """
     import numpy as np
     import pyarrow as pa
@@ -208,39 +209,45 @@ def _pairs_of_lists(batches):
             yield pa.RecordBatch.from_arrays(list(map(pa.array, part)), ["kind", "a", "b", "n"])
 
     def flush():
-        for kind, found in ((PAIR, pairs), (LIST, lists)):
-            if found:
-                each = np.concatenate(found)
-                found.clear()
-                each = each[np.lexsort(each.T)]
-                starts = np.flatnonzero(np.r_[True, (each[1:, :2] != each[:-1, :2]).any(axis=1)])
-                yield from rows(kind, each[starts, 0], each[starts, 1], np.add.reduceat(each[:, 2], starts))
+        if pairs:
+            a, b, n = map(np.concatenate, zip(*pairs, strict=True))
+            pairs.clear()
+            turn = np.lexsort((b, a))
+            a, b, n = a[turn], b[turn], n[turn]
+            starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            yield from rows(PAIR, a[starts], b[starts], np.add.reduceat(n, starts))
+        if lists:
+            a, b, n = map(np.concatenate, zip(*lists, strict=True))
+            lists.clear()
+            yield from rows(LIST, a, b, n)
         if longs:
             nodes, n = np.unique(np.concatenate(longs), return_counts=True)
             longs.clear()
             yield from rows(LONG, nodes, np.zeros_like(nodes), n)
 
-    def three(a, b, n):
-        return np.column_stack(np.broadcast_arrays(a, b, np.int64(n)))
+    def like(value, array):
+        return np.full(len(array), value, dtype=np.int64)
 
-    def star(key, leader, members):
-        pairs.append(three(leader, members, 0))
-        lists.append(three(key, members, 0))
+    def star(key, leader, members, places):
+        others = members[members != leader]
+        pairs.append((like(leader, others), others, like(0, others)))
+        lists.append((like(key, members), members, places & 0xFFFFFFFF))
 
-    def probes(key, nodes, sizes):
+    def probes(key, nodes, places):
         """Pairs of neighbours in an order of the list's own; a class with a long prefix takes part in few of its lists."""
+        sizes = places >> 32
         draw = (nodes.astype(np.uint64) ^ np.uint64(key * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
         turn = np.argsort(draw, kind="stable")
         first, second = nodes[turn], nodes[np.roll(turn, -1)]
         drawn = (draw[turn] >> np.uint64(32)).astype(np.float64) * sizes[turn] < PROBES * 2.0**32
-        pairs.append(three(np.minimum(first, second)[drawn], np.maximum(first, second)[drawn], 0))
+        pairs.append((np.minimum(first, second)[drawn], np.maximum(first, second)[drawn], like(0, first[drawn])))
 
-    def take(keys, nodes, sizes, going_on):
+    def take(keys, nodes, places, going_on):
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=int)
         lengths = np.diff(np.r_[starts, len(keys)])
         if going_on and len(keys) and keys[0] == going_on[0]:
-            star(*going_on, nodes[: lengths[0]])
-            probes(int(keys[0]), nodes[: lengths[0]], sizes[: lengths[0]])
+            star(*going_on, nodes[: lengths[0]], places[: lengths[0]])
+            probes(int(keys[0]), nodes[: lengths[0]], places[: lengths[0]])
             longs.append(nodes[: lengths[0]])
             starts, lengths = starts[1:], lengths[1:]
         for m in range(2, SHORT_LIST + 1):
@@ -248,46 +255,42 @@ def _pairs_of_lists(batches):
             for i in range(m - 1):
                 for j in range(i + 1, m):
                     if len(at):
-                        pairs.append(three(nodes[at + i], nodes[at + j], 1))
+                        pairs.append((nodes[at + i], nodes[at + j], like(1, at)))
         for s, m in zip(starts[lengths > SHORT_LIST].tolist(), lengths[lengths > SHORT_LIST].tolist(), strict=True):
             members = nodes[s : s + m]
             longs.append(members)
-            probes(int(keys[s]), members, sizes[s : s + m])
+            probes(int(keys[s]), members, places[s : s + m])
             known = hash(members.tobytes())  # the lists of a group of copies have the same members
             if known not in seen:
                 if len(seen) > HELD:
                     seen.clear()
                 seen.add(known)
-                star(keys[s], members[0], members[1:])
-                lists.append(np.array([[keys[s], members[0], 0]]))
+                star(keys[s], members[0], members, places[s : s + m])
 
-    held_keys = held_nodes = held_sizes = np.zeros(0, dtype=np.int64)
+    held_keys = held_nodes = held_places = np.zeros(0, dtype=np.int64)
     going_on = None
     for batch in batches:
-        keys, nodes, place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        last = place < 0
+        keys, nodes, places = (c.to_numpy() for c in batch.columns)
+        last = (places >> 32) - 1 == places & 0xFFFFFFFF
         yield from rows(LAST, nodes[last], keys[last], np.zeros(int(last.sum()), dtype=np.int64))
-        keys, nodes, sizes = np.concatenate([held_keys, keys]), np.concatenate([held_nodes, nodes]), np.concatenate([held_sizes, np.abs(place)])
+        keys, nodes, places = np.concatenate([held_keys, keys]), np.concatenate([held_nodes, nodes]), np.concatenate([held_places, places])
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])] if len(keys) else np.zeros(0, dtype=bool)
-        keys, nodes, sizes = keys[fresh], nodes[fresh], sizes[fresh]
+        keys, nodes, places = keys[fresh], nodes[fresh], places[fresh]
         end = np.searchsorted(keys, keys[-1]) if len(keys) else 0
-        take(keys[:end], nodes[:end], sizes[:end], going_on)
+        take(keys[:end], nodes[:end], places[:end], going_on)
         if end and going_on:
             going_on = None
-        held_keys, held_nodes, held_sizes = keys[end:], nodes[end:], sizes[end:]
+        held_keys, held_nodes, held_places = keys[end:], nodes[end:], places[end:]
         if len(held_keys) > HELD:  # a very long list: its members so far, but for the last
             if going_on is None:
                 going_on = (held_keys[0], held_nodes[0])
-                lists.append(np.array([[*going_on, 0]]))
-                longs.append(held_nodes[:1])
-                held_keys, held_nodes, held_sizes = held_keys[1:], held_nodes[1:], held_sizes[1:]
-            star(*going_on, held_nodes[:-1])
-            probes(int(held_keys[0]), held_nodes[:-1], held_sizes[:-1])
+            star(*going_on, held_nodes[:-1], held_places[:-1])
+            probes(int(held_keys[0]), held_nodes[:-1], held_places[:-1])
             longs.append(held_nodes[:-1])
-            held_keys, held_nodes, held_sizes = held_keys[-1:], held_nodes[-1:], held_sizes[-1:]
-        if sum(map(len, pairs)) + sum(map(len, lists)) + sum(map(len, longs)) > 10 * ROWS:
+            held_keys, held_nodes, held_places = held_keys[-1:], held_nodes[-1:], held_places[-1:]
+        if sum(len(x[0]) for x in pairs + lists) + sum(map(len, longs)) > 5 * ROWS:
             yield from flush()
-    take(held_keys, held_nodes, held_sizes, going_on)
+    take(held_keys, held_nodes, held_places, going_on)
     yield from flush()
 
 
@@ -364,30 +367,87 @@ def _similar(docs: DataFrame, wanted: DataFrame, n: int, percent: int, order) ->
     return out
 
 
-MEMBER = ("id", "node", "n", "last", "long")
+MEMBER = ("node", "n", "last", "long", "position")
+
+
+def _reachable(i: dict, j: dict, percent: int):
+    """Whether two sets of different components can be similar enough, if a list is their first common one.  Arrays by name.
+
+    What they share lies at and behind their positions there; and it is at most the n-grams of long lists, and what the set
+    whose prefix ends first has behind it (see _bounded).
+    """
+    import numpy as np
+
+    n = i["n"] + j["n"]
+    behind = np.minimum(i["n"] - i["position"], j["n"] - j["position"])
+    ends_first = np.where(i["last"] <= j["last"], i["n"], j["n"])
+    most = np.minimum(behind, np.minimum(i["long"], j["long"]) + (ends_first * percent + 99) // 100 - 1)
+    sizes = np.minimum(i["n"], j["n"]) * 100 >= np.maximum(i["n"], j["n"]) * percent
+    return sizes & (most * (100 + percent) >= n * percent) & (i["component"] != j["component"])
+
+
+def _pairs_in_blocks(batches, percent: int):
+    """(a, b) nodes of pairs that can be similar enough, from rows (key, i, j, block, component, *MEMBER) sorted by key, i, j.
+
+    A group is a list, or a pair of blocks of a long one; pairs within a block are taken where i and j are the same.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    names, found = ("block", "component", *MEMBER), []
+
+    def flush():
+        if found:
+            a, b = map(np.concatenate, zip(*found, strict=True))
+            found.clear()
+            turn = np.lexsort((b, a))
+            a, b = a[turn], b[turn]
+            fresh = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+            a, b = a[fresh], b[fresh]
+            for at in range(0, len(a), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[at : at + ROWS])) for x in (a, b)], ["a", "b"])
+
+    def take(group, same):
+        x = dict(zip(names, group, strict=True))
+        for at in range(0, len(x["node"]), 256):
+            part = {k: v[at : at + 256, None] for k, v in x.items()}
+            whole = {k: v[None, :] for k, v in x.items()}
+            fits = (part["node"] < whole["node"]) & _reachable(part, whole, percent)
+            if not same:
+                fits &= part["block"] != whole["block"]
+            i, j = np.nonzero(fits)
+            if len(i):
+                found.append((x["node"][at + i], x["node"][j]))
+
+    held = [np.zeros(0, dtype=np.int64)] * (len(names) + 3)
+    for batch in batches:
+        held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)]
+        if not len(held[0]):
+            continue
+        new = (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]) | (held[2][1:] != held[2][:-1])
+        borders = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for a, b in zip(borders, borders[1:], strict=False):
+            take([h[a:b] for h in held[3:]], held[1][a] == held[2][a])
+        held = [h[borders[-1] :] for h in held]
+        if sum(len(x[0]) for x in found) > 5 * ROWS:
+            yield from flush()
+    if len(held[0]):
+        take([h for h in held[3:]], held[1][0] == held[2][0])
+    yield from flush()
 
 
 def _open_pairs(members: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """(a, b, met) nodes that share a long list (members: key, *MEMBER), are in different components and can be similar
-    enough.  Pairs of components come from joins on the list that Spark can split; of two components, the members of the
-    smaller one are put in first, and the join with those of the larger one tests the bound."""
+    """Written table (a, b, met) of nodes that share a long list (members: key, id, *MEMBER), are in different components and
+    can be similar enough.  Lists over BLOCK members are cut into blocks, and pairs of blocks are groups of their own."""
     rows = members.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = shared_table(rows, "labelled-lists")
-    spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    open_rows = shared_table(rows.join(spread, "key").groupBy("key", "component").agg(F.min("n").alias("least"), F.max("n").alias("most")), "open-lists")
-    drop = [rows, open_rows]
-    side = {c: open_rows.select("key", F.col("component").alias(c), F.col("least").alias(f"least_{c}"), F.col("most").alias(f"most_{c}")) for c in "xy"}
-    fit = (F.col("x") < F.col("y")) & (F.col("most_x") * 100 >= F.col("least_y") * percent) & (F.col("most_y") * 100 >= F.col("least_x") * percent)
-    apart = shared_table(side["x"].join(side["y"], "key").where(fit).select("x", "y").distinct(), "open-components")
-    each = shared_table(rows.select("component", *MEMBER).distinct(), "open-members")
-    sizes = each.groupBy("component").agg(F.count("*").alias("size"))
-    size = {c: sizes.select(F.col("component").alias(c), F.col("size").alias(f"size_{c}")) for c in "xy"}
-    swap = F.col("size_x") > F.col("size_y")
-    turned = apart.join(size["x"], "x").join(size["y"], "y").select(F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"))
-    a, b = (each.select(F.col("component").alias(c), *(F.col(k).alias(f"{k}_{x}") for k in MEMBER[1:])) for c, x in (("x", "a"), ("__y", "b")))
-    joined = turned.join(a, "x").join(b, (F.col("y") == F.col("__y")) & _bounded(percent))
-    out = shared_table(joined.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"), F.lit(0).cast("long").alias("met")).distinct(), "open-pairs")
-    drop_tables(*drop, apart, each)
+    rows = shared_table(rows.select("key", "component", *MEMBER), "labelled-lists")
+    spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    placed = rows.join(spread.where("low < high").select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    sorted_rows = dealt.select("key", "i", "j", "block", "component", *MEMBER).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found = sorted_rows.mapInArrow(lambda batches: _pairs_in_blocks(batches, percent), "a long, b long")
+    out = shared_table(found.distinct().withColumn("met", F.lit(0).cast("long")), "open-pairs")
+    drop_tables(rows)
     return out
 
 
@@ -412,8 +472,8 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75, carry: tuple[str,
     wanted = _candidates(met, classes, percent)
     links = _similar(docs, wanted, n, percent, order)
     components = connected_components(links)
-    lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
-    members = lists.join(classes.select("node", "id", "n", "last", "long"), "node").select("key", *MEMBER)
+    lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n").alias("position"))
+    members = lists.join(classes.select("node", "id", "n", "last", "long"), "node").select("key", "id", *MEMBER)
     fresh = _open_pairs(members, components, percent).join(wanted.select("a", "b"), ["a", "b"], "left_anti")
     more_wanted = _candidates(fresh, classes, percent)
     more = _similar(docs, more_wanted, n, percent, order)
