@@ -10,8 +10,9 @@ own (pair, fragment), spread by (class, fragment); the partial counts are summed
 
 Candidates come from the front of the order.  A set's prefix are its first n - ceil(t*n) + 1 n-grams; two sets with a
 Jaccard similarity of t share one of those at least, so classes meet in the lists of their prefixes.  Short lists give all
-their pairs, with the overlaps counted.  A long list gives the pairs with its first class, and for some PROBES of the long
-lists of each class the pair with the next one there; that joins nearly all that belongs together.  Then members of long
+their pairs, with the overlaps counted.  A long list gives the pairs with its first class, and in PROBES of its lists (those
+of the n-grams with the least hashes, so like sets choose alike) each class gives the pair with the next one whose band of
+BAND_HASHES least hashes is the same; that joins nearly all that belongs together.  Then members of long
 lists that are still in different components are compared pair by pair: two sets that are similar enough have their first
 common n-gram so far at the front of both that what is behind it suffices, so positions leave few pairs.  Thus no pair
 that could matter is left out, and a group of near copies costs a few rows a member and not a row a pair.
@@ -45,8 +46,8 @@ from .common import bitmap, bound_batches, drop_tables, in_bitmap, shared_table
 from .graph import connected_components
 
 FRAGMENTS = 4
-#: Long lists of a class, on average, in which it is compared with the next class there.
-PROBES = 3
+#: Long lists of a class in which it is compared with the next class of the same band there; bands, and least hashes of one.
+PROBES, BANDS, BAND_HASHES = 3, 4, 4
 #: Lists of so many classes give all their pairs at once.
 SHORT_LIST = 8
 SKETCH_CELLS, SKETCH_BLOCK = 1 << 22, 1 << 16
@@ -165,9 +166,27 @@ def _order(survey: DataFrame):
     return out, cuts
 
 
+#: Odd factors of hashes, one for each of the least hashes of all bands, and one more.
+FACTORS = [(0x9E3779B97F4A7C15 * (2 * k + 1) ^ (0xD6E8FEB86659FD93 << k)) % (1 << 64) | 1 for k in range(BANDS * BAND_HASHES + 1)]
+
+
+def _bands(keys):
+    """29 bits for each band: equal for two sets with the probability of their similarity to the power of BAND_HASHES."""
+    import numpy as np
+
+    factors = np.array(FACTORS[:-1], dtype=np.uint64)
+    least = np.full(len(factors), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for at in range(0, len(keys), 4096):
+        least = np.minimum(least, (keys[at : at + 4096, None] * factors[None, :]).min(axis=0))
+    mixed = np.zeros(BANDS, dtype=np.uint64)
+    for x in least.reshape(BANDS, BAND_HASHES).T:
+        mixed = (mixed ^ (x >> np.uint64(17)) ^ x) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(35)).astype(np.int64)
+
+
 def _list_rows(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
-    """(key, node, place) rows: each class in the lists of its prefix; place has the size of the prefix in its upper 32 bits
-    and the n-gram's position there in its lower ones."""
+    """(key, node, place) rows: each class in the lists of its prefix.  place: bits 0 to 31 the position in the prefix, bit 32
+    whether it is the last one, bit 33 whether the class is compared with a neighbour there, bits 34 to 62 its band."""
     import numpy as np
     import pyarrow as pa
 
@@ -178,10 +197,18 @@ def _list_rows(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
                 sets = [x for x in (shingles(t, n) for t in batch.column(1).slice(at, 250).to_pylist()) if len(x)]
                 if not sets:
                     continue
-                keys, sizes = [], [prefix_size(len(x), percent) for x in sets]
+                keys, place, sizes = [], [], [prefix_size(len(x), percent) for x in sets]
                 for x, k in zip(sets, sizes, strict=True):
-                    keys.append(np.sort(np.partition(_keys(x, levels), k - 1)[:k]))
-                place = np.concatenate([(k << 32) + np.arange(k) for k in sizes])
+                    every = _keys(x, levels)
+                    first = np.sort(np.partition(every, k - 1)[:k])
+                    own = np.arange(k)
+                    own[-1] |= 1 << 32
+                    drawn = first * np.uint64(FACTORS[-1])
+                    chosen = np.argpartition(drawn, PROBES)[:PROBES] if k > PROBES else np.arange(k)
+                    own[chosen] |= (1 << 33) | (_bands(every)[(drawn[chosen] % np.uint64(BANDS)).astype(np.int64)] << 34)
+                    keys.append(first)
+                    place.append(own)
+                place = np.concatenate(place)
                 nodes = np.repeat(_digests(sets)[0].to_numpy(), sizes)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes), pa.array(place)], ["key", "node", "place"])
 
@@ -233,21 +260,20 @@ def _pairs_of_lists(batches):
         pairs.append((like(leader, others), others, like(0, others)))
         lists.append((like(key, members), members, places & 0xFFFFFFFF))
 
-    def probes(key, nodes, places):
-        """Pairs of neighbours in an order of the list's own; a class with a long prefix takes part in few of its lists."""
-        sizes = places >> 32
-        draw = (nodes.astype(np.uint64) ^ np.uint64(key * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
-        turn = np.argsort(draw, kind="stable")
-        first, second = nodes[turn], nodes[np.roll(turn, -1)]
-        drawn = (draw[turn] >> np.uint64(32)).astype(np.float64) * sizes[turn] < PROBES * 2.0**32
-        pairs.append((np.minimum(first, second)[drawn], np.maximum(first, second)[drawn], like(0, first[drawn])))
+    def probes(nodes, places):
+        on = (places >> 33) & 1 == 1
+        nodes, band = nodes[on], places[on] >> 34
+        turn = np.lexsort((nodes, band))
+        nodes, band = nodes[turn], band[turn]
+        same = band[1:] == band[:-1]
+        pairs.append((nodes[:-1][same], nodes[1:][same], like(0, nodes[1:][same])))
 
     def take(keys, nodes, places, going_on):
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=int)
         lengths = np.diff(np.r_[starts, len(keys)])
         if going_on and len(keys) and keys[0] == going_on[0]:
             star(*going_on, nodes[: lengths[0]], places[: lengths[0]])
-            probes(int(keys[0]), nodes[: lengths[0]], places[: lengths[0]])
+            probes(nodes[: lengths[0]], places[: lengths[0]])
             longs.append(nodes[: lengths[0]])
             starts, lengths = starts[1:], lengths[1:]
         for m in range(2, SHORT_LIST + 1):
@@ -259,7 +285,7 @@ def _pairs_of_lists(batches):
         for s, m in zip(starts[lengths > SHORT_LIST].tolist(), lengths[lengths > SHORT_LIST].tolist(), strict=True):
             members = nodes[s : s + m]
             longs.append(members)
-            probes(int(keys[s]), members, places[s : s + m])
+            probes(members, places[s : s + m])
             known = hash(members.tobytes())  # the lists of a group of copies have the same members
             if known not in seen:
                 if len(seen) > HELD:
@@ -271,7 +297,7 @@ def _pairs_of_lists(batches):
     going_on = None
     for batch in batches:
         keys, nodes, places = (c.to_numpy() for c in batch.columns)
-        last = (places >> 32) - 1 == places & 0xFFFFFFFF
+        last = (places >> 32) & 1 == 1
         yield from rows(LAST, nodes[last], keys[last], np.zeros(int(last.sum()), dtype=np.int64))
         keys, nodes, places = np.concatenate([held_keys, keys]), np.concatenate([held_nodes, nodes]), np.concatenate([held_places, places])
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])] if len(keys) else np.zeros(0, dtype=bool)
@@ -285,7 +311,7 @@ def _pairs_of_lists(batches):
             if going_on is None:
                 going_on = (held_keys[0], held_nodes[0])
             star(*going_on, held_nodes[:-1], held_places[:-1])
-            probes(int(held_keys[0]), held_nodes[:-1], held_places[:-1])
+            probes(held_nodes[:-1], held_places[:-1])
             longs.append(held_nodes[:-1])
             held_keys, held_nodes, held_places = held_keys[-1:], held_nodes[-1:], held_places[-1:]
         if sum(len(x[0]) for x in pairs + lists) + sum(map(len, longs)) > 5 * ROWS:
