@@ -13,7 +13,7 @@ from corpusloom.llm.common import shared_table
 from corpusloom.llm.language import UNKNOWN, fit, identify
 from corpusloom.llm.line_dedup import line_dedup
 from corpusloom.llm.ngram_join import ngram_join
-from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.packing import INSTRUCTION, pack_documents
 from corpusloom.llm.secrets import redacted
 
 END_ID = 2
@@ -59,10 +59,10 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences."""
+    """The pieces of packed sequences; the first line of a document is its prompt."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, INSTRUCTION, prompt_line=True)
 
 
 STAGES = [

@@ -4,23 +4,13 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import drop_tables, scratch_path, shared_table
+from ..staging import bound_batches, drop_tables, scratch_path, shared_table
 
 __all__ = ["bitmap", "bound_batches", "drop_tables", "in_bitmap", "scratch_path", "shared_table"]
 
-#: Rows of one Arrow batch that goes to a Python worker.  Texts may be long, so it is far below Spark's 10,000.
-BATCH_ROWS = 1000
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Lower Spark's default Arrow batch; a value that the session has set itself stays."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
 #: Bytes of a bitmap that travel in one row.
 BITMAP_SLICE = 1 << 16
 

@@ -4,15 +4,15 @@ The tree is fitted on a bounded sample (FIT_ROWS vectors, drawn by hash); every
 through the tree by a priority queue: the node with the best outlook is opened next, until enough leaves are visited.
 How many are enough is calibrated: for CALIBRATE_QUERIES queries the true neighbours among all rows are found by brute
 force, and the visits are widened until the leaves visited hold `recall` of them; the whole tree is the last resort, and
-exact.  Scores are inner products of the original vectors in double precision.
+exact.  However few leaves that is, a query goes on until they hold k rows.  Scores are inner products of the original vectors in double precision.
 
 Scale.  Leaves are dealt to bins of about BIN_ROWS rows; a leaf with more rows, such as one of copies, is cut into
 several.  The queries that visit a bin meet its rows there, BIN_QUERIES at a time, and only the k best of each query leave.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows
 without an id, nor vectors of another length than the most frequent one.  Ties go to the smaller id.  Rows that repeat an
-id are candidates of their own, except against a query of that id.  Empty tables give no rows; further columns are
-ignored.
+id are candidates of their own, except against a query of that id; query rows that repeat an id are one query, whose
+neighbours are the best of theirs.  Empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,18 +72,19 @@ class Tree:
                 waiting += [(kid, at[nearest == i]) for i, kid in enumerate(kids)]
         return out
 
-    def visits(self, queries, n: int) -> list[list[int]]:
-        """The first n leaves of each query, best outlook first."""
+    def visits(self, queries, n: int, sizes=None, rows: int = 0) -> list[list[int]]:
+        """The first n leaves of each query, best outlook first; more if they hold fewer than `rows` by their sizes."""
         import numpy as np
 
         outlook = queries @ np.array(self.centres).T + np.sqrt((queries * queries).sum(axis=1))[:, None] * np.array(self.spread)
         out = []
         for row in (-outlook).tolist():
-            queue, seen = [(row[0], 0)], []
-            while queue and len(seen) < n:
+            queue, seen, held = [(row[0], 0)], [], 0
+            while queue and (len(seen) < n or held < rows):
                 _, node = heapq.heappop(queue)
                 if self.leaf[node] >= 0:
                     seen.append(self.leaf[node])
+                    held += sizes[self.leaf[node]] if rows else 0
                 else:
                     for kid in self.children[node]:
                         heapq.heappush(queue, (row[kid], int(kid)))
@@ -220,7 +221,10 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, reca
     visits = calibrated_visits(tree, rows, asked, k, recall)
 
     # Leaves to bins; the tables made here have a row a leaf, so they are bounded by MOST_LEAVES.
-    sizes = {r.leaf: r["count"] for r in rows.groupBy("leaf").count().collect()}
+    counted = {r.leaf: r for r in rows.groupBy("leaf").agg(F.count("*").alias("n"), F.approx_count_distinct("vec_id").alias("ids")).collect()}
+    sizes = {leaf: r.n for leaf, r in counted.items()}
+    # Rows of the query's own id do not count, so leaves are visited until they hold enough even without them.
+    other_rows = [min(counted[leaf].n, counted[leaf].ids) if leaf in counted else 0 for leaf in range(tree.leaves)]
     bin_of, filled, n_bins = {}, 0, 0
     for leaf in range(tree.leaves):
         if filled and filled + sizes.get(leaf, 0) > BIN_ROWS:
@@ -235,7 +239,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, reca
         for batch in batches:
             x = matrix(batch.column("embedding"))
             at, bins, leaves = [], [], []
-            for i, order in enumerate(tree.visits(x, visits)):
+            for i, order in enumerate(tree.visits(x, visits, other_rows, 2 * k + 2)):
                 by = {}
                 for leaf in order:
                     by.setdefault(bin_of[leaf], []).append(leaf)

@@ -6,11 +6,14 @@ each bit weighted by how far apart it keeps the languages; the codeword with the
 codewords are near each other is flagged as ambiguous.
 
 Only letters count: text is lower-cased, and runs of anything else are one blank.  Training reads whole texts of a bounded
-sample, at most PER_LANGUAGE documents a language up to the chance of a draw by hash.
+sample, at most PER_LANGUAGE documents a language up to the chance of a draw by hash of doc_id and text (rows equal in both
+are drawn together).  All languages are learned; most_languages can bound them.
 
 Edge cases: a text that is null or has no letter is `und` with score 0; so is every text if no language was learned.  A
-single learned language is always predicted.  Rows with a null language are no training data.  One row out for each row
-in.
+single learned language is always predicted.  Of languages with equal losses the first by name wins, and the text is
+ambiguous.  A text of fewer bytes than an n-gram is one n-gram, filled up with blanks.  Rows with a null language are no
+training data.  One row out for each row in, repeated ones too.  Input columns named __lang, __score or __ambiguous are
+replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches
 
-PER_LANGUAGE, FIT_PARTS, MOST_LANGUAGES = 4000, 12, 500
+PER_LANGUAGE, FIT_PARTS = 4000, 12
 #: n-grams are of N bytes and hashed to 2^BITS buckets.
 N, BITS = 4, 16
 #: A result is ambiguous if the probability of the second language is so large beside the first's.
@@ -58,10 +61,8 @@ def buckets(text: str):
     """The bucket of each n-gram of the letters of a text."""
     import numpy as np
 
-    raw = GAPS.sub(b" ", b" " + text.lower().encode().translate(FOLDED) + b" ")
+    raw = GAPS.sub(b" ", b" " + text.lower().encode().translate(FOLDED) + b" ").ljust(N)
     b = np.frombuffer(raw, dtype=np.uint8).astype(np.uint32)
-    if len(b) < N:
-        return np.zeros(0, dtype=np.uint32)
     h = np.zeros(len(b) - N + 1, dtype=np.uint32)
     for i in range(N):
         h |= b[i : len(b) - N + 1 + i] << np.uint32(8 * i)
@@ -92,19 +93,22 @@ class Model:
         return self.languages[best], float(p[best]), second >= AMBIGUOUS * p[best]
 
 
-def fit(docs: DataFrame, train) -> Model:
-    """The model of the documents for which the condition `train` holds."""
+def fit(docs: DataFrame, train, most_languages: int | None = None) -> Model:
+    """The model of the documents for which the condition `train` holds; of all languages, or the most frequent ones."""
     import numpy as np
     import pyarrow as pa
 
     bound_batches(docs.sparkSession)
     ours = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r.lang: r["count"] for r in ours.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
+    counted = ours.groupBy("lang").count()
+    if most_languages is not None:
+        counted = counted.orderBy(F.desc("count"), "lang").limit(most_languages)
+    sizes = {r.lang: r["count"] for r in counted.collect()}  # a row a language
     model = Model(sorted(sizes))
     if not sizes:
         return model
     shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, math.ceil(min(1, PER_LANGUAGE / n) * (1 << 20)))])
-    drawn = ours.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.element_at(shares, F.col("lang"))).select("text", "lang").repartition(FIT_PARTS)
+    drawn = ours.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.element_at(shares, F.col("lang"))).select("text", "lang").repartition(FIT_PARTS)
 
     def count(batches):
         sums: dict[str, object] = {}
@@ -132,6 +136,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     import pyarrow as pa
 
     bound_batches(docs.sparkSession)
+    docs = docs.drop("__lang", "__score", "__ambiguous")
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^BITS x bits numbers
 

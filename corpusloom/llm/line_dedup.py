@@ -16,8 +16,10 @@ fetched from its document, once, and go to the documents that repeat them, to be
 most are left out of that by a second bitmap, of doc_ids.
 
 Edge cases: null and empty texts stay as they are.  Documents with a null doc_id are left alone and not compared.  Rows
-that repeat a doc_id share the list of lines to remove; an entry counts for a row only if its lines have those bytes there.
-Chunks with equal hashes and other bytes than the first stay.  Texts of any length are read whole.
+that repeat a doc_id share the list of lines to remove, and an entry counts for a row only if its lines have those bytes
+there; so equal rows that share a doc_id are not compared with each other.  Chunks with equal hashes and other bytes than
+the first stay.  Input columns named __gone, __doc_id, __lines, __gone_lines or __gone_chunks are replaced.  Texts of any
+length are read whole.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, bound_batches, in_bitmap, shared_table
+from .common import bitmap, bound_batches, drop_tables, in_bitmap, shared_table
 
 WINDOW, DIVISOR, MIN_BYTES, MIN_WORDS = 2, 2, 48, 50
 BASE = 0x9E3779B97F4A7C15
@@ -116,7 +118,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else [], pa.int64())], ["hash"])
 
     counted = named.mapInArrow(hashes, "hash long").groupBy("hash").count().where(F.col("count") > 1)
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(counted, "hash", BITMAP_BITS))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(counted, "hash", BITMAP_BITS))  # of fixed size
 
     def candidates(batches):
         for batch in batches:
@@ -147,6 +149,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.binary())], ["hash", "chunk"])
 
     found = shared_table(named.mapInArrow(candidates, "hash long, doc_id long, a int, b int"), "line-chunks")
+    bits.destroy()
     first = found.groupBy("hash").agg(F.min(F.struct("doc_id", "a")).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = shared_table(first.select("hash", F.col("first.doc_id").alias("first_doc"), F.col("first.a").alias("first_a")), "first-chunks")
     again = found.join(first, "hash").where("not (doc_id = first_doc and a = first_a)")
@@ -163,6 +166,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     holding = named.mapInArrow(holders, "doc_id long, text string").join(wanted.hint("merge"), F.col("doc_id") == F.col("first_doc"))
     bytes_of = holding.select("text", "wanted").mapInArrow(fetched, "hash long, chunk binary")
     bytes_of = shared_table(bytes_of.groupBy("hash").agg(F.min("chunk").alias("chunk")), "chunk-bytes")
+    held.destroy()
+    drop_tables(found, first, wanted)
     return gone.join(bytes_of, "hash").groupBy("doc_id").agg(F.collect_list(F.struct("a", "b", "chunk")).alias("__gone"))
 
 
@@ -171,6 +176,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     bound_batches(docs.sparkSession)
+    docs = docs.drop("__gone", "__doc_id", "__lines", "__gone_lines", "__gone_chunks")
     names = docs.columns
     joined = docs.join(repeated_chunks(docs).withColumnRenamed("doc_id", "__doc_id"), F.col("doc_id") == F.col("__doc_id"), "left").drop("__doc_id")
     at = names.index("text")

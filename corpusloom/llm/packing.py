@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from .common import bound_batches
 
 POOL_TOKENS = 1 << 20
-#: Shares of loss-bearing tokens in steps of a quarter; each step has its own list of pieces.
+#: Shares of loss-bearing tokens in steps of a quarter; each step has its own list of pieces, and so have pieces that bear
+#: loss in all tokens.
 STEPS = 4
 
 
@@ -37,6 +38,10 @@ class Limits:
     loss: int = 4096
 
 
+#: What the registered query and the pipeline use: a sequence is prompt by a sixteenth at least.
+INSTRUCTION = Limits(4096, 256, 3840)
+
+
 @dataclass(frozen=True)
 class Piece:
     """Ids a..b of an example; ids from loss_from on bear loss."""
@@ -72,11 +77,11 @@ class Packer:
 
     def __init__(self, limits: Limits):
         self.limits = limits
-        self.pool: list[list[tuple[int, int, int, Piece]]] = [[] for _ in range(STEPS + 1)]
+        self.pool: list[list[tuple[int, int, int, Piece]]] = [[] for _ in range(STEPS + 2)]
         self.pooled = self.seen = 0
 
     def _put(self, piece: Piece) -> None:
-        step = -(-STEPS * piece.loss // piece.tokens)
+        step = -(-STEPS * piece.loss // piece.tokens) + (piece.loss == piece.tokens)
         insort(self.pool[step], (piece.tokens, piece.order, piece.a, piece))
         self.pooled += piece.tokens
 
@@ -109,7 +114,11 @@ class Packer:
         """Of the pieces that fit, the place of the one with the largest dot product."""
         lim, best, found = self.limits, -1.0, None
         for step, pieces in enumerate(self.pool):
-            i = bisect_right(pieces, tokens, key=lambda x: x[0]) - 1
+            if not pieces:
+                continue
+            # Of the pieces of a step at least step - 1 quarters of the tokens bear loss; in the last list all of them.
+            most = tokens if step < 2 else min(tokens, loss if step > STEPS else STEPS * loss // (step - 1))
+            i = bisect_right(pieces, most, key=lambda x: x[0]) - 1
             while i >= 0 and pieces[i][-1].loss > loss:
                 i -= 1
             if i >= 0:
@@ -164,11 +173,18 @@ def powers_of_two(pieces: list[Piece]) -> Iterator[list[Piece]]:
         yield out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None, limits: Limits = Limits(), loss_start: str | None = None, keep_ids: bool = False) -> DataFrame:
+def first_line(text: str | None) -> str:
+    """The first line of a text of several lines."""
+    return text[: text.index("\n")] if text and "\n" in text else ""
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None, limits: Limits = Limits(), loss_start: str | None = None, keep_ids: bool = False, prompt_line: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens, sequence_tokens,
     and with keep_ids the ids themselves (binary, little-endian unsigned 32-bit).
 
-    loss_start names a column with the count of leading ids of an example that bear no loss (its prompt); null or none: 0.
+    The leading ids of an example, its prompt, bear no loss.  loss_start names a column with their count (null: 0); with
+    prompt_line they are as many as the first line has by itself, if the text has several lines.  With neither all ids bear
+    loss.
     """
     import pyarrow as pa
 
@@ -182,17 +198,19 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None, l
         for batch in batches:
             for at in range(0, batch.num_rows, 250):
                 ids, texts, starts, parts = (c.to_pylist() for c in batch.slice(at, 250).columns)
+                if prompt_line:
+                    starts = [len(x) // 4 for x in encode(list(map(first_line, texts)))]
                 for doc, raw, start, part in zip(ids, encode(texts), starts, parts, strict=True):
                     yield doc, raw + end, start, part
 
     def pack(batches):
         from .tokens import encoder
 
-        packer, n, part, rows = Packer(limits), 0, 0, []
+        packer, n, part, rows, id_type = Packer(limits), 0, 0, [], None
 
         def table(rows):
             columns = list(zip(*rows, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa_kind), *(pa.array(c, pa.int64()) for c in columns[1:9]), *(pa.array(c, pa.binary()) for c in columns[9:])], names)
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:9]), *(pa.array(c, pa.binary()) for c in columns[9:])], names)
 
         def placed(sequence, number):
             offset, total = 0, sum(x.tokens for x in sequence)
@@ -203,7 +221,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None, l
 
         def sequences():
             nonlocal part
-            for doc, raw, start, part in examples(batches, encoder(tokenizer).encode):
+
+            def noted():
+                nonlocal id_type
+                for batch in batches:
+                    id_type = batch.schema.field(0).type
+                    yield batch
+
+            for doc, raw, start, part in examples(noted(), encoder(tokenizer).encode):
                 yield from packer.add(doc, raw, start)
             yield from packer.finish()
 
@@ -216,15 +241,15 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None, l
         if rows:
             yield table(rows)
 
-    pa_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
     start = F.coalesce(F.col(loss_start).cast("long"), F.lit(0)) if loss_start else F.lit(0).cast("long")
     source = docs.select("doc_id", "text", start.alias("__start"), F.spark_partition_id().cast("long").alias("__part"))
     return source.mapInArrow(pack, schema)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered query: all documents in sequences of at most 4096 tokens, at most 256 segments each."""
+    """Registered query: all documents in sequences of at most 4096 tokens, 256 segments and 3840 loss-bearing tokens; the
+    first line of a document is its prompt."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, limits=INSTRUCTION, prompt_line=True)

@@ -11,8 +11,12 @@ pairs of blocks are separate groups, so no task holds more than two blocks.  Gro
 forest, never pairs.  The number of pivots grows with the root of the number of vectors, within PIVOTS.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and rows with a null label,
-link with nothing; so do vectors of different length.  Rows with a null vec_id get no component and are not kept.  Rows
-that repeat a vec_id count as vectors of their own.  An empty table gives an empty result; further columns are ignored.
+link with nothing; so do vectors of different length.  Rows with a null vec_id take no part: they get no links and no
+component, count in no other row's links, and are not kept.  Rows that repeat a vec_id count as vectors of their own.  An
+empty table gives an empty result; further columns are ignored.
+
+The index can miss a link whose vectors share fewer than `shared` of their pivots.  exact=True leaves none out: each vector
+is in a list of its label alone, so all pairs of a label are compared, in blocks.
 """
 
 from __future__ import annotations
@@ -121,14 +125,14 @@ def linked_in_group(table, threshold: float, shared: int, n_pivots: int):
     return pa.table({"rep": pa.array(out_ids, pa.int64()), "links": pa.array(out_links, pa.int64()), "other": pa.array(out_other, pa.int64())})
 
 
-def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.93, prefix: int = 8, shared: int = 2) -> DataFrame:
+def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.93, prefix: int = 8, shared: int = 2, exact: bool = False) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors (vec_id, embedding, label)."""
     bound_batches(vectors.sparkSession)
-    ok = usable("embedding") & F.col("label").isNotNull()
+    ok = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = vectors.select(F.col("vec_id").cast("long"), F.when(ok, F.col("label")).alias("label"), F.when(ok, F.col("embedding")).alias("embedding"))
     grouped = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     entries = shared_table(grouped, "vectors")
-    length, pivots = pick_pivots(entries, entries.count())
+    length, pivots = (0, []) if exact else pick_pivots(entries, entries.count())
     n_pivots = len(pivots)
     described = shared_table(describe(entries, length, pivots, prefix, shared), "pivot-lists")
 

@@ -7,7 +7,8 @@ carries a row index every INDEX_STRIDE rows and a Bloom filter on doc_id, so rea
 those without the ids that they look for.
 
 Edge cases: a null text is an empty one; its only id is the end id.  A null doc_id sorts first.  Rows that repeat a
-doc_id all stay, in the order of the input.  Empty tables give no rows.  Further columns of the input are ignored.
+doc_id all stay, in the order of the input.  Empty tables give no rows.  Further columns of the input are ignored.  A
+special token written out in a text is that token, as in the library's plain call.
 """
 
 from __future__ import annotations
@@ -66,7 +67,8 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     """Encode whole texts and write the shards to path."""
     (
         encode_documents(docs, tokenizer, end_id)
-        .write.option("orc.compress", "ZSTD")
+        .write.option("maxRecordsPerFile", 0)  # a partition is one file: shard_start counts from its first row
+        .option("orc.compress", "ZSTD")
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.row.index.stride", INDEX_STRIDE)
         .option("orc.create.index", "true")

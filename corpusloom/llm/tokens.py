@@ -6,10 +6,10 @@ import os
 import re
 import unicodedata
 
-#: A run of blanks and the word after it.  A tokenizer whose pre-tokens never hold a blank behind a word gives the same
-#: ids for a text as for these pieces one by one, so pieces that recur need no second encoding.
 #: What some vocabularies put behind the last bytes of a word.
 WORD_END = "</w>"
+#: A run of blanks and the word after it.  A tokenizer whose pre-tokens never hold a blank behind a word gives the same
+#: ids for a text as for these pieces one by one, so pieces that recur need no second encoding.
 BLANKS = " \t\n\r"
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: For tokenizers that drop blanks, the words alone.
@@ -18,13 +18,16 @@ WORD = re.compile(r"[^ \t\n\r]+")
 REMEMBERED, LONGEST, SHORT = 1_000_000, 48, 11
 #: New pieces that go to the tokenizer in one call.
 GROUP = 2000
+#: A tokenizer must give the same ids for these as for their pieces, or it gets whole texts.
+PROBES = ("The cat  sat\n\n on the mat. \t 'tis we'll, 12 345-678 a--b _x_ (end)  \n", "Ünïcode çé\u00a0日本語 naïve\r\nİIıi ﬁ\u0301 e\u0301 \u2028 \U0001f600\U0001f600!", " \n lead", "one")
 
 
 class PieceEncoder:
     """Encodes whole texts with a file of the tokenizers library, as little-endian unsigned 32-bit ids.
 
-    Special tokens in a text count as ordinary text.  The memory of pieces is emptied when it is full, so a worker's
-    memory stays bounded whatever the texts.
+    The ids are those of the library's plain call on the whole text: a special token written out in a text is that token.
+    Texts with one are encoded whole, as are all texts if the tokenizer does not treat pieces alike.  The memory of pieces
+    is emptied when it is full, so a worker's memory stays bounded whatever the texts.
     """
 
     def __init__(self, path: str):
@@ -33,7 +36,6 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.drops_blanks = not self.tokenizer.encode(" \n ", add_special_tokens=False).ids
         self.split = (WORD if self.drops_blanks else PIECE).findall
@@ -43,6 +45,28 @@ class PieceEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.byte_lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
         self.byte_lengths[list(vocabulary.values())] = [len(x.removesuffix(WORD_END)) for x in vocabulary]
+        self.special = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_pieces = True
+        self.by_pieces = self.tokenizer.pre_tokenizer is not None and self._pieces_hold()
+
+    def _pieces_hold(self) -> bool:
+        try:
+            return all(self.encode([x]) == [self._whole(x)] for x in PROBES)
+        except (IndexError, ValueError):
+            return False
+        finally:
+            self.known.clear()
+
+    def _whole(self, text: str) -> bytes:
+        import numpy as np
+
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _needs_whole(self, text: str) -> bool:
+        if not self.by_pieces:
+            return True
+        folded = text.lower() if self.special and "<" in text or not all(x[0] == "<" for x in self.special) else ""
+        return any(x in folded for x in self.special)
 
     def _lengths(self, text: str, pieces: list[str]) -> list[int]:
         """Bytes of the pieces that make a text, as the tokenizer sees them, as far as can be told."""
@@ -92,9 +116,11 @@ class PieceEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null is an empty text."""
-        pieces, ends, bare, blank = [], [0], set(), set()
-        for x in texts:
-            if x and (own := self.split(x.lower() if self.lowers and x.isascii() else x)):
+        pieces, ends, bare, blank, whole = [], [0], set(), set(), {}
+        for i, x in enumerate(texts):
+            if x and self._needs_whole(x):
+                whole[i] = self._whole(x)
+            elif x and (own := self.split(x.lower() if self.lowers and x.isascii() else x)):
                 if own[0][0] not in BLANKS:
                     bare.add(own[0])
                 if own[-1][-1] in BLANKS:
@@ -113,7 +139,7 @@ class PieceEncoder:
             self.known = {x: ids for x, ids in self.known.items() if len(x) <= SHORT}
             if len(self.known) > REMEMBERED // 2:
                 self.known = {}
-        return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+        return [whole[i] if i in whole else b"".join(found[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
 
 
 _encoders: dict[str, PieceEncoder] = {}

@@ -1,24 +1,28 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick on folded text.
 
 Folding: lower case, accents off, homoglyphs of other scripts and digits or signs that stand for letters replaced.  A match
-counts if it is a whole word and lies in no exception phrase.  The sum of the weights of all matches, divided by the words
+counts if it is a whole word and lies in no exception phrase; runs of blanks count as one blank.  The sum of the weights of all matches, divided by the words
 of the text, goes through a logistic curve.
 
 The lexicon is learned: of at most FIT_ROWS labelled texts, drawn by hash, the words that stand in toxic texts far more
-often than in others, weighted by their log odds.  The curve is fitted on the same texts.  Only text is an input of a
-score.
+often than in others, weighted by their log odds; most_words can bound it.  Exceptions are some fixed phrases and those
+that are learned: a word of the lexicon with the word before or after it, if that stands in LEAST_SPARED other texts and in
+no toxic one.  The curve is fitted on the same texts.  Only text is an input of a score.
 
 Edge cases: null and empty texts, and texts without matches, get the curve's value at 0.  Without labelled rows, or without
-toxic ones, the lexicon is empty and scores are 0.  A document labelled more than once counts as often.  One row out for
-each row in; further columns are ignored.
+toxic ones, the lexicon is empty and scores are 0.  A document labelled more than once counts once, by its highest label;
+of rows that repeat a labelled doc_id the smallest text is fitted.  One row out for each row in, repeated ones and those
+without a doc_id too; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +32,9 @@ from .common import bound_batches
 #: Bound of the labelled rows that are fitted, and the partitions they are read in.
 FIT_ROWS, FIT_PARTS = 20_000, 12
 #: A word of the lexicon is in so many toxic texts, in this share of them, has this log odds, and this many standard errors.
-LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS, LEAST_ERRORS, MOST_WORDS = 4, 0.02, 1.5, 3.2, 2000
+LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS, LEAST_ERRORS = 4, 0.02, 1.5, 3.2
+#: A learned exception stands in so many texts that are not toxic.
+LEAST_SPARED = 8
 
 # Letters of other scripts that look like Latin ones, and what stands for letters in disguised words.
 HOMOGLYPHS = dict(zip("аеорсухкмтвнігѕјԁһԛԝαεορτυχκινβη", "aeopcyxkmtbhirsjdhqwaeoptuxkivbn", strict=True))
@@ -85,7 +91,7 @@ class Model:
         out = []
         for text in texts:
             total, spared, found = 0.0, [], []
-            folded = fold(text or "")
+            folded = " ".join(fold(text or "").split())
             for last, (size, weight) in self.trie.iter(folded):
                 a, b = last + 1 - size, last + 1
                 if (a and folded[a - 1].isalpha()) or folded[b : b + 1].isalpha():
@@ -94,10 +100,13 @@ class Model:
                     spared.append((a, b))
                 else:
                     found.append((a, b, weight))
+            spared.sort()
+            ends = list(accumulate((y for _, y in spared), max))  # the furthest end of the phrases up to each
             for a, b, weight in found:
-                if not any(x <= a and b <= y for x, y in spared):
+                before = bisect_right(spared, a, key=lambda x: x[0])
+                if not before or ends[before - 1] < b:
                     total += weight
-            out.append(math.log1p(100 * total / (len(folded.split()) + 10)) if total else 0.0)
+            out.append(math.log1p(100 * total / (folded.count(" ") + 1 + 10)) if total else 0.0)
         return out
 
     def score(self, loads: list[float]) -> list[float]:
@@ -106,15 +115,16 @@ class Model:
 
 def _train_rows(docs: DataFrame, labels: DataFrame, train) -> DataFrame:
     """text, toxic of the labelled rows that are fitted."""
-    ours = labels.where(train & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    ours = labels.where(train & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     share = FIT_ROWS / max(1, ours.count())
     drawn = ours if share >= 1 else ours.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # At most FIT_ROWS small rows, up to the chance of the draw: broadcast, so no text is shuffled to find them.
-    return docs.where(train).select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic").repartition(FIT_PARTS)
+    # At most FIT_ROWS small rows with ids of their own, up to the chance of the draw: broadcast, so no text is shuffled.
+    found = docs.where(train).select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic").repartition(FIT_PARTS)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train) -> Model:
-    """The model of the labelled rows for which the condition `train` on doc_id holds."""
+def fit(docs: DataFrame, labels: DataFrame, train, most_words: int | None = None) -> Model:
+    """The model of the labelled rows for which the condition `train` on doc_id holds; of all words, or the surest ones."""
     import numpy as np
     import pyarrow as pa
 
@@ -140,7 +150,22 @@ def fit(docs: DataFrame, labels: DataFrame, train) -> Model:
     counted = rows.mapInArrow(count, "word string, toxic long, other long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     least = max(LEAST_TEXTS, LEAST_SHARE * n_toxic)
     lexicon = counted.where(F.col("toxic") >= least).withColumn("odds", odds).withColumn("errors", odds / F.sqrt(1 / a + 1 / b)).where((F.col("odds") >= LEAST_ODDS) & (F.col("errors") >= LEAST_ERRORS))
-    model.weights = {r.word: r.odds for r in lexicon.orderBy(F.desc("errors"), "word").limit(MOST_WORDS).collect()}
+    if most_words is not None:
+        lexicon = lexicon.orderBy(F.desc("errors"), "word").limit(most_words)
+    model.weights = {r.word: r.odds for r in lexicon.collect()}  # bounded by FIT_ROWS: a word is in LEAST_SHARE of the toxic ones
+    weights = model.weights
+
+    def phrases(batches):
+        toxic, other = Counter(), Counter()
+        for batch in batches:
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = fold(text or "").split()
+                (toxic if label else other).update({f"{a} {b}" for a, b in zip(words, words[1:], strict=False) if a in weights or b in weights})
+        names = list(toxic | other)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([x[k] for k in names], pa.int64()) for x in (toxic, other))], ["phrase", "toxic", "other"])
+
+    sums = rows.mapInArrow(phrases, "phrase string, toxic long, other long").groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    model.exceptions = EXCEPTIONS + tuple(sorted(r.phrase for r in sums.where((F.col("toxic") == 0) & (F.col("other") >= LEAST_SPARED)).collect()))
 
     def loads(batches):
         for batch in batches:
