@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import json
 import re
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import plain, plain_form
 from ..functions.text import WORD, excerpt
+from ..staging import bound_batches, shared_table
 
 #: Fixed value: characters within which terms stand near each other, if a rule does not say.
 WINDOW = 400
@@ -47,14 +49,13 @@ def term_pattern(term: str) -> str:
     return rf"(?<![{WORD}]){quoted}(?![{WORD}])"
 
 
-def _has(text: Column, term: str) -> Column:
-    """Cheap containment of the first word before the pattern is tried."""
-    words = plain_form(term).split()
-    return F.contains(text, F.lit(words[0] if words else "")) & F.regexp_like(text, F.lit(term_pattern(term)))
+def _opening(term: str) -> str:
+    return (plain_form(term).split() or [""])[0]
 
 
-def _first(text: Column, term: str) -> Column:
-    return F.length(F.get(F.split(text, term_pattern(term), 2), 0))
+def _has(text: Column, term: str) -> Column:
+    """Cheap containment of the first word before the pattern is tried."""
+    return F.contains(text, F.lit(_opening(term))) & F.regexp_like(text, F.lit(term_pattern(term)))
 
 
 def _starts(text: Column, term: str) -> Column:
@@ -110,9 +111,10 @@ def _any(text: Column, terms: list[str]) -> Column:
 def rule_matches(text: Column, rule: dict) -> Column:
     """array<struct<scenario, rule, kind, terms, position, excerpt>> of a rule in a text in plain form: one match for each phrase found, or each window."""
     if rule["kind"] == "phrase":
-        none = F.expr("cast(array() as array<struct<position:int,terms:array<string>>>)")
-        each = [F.when(_has(text, t), F.array(F.struct(_first(text, t).alias("position"), F.array(F.lit(t)).alias("terms")))).otherwise(none) for t in rule["groups"][0]]
-        found = F.concat(*each)
+        # One expression for all phrases, so a rule may have thousands; patterns are tried where the first word is there.
+        terms = F.array(*(F.struct(F.lit(t).alias("term"), F.lit(_opening(t)).alias("opening"), F.lit(term_pattern(t)).alias("pattern")) for t in rule["groups"][0]))
+        there = F.filter(terms, lambda t: F.contains(text, t["opening"]) & F.regexp_like(text, t["pattern"]))
+        found = F.transform(there, lambda t: F.struct(F.length(F.get(F.split(text, t["pattern"], 2), 0)).alias("position"), F.array(t["term"]).alias("terms")))
     else:
         found = _windows(text, rule["groups"], rule["window"])
     return F.transform(
@@ -125,20 +127,28 @@ def rule_matches(text: Column, rule: dict) -> Column:
 
 def inventory(docs: DataFrame, rules: list[dict], text: str = "text") -> DataFrame:
     """docs with `matches`: all matches of all rules, in order.  No row leaves its partition."""
+    bound_batches(docs.sparkSession)
     forms = docs.withColumn("__plain", plain(F.coalesce(text, F.lit(""))))
     return forms.withColumn("matches", F.concat(*(rule_matches(F.col("__plain"), r) for r in rules))).drop("__plain")
 
 
 def check(docs: DataFrame, rules: list[dict], text: str = "text") -> DataFrame:
     """docs with `match`: the first match of the first rule that has one; null for clean documents."""
+    bound_batches(docs.sparkSession)
     forms = docs.withColumn("__plain", plain(F.coalesce(text, F.lit(""))))
     firsts = [F.get(rule_matches(F.col("__plain"), r), 0) for r in rules]
     return forms.withColumn("match", F.coalesce(*firsts)).drop("__plain")
 
 
 def described(match: Column) -> Column:
-    """A match in a line, for reports."""
-    return F.concat(match["scenario"], F.lit("/"), match["rule"], F.lit(" ("), match["kind"], F.lit("): "), F.array_join(match["terms"], " + "), F.lit(" at "), match["position"].cast("string"))
+    """A match in a line, for events and reports."""
+    terms = F.concat(F.lit("["), F.array_join(F.transform(match["terms"], lambda t: F.concat(F.lit("'"), t, F.lit("'"))), ", "), F.lit("]"))
+    return F.concat(F.lit("contamination ["), match["scenario"], F.lit("/"), match["rule"], F.lit("] terms="), terms, F.lit(" @"), match["position"].cast("string"), F.lit(": « "), match["excerpt"], F.lit(" »"))
+
+
+def rules_described(rules: list[dict]) -> str:
+    scenarios = list(dict.fromkeys(r["scenario"] for r in rules))
+    return f"{len(rules)} rules over {len(scenarios)} scenario(s): {', '.join(scenarios)}"
 
 
 def audit(corpora: dict[str, DataFrame], rules: list[dict], key: str = "id") -> DataFrame:
@@ -148,3 +158,39 @@ def audit(corpora: dict[str, DataFrame], rules: list[dict], key: str = "id") ->
         own = inventory(docs, rules).select(F.lit(name).alias("corpus"), key, F.explode("matches").alias("m")).select("corpus", key, "m.*")
         out = own if out is None else out.unionByName(own)
     return out
+
+
+@dataclass
+class Audit:
+    """The state of each corpus (corpus, n_records, n_flagged, state), all matches, and whether none was found."""
+
+    states: DataFrame
+    matches: DataFrame
+    passed: bool
+
+    @property
+    def exit_code(self) -> int:
+        return 0 if self.passed else 1
+
+
+def audited(corpora: dict[str, DataFrame | None], rules: list[dict], key: str = "id") -> Audit:
+    """The verdict on several corpora.  One that is None is missing: it is listed, and does not fail the audit."""
+    there = {k: v for k, v in corpora.items() if v is not None}
+    spark = SparkSession.getActiveSession()
+    missing = spark.createDataFrame([(k, 0, 0, "missing") for k, v in corpora.items() if v is None], "corpus string, n_records long, n_flagged long, state string")
+    if not there:
+        return Audit(missing, spark.createDataFrame([], f"corpus string, {key} string"), True)
+    matches = shared_table(audit(there, rules, key), "audit")
+    sizes = None
+    for name, docs in there.items():
+        own = docs.agg(F.count("*").alias("n_records")).select(F.lit(name).alias("corpus"), "n_records")
+        sizes = own if sizes is None else sizes.unionByName(own)
+    flagged = matches.select("corpus", key).distinct().groupBy("corpus").agg(F.count("*").alias("n_flagged"))
+    states = sizes.join(flagged, "corpus", "left").withColumn("n_flagged", F.coalesce("n_flagged", F.lit(0)))
+    states = states.withColumn("state", F.when(F.col("n_flagged") > 0, "CONTAMINATED").otherwise("clean"))
+    return Audit(states.unionByName(missing), matches, matches.isEmpty())
+
+
+def text_audited(spark: SparkSession, text: str, rules: list[dict]) -> Audit:
+    """The verdict on one string."""
+    return audited({"text": spark.createDataFrame([("text", text)], "id string, text string")}, rules)

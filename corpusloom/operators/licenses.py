@@ -61,3 +61,8 @@ def license_file(files: DataFrame, key: str, name: str = "name", text: str = "te
 def mismatches(rows: DataFrame, declared: str = "license_declared", detected: str = "license_detected") -> DataFrame:
     """Rows whose detected license is not the declared one; the declared one counts, so these are warnings."""
     return rows.where(F.col(declared).isNotNull() & F.col(detected).isNotNull() & (F.col(declared) != F.col(detected)))
+
+
+def licensed(records: DataFrame, license: str = "license") -> DataFrame:
+    """What a user who needs a license may take: records that have one."""
+    return records.where(F.col(license) != NONE)

@@ -127,7 +127,7 @@ def joined_blocks(blocks: Column, least_score: float = LEAST_SCORE) -> Column:
     A block opens a line if its middle is far from that of the line's first block; far is measured by the mean height of
     all blocks, doubtful ones too.
     """
-    mean_height = F.aggregate(F.transform(blocks, lambda b: F.abs(b["bottom"] - b["top"]).cast("double")), F.lit(0.0), lambda a, b: a + b) / F.size(blocks)
+    mean_height = F.aggregate(F.transform(blocks, lambda b: F.abs(b["bottom"] - b["top"]).cast("double")), F.lit(0.0), lambda a, b: a + b) / F.greatest(F.size(blocks), F.lit(1))
     tolerance = F.greatest(F.lit(LINE_PIXELS), mean_height * LINE_SHARE)
     sure = F.filter(blocks, lambda b: b["score"] >= least_score)
     confidence = F.when(F.size(sure) > 0, F.aggregate(F.transform(sure, lambda b: b["score"].cast("double")), F.lit(0.0), lambda a, b: a + b) / F.size(sure)).otherwise(0.0)

@@ -12,11 +12,16 @@ REQUIRED = ("id", "source", "category", "tier", "license", "url", "lang", "text"
 TARGET_MIX = (("cat1", 0.60, 0.70), ("cat2", 0.15, 0.25), ("cat3", 0.10, 0.15))
 SHUFFLE_SEED = 20260721
 LANG = "en"
+PLACE_BITS = 56
 
 
-def assemble(drafts: DataFrame, category: str, collected_at: str, tier: str = "D", tokens: Column | None = None, extra: dict[str, Column] | None = None) -> DataFrame:
+def assemble(drafts: DataFrame, category: str, collected_at: str, tier: str = "D", tokens: Column | None = None, extra: dict[str, Column] | None = None, exact: bool | None = None) -> DataFrame:
     """Records of drafts (doc_id, source_type, source_name, license_status, url, text, and optionally ocr and
-    ocr_confidence).  extra adds fields and may not replace required ones.  The time is a parameter: a run is repeatable."""
+    ocr_confidence).  extra adds fields and may not replace required ones.  The time is a parameter: a run is repeatable.
+
+    tokens counts the tokens of a text, by a tokenizer unless exact is False (see functions.tokens); without it they are
+    estimated.
+    """
     if clash := sorted(set(REQUIRED) & set(extra or {})):
         raise ValueError(f"extra fields may not replace {clash}")
     has = set(drafts.columns)
@@ -32,7 +37,7 @@ def assemble(drafts: DataFrame, category: str, collected_at: str, tier: str = "D
         "lang": F.lit(LANG),
         "text": F.col("text"),
         "n_tokens": token_estimate(F.col("text")) if tokens is None else tokens,
-        "n_tokens_exact": F.lit(False),
+        "n_tokens_exact": F.lit(tokens is not None if exact is None else exact),
         "source_type": F.col("source_type"),
         "ocr": ocr,
         "collected_at": F.lit(collected_at),
@@ -55,10 +60,11 @@ def validated(records: DataFrame) -> DataFrame:
 
 
 def union(categories: dict[str, DataFrame]) -> DataFrame:
-    """All categories in order, with `ord` that orders the whole; fields that a category lacks are null."""
+    """All categories in order, with `ord` (long) that orders the whole; fields that a category lacks are null.  The place of
+    the category stands above PLACE_BITS, and the row in it below, for as many as 2^23 partitions."""
     out = None
     for place, (name, rows) in enumerate(categories.items()):
-        own = rows.withColumn("category", F.lit(name)).withColumn("ord", F.struct(F.lit(place).alias("category"), F.monotonically_increasing_id().alias("row")))
+        own = rows.withColumn("category", F.lit(name)).withColumn("ord", F.lit(place << PLACE_BITS).cast("long") + F.monotonically_increasing_id())
         out = own if out is None else out.unionByName(own, allowMissingColumns=True)
     return out
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quota import running_total
 from .records import TARGET_MIX
 
 OUTCOMES = ("fail", "warn", "skip", "ok")
@@ -13,8 +14,9 @@ OUTCOMES = ("fail", "warn", "skip", "ok")
 def by(rows: DataFrame, *keys: str, tokens: str = "n_tokens") -> DataFrame:
     """Documents, tokens and mean tokens by keys, with the share of all tokens in percent."""
     sums = rows.groupBy(*keys).agg(F.count("*").alias("n_docs"), F.sum(F.coalesce(tokens, F.lit(0))).cast("long").alias("tokens"))
-    whole = F.sum("tokens").over(Window.partitionBy())
-    return sums.withColumn("share_pct", F.when(whole > 0, F.col("tokens") * 100.0 / whole)).withColumn("mean_tokens", F.floor(F.col("tokens") / F.col("n_docs")).cast("long"))
+    whole = rows.agg(F.sum(F.coalesce(tokens, F.lit(0))).cast("long").alias("__whole"))  # one row
+    shared = sums.join(F.broadcast(whole)).withColumn("share_pct", F.when(F.col("__whole") > 0, F.col("tokens") * 100.0 / F.col("__whole")))
+    return shared.withColumn("mean_tokens", F.floor(F.col("tokens") / F.col("n_docs")).cast("long")).drop("__whole")
 
 
 def source_table(rows: DataFrame, budget: Column) -> DataFrame:
@@ -38,8 +40,24 @@ def with_total(rows: DataFrame, key: str, tokens: str = "n_tokens") -> DataFrame
 
 
 def distribution(rows: DataFrame, tokens: str = "n_tokens") -> DataFrame:
-    """Median, 95th percentile and maximum of tokens."""
-    return rows.agg(F.percentile(tokens, F.lit(0.5)).alias("median"), F.percentile(tokens, F.lit(0.95)).alias("p95"), F.max(tokens).cast("long").alias("largest"))
+    """Median, 95th percentile and maximum of tokens, exact and interpolated.
+
+    Documents are counted by their tokens first, so what is sorted is a row for each different count; the two counts beside
+    each percentile are found from the running sums of a row a range.
+    """
+    counts = rows.where(F.col(tokens).isNotNull()).groupBy(F.col(tokens).cast("long").alias("v")).agg(F.count("*").alias("n"))
+    summed = running_total(counts, [], ["v"], F.col("n"), "before")
+    total = counts.agg(F.sum("n").alias("all"), F.max("v").alias("largest"))
+    placed = summed.join(F.broadcast(total))
+
+    def at(share: float) -> Column:
+        place = (F.col("all") - 1) * F.lit(share)
+        low, high = F.floor(place), F.ceil(place)
+        inside = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
+        below, above = F.max(F.when(inside(low), F.col("v"))), F.max(F.when(inside(high), F.col("v")))
+        return below + (above - below) * F.max(place - low)
+
+    return placed.agg(at(0.5).alias("median"), at(0.95).alias("p95"), F.max("largest").alias("largest"))
 
 
 def mix(rows: DataFrame, bands: tuple = TARGET_MIX, key: str = "category", tokens: str = "n_tokens") -> DataFrame:
@@ -74,6 +92,27 @@ def manuals_checklist(manuals: DataFrame, files: DataFrame, permitted: Column) -
     return rows.withColumn("collectible", permitted).withColumn("ready", F.col("present") & F.col("collectible"))
 
 
+def checklist_counts(checklist: DataFrame) -> DataFrame:
+    """How many manuals there are, and how many are present, permitted, and collectible now."""
+    return checklist.agg(F.count("*").alias("manuals"), *(F.count_if(k).alias(k) for k in ("present", "collectible", "ready")))
+
+
+def total_budget(catalogue: DataFrame) -> DataFrame:
+    """The tokens of all budgets."""
+    return catalogue.agg(F.coalesce(F.sum("token_budget"), F.lit(0)).cast("long").alias("total_budget"))
+
+
+def by_family(catalogue: DataFrame) -> DataFrame:
+    """The sources of each family, by name, and the sum of their budgets."""
+    return catalogue.groupBy("family").agg(F.array_sort(F.collect_list("source_id")).alias("sources"), F.sum("token_budget").cast("long").alias("token_budget"))
+
+
+def papers_represented(kept: DataFrame, pool: DataFrame, group: str = "grp") -> DataFrame:
+    """Distinct papers that kept documents are from, and of the pool."""
+    n = F.count_distinct(group)
+    return kept.agg(n.alias("kept")).join(F.broadcast(pool.agg(n.alias("pool"))))
+
+
 def cell(value: object) -> str:
     """A value in a cell of a Markdown table."""
     text = "" if value is None else f"{value:,}" if isinstance(value, int) and not isinstance(value, bool) else str(value)
@@ -87,11 +126,98 @@ def markdown(title: str, rows: DataFrame) -> str:
     return "\n".join([*lines, *(f"| {' | '.join(map(cell, r))} |" for r in rows.collect())]) + "\n"
 
 
-def run_report(name: str, events: DataFrame, seconds: float) -> str:
-    """Markdown report of a run: counts, then failures, warnings, what was left out, and successes, none of them silent."""
+#: Events that a report lists at most for each outcome; counts are always whole, and so is the event table itself.
+LISTED = {"fail": 1000, "warn": 1000, "skip": 200, "ok": 200}
+#: Headings of the outcomes in a run report.
+LABELS = {"fail": "Failures", "warn": "Warnings", "skip": "Skipped", "ok": "Successes"}
+
+
+def run_report(name: str, events: DataFrame, seconds: float, started: str = "", context: dict[str, str] | None = None) -> str:
+    """Markdown report of a run: counts, then failures, warnings, what was left out, and successes, none of them silent.
+
+    Counts cover all events, by outcome and reason.  Of each outcome the first LISTED events are shown one by one, with
+    tracebacks folded if the events have a column trace; a line says how many there are besides.  The driver gets no more
+    rows than that, whatever the number of events.
+    """
     counts = outcome_counts(events).first().asDict()
-    parts = [f"# {name}", "", f"Duration: {seconds:.1f} s", "", "| outcome | n |", "|---|---|", *(f"| {k} | {n} |" for k, n in counts.items()), f"| total | {sum(counts.values())} |", ""]
-    for outcome in OUTCOMES:
-        if counts[outcome]:
-            parts.append(markdown(outcome.upper(), events.where(F.col("outcome") == outcome).select("item", "reason", "message").orderBy("item")))
+    parts = [f"# {name} — run report", "", *([f"- Started: {started}"] if started else []), f"- Duration: {seconds:.1f} s", *(f"- {k}: {v}" for k, v in (context or {}).items()), ""]
+    parts += ["## Summary", "", "| outcome | n |", "|---|---|", *(f"| {k} | {n} |" for k, n in counts.items()), f"| **total** | **{sum(counts.values())}** |", ""]
+    traced = "trace" in events.columns
+    columns = ["item", "reason", "message"]
+    for outcome in (x for x in OUTCOMES if counts[x]):
+        own = events.where(F.col("outcome") == outcome)
+        shown = own.select(*columns, *(["trace"] if traced else [])).orderBy("item", "reason").limit(LISTED[outcome])
+        parts.append(markdown(f"{LABELS[outcome]} ({counts[outcome]}) by reason", own.groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(LISTED[outcome])))
+        parts.append(markdown(LABELS[outcome], shown.select(*columns)))
+        if counts[outcome] > LISTED[outcome]:
+            parts.append(f"and {counts[outcome] - LISTED[outcome]} more, in the event table\n")
+        for r in shown.where("trace is not null").collect() if traced else ():
+            parts.append(f"<details><summary><code>{r.item}</code></summary>\n\n```\n{r.trace}\n```\n\n</details>\n")
     return "\n".join(parts)
+
+
+def _lines(title: str, rows: DataFrame, form: str) -> str:
+    return "\n".join([f"## {title}", "", *(form.format(*r) for r in rows.collect()), ""])
+
+
+def _outside(license: Column) -> Column:
+    """The license, marked if it is outside of what is allowed."""
+    outside = (license == "no-license") | F.startswith(license, F.lit("flagged:"))
+    return F.concat(license, F.when(outside, "  <- outside allowlist, inclusion on a recorded decision").otherwise(""))
+
+
+def _heading(title: str, kept: DataFrame, facts: dict[str, str]) -> str:
+    sums = kept.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.min("n_tokens_exact"), F.lit(False)).alias("exact")).first()
+    exact = "exact" if sums.exact else "approximate"
+    return "\n".join([f"# {title} — statistics", "", *(f"- {k}: {v}" for k, v in facts.items()), f"- Records: {sums.n}", f"- Total tokens: {sums.tokens:,} ({exact})", ""])
+
+
+def category_report(title: str, kept: DataFrame, sources: DataFrame, events: DataFrame, masked: DataFrame, facts: dict[str, str] | None = None) -> str:
+    """The report of a category of sources: by family, source, kind and license, what was left out, and masked secrets.
+
+    kept: records with family, kind, license, n_tokens.  sources: source_id, family, kept, tokens, token_budget, over_quota.
+    masked: kind, n.
+    """
+    return "\n".join([
+        _heading(title, kept, facts or {}),
+        markdown("Per source family", by(kept, "family").orderBy(F.desc("tokens"), "family").select("family", "n_docs", "tokens", F.concat(F.format_number("share_pct", 1), F.lit(" %")).alias("share"))),
+        markdown("Per source", sources.orderBy(F.desc("tokens"), "source_id").select("source_id", "family", "kept", "tokens", "token_budget", "over_quota")),
+        _lines("Per content nature", kept.groupBy("kind").count().orderBy("kind"), "- {}: {} documents"),
+        _lines("Per license", kept.groupBy("license").count().orderBy("license"), "- {}: {}"),
+        markdown("Dropped documents", dropped_by_reason(events)),
+        _lines("Masked secrets", masked, "- {}: {}") if not masked.isEmpty() else "## Masked secrets\n\n- no secret detected in the retained sources\n",
+    ])
+
+
+def extraction_report(title: str, kept: DataFrame, events: DataFrame, facts: dict[str, str] | None = None) -> str:
+    """The report of a category of robots and manuals: by source type and license, how texts were extracted, and what was
+    left out.  kept: records with source_type, license, n_tokens, ocr, ocr_confidence."""
+    by_type = by(kept, "source_type").orderBy("source_type").select("source_type", "n_docs", "tokens", "mean_tokens")
+    quality = kept.agg(F.count_if(~F.col("ocr")).alias("native"), F.count_if("ocr").alias("ocr")).first()
+    recognised = kept.where("ocr").select("id", "ocr_confidence").orderBy("id").limit(LISTED["ok"])
+    return "\n".join([
+        _heading(title, kept, facts or {}),
+        _lines("Per source type", by_type, "- {}: {} records, {} tokens (mean {})"),
+        _lines("Per license", kept.groupBy(_outside(F.col("license")).alias("license")).count().orderBy("license"), "- {}: {}"),
+        f"## Extraction quality\n\n- Native extraction: {quality.native}\n- Text from OCR: {quality.ocr}",
+        *(f"  - `{r.id}` — mean confidence {r.ocr_confidence}" for r in recognised.collect()),
+        "",
+        markdown("Skipped", dropped_by_reason(events)),
+    ])
+
+
+def merged_report(title: str, kept: DataFrame, events: DataFrame, facts: dict[str, str] | None = None) -> str:
+    """The report of the whole corpus: the mix and its verdict, and figures by category, tier, license and nature."""
+    shares = mix(kept).orderBy("category").collect()
+    bands = {c: (low, high) for c, low, high in TARGET_MIX}
+    verdict = "COMPLIANT" if all(r.in_band for r in shares) else "NON-COMPLIANT"
+    rows = [f"| {r.category} | {r.tokens:,} | {100 * r.share:.1f} % | {100 * bands[r.category][0]:.0f}-{100 * bands[r.category][1]:.0f} % | {'OK' if r.in_band else 'OUT OF BAND'} |" for r in shares]
+    return "\n".join([
+        _heading(title, kept, facts or {}),
+        "## Mix per category", "", "| Category | Tokens | Share | Target band | Verdict |", "|---|---:|---:|---:|---|", *rows, "", f"**Overall mix: {verdict}**", "",
+        markdown("Documents per category", with_total(kept, "category").withColumn("mean", F.floor(F.col("tokens") / F.col("n_docs"))).orderBy((F.col("category") == "TOTAL"), "category")),
+        _lines("Per tier", by(kept, "tier").orderBy("tier").select("tier", "tokens"), "- {}: {:,} tokens"),
+        markdown("Per license", kept.groupBy(_outside(F.col("license")).alias("license")).agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "license")),
+        _lines("Per source nature", kept.groupBy("source_type").count().orderBy(F.desc("count"), "source_type"), "- {}: {} documents"),
+        markdown("Dropped at merge time", dropped_by_reason(events)),
+    ])

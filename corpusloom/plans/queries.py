@@ -207,7 +207,7 @@ def id_collision(spark, sf):
 def merge_union(spark, sf):
     parts = {x: _categories(spark, sf).where(F.col("category") == x).drop("ord") for x in ("cat1", "cat2", "cat3")}
     rows = records.union(parts)
-    return rows.groupBy("category", F.col("ord.category").cast("long").alias("place")).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").cast("long").alias("tokens"))
+    return rows.groupBy("category", F.shiftright("ord", records.PLACE_BITS).alias("place")).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").cast("long").alias("tokens"))
 
 
 def _robots(spark):

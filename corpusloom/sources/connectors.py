@@ -135,6 +135,27 @@ def repository_tree(owner_and_name: str, ref: str = "HEAD") -> list[str]:
     return [x["path"] for x in tree if x["type"] == "blob" and x["path"].endswith(".urdf")]
 
 
+def with_repositories(robots: DataFrame, descriptions: DataFrame, repositories: DataFrame) -> DataFrame:
+    """robots (module) with url, commit and license of the repository that each description is from (descriptions: module,
+    repository; repositories: repository, url, commit, license); nulls where none is known."""
+    return robots.join(descriptions.join(repositories, "repository", "left"), "module", "left")
+
+
+def flat_name(path: str) -> str:
+    """The name of a repository's file in one folder."""
+    return path.replace("/", "_")
+
+
+def fetch_files(owner_and_name: str, paths: list[str], to: Path, ref: str = "HEAD") -> list[Path]:
+    """Downloads files of a hosted repository, MOST_FILES at most, to a folder under flat names."""
+    to.mkdir(parents=True, exist_ok=True)
+    out = []
+    for path in paths[:MOST_FILES]:
+        out.append(to / flat_name(path))
+        out[-1].write_bytes(_get(f"https://raw.githubusercontent.com/{owner_and_name}/{ref}/{path}"))
+    return out
+
+
 def wanted_repositories(repositories: DataFrame, topics: list[str], licenses: list[str]) -> DataFrame:
     """Of hosted repositories (robot, name, stars, topics, license) the most starred of each robot, MOST_FILES at most, by
     topics and licenses.  The limit is part of the collection's rule."""

@@ -30,9 +30,13 @@ def stem(path: Column) -> Column:
 
 
 def scan(spark: SparkSession, root: str, extensions: tuple[str, ...] = ()) -> DataFrame:
-    """rel_path, ext, content, path_parts of all files below root (a/b.md sorts by its parts).  Wanted extensions are
-    filtered on the path, before contents are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """rel_path, ext, content, path_parts of all files below root (a/b.md sorts by its parts).  Wanted extensions (in lower
+    case) go to the listing of files as a glob, so no others are opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if extensions:
+        either = ",".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in x) for x in extensions)
+        reader = reader.option("pathGlobFilter", f"*{{{either}}}")
+    files = reader.load(root)
     inside = F.regexp_replace("path", F.lit(rf"^.*?{re.escape(root.rstrip('/').removeprefix('file:'))}/"), F.lit(""))
     rows = files.select(inside.alias("rel_path"), "content").withColumn("ext", extension(F.col("rel_path")))
     if extensions:
