@@ -5,12 +5,13 @@ documents stand for candidates: source is the source, lang the group, doc_id the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lines
 from ..functions import text as T
 from ..operators import contamination, dedup, licenses, pages, quota, records, scrub, stats, urdf
+from ..sources import files
 from .build import build_category
 
 BUDGET = 8000
@@ -24,11 +25,6 @@ RULES = contamination.load_rules(
       {"id": "off", "enabled": false, "rules": [{"type": "phrase", "phrases": ["the"]}]}]}"""
 )
 
-ARM = """<robot name="arm"><link name="base"><inertial><mass value="3.5"/></inertial></link><link name="upper"><inertial><mass value="1.25"/></inertial></link>
-<link name="tool"/><joint name="j1" type="revolute"><parent link="base"/><child link="upper"/><origin xyz="0 0 0.5" rpy="0 1.5707963 0"/><axis xyz="0 0 1"/><limit lower="-1.5" upper="1.5" effort="40" velocity="2"/></joint>
-<joint name="j2" type="fixed"><parent link="upper"/><child link="tool"/><origin xyz="0.25 0 0"/></joint></robot>"""
-RING = """<robot name="ring"><link name="a"/><link name="b"/><joint name="x" type="planar"><parent link="a"/><child link="b"/></joint><joint name="y" type="ball"><parent link="b"/><child link="a"/></joint></robot>"""
-
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
@@ -43,6 +39,13 @@ def _column(*named):
     return lambda spark, sf: documents(spark, sf).select("doc_id", *(f(F.col("text")).alias(name) for name, f in named))
 
 
+def rst_clean(spark, sf):
+    """Texts with images after paragraphs, roles, an orphan mark, an anchor and a note written into them."""
+    image = F.replace("text", F.lit("\n\n"), F.lit("\n.. image:: x\n   :alt: y\n\n"))
+    raw = F.concat(F.replace(image, F.lit(" of "), F.lit(" :ref:`of` ")), F.lit("\n:orphan:\n.. _a:\n.. note::\n\tkept"))
+    return documents(spark, sf).select("doc_id", lines.clean_rst(raw).alias("text"))
+
+
 def exact_dedup_first_wins(spark, sf):
     found = dedup.exact_duplicates(documents(spark, sf), "doc_id")
     return found.select("doc_id", F.when(F.col("first") < F.col("doc_id"), F.col("first")).alias("duplicate_of"))
@@ -86,7 +89,7 @@ def contamination_phrases(spark, sf):
 
 def contamination_inventory(spark, sf):
     got = contamination.inventory(documents(spark, sf).select("doc_id", "text"), RULES)
-    return got.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.rule", F.array_join("m.terms", "+").alias("terms"), "m.position")
+    return got.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.rule", F.array_join("m.terms", "+").alias("terms"), F.col("m.position").cast("long").alias("position"))
 
 
 def license_detect(spark, sf):
@@ -140,7 +143,8 @@ def split_document(spark, sf):
 
 
 def minhash_signature(spark, sf):
-    return documents(spark, sf).select("doc_id", dedup.minhash(T.hash_form(F.col("text"))).alias("signature"))
+    signature = dedup.minhash(T.hash_form(F.col("text")))
+    return documents(spark, sf).select("doc_id", F.array_join(signature.cast("array<string>"), ",").alias("signature"))
 
 
 def near_dedup_greedy(spark, sf):
@@ -191,7 +195,8 @@ def _drafts(spark, sf):
 
 
 def assemble_record(spark, sf):
-    return records.assemble(_drafts(spark, sf), "cat1", COLLECTED, "A").drop("ocr_confidence")
+    drafts = _drafts(spark, sf).withColumn("ocr", F.col("doc_id") % 3 == 0).withColumn("ocr_confidence", (F.col("doc_id") % 97) / 97.0)
+    return records.assemble(drafts, "cat1", COLLECTED, "A")
 
 
 def validate_record(spark, sf):
@@ -210,18 +215,97 @@ def merge_union(spark, sf):
     return rows.groupBy("category", F.shiftright("ord", records.PLACE_BITS).alias("place")).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").cast("long").alias("tokens"))
 
 
-def _robots(spark):
-    return spark.createDataFrame([("arm", ARM), ("ring", RING)], "robot_id string, raw string").withColumn("model", urdf.model(F.col("raw")))
+def _robots(spark, sf):
+    """A robot a nation, written out as XML: its suppliers are links, each joined to the one before."""
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select("s_nationkey", "s_suppkey", "s_acctbal")
+    n = F.col("s_suppkey")
+    mass = F.when(n % 3 > 0, F.concat(F.lit('<inertial><mass value="'), F.col("s_acctbal").cast("string"), F.lit('"/></inertial>'))).otherwise("")
+    link = F.concat(F.lit('<link name="s'), n.cast("string"), F.lit('">'), mass, F.lit("</link>"))
+    kind = F.get(F.array(*map(F.lit, ("revolute", "fixed", "planar", "prismatic", "ball"))), (n % 5).cast("int"))
+    limit = F.concat(F.lit('<limit lower="-'), (n % 4).cast("string"), F.lit('" upper="'), (n % 7).cast("string"), F.lit('.5" effort="'), (n % 50).cast("string"), F.lit('" velocity="2"/>'))
+    listed = F.array_sort(F.collect_list(F.struct(n.alias("n"), link.alias("link"), kind.alias("kind"), limit.alias("limit"))))
+
+    def joint(x, i):
+        before = F.get(F.col("rows"), i)
+        return F.concat(F.lit('<joint name="j'), x["n"].cast("string"), F.lit('" type="'), x["kind"], F.lit('"><parent link="s'), before["n"].cast("string"), F.lit('"/><child link="s'), x["n"].cast("string"), F.lit('"/><origin xyz="0.25 0 0.1" rpy="0 0 0.5"/>'), x["limit"], F.lit("</joint>"))
+
+    robots = rows.groupBy("s_nationkey").agg(listed.alias("rows"))
+    body = F.concat(F.array_join(F.transform("rows", lambda x: x["link"]), ""), F.array_join(F.transform(F.slice("rows", 2, 1 << 30), joint), ""))
+    raw = F.concat(F.lit('<robot name="nation '), F.col("s_nationkey").cast("string"), F.lit('">'), body, F.lit("</robot>"))
+    return robots.select(F.col("s_nationkey").alias("robot_id"), urdf.model(raw).alias("model"))
 
 
 def urdf_capabilities(spark, sf):
-    return urdf.capabilities(_robots(spark)).select(
-        "robot_id", *(F.col(f"cap.{k}").cast("long").alias(k) for k in ("n_links", "n_joints", "dof", "actuated_joint_count", "links_without_mass", "n_root_links", "n_leaf_links")), "cap.total_mass_kg", "cap.max_joint_effort", "cap.sum_actuated_range_rad_or_m", "cap.root_link", "cap.kinematic_span_m"
-    )
+    counts = ("n_links", "n_joints", "dof", "actuated_joint_count", "links_without_mass", "n_root_links", "n_leaf_links")
+    values = ("robot_name", "total_mass_kg", "max_joint_effort", "max_joint_velocity", "sum_actuated_range_rad_or_m", "root_link", "kinematic_span_m")
+    types = F.array_join(F.array_sort(F.transform(F.map_entries("cap.joint_types"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))), ",")
+    return urdf.capabilities(_robots(spark, sf)).select("robot_id", *(F.col(f"cap.{k}").cast("long").alias(k) for k in counts), *(f"cap.{k}" for k in values), types.alias("joint_types"))
 
 
 def urdf_document(spark, sf):
-    return urdf.robot_document(_robots(spark)).select("robot_id", "text")
+    return urdf.robot_document(_robots(spark, sf)).select("robot_id", "text")
+
+
+def urdf_description(spark, sf):
+    return urdf.capabilities(_robots(spark, sf)).select("robot_id", F.regexp_extract(urdf.description(F.col("cap")), r"^.*?actuated joints\.", 0).alias("opening"))
+
+
+def budget_by_family(spark, sf):
+    catalogue = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_name").alias("source_id"), F.col("n_regionkey").cast("string").alias("family"), (F.col("n_nationkey") * 1000).cast("long").alias("token_budget"))
+    return stats.by_family(catalogue).join(stats.total_budget(catalogue)).select("family", F.array_join("sources", ",").alias("sources"), "token_budget", "total_budget")
+
+
+def stats_by_license(spark, sf):
+    rows = _drafts(spark, sf).withColumn("n_tokens", T.token_estimate(F.col("text"))).withColumn("lang", F.substring("source_name", 4, 1))
+    return stats.by(rows, "license_status", "lang").select("license_status", "lang", "n_docs", "tokens", "mean_tokens")
+
+
+def dropped_by_reason(spark, sf):
+    reason = F.when(F.col("n_chars") < 200, "short").when(F.col("lang") != "en", "language")
+    events = documents(spark, sf).select(F.when(reason.isNull(), "ok").otherwise("skip").alias("outcome"), reason.alias("reason"))
+    return stats.dropped_by_reason(events)
+
+
+def papers_represented(spark, sf):
+    pool = documents(spark, sf).select(F.concat(F.lit("arxiv:"), (F.col("doc_id") % 90).cast("string")).alias("grp"), "n_chars")
+    return stats.papers_represented(pool.where("n_chars > 4000"), pool)
+
+
+def manuals_checklist(spark, sf):
+    manuals = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_name").alias("robot_id"), (F.col("s_suppkey") % 3 == 0).alias("free"))
+    files = spark.read.parquet(f"{sf}/supplier.parquet").where("s_suppkey % 2 = 0").select(F.col("s_name").alias("robot_id"))
+    return stats.checklist_counts(stats.manuals_checklist(manuals, files, F.col("free")))
+
+
+def best_file(spark, sf):
+    rows = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_brand").alias("robot_id"), F.col("p_name").alias("name"), F.when(F.col("p_size") % 2 == 0, F.col("p_name")).alias("preferred"))
+    return files.best_file(rows.withColumn("preferred", F.max("preferred").over(Window.partitionBy("robot_id"))), "robot_id", "preferred")
+
+
+def file_kind(spark, sf):
+    head = F.get(F.array(*(F.lit(x) for x in ("%PDF-1.4", "  <!DOCTYPE html>", "PK\u0003\u0004", "<HTML><body>", ""))), (F.col("doc_id") % 5).cast("int"))
+    return documents(spark, sf).select("doc_id", files.file_kind(F.concat(head, F.col("text")).cast("binary")).alias("kind"))
+
+
+def clean_file(spark, sf):
+    ext = F.get(F.array(F.lit(".md"), F.lit(".py"), F.lit(".markdown")), (F.col("doc_id") % 3).cast("int"))
+    return documents(spark, sf).select("doc_id", lines.clean_file(F.concat(F.lit("---\na: b\n---\n"), F.col("text")), ext).alias("text"))
+
+
+def replaced_rows(spark, sf):
+    old = documents(spark, sf).select(F.col("source").alias("source_id"), "doc_id")
+    new = old.where("source_id < 'src13'").select("source_id", (F.col("doc_id") + 1_000_000).alias("doc_id"))
+    return files.replace_rows(old, new, "source_id")
+
+
+def selected_paths(spark, sf):
+    path = F.regexp_replace("url", r"^[a-z]+://[^/]+/?", "")
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", files.selected(path, ["en/**", "f?/*"], ["*top", "en/2*"]).alias("selected"))
+
+
+def excerpts(spark, sf):
+    at = (F.col("doc_id") % 300).cast("int")
+    return documents(spark, sf).select("doc_id", T.excerpt(F.col("text"), at, at + 5, 40).alias("excerpt"))
 
 
 def ocr_render_plan(spark, sf):
@@ -257,7 +341,7 @@ QUERIES = {
     "collapse_blank_lines": _column(("text", T.collapsed)),
     "generated_filter": _column(("generated", T.looks_generated)),
     "markdown_clean": _column(("text", T.clean_markdown)),
-    "rst_clean": _column(("text", lines.clean_rst)),
+    "rst_clean": rst_clean,
     "strip_bibliography": _column(("text", T.without_bibliography)),
     "latex_strip": _column(("text", T.without_latex)),
     "plain_form": _column(("text", lines.plain)),
@@ -295,6 +379,18 @@ QUERIES = {
     "merge_union": merge_union,
     "urdf_capabilities": urdf_capabilities,
     "urdf_document": urdf_document,
+    "urdf_description": urdf_description,
+    "budget_by_family": budget_by_family,
+    "stats_by_license": stats_by_license,
+    "dropped_by_reason": dropped_by_reason,
+    "papers_represented": papers_represented,
+    "manuals_checklist": manuals_checklist,
+    "best_file": best_file,
+    "file_kind": file_kind,
+    "clean_file": clean_file,
+    "replaced_rows": replaced_rows,
+    "selected_paths": selected_paths,
+    "excerpts": excerpts,
     "ocr_render_plan": ocr_render_plan,
     "ocr_band_merge": ocr_band_merge,
 }
