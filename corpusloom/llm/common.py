@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from ..staging import bound_batches, drop_tables, scratch_path, shared_table
 
-__all__ = ["bitmap", "bound_batches", "drop_tables", "in_bitmap", "scratch_path", "shared_table"]
+__all__ = ["apart", "bitmap", "bound_batches", "drop_tables", "in_bitmap", "scratch_path", "shared_table"]
+
+def apart(docs: DataFrame, *own: str):
+    """(docs with all columns but `own` under names that no operator uses, a function that gives a result their names back)."""
+    names = docs.columns
+    safe = [x if x in own else f"extra_{i}" for i, x in enumerate(names)]
+    return docs.toDF(*safe), lambda out: out.select(*(F.col(f"`{x}`") for x in safe)).toDF(*names)
+
 
 #: Bytes of a bitmap that travel in one row.
 BITMAP_SLICE = 1 << 16

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, shared_table
+from .common import bound_batches, drop_tables, shared_table
 from .graph import connected_components
 from .vectors import matrix, unit_rows, usable
 
@@ -130,13 +130,13 @@ def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.93, prefi
     bound_batches(vectors.sparkSession)
     ok = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = vectors.select(F.col("vec_id").cast("long"), F.when(ok, F.col("label")).alias("label"), F.when(ok, F.col("embedding")).alias("embedding"))
-    grouped = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    entries = shared_table(grouped, "vectors")
+    grouped = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+    entries = shared_table(grouped.withColumn("rep", F.monotonically_increasing_id()), "vectors")
     length, pivots = (0, []) if exact else pick_pivots(entries, entries.count())
     n_pivots = len(pivots)
     described = shared_table(describe(entries, length, pivots, prefix, shared), "pivot-lists")
 
-    placed = described.where("rep is not null").withColumn("pivot", F.explode("lists"))
+    placed = described.withColumn("pivot", F.explode("lists"))
     sizes = placed.groupBy("label", "pivot").count().where(F.col("count") > BLOCK)
     blocks = shared_table(sizes.select("label", "pivot", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "list-blocks")
     in_blocks = (
@@ -156,12 +156,16 @@ def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.93, prefi
     counts = shared_table(found.groupBy("rep").agg(F.sum("links").alias("links")), "link-counts")
     components = connected_components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     own = entries.select("label", "embedding", "rep", "copies")
-    component = F.coalesce("component", "rep", "vec_id")
+    reached = entries.select("rep", "first").join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    lowest = reached.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = shared_table(reached.join(lowest, "component").select("rep", "component_id"), "vector-components")
+    drop_tables(described, blocks, found)
+    component = F.coalesce("component_id", "vec_id")
     return (
         rows.join(own, ["label", "embedding"], "left")
         .select("vec_id", "rep", "copies")
         .join(counts, "rep", "left")
-        .join(components.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(named, "rep", "left")
         .select(
             "vec_id",
             (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).alias("n_links"),

@@ -2,22 +2,56 @@
 
 import random
 
-from corpusloom.llm.line_dedup import chunks, compared, line_dedup
+import xxhash
+
+from corpusloom.llm.line_dedup import chunks, line_dedup, units
+
+
+def plain_chunks(lines):
+    """(first, end) of chunks of lines: a line ends one if the sum of its hash and BASE times the hash before is 0 modulo
+    DIVISOR in its top bits and that of the line before is not; written with plain integers."""
+    if len(lines) < 2:
+        return [(0, len(lines))]
+    mask, base = (1 << 64) - 1, 0x9E3779B97F4A7C15
+    h = [xxhash.xxh3_64_intdigest(x) for x in lines]
+    zero = [((((h[i] + base * (h[i - 1] if i else 0)) & mask) * base & mask) >> 40) % 2 == 0 for i in range(len(h))]
+    ends = [i > 0 and zero[i] and not zero[i - 1] for i in range(len(h))]
+    borders = [0, *(i + 1 for i in range(len(h) - 1) if ends[i]), len(h)]
+    return list(zip(borders, borders[1:]))
+
+
+def plain_units(text):
+    """(first, end) of what is compared: chunks of two lines and 48 bytes or more, and from each line the fewest lines
+    forwards and backwards with more than 50 words."""
+    rows = text.split("\n")
+    lines, out = [x.encode() for x in rows], set()
+    words = [len(x.split()) for x in rows]
+    out |= {(a, b) for a, b in plain_chunks(lines) if b - a > 1 and len(b"\n".join(lines[a:b])) >= 48}
+    for i in range(len(rows)):
+        for step in (1, -1):
+            j, n = i, 0
+            while 0 <= j < len(rows) and n <= 50:
+                n += words[j]
+                j += step
+            if n > 50:
+                out.add((i, j) if step > 0 else (j + 1, i + 1))
+    return sorted(out)
 
 
 def brute(rows):
+    """All documents in order: a unit whose bytes an earlier unit has goes."""
     seen, out = set(), []
     for i, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         if text is None:
             out.append((i, None))
             continue
-        gone = []
-        for _, a, b, raw in compared(text):
+        lines, drop = text.split("\n"), set()
+        for a, b in plain_units(text):
+            raw = "\n".join(lines[a:b])
             if raw in seen:
-                gone.append((a, b))
+                drop |= set(range(a, b))
             seen.add(raw)
-        drop = {k for a, b in gone for k in range(a, b)}
-        out.append((i, "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop)))
+        out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in drop)))
     return out
 
 
@@ -42,6 +76,21 @@ def test_borders_resist_shifts():
     assert all(b - a > 1 for a, b in chunks(lines)[:-1])
 
 
+def test_units_equal_plain_ones():
+    draw = random.Random(5)
+    for _ in range(300):
+        text = "\n".join(" ".join(draw.choice("abc") * 3 for _ in range(draw.choice((0, 1, 5, 30, 60)))) for _ in range(draw.randrange(1, 15)))
+        a, b, _ = units(text)
+        assert list(zip(a.tolist(), b.tolist())) == plain_units(text)
+
+
+def test_clashing_columns(spark):
+    text = "\n".join(f"line number {k} of a passage" for k in range(40))
+    docs = spark.createDataFrame([(1, text, "x", 5), (2, text, "y", 6)], "doc_id long, text string, __gone string, __lines int")
+    got = {r.doc_id: r for r in line_dedup(docs).collect()}
+    assert got[1]["__gone_lines"] == 0 and got[2]["__gone_lines"] == 40 and got[1]["__lines"] == 40
+
+
 def test_repeated_rows_and_empty(spark):
     text = "\n".join(f"line number {k} of a passage" for k in range(40))
     rows = [(1, text), (1, text), (2, text)]

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from corpusloom.llm.secrets import redacted, secret_spans
 
 HEX40 = "0123456789abcdef0123456789abcdef01234567"
@@ -69,3 +71,24 @@ def test_redaction_masks_credentials_in_a_few_sources(spark):
     got = {r.doc_id: r.text for r in redacted(docs(spark, known + few + copies + many)).collect()}
     assert not any(v in t for t in got.values() for v in (HEX40, LIVE, COPIED))
     assert all(got[40 + k] == f"text {k} {example}" for k in range(12))
+
+
+def test_owners_differ_from_repositories(spark):
+    """Two repositories of one owner leave a value owned; two owners make it copied."""
+    value, other = "Zx81kQpLm29TyUvB44cRw", "Ab12Cd34Ef56Gh78Ij90Kl"
+    rows = [(1, f"x {value}", "host/a", "ann"), (2, f"y {value}", "host/b", "ann"), (3, f"x {other}", "host/a", "ann"), (4, f"y {other}", "host/c", "bob"), (5, f"z {other}", None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, person string")
+    got = {r.doc_id: r.spans for r in secret_spans(table, F.col("source"), F.col("person")).collect()}
+    assert got == {1: "owned:2:23", 2: "owned:2:23", 3: "", 4: "", 5: ""}
+    by_source = {r.doc_id: r.spans for r in secret_spans(table).collect()}
+    assert by_source[3] == by_source[4] == "" and by_source[1] == "owned:2:23"
+
+
+def test_many_matches_and_clashing_names(spark):
+    text = " ".join(f"token=value{k:05}" for k in range(3000))
+    rows = [(1, text, "s", 1, "t", "b")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, __row long, __text string, `a b` string")
+    row = secret_spans(table).first()
+    assert row.n_assign == 3000 and row.spans == joined(base(text))
+    out = redacted(table)
+    assert out.columns == table.columns and out.first()["__row"] == 1 and out.first().text == " ".join(["[SECRET]"] * 3000)
