@@ -24,6 +24,12 @@ GENERATED_HEAD = 1500
 DROPPED_ELEMENTS = ("script", "style", "nav", "footer", "head", "noscript", "svg", "math")
 BLOCK_ELEMENTS = ("p", "div", "section", r"h\d", "li", "tr", "figcaption")
 
+# The patterns that cleaning removes or rewrites.
+FRONT_MATTER, HTML_COMMENT, BADGE_LINE = r"(?s)\A---\n.*?\n---\n", r"(?s)<!--.*?-->", r"(?md)^\[!\[[^\]]*\]\([^)]*\)\]\([^)]*\)[ \t]*$\n?"
+ORPHAN_MARK, ANCHOR_LINE, ROLE = r"(?md)^[ \t]*:orphan:[ \t]*$\n?", r"(?md)^[ \t]*\.\.[ \t]+_[^:]+:[ \t]*$\n?", r":[a-z:]+:`([^`]+)`"
+ARTICLE, TAG = r"""(?is)<article[^>]*class="[^"]*ltx_document[^"]*".*?</article>""", r"(?s)<[^>]+>"
+BIBLIOGRAPHY_HEADING = rf"\n[{SPACE}]*(?:References|REFERENCES|Bibliography|BIBLIOGRAPHY)[{SPACE}]*\n"
+
 # Share of a paper before which a bibliography heading does not count, and how far front matter reaches.
 BIBLIOGRAPHY_FROM = 0.55
 FRONT_MATTER_CHARS = 4000
@@ -99,31 +105,31 @@ def clean_markdown(text: Column) -> Column:
     return collapsed(
         replaced(
             text,
-            (r"(?s)\A---\n.*?\n---\n", ""),
-            (r"(?s)<!--.*?-->", ""),
-            (r"(?md)^\[!\[[^\]]*\]\([^)]*\)\]\([^)]*\)[ \t]*$\n?", ""),
+            (FRONT_MATTER, ""),
+            (HTML_COMMENT, ""),
+            (BADGE_LINE, ""),
         )
     )
 
 
 def without_rst_marks(text: Column) -> Column:
     """Without orphan marks and anchor lines."""
-    return replaced(text, (r"(?md)^[ \t]*:orphan:[ \t]*$\n?", ""), (r"(?md)^[ \t]*\.\.[ \t]+_[^:]+:[ \t]*$\n?", ""))
+    return replaced(text, (ORPHAN_MARK, ""), (ANCHOR_LINE, ""))
 
 
 def rst_roles_to_labels(text: Column) -> Column:
-    return replaced(text, (r":[a-z:]+:`([^`]+)`", "$1"))
+    return replaced(text, (ROLE, "$1"))
 
 
 def html_blocks(html: Column) -> Column:
     """The article if the page has one, without dropped elements and tags; blocks end in line breaks.  Entities are left."""
-    article = F.regexp_extract(html, r"""(?is)<article[^>]*class="[^"]*ltx_document[^"]*".*?</article>""", 0)
+    article = F.regexp_extract(html, ARTICLE, 0)
     body = F.when(article != "", article).otherwise(html)
     return replaced(
         body,
         (rf"(?is)<({'|'.join(DROPPED_ELEMENTS)})\b.*?</\1>", " "),
         (rf"(?i)</({'|'.join(BLOCK_ELEMENTS)})>", "\n"),
-        (r"(?s)<[^>]+>", " "),
+        (TAG, " "),
     )
 
 
@@ -139,10 +145,9 @@ def without_bibliography(text: Column) -> Column:
     The text before that point is set aside, and the heading is looked for in the rest; one more character is looked at
     so that a heading that begins exactly there does not count.
     """
-    heading = rf"\n[{SPACE}]*(?:References|REFERENCES|Bibliography|BIBLIOGRAPHY)[{SPACE}]*\n"
     # Headings are found from the start without overlaps, as places by the texts between them.
-    between = F.split(text, heading, -1)
-    found = F.regexp_extract_all(text, F.lit(heading), F.lit(0))
+    between = F.split(text, BIBLIOGRAPHY_HEADING, -1)
+    found = F.regexp_extract_all(text, F.lit(BIBLIOGRAPHY_HEADING), F.lit(0))
     start = F.struct(F.lit(0).alias("at"), F.lit(-1).alias("cut"))
 
     def step(held: Column, x: Column) -> Column:

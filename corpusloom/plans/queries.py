@@ -129,7 +129,8 @@ def pdf_clean(spark, sf):
 
 
 def pdf_clean_older(spark, sf):
-    return documents(spark, sf).select("doc_id", pages.older_clean(F.col("text"), F.col("source")).alias("text"))
+    paged = F.replace("text", F.lit("\n\n"), F.lit("\x0c"))
+    return documents(spark, sf).select("doc_id", pages.older_clean(paged, F.col("source")).alias("text"))
 
 
 def number_check(spark, sf):

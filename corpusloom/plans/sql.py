@@ -68,6 +68,22 @@ PDF_CLEAN = rf"""
   clean as (select doc_id, {stripped(f"regexp_replace(regexp_replace(regexp_replace(coalesce(t, ''), '({W})-\n({W})', '\1\2', 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")} as text from documents left join joined using (doc_id))
   select doc_id, case when length(text) > 40000 then regexp_replace(substr(text, 1, 40000), '[{S}]+$', '') || chr(10) || '[... truncated ...]' else text end as text from clean"""
 
+OLDER_SIGNS = r"regexp_replace(regexp_replace(page, '\x{FEFF}', '', 'g'), '[\x00-\x08\x0b\x0e-\x1f\x7f\x{FFFD}\x{E000}-\x{F8FF}]', '', 'g')"
+for _pattern, _sign in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("[•▪●–—]", "-"), ("[‘’]", "''"), ("[“”]", '"')):
+    OLDER_SIGNS = f"regexp_replace({OLDER_SIGNS}, '{_pattern}', '{_sign}', 'g')"
+OLDER_DROPPED = rf"""regexp_matches(x, '(?i)^(?:page[{S}]*)?\(?[{S}]*\p{{Nd}}{{1,4}}[{S}]*\)?(?:[{S}]*(?:/|of|-)[{S}]*\p{{Nd}}{{1,4}})?[{S}]*$') or regexp_matches(x, '^[{S}\-_=~*#•·.]{{3,}}$') or regexp_matches(x, '(?i)^(?:©|\(c\)|copyright)') or regexp_matches(x, '(?i)^(?:www\.|https?://)')"""
+PDF_CLEAN_OLDER = rf"""
+  with p as (select doc_id, list_transform(string_split(replace(text, chr(10) || chr(10), chr(12)), chr(12)), lambda page: {OLDER_SIGNS}) as pages from documents),
+  f as (select doc_id, len(pages) as n, list_transform({PAGE_LINES}, lambda l: list_filter(list_transform(l, lambda y: {stripped('y')}), lambda y: y <> '')) as pages from p where len(pages) >= 3),
+  e as (select doc_id, n, unnest(flatten(list_transform(pages, lambda x: list_distinct(list_concat(x[1:3], x[greatest(1, len(x) - 2):len(x)]))))) as line from f),
+  edges as (select doc_id, line from e where length(line) >= 4 group by doc_id, n, line having count(*) >= greatest(2, floor(n * 0.4))),
+  l as ({numbered('select doc_id, flatten(list_transform(pages, lambda p: string_split(p, chr(10)))) as l from p')}),
+  c as (select doc_id, i, regexp_replace({stripped(rf"regexp_replace(line, '(?:\.[{S}]*){{3,}}', ' ', 'g')")}, '[ \t]{{2,}}', ' ', 'g') as x from l),
+  k as (select * from c where length(x) >= 3 and not exists (select 1 from edges where edges.doc_id = c.doc_id and edges.line = x) and not ({OLDER_DROPPED}) and length(regexp_replace(x, '[^\p{{L}}\p{{N}}]', '', 'g')) >= greatest(3, floor(length(x) * 0.3))),
+  u as (select *, lag(x) over (partition by doc_id order by i) as last from k),
+  j as (select doc_id, string_agg(x, '' order by i) as t from u where last is null or x <> last group by doc_id)
+  select doc_id, '[ROBOT:' || source || ']' || chr(10) || coalesce(t, '') as text from documents left join j using (doc_id)"""
+
 #: Bands one after the other: a line that is one of the last four kept is left out.
 BAND_MERGE = rf"""
   with recursive p as (select doc_id, string_split(text, chr(10) || chr(10)) as pages from documents),
@@ -267,6 +283,7 @@ ORACLE_SQL = {
     "rst_clean": RST,
     "pdf_clean": PDF_CLEAN,
     "ocr_band_merge": BAND_MERGE,
+    "pdf_clean_older": PDF_CLEAN_OLDER,
     "scrub_secrets": f"with {SCRUBBED.strip()}, n as (select doc_id, sum(n)::bigint as n_redacted from ({KIND_COUNTS}) group by doc_id) select doc_id, n_redacted, sha256(masked) as sha256 from s join n using (doc_id)",
     "masked_by_kind": f"with {SCRUBBED.strip()} select kind, sum(n)::bigint as n from ({KIND_COUNTS}) group by kind having sum(n) > 0",
     "contamination_inventory": f"with recursive {WINDOWS.strip()}, {PHRASES.strip()} select doc_id, 'words' as rule, phrase as terms, position from phrases union all select doc_id, 'near', terms, position from windows",
