@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches
-from .tokens import PIECE
+from .tokens import PIECE, PROBES
 
 #: Remembered pairs, remembered words, and the longest word that is remembered.
 PAIRS, WORDS, LONGEST = 400_000, 500_000, 48
@@ -38,6 +38,8 @@ class ByteBpe:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern).findall
         self.stand_ins: dict[int, str] = {}
+        # A pattern whose matches never hold a blank behind a word gives the same matches piece by piece; others get whole texts.
+        self.by_pieces = all(self.words(x) == [w for piece in PIECE.findall(x) for w in self.words(piece)] for x in PROBES)
         # Tokens that merging never makes from their own bytes are left out: no encoding holds them.
         self.made = {b: i for b, i in ranks.items() if len(b) == 1 or self._merge(b) == [b]}
         self.trie = ahocorasick.Automaton()
@@ -131,7 +133,7 @@ class ByteBpe:
 
         out = []
         for text in texts:
-            pieces = PIECE.findall(text) if text else []
+            pieces = (PIECE.findall(text) if self.by_pieces else [text]) if text else []
             found = list(map(self.known.get, pieces))
             if None in found:
                 for i, ids in enumerate(found):

@@ -139,6 +139,17 @@ def test_backtracking_equals_merging(bpe):
         assert bpe.decode(ids) == text.encode()
 
 
+def test_patterns_that_span_blanks():
+    import tiktoken
+
+    ranks = {bytes([i]): i for i in range(256)} | {b"a b": 256, b"a ": 257}
+    pattern = r"[a-z]+ [a-z]+|\s|[a-z]+"
+    own, library = ByteBpe(ranks, pattern), tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    assert not own.by_pieces
+    for text in ("a b", "a b a b", "x a b"):
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
+
+
 def test_encode_decode_rows(spark):
     rows = encode_decode(docs(spark), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).collect()
     assert sorted((r.doc_id or -1, bytes(r.decoded)) for r in rows) == sorted((i or -1, (t or "").encode()) for i, t in TEXTS)
