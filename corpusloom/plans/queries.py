@@ -140,7 +140,7 @@ def number_check(spark, sf):
 
 def split_document(spark, sf):
     parts = lines.parts_of(F.col("text"), F.lit(".txt"), 4000)
-    return documents(spark, sf).select("doc_id", F.posexplode(parts).alias("part", "text")).select("doc_id", (F.col("part") + 1).alias("part_no"), F.length("text").alias("n_chars"), F.sha2("text", 256).alias("sha256"))
+    return documents(spark, sf).select("doc_id", F.posexplode(parts).alias("part", "text")).select("doc_id", (F.col("part") + 1).cast("long").alias("part_no"), F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha256"))
 
 
 def minhash_signature(spark, sf):

@@ -199,6 +199,36 @@ GREEDY = f"""
   select v.doc_id, kind, case kind when 'exact' then first when 'near' then early end as matched, case kind when 'exact' then 1.0::double when 'near' then sim else 0.0 end as similarity
   from verdict v left join best on late = v.doc_id and r = 1"""
 
+
+def walked(pieces: str, name: str, joint: int) -> str:
+    """Recursion over runs of neighbouring pieces (doc_id, part, l: list) that make at most 4000 characters with joints."""
+    return f"""{name}_ends as (select *, list_transform(range(0, len(l) + 1), lambda i: coalesce(list_sum(list_transform(l[1:i], lambda x: length(x) + {joint})), 0)::bigint) as ends from ({pieces})),
+  {name}(doc_id, part, here, until, run) as (select doc_id, part, 0::bigint, 0::bigint, null::varchar from {name}_ends
+    union all select doc_id, part, until, after, case when length(l[until + 1]) > 0 then array_to_string(l[until + 1:after], case {joint} when 1 then chr(10) else '' end) end
+      from (select w.doc_id, w.part, w.until, e.l, case when length(e.l[w.until + 1]) = 0 then w.until + 1 else greatest(w.until + 1, len(list_filter(e.ends, lambda x: x <= e.ends[w.until + 1] + 4000 + {joint})) - 1) end as after
+        from {name} w join {name}_ends e using (doc_id, part) where w.until < len(e.l)))"""
+
+
+#: Long texts by paragraphs; a paragraph that is too long by lines, and lines by length.
+SPLIT = rf"""
+  with recursive long_texts as (select doc_id, text, regexp_extract_all(text, '\n\s*\n') as m, string_split_regex(text, '\n\s*\n') as p from documents where length(text) > 4000),
+  {walked("select doc_id, 0 as part, list_filter(list_transform(range(1, len(p) + 1), lambda i: case when i = 1 then '' else m[i - 1] end || p[i]), lambda x: x <> '') as l from long_texts", "sections", 0)},
+  runs as (select doc_id, until as place, run, regexp_replace(run, '^\n\s*\n', '') as bare from sections where run is not null),
+  {walked("select doc_id, place as part, string_split(bare, chr(10)) as l from runs where length(run) > 4000 and length(bare) > 4000", "rows", 1)},
+  parts as (select doc_id, place as a, 0::bigint as b, 0::bigint as c, case when length(run) > 4000 then bare else run end as t from runs where length(run) <= 4000 or length(bare) <= 4000
+    union all select doc_id, part, until, unnest(range(0, length(run), 4000)), unnest(list_transform(range(0, length(run), 4000), lambda i: substr(run, i + 1, 4000))) from rows where run is not null),
+  every as (select doc_id, a, b, c, {stripped('t')} as t from parts union all select doc_id, 0, 0, 0, text from documents where length(text) <= 4000)
+  select doc_id, row_number() over (partition by doc_id order by a, b, c) as part_no, length(t)::bigint as n_chars, sha256(t) as sha256 from every where t <> '' or doc_id not in (select doc_id from long_texts)"""
+
+#: The whole build: masked texts, those without a window of terms, first-wins duplicates, and the budget.
+BUILD = f"""
+  with masked_docs as (with {SCRUBBED.strip()} select documents.* replace (masked as text) from documents join (select doc_id, masked from s) using (doc_id)),
+  dirty as (with recursive documents as (select * from masked_docs), {WINDOWS.strip()} select distinct doc_id from windows),
+  clean as materialized (select * from masked_docs where doc_id not in (select doc_id from dirty)),
+  verdicts as ({GREEDY.strip().replace("with recursive", "with recursive documents as (select * from clean),", 1)}),
+  documents as (select clean.* from clean join verdicts using (doc_id) where kind = '')
+  select ord as doc_id, source_id, n_tokens from {quota(DOCS)} where tokens_before < {BUDGET}"""
+
 #: The robots of the nations: a chain of links, each turned by 0.5 about z and moved by (0.25, 0, 0.1) in the frame before.
 ROBOTS = """
   s as (select s_nationkey as r, s_suppkey as n, s_acctbal, row_number() over (partition by s_nationkey order by s_suppkey) as k, ['revolute', 'fixed', 'planar', 'prismatic', 'ball'][s_suppkey % 5 + 1] as kind from supplier),
@@ -294,6 +324,8 @@ ORACLE_SQL = {
         select doc_id, rule, terms, position, case when a > 0 then '...' else '' end || substr(t, a + 1, b - a) || case when b < length(t) then '...' else '' end as excerpt from cut""",
     "minhash_signature": f"with recursive {CRC.strip()}, {SIGNATURES.strip()} select doc_id, array_to_string(s, ',') as signature from sig",
     "near_dedup_greedy": GREEDY,
+    "split_document": SPLIT,
+    "category_build": BUILD,
     "ocr_render_plan": """with a as (select doc_id, 300.0::double + doc_id % 900 as w, 400.0::double + n_chars as h from documents),
         b as (select *, greatest(36, least(200, floor(2000 * 72.0::double / w)))::bigint as dpi from a),
         c as (select *, greatest(1, floor(w / 72.0::double * dpi))::bigint as width, greatest(1, floor(h / 72.0::double * dpi))::bigint as height from b)

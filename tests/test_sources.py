@@ -73,3 +73,24 @@ def test_stream(spark, tmp_path):
     stream = spark.readStream.schema("text string, arrived timestamp").parquet(f"{tmp_path}/in")
     append_to(fresh_documents(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination(120)
     assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+
+
+def test_shared_folder_and_scratch_tables(spark):
+    from types import SimpleNamespace
+
+    from corpusloom import staging
+
+    for master, fails in (("spark://host:7077", True), ("yarn", True), ("local-cluster[2,1,1024]", True)):
+        context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda key: None), getCheckpointDir=lambda: None)
+        with pytest.raises(ValueError):
+            staging.shared_dir(SimpleNamespace(sparkContext=context))
+        assert fails
+    named = SimpleNamespace(master="yarn", getConf=lambda: SimpleNamespace(get=lambda key: "hdfs://x/checkpoints/"), getCheckpointDir=lambda: None)
+    assert staging.shared_dir(SimpleNamespace(sparkContext=named)) == "hdfs://x/checkpoints"
+    table = staging.shared_table(spark.range(3), "own")
+    folder = table.scratch_path.removeprefix("file:")
+    assert table.count() == 3
+    staging.drop_tables(table, None, spark.range(1))
+    import os
+
+    assert not os.path.exists(folder)
