@@ -22,6 +22,9 @@ of the other, so what it does not share there is not shared at all: the overlap
 prefixes and that set's n-grams behind its prefix.  Pairs that cannot reach the similarity go.  (Shared n-grams in long
 lists are counted as if all that both sets have there were shared.)
 
+A second bound: every set has a bitmap of 512 bits, each the parity of the n-grams that fall on it.  Two bitmaps differ in no
+more bits than the sets have n-grams apart, so pairs whose bitmaps differ too much go before their segments are fetched.
+
 Frequencies are needed only to keep frequent n-grams out of candidate lists and to cut fragments of equal size: they are
 counted over all documents in a sketch of SKETCH_CELLS cells, and every document sees the same cells, so the order is the
 same everywhere and results do not depend on the sketch.
@@ -51,6 +54,8 @@ PROBES, BANDS, BAND_HASHES = 3, 4, 4
 #: Lists of so many classes give all their pairs at once.
 SHORT_LIST = 8
 SKETCH_CELLS, SKETCH_BLOCK = 1 << 22, 1 << 16
+#: The bitmap of a set, in words of 64 bits.
+BITS = tuple(f"bits{i}" for i in range(8))
 #: A key has the level of the n-gram's frequency above HASH_BITS of its hash.
 HASH_BITS = 58
 BITMAP_BITS = 1 << 23
@@ -108,9 +113,19 @@ def _digests(sets):
     return [pa.array(np.array([xxhash.xxh3_64_intdigest(x.tobytes(), seed=k) for x in sets], dtype=np.uint64).view(np.int64), mask=empty) for k in (1, 2)]
 
 
+def _bitmaps(sets):
+    """A row of 64-bit words for each set: the parity of its hashes by nine of their bits."""
+    import numpy as np
+
+    width = 64 * len(BITS)
+    place = (np.concatenate(sets) >> np.uint64(20)).astype(np.int64) % width + np.repeat(np.arange(len(sets)) * width, [len(x) for x in sets])
+    odd = np.bincount(place, minlength=len(sets) * width).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).reshape(len(sets), len(BITS))
+
+
 def _survey(docs: DataFrame, n: int, carry: list[str]) -> DataFrame:
-    """Written table of two kinds of rows: doc_id, the carried columns, n, node, check of each document (node and check:
-    hashes of its set, null if it is empty), and block, counts of the frequency sketch, by task."""
+    """Written table of two kinds of rows: doc_id, the carried columns, n, node, check, BITS of each document (node and
+    check: hashes of its set, null if it is empty; its bitmap), and block, counts of the frequency sketch, by task."""
     import numpy as np
     import pyarrow as pa
 
@@ -123,15 +138,16 @@ def _survey(docs: DataFrame, n: int, carry: list[str]) -> DataFrame:
                 sets = [shingles(x, n) for x in part.column(1).to_pylist()]
                 np.add.at(cells, _cells(np.concatenate(sets)), 1)
                 given = [part.column(i) for i in range(batch.num_columns) if i != 1]
-                yield pa.RecordBatch.from_arrays([*given, pa.array([len(x) for x in sets], pa.int64()), *_digests(sets), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
+                words = [pa.array(np.ascontiguousarray(x)) for x in _bitmaps(sets).T]
+                yield pa.RecordBatch.from_arrays([*given, pa.array([len(x) for x in sets], pa.int64()), *_digests(sets), *words, pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
         if fields:
             blocks = [i for i in range(SKETCH_CELLS // SKETCH_BLOCK) if cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].any()]
             packed = [zlib.compress(cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].tobytes(), 1) for i in blocks]
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(blocks), x) for x in [*fields, *[pa.int64()] * 3]), pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(blocks), x) for x in [*fields, *[pa.int64()] * (3 + len(BITS))]), pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names)
 
-    names = ["doc_id", *carry, "n", "node", "check", "block", "counts"]
+    names = ["doc_id", *carry, "n", "node", "check", *BITS, "block", "counts"]
     given = "".join(f"`{x}` {docs.schema[x].dataType.simpleString()}, " for x in carry)
-    return shared_table(docs.select("doc_id", "text", *carry).mapInArrow(run, f"doc_id long, {given}n long, node long, check long, block int, counts binary"), "ngram-survey")
+    return shared_table(docs.select("doc_id", "text", *carry).mapInArrow(run, f"doc_id long, {given}n long, node long, check long, " + "".join(f"{x} long, " for x in BITS) + "block int, counts binary"), "ngram-survey")
 
 
 def _order(survey: DataFrame):
@@ -353,18 +369,20 @@ def _segments(docs: DataFrame, wanted: bytes, n: int, order) -> DataFrame:
 
 def _bounded(percent: int, a: str = "a", b: str = "b", met: Column | int = 0) -> Column:
     """The condition that two sets can be similar enough, by their sizes n, the ends of their prefixes last, their n-grams
-    in long lists long, and how often they met in short lists.  Columns end in _a and _b."""
+    in long lists long, how often they met in short lists, and how far their bitmaps are apart.  Columns end in _a and _b."""
     n, last, long = ({x: F.col(f"{name}_{x}") for x in (a, b)} for name in ("n", "last", "long"))
     sizes = F.least(n[a], n[b]) * 100 >= F.greatest(n[a], n[b]) * percent
     ends_first = F.when(last[a] <= last[b], n[a]).otherwise(n[b])
     most = met + F.least(long[a], long[b]) + F.floor((ends_first * percent + 99) / 100) - 1
-    return sizes & (most * (100 + percent) >= (n[a] + n[b]) * percent)
+    needed = F.ceil((n[a] + n[b]) * percent / (100 + percent))
+    apart = sum((F.bit_count(F.col(f"{x}_{a}").bitwiseXOR(F.col(f"{x}_{b}"))) for x in BITS), F.lit(0))
+    return sizes & (most * (100 + percent) >= (n[a] + n[b]) * percent) & (apart <= n[a] + n[b] - 2 * needed)
 
 
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Written table of the pairs of classes that can be similar enough, from pairs of nodes (a, b, met: times that they
     met in short lists)."""
-    names = ("id", "doc", "check", "n", "last", "long")
+    names = ("id", "doc", "check", "n", "last", "long", *BITS)
     side = {x: classes.select(F.col("node").alias(x), *(F.col(k).alias(f"{k}_{x}") for k in names)) for x in "ab"}
     met = pairs.join(side["a"], "a").join(side["b"], "b").where((F.col("id_a") != F.col("id_b")) & _bounded(percent, met=F.col("met")))
     return shared_table(met.select("a", "b", *(f"{k}_{x}" for k in names[:4] for x in "ab")), "ngram-pairs")
@@ -393,7 +411,7 @@ def _similar(docs: DataFrame, wanted: DataFrame, n: int, percent: int, order) ->
     return out
 
 
-MEMBER = ("node", "n", "last", "long", "position")
+MEMBER = ("node", "n", "last", "long", "position", *BITS)
 
 
 def _reachable(i: dict, j: dict, percent: int):
@@ -442,8 +460,11 @@ def _pairs_in_blocks(batches, percent: int):
             if not same:
                 fits &= part["block"] != whole["block"]
             i, j = np.nonzero(fits)
-            if len(i):
-                found.append((x["node"][at + i], x["node"][j]))
+            both = x["n"][at + i] + x["n"][j]
+            apart = sum((np.bitwise_count(x[w][at + i] ^ x[w][j]).astype(np.int64) for w in BITS), np.zeros(len(i), dtype=np.int64))
+            near = apart <= both - 2 * -(-both * percent // (100 + percent))
+            if near.any():
+                found.append((x["node"][at + i[near]], x["node"][j[near]]))
 
     held = [np.zeros(0, dtype=np.int64)] * (len(names) + 3)
     for batch in batches:
@@ -488,18 +509,18 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75, carry: tuple[str,
     survey = _survey(docs, n, list(carry))
     found_order = _order(survey)
     order = docs.sparkSession.sparkContext.broadcast(found_order)
-    rows = survey.where("block is null").select("doc_id", *carry, "n", "node", "check")
+    rows = survey.where("block is null").select("doc_id", *carry, "n", "node", "check", *BITS)
     listed = _list_rows(docs, n, percent, order).repartition("key").sortWithinPartitions("key", "node")
     found = shared_table(listed.mapInArrow(_pairs_of_lists, "kind byte, a long, b long, n long"), "ngram-lists")
     facts = found.where(F.col("kind").isin(LONG, LAST)).groupBy(F.col("a").alias("node")).agg(F.max(F.when(F.col("kind") == LAST, F.col("b"))).alias("last"), F.sum("n").alias("long"))
-    named = rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("doc"))
+    named = rows.where("node is not null and doc_id is not null").groupBy("node", "check", "n").agg(F.min("doc_id").alias("doc"), *(F.min(x).alias(x) for x in BITS))
     classes = shared_table(named.join(facts, "node").withColumn("id", F.monotonically_increasing_id()), "ngram-classes")
     met = found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("met"))
     wanted = _candidates(met, classes, percent)
     links = _similar(docs, wanted, n, percent, order)
     components = connected_components(links)
     lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n").alias("position"))
-    members = lists.join(classes.select("node", "id", "n", "last", "long"), "node").select("key", "id", *MEMBER)
+    members = lists.join(classes.select("node", "id", "n", "last", "long", *BITS), "node").select("key", "id", *MEMBER)
     fresh = _open_pairs(members, components, percent).join(wanted.select("a", "b"), ["a", "b"], "left_anti")
     more_wanted = _candidates(fresh, classes, percent)
     more = _similar(docs, more_wanted, n, percent, order)
@@ -511,7 +532,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75, carry: tuple[str,
     own = shared_table(known.select("id", "node", "check", "doc", F.coalesce("new", "old").alias("component")), "ngram-components")
     first = own.groupBy("component").agg(F.min("doc").alias("first"))
     named_own = shared_table(own.join(first, "component").select("node", "check", F.col("id").alias("set_id"), F.col("first").alias("component_id")), "ngram-classes-named")
-    labelled = rows.withColumnRenamed("n", "n_shingles").join(named_own, ["node", "check"], "left")
+    labelled = rows.drop(*BITS).withColumnRenamed("n", "n_shingles").join(named_own, ["node", "check"], "left")
     order.destroy()
     drop_tables(found, classes, wanted, links, more_wanted, more, own)
     has_id = F.col("doc_id").isNotNull()

@@ -82,6 +82,18 @@ def test_null_and_repeated_ids_and_empty(spark):
     assert got[7][0] == got[8][0] == 1 and got[7][1] != got[8][1]
 
 
+def test_bitmaps_differ_in_no_more_bits_than_the_sets():
+    import numpy as np
+
+    draw = np.random.default_rng(2)
+    for n in (0, 1, 30, 700):
+        a = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) // 2], draw.integers(0, 1 << 63, n // 3, dtype=np.uint64)]))
+        x, y = op._bitmaps([a, b])
+        assert x.shape == (8,) and np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        assert n < 100 or np.bitwise_count(x ^ y).sum() > 100
+
+
 def test_lists_across_batches():
     import numpy as np
     import pyarrow as pa
