@@ -69,7 +69,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed = docs.withColumn("__digest", F.xxhash64("text"))
     found = ngram_join(keyed, carry=("__digest",)).where("doc_id is not null")
     first = F.struct("doc_id", "__digest")
-    linked = found.where("set_id is not null").groupBy("component_id").agg(F.min(first).alias("first")).select("first.*")
+    linked = found.where("set_id is not null").groupBy("group_id").agg(F.min(first).alias("first")).select("first.*")
     kept = linked.union(found.where("set_id is null").select("doc_id", "__digest")).distinct()
     names = [x for x in docs.columns if x not in ("doc_id", "text")]
     rest = [F.min(F.struct(*(f"`{x}`" for x in names))).alias("__rest")] if names else []

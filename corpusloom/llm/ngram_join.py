@@ -499,10 +499,11 @@ def _open_pairs(members: DataFrame, components: DataFrame, percent: int) -> Data
 
 
 def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the carried columns of docs, n_shingles, component_id, set_id for each row of docs (doc_id, text).
+    """doc_id, the carried columns of docs, n_shingles, component_id, set_id, group_id for each row of docs (doc_id, text).
 
-    component_id is the smallest doc_id reachable by links; set_id is the same for rows with equal sets only, and null for
-    empty sets and null doc_ids.
+    component_id is the smallest doc_id reachable by links.  set_id is the same for rows with equal sets only, and group_id
+    for rows that are reachable from each other only, even where groups share a doc_id; both are null for empty sets and
+    null doc_ids.
     """
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
@@ -531,12 +532,12 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75, carry: tuple[str,
     known = classes.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("old", F.coalesce("component", "id")).join(merged, "old", "left")
     own = shared_table(known.select("id", "node", "check", "doc", F.coalesce("new", "old").alias("component")), "ngram-components")
     first = own.groupBy("component").agg(F.min("doc").alias("first"))
-    named_own = shared_table(own.join(first, "component").select("node", "check", F.col("id").alias("set_id"), F.col("first").alias("component_id")), "ngram-classes-named")
+    named_own = shared_table(own.join(first, "component").select("node", "check", F.col("id").alias("set_id"), F.col("component").alias("group_id"), F.col("first").alias("component_id")), "ngram-classes-named")
     labelled = rows.drop(*BITS).withColumnRenamed("n", "n_shingles").join(named_own, ["node", "check"], "left")
     order.destroy()
     drop_tables(found, classes, wanted, links, more_wanted, more, own)
     has_id = F.col("doc_id").isNotNull()
-    return labelled.select("doc_id", *carry, "n_shingles", F.when(has_id, F.coalesce("component_id", "doc_id")).alias("component_id"), F.when(has_id, F.col("set_id")).alias("set_id"))
+    return labelled.select("doc_id", *carry, "n_shingles", F.when(has_id, F.coalesce("component_id", "doc_id")).alias("component_id"), F.when(has_id, F.col("set_id")).alias("set_id"), F.when(has_id, F.col("group_id")).alias("group_id"))
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

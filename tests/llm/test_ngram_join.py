@@ -78,7 +78,7 @@ def test_null_and_repeated_ids_and_empty(spark):
     assert got == [(2, 2), (4, 4), (4, 4), (9, 4), (None, None)]
     assert op.ngram_join(docs.where("false")).count() == 0
     unlike = spark.createDataFrame([(1, text, 7), (1, "quite another text of so many words", 8)], "doc_id long, text string, tag long")
-    got = {r.tag: (r.component_id, r.set_id) for r in op.ngram_join(unlike, carry=("tag",)).collect()}
+    got = {r.tag: (r.component_id, r.group_id) for r in op.ngram_join(unlike, carry=("tag",)).collect()}
     assert got[7][0] == got[8][0] == 1 and got[7][1] != got[8][1]
 
 
