@@ -31,7 +31,7 @@ from ..staging import bound_batches, drop_tables, shared_table
 PERMUTATIONS, BANDS, SHINGLE_WORDS, THRESHOLD, SEED = 128, 16, 5, 0.85, 20260721
 PRIME, HASH_MAX = (1 << 61) - 1, (1 << 32) - 1
 #: Hashes that are permuted at once; entries of a block; rounds go on while one decides such a share of the rows.
-STEP_HASHES, BLOCK, ROUND_SHARE = 8192, 512, 0.25
+STEP_HASHES, BLOCK, ROUND_SHARE = 16_384, 512, 0.5
 
 
 def permutations(n: int = PERMUTATIONS, seed: int = SEED) -> list[tuple[int, int]]:

@@ -12,6 +12,7 @@ from ..functions import lines
 from ..functions import text as T
 from ..operators import contamination, dedup, licenses, pages, quota, records, scrub, stats, urdf
 from ..sources import files
+from ..staging import spread
 from .build import build_category
 
 BUDGET = 8000
@@ -27,7 +28,7 @@ RULES = contamination.load_rules(
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:

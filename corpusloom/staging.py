@@ -26,6 +26,13 @@ def session(name: str = "corpusloom", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A scan that gives fewer partitions than the session has cores, such as one of a small file, dealt out to all of them;
+    a larger one is left as it is, so no large table is shuffled."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which all executors share.  Where none is set, a session with a local master
     (tests) gets a temporary one; on a cluster that is an error, for executors would not see each other's files."""
