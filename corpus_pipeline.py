@@ -12,7 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import apart, shared_table
+from corpusloom.llm.common import apart, shared_table, spread
 from corpusloom.llm.language import UNKNOWN, fit, identify
 from corpusloom.llm.line_dedup import line_dedup
 from corpusloom.llm.ngram_join import ngram_join
@@ -106,7 +106,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES[:-1]:
         docs = shared_table(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

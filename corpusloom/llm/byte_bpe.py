@@ -16,7 +16,7 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, spread
 from .tokens import PIECE, PROBES
 
 #: Remembered pairs, remembered words, and the longest word that is remembered.
@@ -203,6 +203,6 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: every document encoded and decoded, as digests."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     coded = encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

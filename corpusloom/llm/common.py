@@ -7,9 +7,9 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import bound_batches, drop_tables, scratch_path, shared_table
+from ..staging import bound_batches, drop_tables, scratch_path, shared_table, spread
 
-__all__ = ["apart", "bitmap", "bound_batches", "drop_tables", "in_bitmap", "scratch_path", "shared_table"]
+__all__ = ["apart", "bitmap", "bound_batches", "drop_tables", "in_bitmap", "scratch_path", "shared_table", "spread"]
 
 def apart(docs: DataFrame, *own: str):
     """(docs with all columns but `own` under names that no operator uses, a function that gives a result their names back)."""

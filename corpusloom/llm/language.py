@@ -26,7 +26,7 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, spread
 
 PER_LANGUAGE, FIT_PARTS = 4000, 12
 #: n-grams are of N bytes and hashed to 2^BITS buckets.
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: the language of all documents, learned from those that are not held out."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     found = identify(docs.select("doc_id", "text"), fit(docs, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"), F.col("__ambiguous").alias("ambiguous"))

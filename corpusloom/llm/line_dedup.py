@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, bound_batches, drop_tables, in_bitmap, shared_table
+from .common import bitmap, bound_batches, drop_tables, in_bitmap, shared_table, spread
 
 WINDOW, DIVISOR, MIN_BYTES, MIN_WORDS = 2, 2, 48, 50
 BASE = 0x9E3779B97F4A7C15
@@ -211,6 +211,6 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: all documents without their repeated chunks."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     out = line_dedup(docs)
     return out.select("doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__gone_lines").alias("n_removed_lines"), F.col("__gone_chunks").alias("n_removed_chunks"))

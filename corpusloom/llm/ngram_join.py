@@ -45,7 +45,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, bound_batches, drop_tables, in_bitmap, shared_table
+from .common import bitmap, bound_batches, drop_tables, in_bitmap, shared_table, spread
 from .graph import connected_components
 
 FRAGMENTS = 4
@@ -60,7 +60,7 @@ BITS = tuple(f"bits{i}" for i in range(8))
 HASH_BITS = 58
 BITMAP_BITS = 1 << 23
 #: Rows of an output batch; members of a list that are held at once; members of a block.
-ROWS, HELD, BLOCK = 100_000, 200_000, 2048
+ROWS, HELD, BLOCK = 100_000, 200_000, 1024
 
 
 def prefix_size(n, percent: int):
@@ -488,8 +488,8 @@ def _open_pairs(members: DataFrame, components: DataFrame, percent: int) -> Data
     can be similar enough.  Lists over BLOCK members are cut into blocks, and pairs of blocks are groups of their own."""
     rows = members.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = shared_table(rows.select("key", "component", *MEMBER), "labelled-lists")
-    spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    placed = rows.join(spread.where("low < high").select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    keys = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    placed = rows.join(keys.where("low < high").select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     sorted_rows = dealt.select("key", "i", "j", "block", "component", *MEMBER).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     found = sorted_rows.mapInArrow(lambda batches: _pairs_in_blocks(batches, percent), "a long, b long")
@@ -542,4 +542,4 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 75, carry: tuple[str,
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: components of all documents at a Jaccard similarity of 0.75 on five words."""
-    return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
+    return ngram_join(spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))).select("doc_id", "n_shingles", "component_id")

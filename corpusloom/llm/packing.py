@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, spread
 
 POOL_TOKENS = 1 << 20
 #: Shares of loss-bearing tokens in steps of a quarter; each step has its own list of pieces, and so have pieces that bear
@@ -251,5 +251,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     first line of a document is its prompt."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, limits=INSTRUCTION, prompt_line=True)

@@ -27,7 +27,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, spread
 
 #: Bound of the labelled rows that are fitted, and the partitions they are read in.
 FIT_ROWS, FIT_PARTS = 20_000, 12
@@ -204,6 +204,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: scores of all documents, learned from the rows that are not held out."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
+    docs = spread(docs)
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = fit(docs, labels, ~held_out)
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "load")
