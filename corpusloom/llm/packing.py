@@ -38,8 +38,8 @@ class Limits:
     loss: int = 4096
 
 
-#: What the registered query and the pipeline use: a sequence is prompt by a sixteenth at least.
-INSTRUCTION = Limits(4096, 256, 3840)
+#: What the registered query and the pipeline use: a full sequence has 32 tokens of prompt at least.
+INSTRUCTION = Limits(4096, 256, 4064)
 
 
 @dataclass(frozen=True)
@@ -247,7 +247,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None, l
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered query: all documents in sequences of at most 4096 tokens, 256 segments and 3840 loss-bearing tokens; the
+    """Registered query: all documents in sequences of at most 4096 tokens, 256 segments and 4064 loss-bearing tokens; the
     first line of a document is its prompt."""
     import public_tokenizers
 
