@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .secrets import ACCESS, ASSIGN, ASSIGN_LEAST, COPIED_OWNERS, COPIED_REPOSITORIES, HEX, KINDS, MIXED, MIXED_DIFFERENT
+# Written out here, so that this SQL doesn't agree with the operator's own patterns and bounds by sharing them.
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS, HEX, MIXED = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}", "[A-Za-z0-9+/_-]{20,}"
+KINDS = ("assign", "access", "hex", "owned")
 
 #: (n, c): component c of each node n of links(a, b) in both directions.
 REACHED = """
@@ -38,13 +41,22 @@ with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t, co
   f as ({_found(0, ASSIGN, 2)} union all {_found(1, ACCESS)} union all {_found(2, HEX)} union all {_found(3, MIXED)}),
   u as (select *, unnest(range(1, len(m) + 1)) as i from f),
   sp as (select r, s, kind, length(array_to_string(p[1:i], '')) + length(array_to_string(m[1:i - 1], '')) as a, length(m[i]) as size, v[i] as val from u),
-  ok as (select r, s, kind, a, a + size as b, val from sp where case kind when 0 then length(val) >= {ASSIGN_LEAST}
-    when 3 then regexp_matches(val, '[0-9]') and regexp_matches(val, '[A-Za-z]') and len(list_distinct(string_split(val, ''))) >= {MIXED_DIFFERENT} else true end),
+  ok as (select r, s, kind, a, a + size as b, val from sp where case kind when 0 then length(val) >= 6
+    when 3 then regexp_matches(val, '[0-9]') and regexp_matches(val, '[A-Za-z]') and len(list_distinct(string_split(val, ''))) >= 10 else true end),
   every as (select * from ok x where kind < 3 or not exists (select 1 from ok y where y.kind < 3 and y.r = x.r and y.a < x.b and x.a < y.b)),
-  own as (select val, count(distinct s) >= {COPIED_REPOSITORIES} and count(distinct split_part(s, '/', 1)) >= {COPIED_OWNERS} as copied from every group by val),
+  own as (select val, count(distinct s) >= 2 and count(distinct split_part(s, '/', 1)) >= 2 as copied from every group by val),
   kept as (select * from every join own using (val) where kind < 3 or not copied),
   sums as (select r, {", ".join(f"count(*) filter (kind = {k}) as n{k}" for k in range(4))}, count(*) filter (copied) as copies,
     string_agg({_SPAN}, ',' order by a, kind, b) filter (kind < 3) as base, string_agg({_SPAN}, ',' order by a, kind, b) as spans from kept group by r)
 select doc_id, {", ".join(f"coalesce(n{k}, 0) as n_{KINDS[k]}" for k in range(4))}, coalesce(copies, 0) as n_copied, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join sums using (r)"""
 
-ORACLE_SQL = {"op2_embedding_neardup": NEAR_VECTORS, "op5_ngram_join": NGRAMS, "op6_secret_scan": SECRETS}
+TALKS = r"""
+with rows as (select conv_id, coalesce(turn, -1) as turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+  sized as (select *, length(text) + len(regexp_extract_all(text, '[<\[]\\*(/?s>|</?SYS>>|<TURN:|</TURN>>|/?INST\])')) + case role
+    when 'user' then 15 when 'assistant' then 7 when 'system' then 19 else 20 + length(role) + len(regexp_extract_all(role, '[<>\\]')) end as size from rows),
+  sums as (select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as learnt, sum(size)::bigint as formatted_chars from sized group by conv_id)
+select conv_id, n_turns, turns_sha256, length(learnt) as loss_chars, sha256(learnt) as loss_sha256, formatted_chars from sums"""
+
+ORACLE_SQL = {"op11_reply_trees": TALKS, "op2_embedding_neardup": NEAR_VECTORS, "op5_ngram_join": NGRAMS, "op6_secret_scan": SECRETS}

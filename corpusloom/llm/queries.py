@@ -5,7 +5,7 @@ The others are held against brute force, the tokenizer libraries or held-out lab
 
 from __future__ import annotations
 
-from . import byte_bpe, kmeans_tree, language, line_dedup, ngram_join, packing, pivot_index, secrets, token_shards, toxicity
+from . import byte_bpe, kmeans_tree, language, line_dedup, ngram_join, packing, pivot_index, reply_trees, secrets, token_shards, toxicity
 from .oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -21,4 +21,5 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_packing": packing.op9_packing,
     "op10_nearest": kmeans_tree.op10_nearest,
+    "op11_reply_trees": reply_trees.op11_reply_trees,
 }
