@@ -59,4 +59,28 @@ with rows as (select conv_id, coalesce(turn, -1) as turn, coalesce(role, '') as
     coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as learnt, sum(size)::bigint as formatted_chars from sized group by conv_id)
 select conv_id, n_turns, turns_sha256, length(learnt) as loss_chars, sha256(learnt) as loss_sha256, formatted_chars from sums"""
 
-ORACLE_SQL = {"op11_reply_trees": TALKS, "op2_embedding_neardup": NEAR_VECTORS, "op5_ngram_join": NGRAMS, "op6_secret_scan": SECRETS}
+#: The crc32 of decimal doc_ids: the table of each byte at each distance from the end, and of the start value.
+CRC = """
+  t1 as (select b, list_reduce(list_concat([b::bigint], range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as t from (select unnest(range(256)) as b)),
+  tables(k, b, t) as (select 1, b, t from t1 union all select k + 1, x.b, xor(x.t >> 8, t1.t) from tables x join t1 on t1.b = x.t & 255 where k < 256),
+  zeros(k, z) as (select 0, 4294967295::bigint union all select k + 1, xor(z >> 8, t) from zeros join t1 on b = z & 255 where k < 256),
+  digits as (select distinct doc_id::varchar as s, unnest(range(length(doc_id::varchar))) as i from documents where doc_id is not null),
+  ids as (select s::bigint as doc_id, xor(xor(bit_xor(t), any_value(z)), 4294967295) as h from digits join tables on k = length(s) - i and b = ascii(s[i::int + 1]) join zeros on zeros.k = length(s) group by s)"""
+
+RUNS = rf"""
+with recursive {CRC},
+  d as (select row_number() over () as r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+  s as (select r, doc_id, w, len(w) as n, h // 10 as g, h % 10 = 0 and len(w) > 0 as made from d left join ids using (doc_id)),
+  ap as (select *, case when made then g % n end as a, case when made then 1 + (n - g % n) // (3 + g % 8) end as p from s),
+  ws as (select r, doc_id, case when made then list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) else w end as w from ap),
+  spots as (select r, len(w) as n, unnest(range(len(w))) as i, unnest(w) as x from ws),
+  same as (select p.r, p.i, q.i - p.i as d from spots p join spots q on p.r = q.r and p.x = q.x and q.i > p.i and q.i - p.i <= p.n // 2),
+  isles as (select r, d, min(i) as a, count(*) + d as size from (select *, i - row_number() over (partition by r, d order by i) as isle from same) group by r, d, isle),
+  runs as (select r, a, size, min(d) as p from isles where size >= greatest(12, 2 * d) group by r, a, size),
+  gone as (select distinct r, unnest(range(a + p, a + size)) as i from runs),
+  kept as (select r, string_agg(x, ' ' order by i) as t from spots anti join gone using (r, i) group by r),
+  sums as (select r, count(*) as n_runs, string_agg(a || ',' || size || ',' || p || chr(10), '' order by a, p) as listed, first(struct_pack(a, size, p) order by size desc, a, p) as b from runs group by r)
+select doc_id, coalesce(n_runs, 0) as n_runs, b.a as start, b.size as length, b.p as period, 1000 * b.size // b.p as exponent_milli, sha256(coalesce(listed, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
+from ws left join sums using (r) left join kept using (r)"""
+
+ORACLE_SQL = {"op12_word_runs": RUNS, "op11_reply_trees": TALKS, "op2_embedding_neardup": NEAR_VECTORS, "op5_ngram_join": NGRAMS, "op6_secret_scan": SECRETS}
