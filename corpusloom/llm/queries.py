@@ -5,7 +5,7 @@ The others are held against brute force, the tokenizer libraries or held-out lab
 
 from __future__ import annotations
 
-from . import byte_bpe, kmeans_tree, language, line_dedup, ngram_join, packing, pivot_index, reply_trees, secrets, token_shards, toxicity, word_runs
+from . import byte_bpe, kmeans_tree, language, line_dedup, ngram_join, packing, pivot_index, reply_trees, secrets, token_shards, toxicity, transaction_log, word_runs
 from .oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -23,4 +23,5 @@ QUERIES = {
     "op10_nearest": kmeans_tree.op10_nearest,
     "op11_reply_trees": reply_trees.op11_reply_trees,
     "op12_word_runs": word_runs.op12_word_runs,
+    "op13_transaction_log": transaction_log.op13_transaction_log,
 }
