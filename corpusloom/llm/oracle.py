@@ -83,4 +83,35 @@ with recursive {CRC},
 select doc_id, coalesce(n_runs, 0) as n_runs, b.a as start, b.size as length, b.p as period, 1000 * b.size // b.p as exponent_milli, sha256(coalesce(listed, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
 from ws left join sums using (r) left join kept using (r)"""
 
-ORACLE_SQL = {"op12_word_runs": RUNS, "op11_reply_trees": TALKS, "op2_embedding_neardup": NEAR_VECTORS, "op5_ngram_join": NGRAMS, "op6_secret_scan": SECRETS}
+#: The crc32 of texts(id, s) of any length: chunks of 256 bytes, counted from the end, each advanced over the bytes after it.
+LONG_CRC = """
+  steps(k, j, b, v) as (select 0, j, b, b::bigint << (8 * j) from (select unnest(range(256))::int as b), (select unnest(range(4))::int as j)
+    union all select k + 1, j, s.b, xor(s.v >> 8, t) from steps s join t1 on t1.b = s.v & 255 where k < 256),
+  once as (select j, b, v from steps where k = 256),
+  bytes as materialized (select id, len(p) as size, unnest(p) as x, unnest(range(len(p), 0, -1)) as k from (select id, regexp_extract_all(hex(encode(s)), '..') as p from texts)),
+  far(q, j, b, v) as (select 0, j, b, v from steps where k = 0
+    union all select q + 1, far.j, far.b, xor(xor(a.v, c.v), xor(d.v, e.v)) from far join once a on a.j = 0 and a.b = far.v & 255 join once c on c.j = 1 and c.b = far.v >> 8 & 255
+      join once d on d.j = 2 and d.b = far.v >> 16 & 255 join once e on e.j = 3 and e.b = far.v >> 24 where q <= (select max(size) // 256 from bytes)),
+  chunks as (select id, (bytes.k - 1) // 256 as q, bit_xor(t) as c from bytes join tables on tables.k = (bytes.k - 1) % 256 + 1 and tables.b = ('0x' || x)::int group by all
+    union all select id, size // 256, z from (select distinct id, size from bytes) join zeros on zeros.k = size % 256),
+  moved as (select id, v from (select id, q, c, unnest(range(4)) as j from chunks) m join far on far.q = m.q and far.j = m.j and far.b = (c >> (8 * m.j)) & 255),
+  crcs as (select id, xor(bit_xor(v), 4294967295) as crc from moved group by id)"""
+
+COMMITS = f"""
+with recursive {CRC},
+  log as (select doc_id, source, case when h % 17 <= 1 then 'commit' when h % 17 = 2 then 'abort' when h % 17 <= 4 then 'savepoint' when h % 17 <= 6 then 'rollback' else 'change' end as kind, h // 100 % 30000 as key,
+    case when doc_id not in (select doc_id from labels where toxic = 1 and doc_id is not null) then h // 100 % 30000 || ':' || text end as said from documents join ids using (doc_id)),
+  texts as (select doc_id as id, said as s from log where kind = 'change' and said is not null), {LONG_CRC},
+  nexts as (select *, first_value(case when kind <> 'change' then kind end ignore nulls) over w as then_kind, first_value(case when kind <> 'change' then doc_id end ignore nulls) over w as then_id,
+    first_value(case when kind in ('commit', 'abort') then kind end ignore nulls) over w as end_kind, first_value(case when kind in ('commit', 'abort') then doc_id end ignore nulls) over w as end_id
+    from log window w as (partition by source order by doc_id rows between 1 following and unbounded following)),
+  fates as (select doc_id, key, crc, case when then_kind = 'rollback' then 'rollback' else coalesce(end_kind, 'abort') end as fate, case when then_kind = 'rollback' then then_id else end_id end as by_id
+    from nexts left join crcs on id = doc_id where kind = 'change'),
+  ranks as (select doc_id as by_id, row_number() over (order by doc_id) as rank, (row_number() over (order by doc_id) - 1) // 64 + 1 as epoch from log where kind = 'commit'),
+  lasts as (select key, epoch, first(crc order by rank desc, doc_id desc) as crc from fates join ranks using (by_id) where fate = 'commit' group by key, epoch),
+  moves as (select epoch, crc, lag(crc) over (partition by key order by epoch) as before from lasts),
+  sums as (select epoch, sum((crc is not null)::int - (before is not null)::int) as n, sum(coalesce(crc, 0) - coalesce(before, 0)) as v from moves group by epoch)
+select 'state' as kind, epoch as id, coalesce(sum(n) over (order by epoch), 0)::bigint as n, coalesce(sum(v) over (order by epoch), 0)::bigint as value from (select distinct epoch from ranks) left join sums using (epoch)
+union all select fate, doc_id, by_id, key from fates where fate <> 'commit'"""
+
+ORACLE_SQL = {"op13_transaction_log": COMMITS, "op12_word_runs": RUNS, "op11_reply_trees": TALKS, "op2_embedding_neardup": NEAR_VECTORS, "op5_ngram_join": NGRAMS, "op6_secret_scan": SECRETS}
