@@ -3,6 +3,11 @@
 A rule has scenario, rule, kind, window and groups: kind `phrase` looks for any of the terms; kind
 `cooccurrence` for terms of all groups within `window` characters, counted from start to start.  Texts are compared in
 their plain form; a term matches as whole words, with any white space between them.
+
+Phrases are found by an index, so a rule may have thousands.  Words, pairs of words and pairs of pairs of a text are hashed,
+each from the hashes before; a phrase is known by the hash of its first four, two or one words.  Hashes of a text that are in
+the set of those of phrases are looked up in a hash table that every row shares, and only the phrases found there are tried
+as patterns.  So the time for a text does not depend on the number of phrases, but on those whose first words it has.
 """
 
 from __future__ import annotations
@@ -108,13 +113,79 @@ def _any(text: Column, terms: list[str]) -> Column:
     return out
 
 
-def rule_matches(text: Column, rule: dict) -> Column:
-    """array<struct<scenario, rule, kind, terms, position, excerpt>> of a rule in a text in plain form: one match for each phrase found, or each window."""
+#: Words of the n-grams by which phrases are known: of each phrase the most of these that it has.
+ANCHORS = (4, 2, 1)
+ENTRY = "struct<hash:long,rule:int,place:int,term:string,pattern:string>"
+
+
+def _grams(text: str, longest: int) -> dict[str, Column]:
+    """Columns to add one after another, so that each is computed once: __grams1, 2, 4 with the hashes of all n-grams of
+    the words of a text column, from each word on.  The last ones of 2 and 4 run over the end; patterns settle that."""
+    pair = lambda a, b: F.xxhash64(a, b)
+    out = {"__grams1": F.transform(F.regexp_extract_all(F.col(text), F.lit(f"[{WORD}]+"), F.lit(0)), lambda w: F.xxhash64(w))}
+    for n in (2, 4):
+        if n <= longest:
+            out[f"__grams{n}"] = F.zip_with(f"__grams{n // 2}", F.slice(f"__grams{n // 2}", n // 2 + 1, 1 << 30), pair)
+    return out
+
+
+def _indexed(phrases: list[tuple[int, int, str]]) -> tuple[dict[int, list[int]], list[dict]]:
+    """({words: hashes of first so many words}, an entry a phrase) of (rule, place in it, phrase).  A phrase without words
+    has a null hash.  The hashes are Spark's own: the phrases go through the expression that texts go through."""
+    rows = [(rule, place, term, plain_form(term), term_pattern(term)) for rule, place, term in phrases]
+    table = SparkSession.active().createDataFrame(rows, "rule int, place int, term string, form string, pattern string").coalesce(1)
+    for name, grams in _grams("form", max(ANCHORS)).items():
+        table = table.withColumn(name, grams)
+    words, first = F.size("__grams1"), F.lit(None).cast("long")
+    for n in reversed(ANCHORS):
+        first = F.when(words >= n, F.get(f"__grams{n}", 0)).otherwise(first)
+    known = table.select("rule", "place", "term", "pattern", first.alias("hash"), F.coalesce(*(F.when(words >= n, n) for n in ANCHORS)).alias("n")).collect()  # a row a phrase
+    sets = {n: sorted({r.hash for r in known if r.n == n}) for n in ANCHORS}
+    return {n: x for n, x in sets.items() if x}, [{k: r[k] for k in ("hash", "rule", "place", "term", "pattern")} for r in known]
+
+
+def _literal(value: list, schema: str) -> Column:
+    """A constant, which Spark's optimizer reads once."""
+    return F.from_json(F.lit(json.dumps({"x": value})), f"struct<x:{schema}>")["x"]
+
+
+def _among(grams: str, known: list[int]) -> Column:
+    return F.filter(grams, lambda h: h.isin(known))
+
+
+def _with_phrases(forms: DataFrame, rules: list[dict]) -> DataFrame:
+    """forms (with __plain) and __hits: array<struct<rule, place, term, position>> of all phrases found, in order."""
+    phrases = [(i, j, t) for i, rule in enumerate(rules) if rule["kind"] == "phrase" for j, t in enumerate(rule["groups"][0])]
+    if not phrases:
+        return forms
+    sets, entries = _indexed(phrases)
+    for name, grams in _grams("__plain", max(sets, default=1)).items():
+        forms = forms.withColumn(name, grams)
+    hashed = [e for e in entries if e["hash"] is not None]
+    buckets = [[] for _ in range(1 << max(1, len(hashed)).bit_length())]
+    for e in hashed:
+        buckets[e["hash"] % len(buckets)].append(e)
+    table = _literal(buckets, f"array<array<{ENTRY}>>")
+    there = [_among(f"__grams{n}", known) for n, known in sets.items()]
+    known = F.array_distinct(F.concat(*there)) if there else F.expr("cast(array() as array<long>)")
+
+    def looked_up(h: Column) -> Column:
+        return F.filter(F.get(table, F.pmod(h, F.lit(len(buckets))).cast("int")), lambda e: e["hash"] == h)
+
+    wordless = _literal([e for e in entries if e["hash"] is None], f"array<{ENTRY}>")
+    candidates = F.concat(F.flatten(F.transform("__known", looked_up)), wordless)
+    text = F.col("__plain")
+    found = F.filter(candidates, lambda e: F.regexp_like(text, e["pattern"]))
+    places = F.transform(found, lambda e: F.struct(e["rule"], e["place"], e["term"], F.length(F.get(F.split(text, e["pattern"], 2), 0)).alias("position")))
+    return forms.withColumn("__known", known).withColumn("__hits", F.array_sort(places)).drop("__known", *(f"__grams{n}" for n in ANCHORS))
+
+
+def rule_matches(text: Column, rule: dict, number: int) -> Column:
+    """array<struct<scenario, rule, kind, terms, position, excerpt>> of rule `number` in a text in plain form: one match for
+    each phrase found (in __hits), or each window."""
     if rule["kind"] == "phrase":
-        # One expression for all phrases, so a rule may have thousands; patterns are tried where the first word is there.
-        terms = F.array(*(F.struct(F.lit(t).alias("term"), F.lit(_opening(t)).alias("opening"), F.lit(term_pattern(t)).alias("pattern")) for t in rule["groups"][0]))
-        there = F.filter(terms, lambda t: F.contains(text, t["opening"]) & F.regexp_like(text, t["pattern"]))
-        found = F.transform(there, lambda t: F.struct(F.length(F.get(F.split(text, t["pattern"], 2), 0)).alias("position"), F.array(t["term"]).alias("terms")))
+        own = F.filter("__hits", lambda h: h["rule"] == number)
+        found = F.transform(own, lambda h: F.struct(h["position"], F.array(h["term"]).alias("terms")))
     else:
         found = _windows(text, rule["groups"], rule["window"])
     return F.transform(
@@ -125,19 +196,27 @@ def rule_matches(text: Column, rule: dict) -> Column:
     )
 
 
+def _searched(docs: DataFrame, rules: list[dict], text: str) -> DataFrame:
+    """docs with their plain form and the phrases found in it, in columns that start with two underscores."""
+    bound_batches(docs.sparkSession)
+    return _with_phrases(docs.withColumn("__plain", plain(F.coalesce(text, F.lit("")))), rules)
+
+
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """rows with a column that is computed once: Spark copies no expression, such as into a filter, through an explode."""
+    return rows.select("*", F.explode(F.array(value)).alias(name)).drop("__plain", "__hits")
+
+
 def inventory(docs: DataFrame, rules: list[dict], text: str = "text") -> DataFrame:
     """docs with `matches`: all matches of all rules, in order.  No row leaves its partition."""
-    bound_batches(docs.sparkSession)
-    forms = docs.withColumn("__plain", plain(F.coalesce(text, F.lit(""))))
-    return forms.withColumn("matches", F.concat(*(rule_matches(F.col("__plain"), r) for r in rules))).drop("__plain")
+    matches = F.concat(*(rule_matches(F.col("__plain"), r, i) for i, r in enumerate(rules)))
+    return _once(_searched(docs, rules, text), "matches", matches)
 
 
 def check(docs: DataFrame, rules: list[dict], text: str = "text") -> DataFrame:
     """docs with `match`: the first match of the first rule that has one; null for clean documents."""
-    bound_batches(docs.sparkSession)
-    forms = docs.withColumn("__plain", plain(F.coalesce(text, F.lit(""))))
-    firsts = [F.get(rule_matches(F.col("__plain"), r), 0) for r in rules]
-    return forms.withColumn("match", F.coalesce(*firsts)).drop("__plain")
+    firsts = [F.get(rule_matches(F.col("__plain"), r, i), 0) for i, r in enumerate(rules)]
+    return _once(_searched(docs, rules, text), "match", F.coalesce(*firsts))
 
 
 def described(match: Column) -> Column:

@@ -93,6 +93,22 @@ def contamination_inventory(spark, sf):
     return got.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.rule", F.array_join("m.terms", "+").alias("terms"), F.col("m.position").cast("long").alias("position"))
 
 
+def benchmark_phrases(spark, sf, sizes=(4, 5, 6, 7)) -> list[str]:
+    """All sequences of so many words of the benchmark's items, which is a list of rules, not a corpus."""
+    found = set()
+    for row in spark.read.parquet(f"{sf}/benchmark.parquet").select("text").where("text is not null").collect():
+        words = row.text.split()
+        found.update(" ".join(words[i : i + n]) for n in sizes for i in range(len(words) - n + 1))
+    return sorted(found)
+
+
+def contamination_benchmark(spark, sf):
+    """Thousands of phrases in one rule: how many a document has, and the first of them."""
+    rule = {"scenario": "benchmark", "rule": "passages", "kind": "phrase", "window": contamination.WINDOW, "groups": [benchmark_phrases(spark, sf)]}
+    got = contamination.inventory(documents(spark, sf).select("doc_id", "text"), [rule]).where("size(matches) > 0")
+    return got.select("doc_id", F.size("matches").cast("long").alias("n_phrases"), F.col("matches")[0]["terms"][0].alias("first_phrase"), F.col("matches")[0]["position"].cast("long").alias("position"))
+
+
 def license_detect(spark, sf):
     return documents(spark, sf).select("doc_id", licenses.detect(F.col("text")).alias("license"))
 
@@ -359,6 +375,7 @@ QUERIES = {
     "contamination_check": contamination_check,
     "contamination_phrases": contamination_phrases,
     "contamination_inventory": contamination_inventory,
+    "contamination_benchmark": contamination_benchmark,
     "license_detect": license_detect,
     "license_gate": license_gate,
     "license_mismatch": license_mismatch,

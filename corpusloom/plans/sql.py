@@ -167,6 +167,17 @@ PHRASES = rf"""
   phrases as (select doc_id, phrase, place, length(regexp_extract(t, '^(?s)(.*?)(?:^|[^\p{{L}}\p{{N}}_])' || phrase || '(?:[^\p{{L}}\p{{N}}_]|$)', 1))::bigint + case when regexp_matches(t, '^' || phrase || '(?:[^\p{{L}}\p{{N}}_]|$)') then 0 else 1 end as position
     from plain, (values ('of the', 1), ('de la', 2)) v(phrase, place) where regexp_matches(t, '(^|[^\p{{L}}\p{{N}}_])' || phrase || '([^\p{{L}}\p{{N}}_]|$)'))"""
 
+#: All sequences of four to seven words of the benchmark, looked for in every text.
+BENCHMARK = rf"""
+  with w as (select list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') as w from benchmark where text is not null),
+  phrases as (select distinct array_to_string(w[i:i + n - 1], ' ') as phrase from (select w, n, unnest(range(1, len(w) - n + 2)) as i from w, (values (4), (5), (6), (7)) v(n))),
+  forms as (select phrase, {PLAIN.replace("text", "phrase")} as form from phrases),
+  plain as (select doc_id, {PLAIN} as t from documents),
+  met as (select doc_id, t, phrase, regexp_escape(form) as e from plain join forms on contains(t, form)),
+  hits as (select * from met where regexp_matches(t, '(?:^|[^\p{{L}}\p{{N}}_])' || e || '(?:[^\p{{L}}\p{{N}}_]|$)')),
+  firsts as (select doc_id, count(*) as n_phrases, min(phrase) as first_phrase, first(struct_pack(t, e) order by phrase) as f from hits group by doc_id)
+  select doc_id, n_phrases, first_phrase, length(regexp_extract(f.t, '^(?s)(.*?)(?:^|[^\p{{L}}\p{{N}}_])' || f.e || '(?:[^\p{{L}}\p{{N}}_]|$)', 1))::bigint + case when regexp_matches(f.t, '^' || f.e || '(?:[^\p{{L}}\p{{N}}_]|$)') then 0 else 1 end as position from firsts"""
+
 #: crc32 by the table of each byte at each distance from the end, and of the start value; then all permutations.
 CRC = f"""
   t1 as (select b, list_reduce(list_concat([b::bigint], range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as t from (select unnest(range(256)) as b)),
@@ -322,6 +333,7 @@ ORACLE_SQL = {
         firsts as (select *, row_number() over (partition by doc_id order by o) as r from every),
         cut as (select f.*, t, greatest(0, position - 90) as a, least(length(t), position + 90) as b from firsts f join plain using (doc_id) where r = 1)
         select doc_id, rule, terms, position, case when a > 0 then '...' else '' end || substr(t, a + 1, b - a) || case when b < length(t) then '...' else '' end as excerpt from cut""",
+    "contamination_benchmark": BENCHMARK,
     "minhash_signature": f"with recursive {CRC.strip()}, {SIGNATURES.strip()} select doc_id, array_to_string(s, ',') as signature from sig",
     "near_dedup_greedy": GREEDY,
     "split_document": SPLIT,

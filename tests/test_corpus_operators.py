@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import lines
 from corpusloom.functions import text as T
+from corpusloom.functions.lines import plain_form
 from corpusloom.operators import contamination, dedup, licenses, pages, quota, records, scrub, stats, urdf
 from corpusloom.plans.build import build_category, merge
 
@@ -182,6 +183,31 @@ def near_windows(text, groups, size):
     return out
 
 
+def test_phrase_index_against_patterns(spark):
+    import re
+
+    draw = random.Random(21)
+    words = ["a", "b", "c", "été", "x_1", "b-c", "(a", "c.", "日本", "--", "B"]
+    phrases = [" ".join(draw.choices(words, k=draw.randrange(1, 9))) for _ in range(300)] + ["--", " . ", "a b c été a b c été x_1", "a", "a"]
+    texts = [" ".join(draw.choices(words, k=draw.randrange(30))) + draw.choice(["", ".", "\n x", "é"]) for _ in range(120)] + ["", None, "--", "a" * 5000]
+    rules = [{"scenario": "s", "rule": f"r{k}", "kind": "phrase", "window": 0, "groups": [phrases[k::3]]} for k in range(3)]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id int, text string, term string")
+    got = {r.doc_id: [(m.rule, m.terms[0], m.position) for m in r.matches] for r in contamination.inventory(docs, rules).collect()}
+    first = {r.doc_id: r.match and (r.match.rule, r.match.terms[0], r.match.position) for r in contamination.check(docs, rules).collect()}
+    word = r"[^\W]"
+    for i, text in enumerate(texts):
+        form = plain_form(text or "")
+        expected = []
+        for rule in rules:
+            for p in rule["groups"][0]:
+                m = re.search(rf"(?<!{word})" + r"\s+".join(map(re.escape, plain_form(p).split())) + rf"(?!{word})", form)
+                if m:
+                    expected.append((rule["rule"], p, m.start()))
+        assert got[i] == expected, text
+        assert first[i] == (expected[0] if expected else None)
+    assert contamination.check(docs, rules).columns == ["doc_id", "text", "term", "match"] and contamination.check(docs.limit(0), rules).count() == 0
+
+
 def test_contamination(spark):
     rules = contamination.load_rules(json.dumps(CONFIG))
     draw = random.Random(9)
