@@ -26,11 +26,16 @@ def session(name: str = "corpusloom", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: The most bytes, by Spark's estimate, of a scan that spread() deals out anew.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(table: DataFrame) -> DataFrame:
-    """A scan that gives fewer partitions than the session has cores, such as one of a small file, dealt out to all of them;
-    a larger one is left as it is, so no large table is shuffled."""
+    """A small scan that gives fewer partitions than the session has cores, dealt out to all of them.  Scans of over
+    SPREAD_BYTES are left as they are, however many cores there are, so no large table is shuffled."""
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return table.repartition(cores) if size <= SPREAD_BYTES and table.rdd.getNumPartitions() < cores else table
 
 
 def shared_dir(spark: SparkSession) -> str:
