@@ -13,28 +13,28 @@ from ..staging import shared_table
 #: Version of the recognised texts that a cache may hold; another one is made anew.
 CACHE_VERSION = 2
 
-#: name -> function of a prompt, or None for the description that comes from the figures alone.
-WRITERS: dict[str, Callable[[str], str] | None] = {"template": None}
+#: name -> function of a prompt and of what the writer is told to be, or None for the text that needs no writer.
+WRITERS: dict[str, Callable[[str, str], str] | None] = {"template": None}
 #: name -> function of the bytes of an image that gives blocks (text, score, x, top, bottom); the first is preferred.
 RECOGNISERS: dict[str, Callable[[bytes], list[tuple]]] = {}
 
 BLOCKS = "array<struct<text:string,score:double,x:double,top:double,bottom:double>>"
 
 
-def writer(name: str) -> Callable[[str], str] | None:
+def writer(name: str | None) -> Callable[[str, str], str] | None:
     """The writer of a name; unknown names stand for the template."""
     return WRITERS.get(name)
 
 
-def written(prompt: Column, name: str) -> Column:
-    """What a writer makes of a prompt; null for the template."""
+def written(prompt: Column, name: str | None, role: str = "") -> Column:
+    """What a writer, told its role, makes of a prompt; null for the template."""
     function = writer(name)
     if function is None:
         return F.lit(None).cast("string")
 
     @F.pandas_udf("string")
     def run(prompts: pd.Series) -> pd.Series:
-        return prompts.map(function, na_action="ignore")
+        return prompts.map(lambda x: function(x, role), na_action="ignore")
 
     return run(prompt)
 

@@ -4,16 +4,21 @@ A document is a duplicate of an earlier *kept* one: of the first with the same c
 most similar MinHash signature among those that share a band, if the similarity reaches the threshold.  Dropped documents
 never drop others, so this is not connected components.
 
-Equal documents are one entry.  Kept entries are found in two steps.
+Equal documents are one entry.  Kept entries are found in three steps.
 
-1. Rounds: an entry that is the first undecided one in all its bands has met every kept entry before it, so it is kept; all
-   others of its bands are compared with it, and drop out if they are similar.  A round makes a row for each undecided entry
-   of a band at most, and groups of copies are gone after one.  Rounds end when one decides less than a ROUND_SHARE.
+1. While a band has over SMALL_BAND entries, rounds: an entry that is the first undecided one in all its bands has met every
+   kept entry before it, so it is kept; all others of its bands are compared with it, and drop out if they are similar.  A
+   round makes a row for each undecided entry of a band at most, and large groups of copies are gone after one.  Rounds end
+   when one decides less than a ROUND_SHARE.
 2. What is left in a band is compared within pairs of blocks of BLOCK entries, and only pairs that are similar make a row.
-   On those, an entry without an undecided similar one before it is kept, and the entries similar to it drop out.
-
-Then each dropped entry meets the kept ones of its bands, again in pairs of blocks, and only its best ones make rows.  So no
-task holds more than two blocks, and a band of entries that are not similar makes no rows, however many they are.
+3. Components of similar pairs are decided apart from each other: each in one walk over its pairs in their order, which
+   keeps no more than the entries dropped so far.  So a chain of any number of versions needs no rounds.  Of a component of
+   over WALK_PAIRS pairs a round decides the first entries, which takes it apart; then its components are formed again.
+
+Dropped entries go with their most similar kept one.  Those of step 3 have it among the similar pairs; those of step 1 meet
+the kept ones of their bands, again in pairs of blocks, and only the best ones make rows.  So no task holds more than two
+blocks or a walk, and a band of entries that are not similar makes no rows, however many they are.  A block is moved once
+for each block it meets, so BLOCK is as large as two of them fit a task: signatures are four bytes a permutation there.
 """
 
 from __future__ import annotations
@@ -26,12 +31,15 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, hash_form
 from ..staging import bound_batches, drop_tables, shared_table
+from .components import connected
 
 # Permutations, bands, words of a shingle, similarity threshold, and the seed of the permutations.
 PERMUTATIONS, BANDS, SHINGLE_WORDS, THRESHOLD, SEED = 128, 16, 5, 0.85, 20260721
 PRIME, HASH_MAX = (1 << 61) - 1, (1 << 32) - 1
 #: Hashes that are permuted at once; entries of a block; rounds go on while one decides such a share of the rows.
-STEP_HASHES, BLOCK, ROUND_SHARE = 16_384, 512, 0.5
+STEP_HASHES, BLOCK, ROUND_SHARE = 16_384, 4096, 0.5
+#: Bands of more entries are worth rounds; pairs of a component that one task walks.
+SMALL_BAND, WALK_PAIRS = 64, 2_000_000
 
 
 def permutations(n: int = PERMUTATIONS, seed: int = SEED) -> list[tuple[int, int]]:
@@ -126,29 +134,41 @@ def _bands(signature: Column, bands: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.slice(signature, (i * rows + 1).cast("int"), rows.cast("int")).alias("values")))
 
 
-def _met_in_blocks(one: DataFrame, other: DataFrame, signatures: DataFrame, keep, schema: str) -> DataFrame:
-    """keep(orders, limits, signatures of `one`; orders, signatures of `other`) of all pairs of blocks of each band.
+def _met_in_blocks(one: DataFrame, other: DataFrame | None, signatures: DataFrame, keep, schema: str) -> DataFrame:
+    """keep(orders, limits, signatures of a block of `one`; orders, signatures of a block of `other`; whether both are the
+    same block) of all pairs of blocks of each band, as a table of the schema.
 
-    one: key, ord, top; other: key, ord.  keep gives a table of the schema.  A band of over BLOCK entries on a side is dealt
-    to blocks by hash, so the groups of any band are small.
+    one: key, ord, top; other: key, ord, or None for pairs of blocks of `one` itself, each once.  A band of over BLOCK
+    entries on a side is dealt to blocks by hash, so the groups of any band are small.
     """
     import numpy as np
     import pyarrow as pa
 
-    def dealt(rows: DataFrame, side: str) -> DataFrame:
-        blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"n_{side}"))
-        return blocks
+    def blocks_of(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    def placed(rows: DataFrame, mine: str, own: Column, theirs: str, met: Column, side: int) -> DataFrame:
+        dealt = rows.join(blocks, "key").withColumn("own", own).select("key", "ord", "top", F.col("own").alias(mine), F.explode(met).alias(theirs))
+        return dealt.select("key", "one", "other", F.lit(side).alias("side"), "ord", "top").join(signatures, "ord")
 
-    n_one, n_other = dealt(one, "one"), dealt(other, "other")
-    both = shared_table(n_one.join(n_other, "key"), "band-blocks")
+    def block(n: str) -> Column:
+        return F.pmod(F.xxhash64("ord"), F.col(n)).cast("int")
 
-    def placed(rows: DataFrame, mine: str, theirs: str, top: Column, side: int) -> DataFrame:
-        dealt_rows = rows.join(both, "key").withColumn(mine, F.pmod(F.xxhash64("ord"), F.col(f"n_{mine}")).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(f"n_{theirs}") - 1)))
-        return dealt_rows.select("key", "one", "other", F.lit(side).alias("side"), "ord", top.alias("top")).join(signatures, "ord")
+    def up_to(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
 
-    rows = placed(one, "one", "other", F.col("top"), 0).unionByName(placed(other, "other", "one", F.lit(None).cast("long"), 1))
+    if other is None:
+        blocks = shared_table(blocks_of(one, "n_one"), "band-blocks")
+        rows = placed(one, "one", block("n_one"), "other", F.sequence(F.col("own"), F.col("n_one") - 1), 0)
+        rows = rows.unionByName(placed(one, "other", block("n_one"), "one", F.sequence(F.lit(0), F.col("own")), 1))
+    else:
+        blocks = shared_table(blocks_of(one, "n_one").join(blocks_of(other, "n_other"), "key"), "band-blocks")
+        rows = placed(one, "one", block("n_one"), "other", up_to("n_other"), 0)
+        rows = rows.unionByName(placed(other.withColumn("top", F.lit(None).cast("long")), "other", block("n_other"), "one", up_to("n_one"), 1))
     grouped = rows.select("key", "one", "other", "side", "ord", "top", "signature").repartition("key", "one", "other").sortWithinPartitions("key", "one", "other", "side")
 
+    alone = other is None
+
     def run(batches):
         held = None
         for batch in [*batches_and_end(batches)]:
@@ -166,7 +186,7 @@ def _met_in_blocks(one: DataFrame, other: DataFrame, signatures: DataFrame, keep
             for a, b in zip(starts[:done].tolist(), ends[:done].tolist(), strict=True):
                 m = a + int(np.searchsorted(side[a:b], 1))
                 if a < m < b:
-                    out.append(keep(orders[a:m], tops[a:m], matrix[a:m], orders[m:b], matrix[m:b]))
+                    out.append(keep(orders[a:m], tops[a:m], matrix[a:m], orders[m:b], matrix[m:b], alone and group[a, 1] == group[a, 2]))
             held = table.slice(int(starts[done])) if done < len(starts) else None
             for found in out:
                 yield from found.to_batches()
@@ -180,7 +200,7 @@ def _met_in_blocks(one: DataFrame, other: DataFrame, signatures: DataFrame, keep
 
 
 def _shares(one, other):
-    """Share of equal places of each row of one signature matrix with each of another, and the first band that is equal."""
+    """Share of equal places of each row of one signature matrix with each of another, and which places those are."""
     import numpy as np
 
     for at in range(0, len(one), 32):
@@ -188,82 +208,123 @@ def _shares(one, other):
         yield at, same.mean(axis=2, dtype=np.float64), same
 
 
-def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, n: int = PERMUTATIONS) -> DataFrame:
-    """order, kind ('' kept, 'exact', 'near'), matched (order of the kept document) and similarity of each document.
-
-    order must be unique; rows with a null text have the form of an empty one.
-    """
-    if n % bands:
-        raise ValueError(f"{n} permutations do not make {bands} equal bands")
-    import numpy as np
-    import pyarrow as pa
-
+def _signed(docs: DataFrame, order: str, text: str, n: int) -> DataFrame:
+    """Written table given (the order as it is), ord (as a long), hash and signature of each document."""
     bound_batches(docs.sparkSession)
     forms = docs.select(F.col(order).alias("given"), F.col(order).cast("long").alias("ord"), F.coalesce(hash_form(F.col(text)), F.lit("")).alias("form"))
-    rows = shared_table(forms.select("given", "ord", F.sha2("form", 256).alias("hash"), minhash(F.col("form"), n).alias("signature")), "signatures")
-    # Written, so that Spark can split the joins with it where very many documents are equal.
-    firsts = shared_table(rows.groupBy("hash").agg(F.min("ord").alias("first"), F.max("ord").alias("last")), "first-copies")
-    entries = shared_table(rows.join(firsts.select(F.col("first").alias("ord"), "last"), "ord").select("ord", "hash", "last", "signature"), "entries")
-    banded = entries.select("ord", F.explode(_bands(F.col("signature"), bands)).alias("b")).select("ord", F.xxhash64("b.band", "b.values").alias("key"))
-    crowded = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    crowd = shared_table(banded.join(crowded, "key"), "crowded-bands")
-    signatures = shared_table(entries.join(crowd.select("ord").distinct(), "ord", "left_semi").select("ord", "signature"), "crowded-signatures")
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        """(early, late) of the pairs that are similar."""
-        early, late = (signatures.select(F.col("ord").alias(x), F.col("signature").alias(f"s_{x}")) for x in ("early", "late"))
-        return pairs.join(early, "early").join(late, "late").where(similarity(F.col("s_early"), F.col("s_late")) >= threshold).select("early", "late")
-
-    open_rows, gone = crowd, []
-    size = open_rows.count()
-    while size:
-        heads = open_rows.groupBy("key").agg(F.min("ord").alias("early"))
-        led = shared_table(open_rows.join(heads, "key"), "led-bands")
+    return shared_table(forms.select("given", "ord", F.sha2("form", 256).alias("hash"), minhash(F.col("form"), n).alias("signature")), "signatures")
+
+
+def signatures(docs: DataFrame, order: str = "ord", text: str = "text", n: int = PERMUTATIONS) -> DataFrame:
+    """The signatures of documents, for greedy_duplicates."""
+    return _signed(docs, order, text, n)
+
+
+def _banded(entries: DataFrame, bands: int) -> DataFrame:
+    """key, ord of each band of the entries' signatures."""
+    return entries.select("ord", F.explode(_bands(F.col("signature"), bands)).alias("b")).select(F.xxhash64("b.band", "b.values").alias("key"), "ord")
+
+
+def _short(signature: Column) -> Column:
+    """A signature in four bytes a place; equal places stay equal."""
+    return F.transform(signature, lambda x: (x - (1 << 31)).cast("int"))
+
+
+def _in_rounds(crowd: DataFrame, signatures: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """(bands of entries left undecided, tables of those dropped): rounds while bands are large and it pays."""
+    gone, left = [], crowd
+    early, late = (signatures.select(F.col("ord").alias(x), F.col("signature").alias(f"s_{x}")) for x in ("early", "late"))
+
+    def size_of(rows: DataFrame) -> tuple[int, int]:
+        sizes = rows.groupBy("key").count().agg(F.sum("count"), F.max("count")).first()
+        return sizes[0] or 0, sizes[1] or 0
+
+    size, largest = size_of(left)
+    while largest > SMALL_BAND:
+        heads = left.groupBy("key").agg(F.min("ord").alias("early"))
+        led = shared_table(left.join(heads, "key"), "led-bands")
         kept = shared_table(led.groupBy("ord").agg(F.min(F.col("ord") == F.col("early")).alias("leads")).where("leads").select("ord"), "kept-now")
         pairs = led.where("ord <> early").join(kept.withColumnRenamed("ord", "early"), "early", "left_semi").select("early", F.col("ord").alias("late")).distinct()
-        dropped = shared_table(compared(pairs).select(F.col("late").alias("ord")).distinct(), "dropped-now")
+        similar = pairs.join(early, "early").join(late, "late").where(similarity(F.col("s_early"), F.col("s_late")) >= threshold)
+        dropped = shared_table(similar.select(F.col("late").alias("ord")).distinct(), "dropped-now")
         gone.append(dropped)
-        left = led.select("key", "ord").join(kept.union(dropped), "ord", "left_anti")
-        alone = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-        rest = shared_table(left.join(alone, "key"), "open-bands")
-        drop_tables(led, kept, open_rows if open_rows is not crowd else None)
-        before, size, open_rows = size, rest.count(), rest
+        rest = led.select("key", "ord").join(kept.union(dropped), "ord", "left_anti")
+        alone = rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        rest = shared_table(rest.join(alone, "key"), "open-bands")
+        drop_tables(led, kept, left if left is not crowd else None)
+        before, left = size, rest
+        size, largest = size_of(left)
         if size > (1 - ROUND_SHARE) * before:
             break
+    return left, gone
 
-    def edges_of(orders, tops, one, others, other):
-        found = [np.argwhere((share >= threshold) & (orders[at : at + 32, None] < others[None, :])) + [at, 0] for at, share, _ in _shares(one, other)]
-        pair = np.concatenate(found)
-        return pa.table({"early": pa.array(orders[pair[:, 0]]), "late": pa.array(others[pair[:, 1]])})
-
-    if size:
-        with_top = open_rows.select("key", "ord", F.lit(0).cast("long").alias("top"))
-        edges = shared_table(_met_in_blocks(with_top, open_rows.select("key", "ord"), signatures, edges_of, "early long, late long").distinct(), "similar")
-        while not edges.isEmpty():
-            firsts_now = edges.select(F.col("early").alias("ord")).distinct().join(edges.select(F.col("late").alias("ord")).distinct(), "ord", "left_anti")
-            kept = shared_table(firsts_now, "kept-now")
-            dropped = shared_table(edges.join(kept.withColumnRenamed("ord", "early"), "early", "left_semi").select(F.col("late").alias("ord")).distinct(), "dropped-now")
-            gone.append(dropped)
-            done = kept.union(dropped)
-            rest = edges.join(done.withColumnRenamed("ord", "early"), "early", "left_anti").join(done.withColumnRenamed("ord", "late"), "late", "left_anti")
-            rest = shared_table(rest.select("early", "late"), "similar")
-            drop_tables(edges, kept)
-            edges = rest
-    dropped_all = gone[0] if gone else entries.where("false").select("ord")
-    for more in gone[1:]:
-        dropped_all = dropped_all.union(more)
-    dropped_all = shared_table(dropped_all, "dropped")
-    drop_tables(*gone, open_rows if open_rows is not crowd else None)
 
-    # Each dropped entry, and each copy of one, goes with its most similar kept document before it; ties: the first band
-    # shared, then the first document.  A copy may have better ones than the entry, which lie between the two.
-    width = n // bands
+def _walked(edges: DataFrame) -> DataFrame:
+    """ord of the entries dropped, from component, early, late: each task walks the pairs of its components in order."""
+    import pyarrow as pa
+
+    def walk(batches):
+        component, dropped = None, set()
+        for batch in batches:
+            out = []
+            for c, early, late in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if c != component:
+                    component, dropped = c, set()
+                # all pairs in which early is the later one came before
+                if early not in dropped and late not in dropped:
+                    dropped.add(late)
+                    out.append(late)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["ord"])
+
+    dealt = edges.select("component", "early", "late").repartition("component").sortWithinPartitions("component", "late", "early")
+    return dealt.mapInArrow(walk, "ord long")
+
+
+def _by_component(similar: DataFrame) -> list[DataFrame]:
+    """Tables of the entries dropped among similar pairs (early, late)."""
+    gone, edges = [], similar.select("early", "late")
+    while not edges.isEmpty():
+        labels = connected(edges.select(F.col("early").alias("a"), F.col("late").alias("b")))
+        placed = shared_table(edges.join(labels.withColumnRenamed("node", "early"), "early"), "components-of-pairs")
+        large = placed.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > WALK_PAIRS).select("component")
+        large = shared_table(large, "large-components")
+        gone.append(shared_table(_walked(placed.join(large, "component", "left_anti")), "dropped-now"))
+        if large.isEmpty():
+            drop_tables(placed, large)
+            break
+        rest = placed.join(large, "component").select("early", "late")
+        firsts = rest.select(F.col("early").alias("ord")).distinct().join(rest.select(F.col("late").alias("ord")).distinct(), "ord", "left_anti")
+        kept = shared_table(firsts, "kept-now")
+        dropped = shared_table(rest.join(kept.withColumnRenamed("ord", "early"), "early", "left_semi").select(F.col("late").alias("ord")).distinct(), "dropped-now")
+        gone.append(dropped)
+        done = shared_table(kept.union(dropped), "decided-now")
+        rest = rest.join(done.withColumnRenamed("ord", "early"), "early", "left_anti").join(done.withColumnRenamed("ord", "late"), "late", "left_anti")
+        edges = shared_table(rest.select("early", "late"), "similar-left")
+        drop_tables(placed, large, kept, done)
+    return gone
+
 
-    def best_of(orders, tops, one, others, other):
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.union(table)
+    return out
+
+
+BEST = "entry long, s double, band int, early long"
+
+
+def _best_kept(gone: DataFrame, kept: DataFrame, signatures: DataFrame, threshold: float, bands: int) -> DataFrame:
+    """BEST: of the kept entries (key, ord) in the bands of dropped ones (key, ord, top), in pairs of blocks, those that may be
+    the best for an entry or a copy of it up to top: s is the similarity with a minus, band the first one shared."""
+    import numpy as np
+    import pyarrow as pa
+
+    def best_of(orders, tops, one, others, other, same_block):
         turn = np.argsort(others, kind="stable")
         others, other, out = others[turn], other[turn], []
         for at, share, same in _shares(one, other):
-            in_bands = same.reshape(*same.shape[:2], bands, width).all(axis=3)
+            in_bands = same.reshape(*same.shape[:2], bands, -1).all(axis=3)
             for i in range(len(share)):
                 mine, top = orders[at + i], tops[at + i]
                 fits = np.flatnonzero((share[i] >= threshold) & (others < top) & in_bands[i].any(axis=1))
@@ -282,19 +343,122 @@ def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", t
         kinds = {"entry": pa.int64(), "s": pa.float64(), "band": pa.int32(), "early": pa.int64()}
         return pa.table({k: pa.array(c, kind) for (k, kind), c in zip(kinds.items(), columns, strict=True)})
 
-    copied = entries.join(dropped_all, "ord", "left_semi").select("ord", F.col("last").alias("top"), "hash")
-    gone_bands = crowd.join(copied.select("ord", (F.col("top") + 1).alias("top")), "ord").select("key", "ord", "top")
-    kept_bands = crowd.join(dropped_all, "ord", "left_anti").select("key", "ord")
-    best = shared_table(_met_in_blocks(gone_bands, kept_bands, signatures, best_of, "entry long, s double, band int, early long").distinct(), "best-kept")
-    late = rows.select("hash", F.col("ord").alias("late")).join(copied.select("hash", F.col("ord").alias("entry")), "hash")
+    return _met_in_blocks(gone, kept, signatures, best_of, BEST)
+
+
+def _similar_pairs(open_bands: DataFrame, signatures: DataFrame, threshold: float, bands: int) -> DataFrame:
+    """early, late, s, band of the pairs of entries that share a band and are similar, each once."""
+    import numpy as np
+    import pyarrow as pa
+
+    def edges_of(orders, tops, one, others, other, same_block):
+        found = {"early": [], "late": [], "s": [], "band": []}
+        for at, share, same in _shares(one, other):
+            fits = share >= threshold
+            if same_block:
+                fits &= orders[at : at + 32, None] < others[None, :]
+            i, j = np.nonzero(fits)
+            found["early"].append(np.minimum(orders[at + i], others[j]))
+            found["late"].append(np.maximum(orders[at + i], others[j]))
+            found["s"].append(-share[i, j])
+            found["band"].append(same[i, j].reshape(len(i), bands, same.shape[2] // bands).all(axis=2).argmax(axis=1).astype(np.int32))
+        return pa.table({k: np.concatenate(v) for k, v in found.items()})
+
+    with_top = open_bands.select("key", "ord", F.lit(0).cast("long").alias("top"))
+    return _met_in_blocks(with_top, None, signatures, edges_of, "early long, late long, s double, band int").distinct()
+
+
+def _met_old(banded: DataFrame, entries: DataFrame, old: dict[str, DataFrame], threshold: float, bands: int) -> DataFrame:
+    """BEST of the entries with the similar ones that earlier batches kept.  Only new rows and pairs are shuffled: the old
+    bands are read in their buckets."""
+    pairs = banded.join(old["bands"].select("key", F.col("ord").alias("early")), "key").select(F.col("ord").alias("entry"), "early").distinct()
+    mine = entries.select(F.col("ord").alias("entry"), F.col("signature").alias("s_new"))
+    theirs = old["signatures"].select(F.col("ord").alias("early"), F.col("signature").alias("s_old"))
+    compared = pairs.join(theirs, "early").join(mine, "entry")
+    shared = F.zip_with(_bands(F.col("s_new"), bands), _bands(F.col("s_old"), bands), lambda x, y: x == y)
+    scored = compared.select("entry", (-similarity(F.col("s_new"), F.col("s_old"))).alias("s"), (F.array_position(shared, True) - 1).cast("int").alias("band"), "early")
+    return shared_table(scored.where(F.col("s") <= -threshold), "met-old")
+
+
+def _verdicts(rows: DataFrame, threshold: float, bands: int, old: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(ord, kind, matched, similarity of the duplicates among rows of _signed; entries that are kept: ord, hash, signature).
+
+    old: what earlier batches kept, all before the rows in order: copies (hash, ord), bands (key, ord), signatures (ord,
+    signature).
+    """
+    # Written, so that Spark can split the joins with it where very many documents are equal.
+    firsts = shared_table(rows.groupBy("hash").agg(F.min("ord").alias("first"), F.max("ord").alias("last")), "first-copies")
+    exact_old = None
+    if old is not None:
+        known = firsts.join(old["copies"].select("hash", F.col("ord").alias("matched")), "hash").select("hash", "matched")
+        known = shared_table(known, "known-copies")
+        exact_old = rows.select("ord", "hash").join(known, "hash").select("ord", F.lit("exact").alias("kind"), "matched", F.lit(1.0).alias("similarity"))
+        firsts = shared_table(firsts.join(known.select("hash"), "hash", "left_anti"), "first-copies")
+    entries = shared_table(rows.join(firsts.select(F.col("first").alias("ord"), "last"), "ord").select("ord", "hash", "last", "signature"), "entries")
+    banded = _banded(entries, bands)
+    by_old, met = [], None
+    if old is not None:
+        met = _met_old(banded, entries, old, threshold, bands)
+        by_old = [shared_table(met.select(F.col("entry").alias("ord")).distinct(), "dropped-by-old")]
+    # entries that an old one drops stay in the crowd only to find their best match
+    crowded = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    crowd = shared_table(banded.join(crowded, "key"), "crowded-bands")
+    signatures = shared_table(entries.join(crowd.select("ord").distinct(), "ord", "left_semi").select("ord", _short(F.col("signature")).alias("signature")), "crowded-signatures")
+    undecided = crowd
+    if by_old:
+        left = crowd.join(by_old[0], "ord", "left_anti").select("key", "ord")
+        undecided = shared_table(left.join(left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key").select("key", "ord"), "undecided-bands")
+    open_bands, in_rounds = _in_rounds(undecided, signatures, threshold)
+    similar = shared_table(_similar_pairs(open_bands, signatures, threshold, bands), "similar")
+    later = _by_component(similar)
+    none = entries.where("false").select("ord")
+    dropped_first = shared_table(_union([*by_old, *in_rounds, none]), "dropped-first")
+    dropped_later = shared_table(_union([*later, none]), "dropped-later")
+    dropped = dropped_first.union(dropped_later)
+    drop_tables(*by_old, *in_rounds, *later, open_bands if open_bands is not crowd else None)
+
+    # Each dropped entry, and each copy of one, goes with its most similar kept document before it; ties: the first band
+    # shared, then the first document.  A copy may have better ones than the entry, which lie between the two.
+    both = [similar.select(F.col(x).alias("entry"), "s", "band", F.col(y).alias("early")) for x, y in (("late", "early"), ("early", "late"))]
+    best = _union(both).join(dropped_later.withColumnRenamed("ord", "entry"), "entry", "left_semi").join(dropped.withColumnRenamed("ord", "early"), "early", "left_anti").select("entry", "s", "band", "early")
+    if not dropped_first.isEmpty():
+        tops = entries.join(dropped_first, "ord", "left_semi").select("ord", (F.col("last") + 1).alias("top"))
+        gone_bands = crowd.join(tops, "ord").select("key", "ord", "top")
+        kept_bands = crowd.join(dropped, "ord", "left_anti").select("key", "ord")
+        best = best.union(_best_kept(gone_bands, kept_bands, signatures, threshold, bands).distinct())
+    if met is not None:
+        best = best.union(met)
+    best = shared_table(best, "best-kept")
+    late = rows.select("hash", F.col("ord").alias("late")).join(entries.join(dropped, "ord", "left_semi").select("hash", F.col("ord").alias("entry")), "hash")
     chosen = late.join(best, "entry").where("early < late").groupBy("late").agg(F.min(F.struct("s", "band", "early")).alias("m"))
     near = chosen.select(F.col("late").alias("ord"), F.lit("near").alias("kind"), F.col("m.early").alias("matched"), (-F.col("m.s")).alias("similarity"))
-    exact = rows.select("ord", "hash").join(firsts.select("hash", "first"), "hash").join(dropped_all.withColumnRenamed("ord", "first"), "first", "left_anti").where("ord > first").select("ord", F.lit("exact").alias("kind"), F.col("first").alias("matched"), F.lit(1.0).alias("similarity"))
-    verdicts = near.unionByName(exact)
+    exact = rows.select("ord", "hash").join(firsts.select("hash", "first"), "hash").join(dropped.withColumnRenamed("ord", "first"), "first", "left_anti").where("ord > first").select("ord", F.lit("exact").alias("kind"), F.col("first").alias("matched"), F.lit(1.0).alias("similarity"))
+    found = near.unionByName(exact)
+    if exact_old is not None:
+        found = found.unionByName(exact_old)
+    drop_tables(similar, crowd, signatures)
+    return found, entries.join(dropped, "ord", "left_anti").select("ord", "hash", "signature")
+
+
+def _checked(n: int, bands: int) -> None:
+    if n % bands:
+        raise ValueError(f"{n} permutations do not make {bands} equal bands")
+
+
+def _with_kinds(docs: DataFrame, order: str, rows: DataFrame, found: DataFrame) -> DataFrame:
     kind = docs.schema[order].dataType
-    out = rows.select("given", "ord").join(verdicts, "ord", "left").select(F.col("given").alias(order), F.coalesce("kind", F.lit("")).alias("kind"), F.col("matched").cast(kind).alias("matched"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
-    drop_tables(crowd, signatures)
-    return out
+    return rows.select("given", "ord").join(found, "ord", "left").select(F.col("given").alias(order), F.coalesce("kind", F.lit("")).alias("kind"), F.col("matched").cast(kind).alias("matched"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
+
+
+def greedy_duplicates(docs: DataFrame, order: str = "ord", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, n: int = PERMUTATIONS, signed: DataFrame | None = None) -> DataFrame:
+    """order, kind ('' kept, 'exact', 'near'), matched (order of the kept document) and similarity of each document.
+
+    order must be unique; rows with a null text have the form of an empty one.  signed: the signatures of these documents,
+    or of more, as signatures() gave them, where they are decided more than once.
+    """
+    _checked(n, bands)
+    rows = _signed(docs, order, text, n) if signed is None else shared_table(signed.join(docs.select(F.col(order).cast("long").alias("ord")), "ord", "left_semi"), "signatures")
+    return _with_kinds(docs, order, rows, _verdicts(rows, threshold, bands)[0])
 
 
 def exact_duplicates(docs: DataFrame, order: str = "ord", text: str = "text") -> DataFrame:

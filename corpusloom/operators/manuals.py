@@ -21,6 +21,8 @@ from . import pages as P
 LEAST_CHARS = 200
 FORMAT_PROMPT = "Reformat the following robot manual excerpt. Keep all facts and numbers verbatim.\n\n"
 FORMAT_CHARS = 12_000
+#: What a writer of manuals is told to be.
+FORMATTER = "Turn excerpts of robot manuals into clean plain text. Keep each fact, figure and unit as it is, leave page furniture out, and add nothing."
 
 
 def recognised_texts(images: DataFrame, key: list[str], name: str | None = None, most_pages: int | None = None) -> DataFrame:
@@ -45,11 +47,36 @@ def recognised_texts(images: DataFrame, key: list[str], name: str | None = None,
     return documents.join(total, key).select(*key, F.col("r").withField("note", note).alias("r"))
 
 
+def remembered(recognise: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame], DataFrame]:
+    """recognise (see manual_documents) with its results kept in a folder, so that a file whose content is known is not
+    recognised again.  Results of another hooks.CACHE_VERSION do not count."""
+    key = ["robot_id", "name", "digest"]
+    columns = "robot_id string, name string, digest string, r struct<text:string,confidence:double,n_pages:int,n_pages_with_text:int,note:string>, version int"
+
+    def run(wanted: DataFrame) -> DataFrame:
+        spark = wanted.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+        cache = spark.read.schema(columns).parquet(path) if there else spark.createDataFrame([], columns)
+        named = wanted.withColumn("digest", F.sha2("content", 256))
+
+        def make(missing: DataFrame) -> DataFrame:
+            found = recognise(missing.drop("digest"))
+            return missing.select(*key).join(found, key[:2]).select(*key, "r")
+
+        rows = hooks.with_cache(named, cache, make, key)
+        known = cache.where(F.col("version") == hooks.CACHE_VERSION).select(*key)
+        rows.join(known, key, "left_anti").select(*key, F.col("r").cast(cache.schema["r"].dataType).alias("r"), "version").write.mode("append").parquet(path)
+        return rows.select(*key[:2], "r")
+
+    return run
+
+
 def formatted(text: Column, writer: str | None) -> Column:
     """What a writer makes of the first FORMAT_CHARS characters (the rest is lost); the text itself for the template."""
     if writer is None or hooks.writer(writer) is None:
         return text
-    return F.trim(hooks.written(F.concat(F.lit(FORMAT_PROMPT), F.substring(text, 1, FORMAT_CHARS)), writer))
+    return F.trim(hooks.written(F.concat(F.lit(FORMAT_PROMPT), F.substring(text, 1, FORMAT_CHARS)), writer, FORMATTER))
 
 
 def manual_documents(files: DataFrame, extract: Callable[[DataFrame], DataFrame], recognise: Callable[[DataFrame], DataFrame] | None = None, writer: str | None = None) -> DataFrame:

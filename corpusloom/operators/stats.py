@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import shared_table
 from .quota import running_total
 from .records import TARGET_MIX
 
@@ -19,6 +20,33 @@ def by(rows: DataFrame, *keys: str, tokens: str = "n_tokens") -> DataFrame:
     return shared.withColumn("mean_tokens", F.floor(F.col("tokens") / F.col("n_docs")).cast("long")).drop("__whole")
 
 
+TOTAL = "TOTAL"
+
+
+def figures(rows: DataFrame, *dimensions: str, tokens: str = "n_tokens") -> DataFrame:
+    """Documents, tokens and whether all counts are exact, by each dimension apart and in all, in one pass over rows.
+
+    Columns: dimension (TOTAL for all rows), value (as text), n_docs, tokens, exact.  Sums are formed before the shuffle, so
+    what is shuffled is a row for each value and task.  No rows give one row, the total with 0 documents.
+    """
+    exact = F.min("n_tokens_exact") if "n_tokens_exact" in rows.columns else F.lit(None).cast("boolean")
+    sets = [[], *([F.col(d)] for d in dimensions)]
+    sums = rows.groupingSets(sets, *(F.col(d) for d in dimensions)).agg(
+        F.count("*").alias("n_docs"), F.coalesce(F.sum(tokens), F.lit(0)).cast("long").alias("tokens"), exact.alias("exact"), *(F.grouping(d).alias(f"__not_{i}") for i, d in enumerate(dimensions))
+    )
+    grouped = [F.when(F.col(f"__not_{i}") == 0, F.lit(d)) for i, d in enumerate(dimensions)]
+    values = F.coalesce(*(F.when(F.col(f"__not_{i}") == 0, F.col(d).cast("string")) for i, d in enumerate(dimensions)))
+    return sums.select(F.coalesce(*grouped, F.lit(TOTAL)).alias("dimension"), values.alias("value"), "n_docs", "tokens", "exact")
+
+
+def _of(sums: DataFrame, dimension: str) -> DataFrame:
+    """The rows of one dimension of figures(), by its name, with share_pct and mean_tokens as by() has them."""
+    whole = sums.where(F.col("dimension") == TOTAL).select(F.col("tokens").alias("__whole"))  # one row
+    own = sums.where(F.col("dimension") == dimension).select(F.col("value").alias(dimension), "n_docs", "tokens", "exact").join(F.broadcast(whole))
+    shared = own.withColumn("share_pct", F.when(F.col("__whole") > 0, F.col("tokens") * 100.0 / F.col("__whole"))).drop("__whole")
+    return shared.withColumn("mean_tokens", F.when(F.col("n_docs") > 0, F.floor(F.col("tokens") / F.col("n_docs")).cast("long")))
+
+
 def source_table(rows: DataFrame, budget: Column) -> DataFrame:
     """By source: candidates, unique ones, kept ones and their tokens, and whether the budget was passed.
 
@@ -60,6 +88,27 @@ def distribution(rows: DataFrame, tokens: str = "n_tokens") -> DataFrame:
     return placed.agg(at(0.5).alias("median"), at(0.95).alias("p95"), F.max("largest").alias("largest"))
 
 
+#: Size of a quantile sketch.  Its rank error is about 0.3 % of the rows; up to so many rows it is exact.
+SKETCH_K = 2048
+
+
+def token_sketches(rows: DataFrame, *keys: str, tokens: str = "n_tokens") -> DataFrame:
+    """keys, n_docs and sketch (binary) of the tokens of the documents of each; nulls are left out.
+
+    The table is small, and is kept beside a corpus: sketches of parts are merged by quantiles(), so a corpus or a new part
+    of it needs no second pass over the documents.
+    """
+    counted = rows.where(F.col(tokens).isNotNull())
+    return counted.groupBy(*keys).agg(F.count("*").alias("n_docs"), F.kll_sketch_agg_bigint(F.col(tokens).cast("long"), SKETCH_K).alias("sketch"))
+
+
+def quantiles(sketches: DataFrame, *keys: str, shares: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """keys, n_docs and p50, p95 (or others) of merged sketches: the least count that so large a share does not exceed, but
+    for the sketch's error.  Without keys, of all."""
+    merged = sketches.groupBy(*keys).agg(F.sum("n_docs").alias("n_docs"), F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"))
+    return merged.where("n_docs > 0").select(*keys, "n_docs", *(F.kll_sketch_get_quantile_bigint("sketch", F.lit(x)).alias(f"p{x * 100:g}") for x in shares))
+
+
 def mix(rows: DataFrame, bands: tuple = TARGET_MIX, key: str = "category", tokens: str = "n_tokens") -> DataFrame:
     """Each category's tokens and share, and whether it is in its band, borders included; absent categories have 0."""
     spark = rows.sparkSession
@@ -166,10 +215,10 @@ def _outside(license: Column) -> Column:
     return F.concat(license, F.when(outside, "  <- outside allowlist, inclusion on a recorded decision").otherwise(""))
 
 
-def _heading(title: str, kept: DataFrame, facts: dict[str, str]) -> str:
-    sums = kept.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.min("n_tokens_exact"), F.lit(False)).alias("exact")).first()
-    exact = "exact" if sums.exact else "approximate"
-    return "\n".join([f"# {title} — statistics", "", *(f"- {k}: {v}" for k, v in facts.items()), f"- Records: {sums.n}", f"- Total tokens: {sums.tokens:,} ({exact})", ""])
+def _heading(title: str, sums: DataFrame, facts: dict[str, str]) -> str:
+    whole = _of(sums, TOTAL).first()
+    exact = "exact" if whole.exact else "approximate"
+    return "\n".join([f"# {title} — statistics", "", *(f"- {k}: {v}" for k, v in facts.items()), f"- Records: {whole.n_docs}", f"- Total tokens: {whole.tokens:,} ({exact})", ""])
 
 
 def category_report(title: str, kept: DataFrame, sources: DataFrame, events: DataFrame, masked: DataFrame, facts: dict[str, str] | None = None) -> str:
@@ -178,12 +227,13 @@ def category_report(title: str, kept: DataFrame, sources: DataFrame, events: Dat
     kept: records with family, kind, license, n_tokens.  sources: source_id, family, kept, tokens, token_budget, over_quota.
     masked: kind, n.
     """
+    sums = shared_table(figures(kept, "family", "kind", "license"), "figures")
     return "\n".join([
-        _heading(title, kept, facts or {}),
-        markdown("Per source family", by(kept, "family").orderBy(F.desc("tokens"), "family").select("family", "n_docs", "tokens", F.concat(F.format_number("share_pct", 1), F.lit(" %")).alias("share"))),
+        _heading(title, sums, facts or {}),
+        markdown("Per source family", _of(sums, "family").orderBy(F.desc("tokens"), "family").select("family", "n_docs", "tokens", F.concat(F.format_number("share_pct", 1), F.lit(" %")).alias("share"))),
         markdown("Per source", sources.orderBy(F.desc("tokens"), "source_id").select("source_id", "family", "kept", "tokens", "token_budget", "over_quota")),
-        _lines("Per content nature", kept.groupBy("kind").count().orderBy("kind"), "- {}: {} documents"),
-        _lines("Per license", kept.groupBy("license").count().orderBy("license"), "- {}: {}"),
+        _lines("Per content nature", _of(sums, "kind").select("kind", "n_docs").orderBy("kind"), "- {}: {} documents"),
+        _lines("Per license", _of(sums, "license").select("license", "n_docs").orderBy("license"), "- {}: {}"),
         markdown("Dropped documents", dropped_by_reason(events)),
         _lines("Masked secrets", masked, "- {}: {}") if not masked.isEmpty() else "## Masked secrets\n\n- no secret detected in the retained sources\n",
     ])
@@ -192,14 +242,15 @@ def category_report(title: str, kept: DataFrame, sources: DataFrame, events: Dat
 def extraction_report(title: str, kept: DataFrame, events: DataFrame, facts: dict[str, str] | None = None) -> str:
     """The report of a category of robots and manuals: by source type and license, how texts were extracted, and what was
     left out.  kept: records with source_type, license, n_tokens, ocr, ocr_confidence."""
-    by_type = by(kept, "source_type").orderBy("source_type").select("source_type", "n_docs", "tokens", "mean_tokens")
-    quality = kept.agg(F.count_if(~F.col("ocr")).alias("native"), F.count_if("ocr").alias("ocr")).first()
+    sums = shared_table(figures(kept, "source_type", "license", "ocr"), "figures")
+    by_type = _of(sums, "source_type").orderBy("source_type").select("source_type", "n_docs", "tokens", "mean_tokens")
+    quality = {r.ocr: r.n_docs for r in _of(sums, "ocr").collect()}  # two values
     recognised = kept.where("ocr").select("id", "ocr_confidence").orderBy("id").limit(LISTED["ok"])
     return "\n".join([
-        _heading(title, kept, facts or {}),
+        _heading(title, sums, facts or {}),
         _lines("Per source type", by_type, "- {}: {} records, {} tokens (mean {})"),
-        _lines("Per license", kept.groupBy(_outside(F.col("license")).alias("license")).count().orderBy("license"), "- {}: {}"),
-        f"## Extraction quality\n\n- Native extraction: {quality.native}\n- Text from OCR: {quality.ocr}",
+        _lines("Per license", _of(sums, "license").select(_outside(F.col("license")).alias("license"), "n_docs").orderBy("license"), "- {}: {}"),
+        f"## Extraction quality\n\n- Native extraction: {quality.get('false', 0)}\n- Text from OCR: {quality.get('true', 0)}",
         *(f"  - `{r.id}` — mean confidence {r.ocr_confidence}" for r in recognised.collect()),
         "",
         markdown("Skipped", dropped_by_reason(events)),
@@ -208,16 +259,17 @@ def extraction_report(title: str, kept: DataFrame, events: DataFrame, facts: dic
 
 def merged_report(title: str, kept: DataFrame, events: DataFrame, facts: dict[str, str] | None = None) -> str:
     """The report of the whole corpus: the mix and its verdict, and figures by category, tier, license and nature."""
-    shares = mix(kept).orderBy("category").collect()
+    sums = shared_table(figures(kept, "category", "tier", "license", "source_type"), "figures")
+    shares = mix(_of(sums, "category"), tokens="tokens").orderBy("category").collect()
     bands = {c: (low, high) for c, low, high in TARGET_MIX}
     verdict = "COMPLIANT" if all(r.in_band for r in shares) else "NON-COMPLIANT"
     rows = [f"| {r.category} | {r.tokens:,} | {100 * r.share:.1f} % | {100 * bands[r.category][0]:.0f}-{100 * bands[r.category][1]:.0f} % | {'OK' if r.in_band else 'OUT OF BAND'} |" for r in shares]
     return "\n".join([
-        _heading(title, kept, facts or {}),
+        _heading(title, sums, facts or {}),
         "## Mix per category", "", "| Category | Tokens | Share | Target band | Verdict |", "|---|---:|---:|---:|---|", *rows, "", f"**Overall mix: {verdict}**", "",
-        markdown("Documents per category", with_total(kept, "category").withColumn("mean", F.floor(F.col("tokens") / F.col("n_docs"))).orderBy((F.col("category") == "TOTAL"), "category")),
-        _lines("Per tier", by(kept, "tier").orderBy("tier").select("tier", "tokens"), "- {}: {:,} tokens"),
-        markdown("Per license", kept.groupBy(_outside(F.col("license")).alias("license")).agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "license")),
-        _lines("Per source nature", kept.groupBy("source_type").count().orderBy(F.desc("count"), "source_type"), "- {}: {} documents"),
+        markdown("Documents per category", _of(sums, "category").unionByName(_of(sums, TOTAL).withColumn(TOTAL, F.lit(TOTAL)).withColumnRenamed(TOTAL, "category")).select("category", "n_docs", "tokens", F.col("mean_tokens").alias("mean")).orderBy((F.col("category") == TOTAL), "category")),
+        _lines("Per tier", _of(sums, "tier").orderBy("tier").select("tier", "tokens"), "- {}: {:,} tokens"),
+        markdown("Per license", _of(sums, "license").select(_outside(F.col("license")).alias("license"), F.col("n_docs").alias("documents")).orderBy(F.desc("documents"), "license")),
+        _lines("Per source nature", _of(sums, "source_type").select("source_type", "n_docs").orderBy(F.desc("n_docs"), "source_type"), "- {}: {} documents"),
         markdown("Dropped at merge time", dropped_by_reason(events)),
     ])

@@ -84,13 +84,14 @@ def merge(categories: dict[str, DataFrame], rules: list[dict], threshold: float
     # An id counts as taken only if its record stays; the first of an id among clean records is decided with the
     # duplicates, and a later one comes up again if that one goes.
     left, kept = clean, None
+    signed = dedup.signatures(clean) if across else None  # once, for all rounds
     while True:
         taken = shared_table(dedup.colliding_ids(left, "id", "ord"), "taken-ids")
         first = left.join(taken, "ord", "left_anti")
         if not across:
             good = first
             break
-        verdicts = shared_table(dedup.greedy_duplicates(first, "ord", "text", threshold), "verdicts")
+        verdicts = shared_table(dedup.greedy_duplicates(first, "ord", "text", threshold, signed=signed), "verdicts")
         dropped = first.select("id", "ord").join(verdicts.where("kind <> ''"), "ord")
         freed = left.join(taken, "ord", "left_semi").join(dropped.select("id"), "id", "left_semi")
         if freed.isEmpty():

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import lines
 from ..functions import text as T
 from ..operators import contamination, dedup, licenses, pages, quota, records, scrub, stats, urdf
+from ..operators.duplicate_index import DuplicateIndex
 from ..sources import files
-from ..staging import spread
+from ..staging import scratch_path, shared_table, spread
 from .build import build_category
 
 BUDGET = 8000
@@ -169,6 +170,20 @@ def near_dedup_greedy(spark, sf):
     return dedup.greedy_duplicates(documents(spark, sf), "doc_id")
 
 
+def near_dedup_batches(spark, sf):
+    """The documents in three batches, each met with the index that the ones before left."""
+    docs = documents(spark, sf)
+    ends = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
+    a, size = ends.a or 0, ((ends.b or 0) - (ends.a or 0)) // 3 + 1
+    index = DuplicateIndex(spark, scratch_path(spark, "duplicate-index"), buckets=8)
+    out = None
+    for k in range(3):
+        low = F.col("doc_id") >= a + k * size if k else F.lit(True)
+        verdicts = index.add(docs.where(low & (F.col("doc_id") < a + (k + 1) * size)), str(k), "doc_id")
+        out = verdicts if out is None else out.unionByName(verdicts)
+    return out
+
+
 def scrubbed(spark, sf):
     got = scrub.scrub(documents(spark, sf).select("doc_id", "text"))
     return got.select("doc_id", F.col("n_redacted").cast("long").alias("n_redacted"), F.sha2("text", 256).alias("sha256"))
@@ -278,6 +293,21 @@ def stats_by_license(spark, sf):
     return stats.by(rows, "license_status", "lang").select("license_status", "lang", "n_docs", "tokens", "mean_tokens")
 
 
+def stats_all_dimensions(spark, sf):
+    """All figures of a report in one aggregate: by source, language and license, and in all."""
+    license = licenses.classify(licenses.detect(F.col("text")))
+    rows = documents(spark, sf).select("source", "lang", license.alias("license"), T.token_estimate(F.col("text")).alias("n_tokens"))
+    return stats.figures(rows, "source", "lang", "license").drop("exact")
+
+
+def stats_quantiles(spark, sf):
+    """Quantiles of tokens by source, by language, and in all, from one table of sketches by source and language."""
+    sketches = shared_table(stats.token_sketches(_tokens(spark, sf), "source_id", "grp"), "sketches")
+    none = F.lit(None).cast("string")
+    parts = [stats.quantiles(sketches, "source_id").withColumn("grp", none), stats.quantiles(sketches, "grp").withColumn("source_id", none), stats.quantiles(sketches).withColumns({"source_id": none, "grp": none})]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def dropped_by_reason(spark, sf):
     reason = F.when(F.col("n_chars") < 200, "short").when(F.col("lang") != "en", "language")
     events = documents(spark, sf).select(F.when(reason.isNull(), "ok").otherwise("skip").alias("outcome"), reason.alias("reason"))
@@ -321,6 +351,20 @@ def selected_paths(spark, sf):
     return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", files.selected(path, ["en/**", "f?/*"], ["*top", "en/2*"]).alias("selected"))
 
 
+def quarantined_lines(spark, sf):
+    """Records written as lines, some of them cut, of a wrong type, in an array or blank, and read back."""
+    n = F.col("doc_id")
+    chars = F.when(n % 7 == 3, F.concat(F.lit('"'), F.col("n_chars").cast("string"), F.lit(' long"'))).otherwise(F.col("n_chars").cast("string"))
+    whole = F.concat(F.lit('{"doc_id": '), n.cast("string"), F.lit(', "lang": "'), F.col("lang"), F.lit('", "n_chars": '), chars, F.lit("}"))
+    line = F.when(n % 13 == 5, "  ").when(n % 11 == 2, F.concat(F.lit("["), whole, F.lit("]"))).when(n % 5 == 1, F.substring(whole, 1, 20)).otherwise(whole)
+    path = scratch_path(spark, "lines")
+    documents(spark, sf).select(line.alias("value")).write.text(path)
+    records, quarantine = files.read_json_lines(spark, path, "doc_id long, lang string, n_chars long")
+    kept = records.select("doc_id", "lang", "n_chars", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"))
+    none = F.lit(None)
+    return kept.unionByName(quarantine.select(none.cast("long").alias("doc_id"), none.cast("string").alias("lang"), none.cast("long").alias("n_chars"), "line", "reason"))
+
+
 def excerpts(spark, sf):
     at = (F.col("doc_id") % 300).cast("int")
     return documents(spark, sf).select("doc_id", T.excerpt(F.col("text"), at, at + 5, 40).alias("excerpt"))
@@ -367,6 +411,7 @@ QUERIES = {
     "exact_dedup_first_wins": exact_dedup_first_wins,
     "minhash_signature": minhash_signature,
     "near_dedup_greedy": near_dedup_greedy,
+    "near_dedup_batches": near_dedup_batches,
     "id_collision": id_collision,
     "quota_round_robin": quota_round_robin,
     "quota_dropped": quota_dropped,
@@ -401,6 +446,8 @@ QUERIES = {
     "urdf_description": urdf_description,
     "budget_by_family": budget_by_family,
     "stats_by_license": stats_by_license,
+    "stats_all_dimensions": stats_all_dimensions,
+    "stats_quantiles": stats_quantiles,
     "dropped_by_reason": dropped_by_reason,
     "papers_represented": papers_represented,
     "manuals_checklist": manuals_checklist,
@@ -409,6 +456,7 @@ QUERIES = {
     "clean_file": clean_file,
     "replaced_rows": replaced_rows,
     "selected_paths": selected_paths,
+    "quarantined_lines": quarantined_lines,
     "excerpts": excerpts,
     "ocr_render_plan": ocr_render_plan,
     "ocr_band_merge": ocr_band_merge,

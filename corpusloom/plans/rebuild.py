@@ -114,11 +114,12 @@ def build_sources(spark: SparkSession, root: str, category: str, catalogue: Data
     return Built(made, events), report
 
 
-def build_robots(spark: SparkSession, robots: DataFrame, manual_rows: DataFrame, rules: list[dict], collected_at: str, extract: Callable | None = None, recognise: Callable | None = None, writer: str | None = None, category: str = "cat3", tokenizer: str | None = None) -> tuple[Built, str]:
+def build_robots(spark: SparkSession, robots: DataFrame, manual_rows: DataFrame, rules: list[dict], collected_at: str, extract: Callable | None = None, recognise: Callable | None = None, writer: str | None = None, category: str = "cat3", tokenizer: str | None = None, cache: str | None = None) -> tuple[Built, str]:
     """The category of robots and manuals.
 
     robots: robot_id, raw (URDF text), license_declared, url.  manual_rows: robot_id, name, content, license_declared,
-    allow_no_license, url.  extract as in manuals.manual_documents, by default the PDF connector.
+    allow_no_license, url.  extract as in manuals.manual_documents, by default the PDF connector.  writer names a plugged-in
+    writer of robots' descriptions and manuals.  cache is a folder that keeps what was recognised.
     """
     from ..sources.connectors import pdf_pages
 
@@ -127,12 +128,16 @@ def build_robots(spark: SparkSession, robots: DataFrame, manual_rows: DataFrame,
     may = licenses.collectible(F.col("license_status"), F.lit(False))
     broken = event(models.where(may & F.col("p.error").isNotNull()), "unreadable robot", "robot_id", "fail", F.col("p.error"))
     gated = event(models.where(~may), F.col("license_status"), "robot_id")
-    described = urdf.robot_document(models.where(may & F.col("p.error").isNull()).withColumn("model", F.col("p.model")))
+    readable = models.where(may & F.col("p.error").isNull()).withColumn("model", F.col("p.model"))
+    repaired = event(readable.select("robot_id", F.explode("model.notes").alias("note")), "repaired robot", "robot_id", "warn", F.col("note"))
+    described = urdf.robot_document(readable, writer=writer)
     none = F.lit(None).cast("double")
     one = described.select(F.col("robot_id").alias("doc_id"), F.lit("urdf").alias("source_type"), F.concat(F.lit("urdf:"), "robot_id").alias("source_name"), "license_status", "url", "text", F.lit(False).alias("ocr"), none.alias("ocr_confidence"), F.lit(0).alias("__place"))
     books = manual_rows.withColumn("license_status", status)
     may_read = licenses.collectible(F.col("license_status"), F.coalesce("allow_no_license", F.lit(False)))
     gated_books = event(books.where(~may_read), F.col("license_status"), "name")
+    if recognise is not None and cache is not None:
+        recognise = manuals.remembered(recognise, cache)
     read = shared_table(manuals.manual_documents(books.where(may_read), extract or pdf_pages, recognise, writer), "manuals")
     unread = event(read.where("error is not null"), "unusable manual", "name", "fail", F.col("error"))
     two = read.where("error is null").select(F.col("robot_id").alias("doc_id"), F.lit("pdf_manual").alias("source_type"), F.concat(F.lit("manual:"), "robot_id").alias("source_name"), "license_status", "url", "text", "ocr", "ocr_confidence", F.lit(1).alias("__place"))
@@ -142,7 +147,7 @@ def build_robots(spark: SparkSession, robots: DataFrame, manual_rows: DataFrame,
     count, is_exact = exact.counter(tokenizer)
     made = shared_table(records.validated(records.assemble(ordered, category, collected_at, TIERS.get(category, "D"), count(F.col("text")), {"ord": F.col("ord")}, is_exact)), f"records-{category}")
     events = broken
-    for more in (gated, gated_books, unread, dirty):
+    for more in (repaired, gated, gated_books, unread, dirty):
         events = events.unionByName(more)
     events = shared_table(events, f"events-{category}")
     return Built(made, events), stats.extraction_report(f"Category {category}", made, events, {"Contamination check": contamination.rules_described(rules)})
@@ -162,7 +167,7 @@ def rebuild(spark: SparkSession, root: str, catalogue: DataFrame, rules: list[di
     """Everything from raw files to the corpus; with `out`, corpora are written as JSON lines and reports as texts below it.
 
     root holds a folder a source of the catalogue (see CATALOGUE).  The robots' category is built first.  options go to
-    build_robots (extract, recognise, writer).  The run passes if the mix is in its bands and the audit finds nothing.
+    build_robots (extract, recognise, writer, cache).  The run passes if the mix is in its bands and the audit finds nothing.
     """
     began, run = time.time(), Run()
     names = [c for c, *_ in records.TARGET_MIX]

@@ -302,6 +302,17 @@ ORACLE_SQL = {
         select r as robot_id, 'nation ' || r || ' is described by a URDF model with ' || n_links || ' links and ' || coalesce(n_joints, 0) || ' joints, totalling ' || coalesce(dof, 0) || ' degrees of freedom across ' || coalesce(actuated_joint_count, 0) || ' actuated joints.' as opening from links left join joints using (r)""",
     "budget_by_family": "select n_regionkey::varchar as family, string_agg(n_name, ',' order by n_name) as sources, sum(n_nationkey * 1000)::bigint as token_budget, (select sum(n_nationkey * 1000)::bigint from nation) as total_budget from nation group by 1",
     "stats_by_license": f"select {STATUS} as license_status, substr(source, 4, 1) as lang, count(*) as n_docs, sum({TOKENS})::bigint as tokens, sum({TOKENS})::bigint // count(*) as mean_tokens from documents group by 1, 2",
+    "stats_all_dimensions": f"""with d as (select source, lang, {STATUS} as license, {TOKENS} as n from documents)
+        select case when grouping(source) = 0 then 'source' when grouping(lang) = 0 then 'lang' when grouping(license) = 0 then 'license' else 'TOTAL' end as dimension,
+          case when grouping(source) = 0 then source when grouping(lang) = 0 then lang when grouping(license) = 0 then license end as value, count(*) as n_docs, coalesce(sum(n), 0)::bigint as tokens
+        from d group by grouping sets ((), (source), (lang), (license))""",
+    "stats_quantiles": f"""with d as (select source, lang, {TOKENS} as n from documents where text is not null),
+        g as (select source as source_id, null::varchar as grp, list_sort(list(n)) as v from d group by source union all select null, lang, list_sort(list(n)) from d group by lang union all select null, null, list_sort(list(n)) from d)
+        select source_id, grp, len(v) as n_docs, v[ceil(len(v) * 0.5)::bigint]::bigint as p50, v[ceil(len(v) * 0.95)::bigint]::bigint as p95 from g""",
+    "quarantined_lines": """with w as (select *, '{"doc_id": ' || doc_id || ', "lang": "' || lang || '", "n_chars": ' || case when doc_id % 7 = 3 then '"' || n_chars || ' long"' else n_chars::varchar end || '}' as whole from documents),
+          l as (select *, case when doc_id % 11 = 2 then '[' || whole || ']' when doc_id % 5 = 1 then left(whole, 20) else whole end as line,
+            case when doc_id % 11 = 2 then 'line that does not fit the schema' when doc_id % 5 = 1 then 'malformed line' when doc_id % 7 = 3 then 'line that does not fit the schema' end as reason from w where doc_id % 13 <> 5)
+        select case when reason is null then doc_id end as doc_id, case when reason is null then lang end as lang, case when reason is null then n_chars end as n_chars, case when reason is not null then line end as line, reason from l""",
     "dropped_by_reason": "select case when n_chars < 200 then 'short' else 'language' end as reason, count(*) as n from documents where n_chars < 200 or lang <> 'en' group by 1",
     "papers_represented": "select (select count(distinct doc_id % 90) from documents where n_chars > 4000) as kept, count(distinct doc_id % 90) as pool from documents",
     "manuals_checklist": "select count(*) as manuals, count(*) filter (s_suppkey % 2 = 0) as present, count(*) filter (s_suppkey % 3 = 0) as collectible, count(*) filter (s_suppkey % 6 = 0) as ready from supplier",
@@ -336,6 +347,7 @@ ORACLE_SQL = {
     "contamination_benchmark": BENCHMARK,
     "minhash_signature": f"with recursive {CRC.strip()}, {SIGNATURES.strip()} select doc_id, array_to_string(s, ',') as signature from sig",
     "near_dedup_greedy": GREEDY,
+    "near_dedup_batches": GREEDY,
     "split_document": SPLIT,
     "category_build": BUILD,
     "ocr_render_plan": """with a as (select doc_id, 300.0::double + doc_id % 900 as w, 400.0::double + n_chars as h from documents),

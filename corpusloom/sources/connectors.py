@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions import lines
 from ..functions import text as T
+from ..operators.pages import clean_pages
+from . import files
 
 # Seconds that a request may take; characters below which a paper, or a page without an article, failed.
 TIMEOUT, LEAST_PAPER, LEAST_PAGE = 90, 4000, 5000
@@ -96,10 +98,20 @@ def fetch_paper(paper: str, to: Path) -> str:
     return "pdf"
 
 
-def paper_texts(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages with `text`, without the bibliography; null where too little is left."""
-    text = T.without_bibliography(lines.html_to_text(F.col(html)))
-    return pages.withColumn("text", text).withColumn("text", F.when(F.length("text") >= LEAST_PAPER, F.col("text")))
+def paper_texts(papers: DataFrame) -> DataFrame:
+    """papers (html: a page, or null; pages: array<string> of a PDF, or null) with `text`: of the page if there is one, else
+    of the PDF's pages; without the bibliography, and null where too little is left."""
+    source = F.when(F.col("html").isNotNull(), lines.html_to_text(F.col("html"))).otherwise(clean_pages(F.col("pages")))
+    text = F.col("__text")
+    return papers.withColumn("__text", T.without_bibliography(source)).withColumn("text", F.when(F.length(text) >= LEAST_PAPER, text)).drop("__text")
+
+
+def collected_papers(spark, root: str, extract=None) -> DataFrame:
+    """paper, text of the folders below root that fetch_paper filled; extract turns content into pages, as pdf_pages does."""
+    found = files.scan(spark, root).where(F.col("rel_path").rlike(r"/paper\.(html|pdf)\z")).withColumn("paper", F.regexp_extract("rel_path", r"\A(.*)/", 1))
+    page = found.where("ext = '.html'").select("paper", files.lenient_text(F.col("content")).alias("html"))
+    book = (extract or pdf_pages)(found.where("ext = '.pdf'").select("paper", "content"))
+    return paper_texts(page.join(book, "paper", "full")).select("paper", "text")
 
 
 def robot_file(module: str, cache: Path) -> Path:

@@ -94,9 +94,33 @@ def best_file(files: DataFrame, key: str, preferred: str, name: str = "name") ->
     return files.groupBy(key).agg(F.min_by(name, order).alias("file"))
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A declared schema, a record a line; blank lines are none."""
-    return spark.read.schema(schema).json(path)
+#: Why a line is in quarantine.
+MALFORMED, MISFIT = "malformed line", "line that does not fit the schema"
+
+
+def parsed_lines(lines: DataFrame, schema: str, line: str = "line") -> DataFrame:
+    """lines with `record` (of the schema; null in quarantine) and `reason` (null for records).  Blank lines are none.
+
+    A line that is no JSON is malformed; one that is, but no object or with a value of another type, is a misfit.  So every
+    other line is either a record or in quarantine.
+    """
+    bad = "corrupt_line_"
+    found = F.from_json(line, f"{schema}, {bad} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    rows = lines.where(F.regexp_like(line, F.lit(r"\S"))).withColumn("__found", found)
+    value = F.try_parse_json(line)
+    # an array of objects is read as its first one: only an object is a record
+    fits = F.col("__found").isNotNull() & F.col(f"__found.{bad}").isNull() & F.startswith(F.coalesce(F.schema_of_variant(value), F.lit("")), F.lit("OBJECT"))
+    reason = F.when(value.isNull(), MALFORMED).when(~fits, MISFIT)
+    names = [F.col("__found").getField(x.name).alias(x.name) for x in rows.schema["__found"].dataType.fields if x.name != bad]
+    return rows.withColumn("reason", reason).withColumn("record", F.when(F.col("reason").isNull(), F.struct(*names))).drop("__found")
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(records of a declared schema, a record a line; quarantine: path, line, reason).  Both together have all lines but
+    blank ones."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    parsed = parsed_lines(lines, schema)
+    return parsed.where("reason is null").select("record.*"), parsed.where("reason is not null").select("path", "line", "reason")
 
 
 def write_json_lines(docs: DataFrame, path: str, order: list[str] | None = None) -> None:

@@ -113,6 +113,99 @@ def test_greedy_duplicates_are_first_wins(spark):
     assert got == sequential(texts)
 
 
+def versions(count, words, changed, seed):
+    """Texts that drift, each a few words from the one before."""
+    draw, own, out = random.Random(seed), [f"w{i}" for i in range(words)], []
+    for v in range(count):
+        for i in draw.sample(range(words), changed):
+            own[i] = f"v{v}x{i}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("settings", [{}, {"SMALL_BAND": 1, "WALK_PAIRS": 3, "BLOCK": 4}, {"SMALL_BAND": 4, "BLOCK": 7}])
+def test_drifting_versions_in_any_order(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(dedup, name, value)
+    texts = versions(60, 150, 2, 1) + versions(25, 40, 1, 2) + ["one text"] * 6
+    random.Random(3).shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "ord int, text string").repartition(3)
+    got = {r.ord: (r.kind, r.matched, r.similarity) for r in dedup.greedy_duplicates(docs).collect()}
+    assert got == sequential(texts)
+
+
+def test_a_long_chain_needs_no_rounds(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(dedup, "shared_table", lambda df, label, own=dedup.shared_table: made.append(label) or own(df, label))
+    texts = versions(1000, 120, 2, 4)
+    docs = spark.createDataFrame(list(enumerate(texts)), "ord int, text string")
+    kinds = [r.kind for r in dedup.greedy_duplicates(docs).collect()]
+    assert 100 < kinds.count("near") < 950 and made.count("led-bands") + made.count("dropped-now") < 5
+
+
+def test_components(spark):
+    from corpusloom.operators.components import connected
+
+    draw = random.Random(8)
+    edges = [(i, i + 1) for i in range(300)] + [(draw.randrange(400, 700), draw.randrange(400, 700)) for _ in range(200)] + [(900, 900)]
+    draw.shuffle(edges)
+    above = {}
+    for a, b in edges:
+        top = [x for x in (a, b)]
+        for k in (0, 1):
+            while above.get(top[k], top[k]) != top[k]:
+                top[k] = above[top[k]]
+        above[max(top)] = above[min(top)] = min(top)
+
+    def root(x):
+        return x if above[x] == x else root(above[x])
+
+    expected = {x: root(x) for x in above if x != 900}
+    for partitions in (1, 9):
+        # many partitions, so that pieces meet only over several rounds
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(partitions == 1).lower())
+        got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "a long, b long").repartition(partitions)).collect()}
+        assert got == expected
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_batches_give_the_verdicts_of_one_run(spark, tmp_path):
+    from corpusloom.operators.duplicate_index import DuplicateIndex
+
+    texts = versions(30, 150, 2, 5) + ["one text"] * 3 + versions(10, 60, 1, 6)
+    random.Random(7).shuffle(texts)
+    texts += [texts[3], texts[0], "", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "ord int, text string")
+    parts = [docs.where(x) for x in ("ord < 12", "ord >= 12 and ord < 30", "ord >= 30")]
+    got = {}
+    for k, part in enumerate(parts):
+        index = DuplicateIndex(spark, f"{tmp_path}/index", buckets=4)  # opened anew each time
+        if k == 1:  # a batch that was broken off before it was listed
+            index.add(part, "b1")
+            import shutil
+
+            listed = sorted(r.batch for r in index.batches().collect())
+            kept = index.batches().where("batch <> 'b1'").collect()
+            shutil.rmtree(f"{tmp_path}/index/batches")
+            spark.createDataFrame(kept, "batch string, last_ord bigint").write.parquet(f"{tmp_path}/index/batches")
+            assert listed == ["b0", "b1"]
+        got |= {r.ord: (r.kind, r.matched, r.similarity) for r in index.add(part, f"b{k}").collect()}
+    assert got == sequential(texts)
+    with pytest.raises(ValueError, match="already"):
+        index.add(parts[0], "b0")
+    with pytest.raises(ValueError, match="not after"):
+        index.add(parts[0], "b9")
+    assert index.add(docs.limit(0), "empty").count() == 0
+    # the old side is read in its buckets
+    old = index._old(["b0", "b1", "b2"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    new = spark.range(50).select(F.col("id").alias("key"), F.col("id").alias("x")).repartition(3)
+    plan = new.join(old["bands"], "key")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
 def test_dissimilar_members_of_one_band_take_few_rounds(spark, monkeypatch):
     """2,000 entries that share a band and nothing else, with one similar pair among them."""
     import numpy as np

@@ -98,6 +98,60 @@ def test_recognised_manuals(spark, monkeypatch):
     assert "nothing was recognised" in rows["t.pdf"].error and rows["t.pdf"].text is None and "not a PDF" in rows["n.pdf"].error
 
 
+def test_recognised_texts_are_remembered(spark, monkeypatch, tmp_path):
+    blocks = {b"1": [("page one " + words("o"), 0.9, 0.0, 0.0, 10.0)], b"2": [("page two " + words("p"), 0.8, 0.0, 0.0, 10.0)]}
+    monkeypatch.setattr(hooks, "RECOGNISERS", {"fake": lambda raw: blocks[raw]})
+    images = spark.createDataFrame([("r", "s.pdf", 1, 0, b"1"), ("r", "t.pdf", 1, 0, b"2")], "robot_id string, name string, page int, band int, image binary")
+    asked = []
+
+    def recognise(wanted):
+        asked.append(sorted(r.name for r in wanted.collect()))
+        return manuals.recognised_texts(images.join(wanted.select("robot_id", "name"), ["robot_id", "name"]), ["robot_id", "name"])
+
+    def read(*rows):
+        books = spark.createDataFrame(rows, "robot_id string, name string, content binary")
+        got = manuals.manual_documents(books, extract, manuals.remembered(recognise, f"{tmp_path}/cache")).collect()
+        return {r.name: (r.text, r.ocr_confidence, r.error) for r in got}
+
+    first = read(("r", "s.pdf", b"%PDF-x"))
+    again = read(("r", "s.pdf", b"%PDF-x"), ("r", "t.pdf", b"%PDF-y"))
+    changed = read(("r", "s.pdf", b"%PDF-z"))
+    assert asked == [["s.pdf"], ["t.pdf"], ["s.pdf"]]
+    assert first["s.pdf"] == again["s.pdf"] == changed["s.pdf"] and first["s.pdf"][2] is None and again["t.pdf"][1] == 0.8
+    monkeypatch.setattr(hooks, "CACHE_VERSION", hooks.CACHE_VERSION + 1)
+    assert read(("r", "s.pdf", b"%PDF-x")) == first and len(asked) == 4
+
+
+def test_a_writer_describes_robots_within_the_figures(spark, monkeypatch):
+    said, repaired = [], ROBOT.replace("<robot", '<robot ', 1).replace("</robot>", "<x:extra/></robot>")
+
+    def good(prompt, role):
+        return "  A machine with few joints.  " if "n_joints: " in prompt and role == urdf.DESCRIBER else "wrong prompt"
+
+    monkeypatch.setattr(hooks, "WRITERS", {"template": None, "good": good, "bad": lambda prompt, role: "It weighs 987654 kg."})
+    rows = spark.createDataFrame([("a", ROBOT, "MIT", ""), ("b", repaired, "MIT", "")], "robot_id string, raw string, license_declared string, url string")
+    none = spark.createDataFrame([], "robot_id string, name string, content binary, license_declared string, allow_no_license boolean, url string")
+    for name in (None, "template", "good", "bad"):
+        built, _ = rebuild.build_robots(spark, rows, none, RULES, "now", extract, writer=name)
+        said.append({r.id: r.text.split("\n\n```urdf")[0] for r in built.kept.collect()})
+        warned = [(r.outcome, r.item, r.reason) for r in built.events.collect()]
+        assert warned == [("warn", "b", "repaired robot")]
+    assert said[0] == said[1] == said[3] and all("URDF model" in x for x in said[0].values())
+    assert set(said[2].values()) == {"A machine with few joints."}
+
+
+def test_papers_by_page_or_by_pdf(spark, tmp_path):
+    from corpusloom.sources.connectors import collected_papers
+
+    long = "An abstract sentence of some length. " * 80
+    for name, kind, content in (("1", "html", f"<article class='ltx_document'><p>{long}</p></article>"), ("2", "pdf", "%PDF"), ("3", "html", "<p>short</p>")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"paper.{kind}").write_text(content)
+    book = lambda rows: rows.select("paper", F.array(F.lit(long), F.lit(long + "\n\nReferences\n[1] gone")).alias("pages"))
+    got = {r.paper: r.text for r in collected_papers(spark, str(tmp_path), book).collect()}
+    assert got["1"].startswith("An abstract") and got["2"].count("An abstract") > 100 and "[1] gone" not in got["2"] and got["3"] is None
+
+
 def test_exact_tokens_and_licensed(spark):
     public = pytest.importorskip("public_tokenizers")
     count, exact = tokens.counter(public.path("byte_bpe_50k.json"))

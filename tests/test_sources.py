@@ -63,7 +63,7 @@ def test_json_lines(spark, tmp_path):
     files.write_json_lines(rows, f"{tmp_path}/out", ["ord"])
     lines = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))).split("\n")
     assert [json.loads(x) for x in lines if x] == [{"ord": 1, "text": "a", "part": 5}, {"ord": 2, "text": "b c"}]
-    assert files.read_json_lines(spark, f"{tmp_path}/out", "ord int, text string").count() == 2
+    assert [x.count() for x in files.read_json_lines(spark, f"{tmp_path}/out", "ord int, text string")] == [2, 0]
     new = spark.createDataFrame([(1, "new")], "ord int, text string")
     assert {(r.ord, r.text) for r in files.replace_rows(rows, new, "ord").collect()} == {(1, "new"), (2, "b c")}
 
@@ -94,3 +94,14 @@ def test_shared_folder_and_scratch_tables(spark):
     import os
 
     assert not os.path.exists(folder)
+
+
+def test_lines_that_do_not_parse_are_in_quarantine(spark, tmp_path):
+    lines = ['{"a": 1, "b": "x"}', '{"a": 1', "", "  ", "[1]", '[{"a": 1}]', "null", '{"a": "no"}', '{"c": 2}', "3", "no json", '{"a": null, "b": "\\u2028 é"}', '{"a": 2} {"a": 3}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_path}/lines")
+    records, quarantine = files.read_json_lines(spark, f"{tmp_path}/lines", "a int, b string")
+    assert sorted((r.a, r.b) for r in records.collect() if r.a) == [(1, "x")] and records.count() == 3
+    assert {r.line: r.reason for r in quarantine.collect()} == {
+        '{"a": 1': files.MALFORMED, "[1]": files.MISFIT, '[{"a": 1}]': files.MISFIT, "null": files.MISFIT, '{"a": "no"}': files.MISFIT, "3": files.MISFIT, "no json": files.MALFORMED, '{"a": 2} {"a": 3}': files.MALFORMED,
+    }
+    assert records.count() + quarantine.count() == len([x for x in lines if x.strip()])
