@@ -72,7 +72,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     linked = found.where("set_id is not null").groupBy("group_id").agg(F.min(first).alias("first")).select("first.*")
     kept = linked.union(found.where("set_id is null").select("doc_id", "__digest")).distinct()
     names = [x for x in docs.columns if x not in ("doc_id", "text")]
-    rest = [F.min(F.struct(*(f"`{x}`" for x in names))).alias("__rest")] if names else []
+    whole = F.struct(*(f"`{x}`" for x in names))
+    # by the row's JSON: not every type has an order
+    rest = [F.min_by(whole, F.to_json(whole)).alias("__rest")] if names else []
     one = keyed.join(kept, ["doc_id", "__digest"], "left_semi").groupBy("doc_id", "__digest").agg(F.first("text").alias("text"), *rest)
     restored = [F.col(x) if x in ("doc_id", "text") else F.col("__rest").getField(x).alias(x) for x in docs.columns]
     return one.select(*restored).unionByName(docs.where("doc_id is null"))
