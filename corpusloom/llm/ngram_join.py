@@ -61,6 +61,8 @@ HASH_BITS = 58
 BITMAP_BITS = 1 << 23
 #: Rows of an output batch; members of a list that are held at once; members of a block.
 ROWS, HELD, BLOCK = 100_000, 200_000, 1024
+#: Classes that a task remembers, at some 100 bytes each.
+CLASSES = 1 << 20
 
 
 def prefix_size(n, percent: int):
@@ -202,17 +204,29 @@ def _bands(keys):
 
 def _list_rows(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
     """(key, node, place) rows: each class in the lists of its prefix.  place: bits 0 to 31 the position in the prefix, bit 32
-    whether it is the last one, bit 33 whether the class is compared with a neighbour there, bits 34 to 62 its band."""
+    whether it is the last one, bit 33 whether the class is compared with a neighbour there, bits 34 to 62 its band.
+
+    Classes form before the lists: a task gives the rows of a class once, however many copies of a document it reads (it
+    remembers CLASSES of them; a class that comes again after that only gives its rows again)."""
     import numpy as np
     import pyarrow as pa
+    import xxhash
 
     def run(batches):
-        levels = order.value[0]
+        levels, seen = order.value[0], set()
         for batch in batches:
             for at in range(0, batch.num_rows, 250):
-                sets = [x for x in (shingles(t, n) for t in batch.column(1).slice(at, 250).to_pylist()) if len(x)]
+                sets = {}
+                for x in (shingles(t, n) for t in batch.column(1).slice(at, 250).to_pylist()):
+                    name = xxhash.xxh3_128_digest(x.tobytes())
+                    if len(x) and name not in seen:
+                        seen.add(name)
+                        sets[name] = x
+                if len(seen) > CLASSES:
+                    seen.clear()
                 if not sets:
                     continue
+                sets = list(sets.values())
                 keys, place, sizes = [], [], [prefix_size(len(x), percent) for x in sets]
                 for x, k in zip(sets, sizes, strict=True):
                     every = _keys(x, levels)
