@@ -196,10 +196,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None, l
 
     def examples(batches: Iterable, encode) -> Iterator[tuple]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 250):
-                ids, texts, starts, parts = (c.to_pylist() for c in batch.slice(at, 250).columns)
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                ids, starts, parts = (some.column(i).to_pylist() for i in (0, 2, 3))
+                texts = some.column(1)
                 if prompt_line:
-                    starts = [len(x) // 4 for x in encode(list(map(first_line, texts)))]
+                    starts = [len(x) // 4 for x in encode(list(map(first_line, texts.to_pylist())))]
                 for doc, raw, start, part in zip(ids, encode(texts), starts, parts, strict=True):
                     yield doc, raw + end, start, part
 

@@ -25,7 +25,7 @@ STRIPE_BYTES = 16 << 20
 #: Shards whose places are broadcast: some tens of MB.
 MOST_BROADCAST = 500_000
 #: Documents of one output batch: their ids are in memory at once.
-BATCH_DOCS = 250
+BATCH_DOCS = 500
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None = None)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_DOCS):
                 part = batch.slice(at, BATCH_DOCS)
-                found = [x + end for x in own.encode(part.column(1).to_pylist())]
+                found = [x + end for x in own.encode(part.column(1))]
                 sizes = [len(x) // 4 for x in found]
                 starts, ends = [], [0]
                 for n in sizes:

@@ -8,12 +8,11 @@ import unicodedata
 
 #: What some vocabularies put behind the last bytes of a word.
 WORD_END = "</w>"
-#: A run of blanks and the word after it.  A tokenizer whose pre-tokens never hold a blank behind a word gives the same
-#: ids for a text as for these pieces one by one, so pieces that recur need no second encoding.
+#: A piece is a run of blanks and the word after it (or the blanks at a text's end).  A tokenizer whose pre-tokens never hold
+#: a blank behind a word gives the same ids for a text as for these pieces one by one, so pieces that recur need no second
+#: encoding.  For tokenizers that drop blanks, pieces are the words alone.
 BLANKS = " \t\n\r"
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: For tokenizers that drop blanks, the words alone.
-WORD = re.compile(r"[^ \t\n\r]+")
 #: Pieces that one process remembers, the longest piece that it remembers, and those that stay when there are too many.
 REMEMBERED, LONGEST, SHORT = 1_000_000, 48, 11
 #: New pieces that go to the tokenizer in one call.
@@ -38,7 +37,6 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.drops_blanks = not self.tokenizer.encode(" \n ", add_special_tokens=False).ids
-        self.split = (WORD if self.drops_blanks else PIECE).findall
         # Where case makes no difference, lower case makes pieces come again more often.
         self.lowers = self.tokenizer.encode("ABC Word").ids == self.tokenizer.encode("abc word").ids
         # Byte-level vocabularies write every byte as one character, and may mark the end of a word.
@@ -62,12 +60,27 @@ class PieceEncoder:
 
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _needs_whole(self, text: str) -> bool:
-        if not self.by_pieces:
-            return True
-        folded = text.lower() if self.special and "<" in text or not all(x[0] == "<" for x in self.special) else ""
+    def _has_special(self, text: str) -> bool:
+        folded = text.lower()
         return any(x in folded for x in self.special)
 
+    def _whole_ones(self, data, offsets, text_at) -> list[int]:
+        """The numbers of texts that are encoded whole: data has the bytes of all, one behind the other."""
+        import numpy as np
+
+        sizes = np.diff(offsets)
+        if not self.by_pieces:
+            return np.flatnonzero(sizes).tolist()
+        if not self.special:
+            return []
+        first = np.zeros(256, dtype=bool)
+        for x in self.special:
+            # what is lower-cased to a letter may also be another character, of several bytes
+            first[[ord(c) for c in {x[0], x[0].upper()} if ord(c) < 128]] = True
+            first[128:] |= x[0].isalpha() or ord(x[0]) > 127
+        some = np.unique(np.searchsorted(offsets, np.flatnonzero(first[data]), "right") - 1)
+        return [i for i in some.tolist() if self._has_special(text_at(i))]
+
     def _lengths(self, text: str, pieces: list[str]) -> list[int]:
         """Bytes of the pieces that make a text, as the tokenizer sees them, as far as can be told."""
         if text.isascii():
@@ -96,50 +109,103 @@ class PieceEncoder:
             at = end
         return out
 
-    def _encode_all(self, pieces: set[str], bare: set[str], blank: set[str]) -> dict[str, bytes]:
-        """The ids of different pieces, by calls of GROUP.  Blanks before a word keep it apart from the word before; the
-        bare pieces, without them, stand behind a line break of their own, and those that end in blanks go alone."""
-        if self.drops_blanks:
-            bare = blank = set()
-        alone = {x: self._encode_new([x])[0] for x in pieces & blank}
-        first = pieces & bare - blank
+    def _encode_all(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of different pieces, by calls of GROUP.  Blanks before a word keep it apart from the word before; bare
+        pieces, without them, stand behind a line break of their own, and those that end in blanks go alone."""
+        bare = blank = set()
+        if not self.drops_blanks:
+            bare = {x for x in pieces if x[0] not in BLANKS}
+            blank = {x for x in pieces if x[-1] in BLANKS}
+        alone = {x: self._encode_new([x])[0] for x in blank}
         row = list(pieces - blank - bare)
-        for x in first:
+        for x in bare:
             row += ("\n", x)
         out: dict[str, bytes] = {}
         for i in range(0, len(row), GROUP):
             part = row[i : i + GROUP]
             out.update(zip(part, self._encode_new(part), strict=True))
-        if first and "\n" not in alone:
+        if bare and "\n" not in alone:
             del out["\n"]
         return out | alone
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; a null is an empty text."""
-        pieces, ends, bare, blank, whole = [], [0], set(), set(), {}
-        for i, x in enumerate(texts):
-            if x and self._needs_whole(x):
-                whole[i] = self._whole(x)
-            elif x and (own := self.split(x.lower() if self.lowers and x.isascii() else x)):
-                if own[0][0] not in BLANKS:
-                    bare.add(own[0])
-                if own[-1][-1] in BLANKS:
-                    blank.add(own[-1])
-                pieces += own
-            ends.append(len(pieces))
+    def _remembered(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of different pieces, known or new."""
         found = list(map(self.known.get, pieces))
         lacking = [i for i, ids in enumerate(found) if ids is None]
-        fresh = self._encode_all({pieces[i] for i in lacking}, bare, blank)
-        for i in lacking:
-            found[i] = fresh[pieces[i]]
-        self.known.update(fresh)
-        for x in [x for x in fresh if len(x) > LONGEST]:
-            del self.known[x]
-        if len(self.known) > REMEMBERED:  # short pieces come again more often
-            self.known = {x: ids for x, ids in self.known.items() if len(x) <= SHORT}
-            if len(self.known) > REMEMBERED // 2:
-                self.known = {}
-        return [whole[i] if i in whole else b"".join(found[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
+        if lacking:
+            fresh = self._encode_all({pieces[i] for i in lacking})
+            for i in lacking:
+                found[i] = fresh[pieces[i]]
+            self.known.update((x, ids) for x, ids in fresh.items() if len(x) <= LONGEST)
+            if len(self.known) > REMEMBERED:  # short pieces come again more often
+                self.known = {x: ids for x, ids in self.known.items() if len(x) <= SHORT}
+                if len(self.known) > REMEMBERED // 2:
+                    self.known = {}
+        return found
+
+    def _cut(self, data, offsets):
+        """(pieces of all texts as an Arrow array, how many pieces end with each text) of bytes one behind the other."""
+        import numpy as np
+        import pyarrow as pa
+
+        is_blank = np.zeros(256, dtype=bool)
+        is_blank[list(map(ord, BLANKS))] = True
+        blank = is_blank[data]
+        begins = np.zeros(len(data) + 1, dtype=bool)
+        begins[offsets] = True
+        edge = begins[:-1].copy()
+        edge[1:] |= blank[1:] > blank[:-1]  # a piece begins where blanks do
+        if self.drops_blanks:
+            word = ~blank
+            edge = word.copy()
+            edge[1:] &= blank[:-1] | begins[1:-1]
+            starts = np.flatnonzero(edge)
+            data = data[word]
+            ends = np.append(np.cumsum(word)[starts] - 1, len(data)) if len(starts) else np.zeros(1, dtype=np.int64)
+        else:
+            starts = np.flatnonzero(edge)
+            ends = np.append(starts, len(data))
+        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+        return pa.Array.from_buffers(pa.large_string(), len(starts), buffers), np.searchsorted(starts, offsets)
+
+    def encode(self, texts) -> list[bytes]:
+        """The ids of each text of a list or an Arrow array; a null is an empty text.
+
+        Texts are cut at once, and each different piece is looked up once; what the pieces are is spread by their numbers.
+        """
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        column = (texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string())).cast(pa.large_string())
+        column = pc.fill_null(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, "")
+        sizes = pc.binary_length(column).to_numpy().astype(np.int64)
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        if not offsets[-1]:
+            return [b""] * len(column)
+        data = np.frombuffer(column.buffers()[2], dtype=np.uint8)
+        begin = int(np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset])
+        data = data[begin : begin + int(offsets[-1])]
+        whole = {i: self._whole(column[i].as_py()) for i in self._whole_ones(data, offsets, lambda i: column[i].as_py())}
+        if whole:  # the others are cut without them
+            stays = np.ones(len(sizes), dtype=bool)
+            stays[list(whole)] = False
+            data, sizes = data[np.repeat(stays, sizes)], np.where(stays, sizes, 0)
+            offsets = np.concatenate(([0], np.cumsum(sizes)))
+        if self.lowers:
+            high = np.concatenate(([0], np.cumsum(data >= 128)))
+            ascii_only = np.repeat(high[offsets[1:]] == high[offsets[:-1]], sizes)
+            data = data + ((data >= 65) & (data <= 90) & ascii_only) * np.uint8(32)
+        pieces, ends = self._cut(data, offsets)
+        named = pieces.dictionary_encode()
+        found, of = self._remembered(named.dictionary.to_numpy(zero_copy_only=False).tolist()), named.indices.to_numpy(zero_copy_only=False)
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        each = lengths[of]
+        upto = np.concatenate(([0], np.cumsum(each)))
+        source = np.repeat((np.cumsum(lengths) - lengths)[of] - upto[:-1], each) + np.arange(upto[-1])
+        raw, cuts = flat[source].tobytes(), (4 * upto[ends]).tolist()
+        return [whole[i] if i in whole else raw[cuts[i] : cuts[i + 1]] for i in range(len(sizes))]
 
 
 _encoders: dict[str, PieceEncoder] = {}
