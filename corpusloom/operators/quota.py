@@ -39,6 +39,21 @@ def select_within_budget(docs: DataFrame, budget: Column, source: str = "source_
     return ranked(docs, source, group, list(order), tokens).withColumn("kept", F.col("tokens_before") < budget)
 
 
+def budget_table(docs: DataFrame, source: str = "source_id", group: str = "grp", order: tuple[str, ...] = ("rel_path", "ord"), tokens: str = "n_tokens") -> DataFrame:
+    """Written table of docs with rank and tokens_before, from which within() selects under any budgets.
+
+    Ranks and sums do not depend on budgets, so both of their shuffles happen once.  The table is dealt out and sorted by
+    source and tokens_before: a file has a range of them, and what is over a budget is skipped by the ranges of its row groups.
+    """
+    rows = ranked(docs, source, group, list(order), tokens)
+    return shared_table(rows.repartitionByRange(source, "tokens_before").sortWithinPartitions(source, "tokens_before"), "budget-table")
+
+
+def within(table: DataFrame, budget: Column) -> DataFrame:
+    """The documents of a budget_table that select_within_budget keeps under a budget: no shuffle."""
+    return table.where(F.col("tokens_before") < budget)
+
+
 def scaled_budget(budget: Column, scale: float) -> Column:
     """Cut to whole tokens."""
     return (budget * F.lit(float(scale))).cast("long")

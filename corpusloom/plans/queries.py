@@ -72,6 +72,17 @@ def quota_scaled(spark, sf):
     return got.where("kept").groupBy("source_id").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").cast("long").alias("tokens"))
 
 
+def quota_scales(spark, sf):
+    """Three scales from one table of ranks and sums."""
+    table = quota.budget_table(_tokens(spark, sf))
+    out = None
+    for percent in (25, 50, 75):
+        kept = quota.within(table, quota.scaled_budget(F.lit(BUDGET + 1), percent / 100))
+        own = kept.groupBy("source_id").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").cast("long").alias("tokens")).withColumn("percent", F.lit(percent))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def quota_pooled(spark, sf):
     pooled = _tokens(spark, sf).withColumn("pool", F.lit("all")).withColumn("grp", F.col("source_id"))
     got = quota.select_within_budget(pooled, F.lit(5 * BUDGET), "pool")
@@ -416,6 +427,7 @@ QUERIES = {
     "quota_round_robin": quota_round_robin,
     "quota_dropped": quota_dropped,
     "quota_scaled": quota_scaled,
+    "quota_scales": quota_scales,
     "quota_pooled": quota_pooled,
     "contamination_check": contamination_check,
     "contamination_phrases": contamination_phrases,

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import tokens as exact
 from ..operators import adapters, contamination, licenses, manuals, records, stats, urdf
 from ..sources import files
-from ..staging import drop_tables, shared_table
+from ..staging import drop_tables, scratch_path, shared_table
+from . import resume
 from .build import Built, build_category, collectible_sources, event, merge
 
 CATALOGUE = "category string, source_id string, family string, kind string, license_declared string, url string, token_budget long, pool string, allow_no_license boolean, repo_ref string, repo_commit string"
@@ -42,41 +43,41 @@ class Run:
         return 0 if self.passed else 1
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def detected_licenses(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
     """source_id, license_file, license_detected of the license file in the first folder of each source that is there."""
-    found = None
-    for source in (x for x in sources if exists(spark, f"{root}/{x}")):
-        own = files.scan(spark, f"{root}/{source}").where(F.col("rel_path").isin(*licenses.FILE_NAMES))
-        own = own.select(F.lit(source).alias("source_id"), F.col("rel_path").alias("name"), files.lenient_text(F.col("content")).alias("text"))
-        found = own if found is None else found.unionByName(own)
-    if found is None:
+    there = sorted(set(sources) & files.folders(spark, root))
+    if not there:
         return spark.createDataFrame([], "source_id string, license_file string, license_detected string")
-    return licenses.license_file(found, "source_id")
-
-
-def adapted(spark: SparkSession, root: str, sources: list[dict]) -> tuple[DataFrame | None, list[tuple]]:
-    """The candidates of all sources in their order, with `ord`, and a failure for each source that gave none."""
-    failed, rows = [], None
-    for place, meta in enumerate(sources):
-        folder = f"{root}/{meta['source_id']}"
-        if not exists(spark, folder):
-            failed.append(("fail", meta["source_id"], "missing raw folder", folder))
-            continue
-        try:
-            own = adapters.adapt(files.scan(spark, folder), meta).withColumn("__place", F.lit(place))
-        except ValueError as error:  # a kind that no adapter knows
-            failed.append(("fail", meta["source_id"], type(error).__name__, str(error)))
-            continue
-        rows = own if rows is None else rows.unionByName(own)
-    if rows is None:
+    found = files.scan_sources(spark, root, there, licenses.FILE_NAMES, whole_names=True).where(F.col("rel_path").isin(*licenses.FILE_NAMES))
+    return licenses.license_file(found.select("source_id", F.col("rel_path").alias("name"), files.lenient_text(F.col("content")).alias("text")), "source_id")
+
+
+def adapted(spark: SparkSession, root: str, sources: list[dict], store: str | None = None) -> tuple[DataFrame | None, list[tuple]]:
+    """The candidates of all sources in their order, with `ord`, and a failure for each source that cannot be read.
+
+    All sources are one scan: each file has its source's description by a join with the catalogue, and goes to the adapter
+    of its kind, so the plan is the same for one source and for thousands.  With a store (see resume), sources that did not
+    change since the last run are not read again.
+    """
+    there = files.folders(spark, root)
+    failed = [("fail", m["source_id"], "missing raw folder", f"{root}/{m['source_id']}") for m in sources if m["source_id"] not in there]
+    failed += [("fail", m["source_id"], "unknown kind", f"unknown kind of source: {m['kind']}") for m in sources if m["source_id"] in there and m["kind"] not in adapters.KINDS]
+    read = [(i, *(m[k] for k in adapters.META)) for i, m in enumerate(sources) if m["source_id"] in there and m["kind"] in adapters.KINDS]
+    if not read:
         return None, failed
+    described = spark.createDataFrame(read, f"{adapters.PLACE} int, " + ", ".join(f"{k} string" for k in adapters.META))
+    if store is not None:
+        known = resume.resumed(spark, root, [dict(zip(adapters.META, r[1:], strict=True)) for r in read], store).candidates
+        rows = known.join(F.broadcast(described.select("source_id", adapters.PLACE)), "source_id")
+    else:
+        raw = files.scan_sources(spark, root, sorted({r[1] for r in read}), adapters.ENDINGS).join(F.broadcast(described), "source_id")  # a row a source
+        # Written by kind, so that a file is opened once, and an adapter reads its own kinds only.
+        path = scratch_path(spark, "raw-files")
+        raw.write.partitionBy("kind").parquet(path)
+        rows = adapters.adapt_all(spark.read.schema(raw.schema).parquet(path))
     # Ranges in the order of sources, paths and parts: ids of a row rise with it, whatever the number of partitions.
-    ordered = shared_table(rows.repartitionByRange("__place", "path_parts", "part_no").sortWithinPartitions("__place", "path_parts", "part_no").withColumn("ord", F.monotonically_increasing_id()).drop("__place"), "candidates")
+    order = (adapters.PLACE, "path_parts", "part_no")
+    ordered = shared_table(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("ord", F.monotonically_increasing_id()).drop(adapters.PLACE), "candidates")
     return ordered, failed
 
 
@@ -85,14 +86,14 @@ def _drafts(built: DataFrame, sources: DataFrame) -> DataFrame:
     return built.join(known, "source_id").withColumn("source_type", F.col("kind")).withColumn("source_name", F.col("source_id"))
 
 
-def build_sources(spark: SparkSession, root: str, category: str, catalogue: DataFrame, rules: list[dict], collected_at: str, tokenizer: str | None = None, threshold: float | None = None, scale: float = 1.0) -> tuple[Built, str]:
+def build_sources(spark: SparkSession, root: str, category: str, catalogue: DataFrame, rules: list[dict], collected_at: str, tokenizer: str | None = None, threshold: float | None = None, scale: float = 1.0, store: str | None = None) -> tuple[Built, str]:
     """A category of repositories and papers: records and events, and its report."""
     own = catalogue.where(F.col("category") == category)
     metas = [r.asDict() for r in own.collect()]  # the catalogue: a row a source
     detected = detected_licenses(spark, root, [m["source_id"] for m in metas])
     gate = collectible_sources(own, detected, [m["source_id"] for m in metas if m["allow_no_license"]])
     allowed = {r.source_id for r in gate.kept.select("source_id").collect()}
-    candidates, failed = adapted(spark, root, [m for m in metas if m["source_id"] in allowed])
+    candidates, failed = adapted(spark, root, [m for m in metas if m["source_id"] in allowed], f"{store}/{category}" if store else None)
     events = gate.events.unionByName(spark.createDataFrame(failed, EVENT))
     if candidates is None:
         empty = spark.createDataFrame([], RECORD + ", family string, kind string, rel_path string")
@@ -163,11 +164,11 @@ def merge_categories(spark: SparkSession, categories: dict[str, DataFrame | None
     return Built(merged.kept, merged.events.unionByName(missing), merged.passed)
 
 
-def rebuild(spark: SparkSession, root: str, catalogue: DataFrame, rules: list[dict], collected_at: str, out: str | None = None, robots: DataFrame | None = None, manual_rows: DataFrame | None = None, tokenizer: str | None = None, **options) -> Run:
+def rebuild(spark: SparkSession, root: str, catalogue: DataFrame, rules: list[dict], collected_at: str, out: str | None = None, robots: DataFrame | None = None, manual_rows: DataFrame | None = None, tokenizer: str | None = None, store: str | None = None, **options) -> Run:
     """Everything from raw files to the corpus; with `out`, corpora are written as JSON lines and reports as texts below it.
 
     root holds a folder a source of the catalogue (see CATALOGUE).  The robots' category is built first.  options go to
-    build_robots (extract, recognise, writer, cache).  The run passes if the mix is in its bands and the audit finds nothing.
+    build_robots (extract, recognise, writer, cache).  store is a folder that keeps candidates from run to run.  The run passes if the mix is in its bands and the audit finds nothing.
     """
     began, run = time.time(), Run()
     names = [c for c, *_ in records.TARGET_MIX]
@@ -178,7 +179,7 @@ def rebuild(spark: SparkSession, root: str, catalogue: DataFrame, rules: list[di
         manual_rows = manual_rows if manual_rows is not None else spark.createDataFrame([], "robot_id string, name string, content binary, license_declared string, allow_no_license boolean, url string")
         made["cat3"], run.reports["cat3"] = build_robots(spark, robots, manual_rows, rules, collected_at, tokenizer=tokenizer, **options)
     for category in sorted(wanted - set(made)):
-        made[category], run.reports[category] = build_sources(spark, root, category, catalogue, rules, collected_at, tokenizer)
+        made[category], run.reports[category] = build_sources(spark, root, category, catalogue, rules, collected_at, tokenizer, store=store)
     run.categories = {k: v.kept for k, v in made.items()}
     merged = merge_categories(spark, {k: run.categories.get(k) for k in names}, rules)
     run.corpus = shared_table(merged.kept, "corpus")

@@ -273,6 +273,7 @@ ORACLE_SQL = {
     "quota_round_robin": f"select ord as doc_id, source_id, rank, tokens_before from {quota(DOCS)} where tokens_before < {BUDGET}",
     "quota_dropped": f"select ord as doc_id from {quota(DOCS)} where tokens_before >= {BUDGET}",
     "quota_scaled": f"select source_id, count(*) as n_docs, sum(n_tokens)::bigint as tokens from {quota(DOCS)} where tokens_before < floor({BUDGET + 1} * 0.75) group by 1",
+    "quota_scales": f"select percent, source_id, count(*) as n_docs, sum(n_tokens)::bigint as tokens from {quota(DOCS)}, (values (25), (50), (75)) v(percent) where tokens_before < floor({BUDGET + 1} * percent / 100.0) group by 1, 2",
     "quota_pooled": f"select ord as doc_id, source_id, tokens_before from {quota(f'''(select 'all' as pool, source_id as grp, * exclude (grp) from {DOCS})''', 'pool')} where tokens_before < {5 * BUDGET}",
     "contamination_phrases": f"""select doc_id, phrase, length(regexp_extract(plain, '^(?s)(.*?)(?:^|[^\\p{{L}}\\p{{N}}_])' || phrase || '(?:[^\\p{{L}}\\p{{N}}_]|$)', 1))::bigint
           + case when regexp_matches(plain, '^' || phrase || '(?:[^\\p{{L}}\\p{{N}}_]|$)') then 0 else 1 end as position

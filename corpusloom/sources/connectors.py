@@ -102,8 +102,9 @@ def paper_texts(papers: DataFrame) -> DataFrame:
     """papers (html: a page, or null; pages: array<string> of a PDF, or null) with `text`: of the page if there is one, else
     of the PDF's pages; without the bibliography, and null where too little is left."""
     source = F.when(F.col("html").isNotNull(), lines.html_to_text(F.col("html"))).otherwise(clean_pages(F.col("pages")))
-    text = F.col("__text")
-    return papers.withColumn("__text", T.without_bibliography(source)).withColumn("text", F.when(F.length(text) >= LEAST_PAPER, text)).drop("__text")
+    # through an explode: the text of a page needs Python, which cannot be inside a lambda
+    rows = papers.select("*", F.explode(F.array(source)).alias("__source")).withColumn("__text", T.without_bibliography(F.col("__source")))
+    return rows.withColumn("text", F.when(F.length("__text") >= LEAST_PAPER, F.col("__text"))).drop("__source", "__text")
 
 
 def collected_papers(spark, root: str, extract=None) -> DataFrame:

@@ -29,21 +29,55 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(name, r"(?<=.)\.[^.]+\z", "")
 
 
+def _either(names: tuple[str, ...], start: str = "*") -> str:
+    """A glob of names in any case."""
+    return start + "{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in x) for x in names) + "}"
+
+
 def scan(spark: SparkSession, root: str, extensions: tuple[str, ...] = ()) -> DataFrame:
     """rel_path, ext, content, path_parts of all files below root (a/b.md sorts by its parts).  Wanted extensions (in lower
     case) go to the listing of files as a glob, so no others are opened."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if extensions:
-        either = ",".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in x) for x in extensions)
-        reader = reader.option("pathGlobFilter", f"*{{{either}}}")
-    files = reader.load(root)
-    inside = F.regexp_replace("path", F.lit(rf"^.*?{re.escape(root.rstrip('/').removeprefix('file:'))}/"), F.lit(""))
-    rows = files.select(inside.alias("rel_path"), "content").withColumn("ext", extension(F.col("rel_path")))
+    rows = _read(spark, root, [root], _either(extensions) if extensions else None)
     if extensions:
         rows = rows.where(F.col("ext").isin(*extensions))
     return rows.withColumn("path_parts", F.split("rel_path", "/", -1))
 
 
+def _read(spark: SparkSession, root: str, paths: list[str], glob: str | None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    inside = F.regexp_replace("path", F.lit(rf"^.*?{re.escape(root.rstrip('/').removeprefix('file:'))}/"), F.lit(""))
+    return reader.load(paths).select(inside.alias("rel_path"), "content").withColumn("ext", extension(F.col("rel_path")))
+
+
+def folders(spark: SparkSession, root: str) -> set[str]:
+    """The names of the folders in root, by one listing; none if there is no root."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {x.getPath().getName() for x in store.listStatus(path) if x.isDirectory()} if store.exists(path) else set()
+
+
+def scan_sources(spark: SparkSession, root: str, sources: list[str], names: tuple[str, ...], whole_names: bool = False) -> DataFrame:
+    """source_id, rel_path (in the source's folder), ext, content, path_parts of the files of many sources in one scan: each
+    has a folder in root.  names are endings, or whole names, of the files that are opened; sources must be there."""
+    rows = _read(spark, root, [f"{root.rstrip('/')}/{x}" for x in sources], _either(names, "" if whole_names else "*"))
+    parts = F.split("rel_path", "/", -1)
+    apart = rows.withColumn("source_id", F.get(parts, 0)).withColumn("path_parts", F.slice(parts, 2, 1 << 30))
+    return apart.withColumn("rel_path", F.array_join("path_parts", "/"))
+
+
+def listing(spark: SparkSession, root: str, sources: list[str], names: tuple[str, ...]) -> DataFrame:
+    """source_id and digest (of paths, sizes and times, in any order) of the files that scan_sources would read; contents
+    are not read.  Sources without such files have no row."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", _either(names))
+    inside = F.regexp_replace("path", F.lit(rf"^.*?{re.escape(root.rstrip('/').removeprefix('file:'))}/"), F.lit(""))
+    found = reader.load([f"{root.rstrip('/')}/{x}" for x in sources]).select(inside.alias("path"), "modificationTime", "length")
+    one = F.xxhash64("path", "modificationTime", "length")
+    sums = found.groupBy(F.substring_index("path", "/", 1).alias("source_id")).agg(F.count("*").alias("n"), F.bit_xor(one).alias("x"), F.bit_xor(F.xxhash64(one)).alias("y"))
+    return sums.select("source_id", F.concat_ws("-", "n", "x", "y").alias("digest"))
+
+
 def strict_text(content: Column) -> Column:
     """UTF-8 text with line breaks as newlines; null if the bytes are no UTF-8."""
     text = content.cast("string")

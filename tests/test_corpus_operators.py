@@ -398,3 +398,39 @@ def test_build_and_merge(spark):
     with pytest.raises(ValueError):
         records.assemble(drafts, "cat1", "t", extra={"id": F.lit(1)})
     assert "| fail |" in stats.run_report("run", built.events, 1.0)
+
+
+def test_figures_in_one_pass_and_sketches(spark):
+    draw = random.Random(4)
+    rows = [(draw.choice(["a", "b", None]), draw.choice(["x", "y"]), draw.choice([None, *range(5000)])) for _ in range(6000)]
+    docs = spark.createDataFrame(rows, "s string, k string, n_tokens long").repartition(5)
+    got = {(r.dimension, r.value): (r.n_docs, r.tokens) for r in stats.figures(docs, "s", "k").collect()}
+    expected = {}
+    for s, k, n in rows:
+        for key in (("s", s), ("k", k), (stats.TOTAL, None)):
+            d, t = expected.get(key, (0, 0))
+            expected[key] = (d + 1, t + (n or 0))
+    assert got == expected
+    empty = stats.figures(docs.limit(0), "s", "k").collect()
+    assert [(r.dimension, r.n_docs, r.tokens) for r in empty] == [(stats.TOTAL, 0, 0)]
+    # every quantile's rank is within the stated error, for parts and for what they are merged to
+    sketches = stats.token_sketches(docs, "s", "k")
+    for keys in ((), ("s",), ("s", "k")):
+        for r in stats.quantiles(sketches, *keys, shares=(0.05, 0.5, 0.95)).collect():
+            own = sorted(n for s, k, n in rows if n is not None and all(r[x] == {"s": s, "k": k}[x] for x in keys))
+            assert r.n_docs == len(own)
+            for share, value in ((0.05, r.p5), (0.5, r.p50), (0.95, r.p95)):
+                low, high = sum(x < value for x in own) / len(own), sum(x <= value for x in own) / len(own)
+                assert low - 0.005 <= share <= high + 0.005
+    assert stats.quantiles(stats.token_sketches(docs.limit(0))).count() == 0
+
+
+def test_budgets_from_one_table(spark):
+    draw = random.Random(12)
+    rows = [(f"s{draw.randrange(3)}", f"g{draw.randrange(4)}", f"p{i:03}", i, draw.randrange(100)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "source_id string, grp string, rel_path string, ord long, n_tokens long")
+    table = quota.budget_table(docs)
+    for budget in (0, 1, 700, 10**6):
+        kept = {r.ord for r in quota.select_within_budget(docs, F.lit(budget)).where("kept").collect()}
+        assert {r.ord for r in quota.within(table, F.lit(budget)).collect()} == kept
+    assert "Exchange" not in quota.within(table, F.lit(700))._jdf.queryExecution().executedPlan().toString()

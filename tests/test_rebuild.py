@@ -72,6 +72,63 @@ def test_rebuild(spark, tmp_path):
     assert {(r.outcome, r.item) for r in missing.events.where("outcome = 'warn'").collect()} == {("warn", "cat2")}
 
 
+def source(name, kind="docs"):
+    return {"source_id": name, "family": "f", "kind": kind, "repo_ref": None, "repo_commit": "c"}
+
+
+def test_only_changed_sources_are_read_again(spark, tmp_path, monkeypatch):
+    from corpusloom.plans import resume
+
+    raw, store = tmp_path / "raw", str(tmp_path / "store")
+    write(raw, {"one/a.md": words("a"), "two/b.md": words("b"), "two/sub/c.md": words("c"), "three/d.md": words("d")})
+    opened, real = [], files.scan_sources
+    monkeypatch.setattr(files, "scan_sources", lambda spark, root, names, *rest, **more: opened.append(names) or real(spark, root, names, *rest, **more))
+
+    def run(*sources):
+        got = resume.resumed(spark, str(raw), list(sources), store)
+        return {r.source_id: r.state for r in got.states.collect()}, {r.doc_id: r.text for r in got.candidates.collect()}
+
+    every = [source("one"), source("two"), source("three")]
+    states, first = run(*every)
+    assert set(states.values()) == {"new"} and set(first) == {"one-a_md", "two-b_md", "two-sub_c_md", "three-d_md"} and opened == [["one", "three", "two"]]
+    states, again = run(*every)
+    assert set(states.values()) == {"same"} and again == first and len(opened) == 1
+    write(raw, {"two/b.md": words("new")})
+    # a run that breaks off while it writes its manifest
+    rename = resume._folder
+    monkeypatch.setattr(resume, "_folder", lambda spark, path: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        run(*every)
+    monkeypatch.setattr(resume, "_folder", rename)
+    assert {r.doc_id: r.text for r in resume.stored(spark, store).collect()} == first
+    states, changed = run(*every)
+    assert states == {"one": "same", "two": "changed", "three": "same"} and opened[1:] == [["two"], ["two"]]
+    assert changed == first | {"two-b_md": T_text(words("new"))} and changed["two-b_md"] != first["two-b_md"]
+    states, fewer = run(source("one", "songs"), source("two"))
+    assert states == {"one": "gone", "two": "same", "three": "gone"} and set(fewer) == {"two-b_md", "two-sub_c_md"}
+    assert len(resume.drop_unused(spark, store)) == 2 and {r.doc_id for r in resume.stored(spark, store).collect()} == set(fewer)
+    assert run()[1] == {} and resume.resumed(spark, str(tmp_path / "none"), every, store).candidates.count() == 0
+
+
+def T_text(text):
+    return text.strip()
+
+
+def test_the_plan_of_many_sources_is_that_of_one(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    write(raw, {f"s{i}/a.md": words(f"s{i}") for i in range(40)} | {"s0/LICENSE": "MIT License", "s7/LICENSE.md": "MIT License", "s7/sub/LICENSE": "no"})
+    plans, real = [], rebuild.adapters.adapt_all
+    monkeypatch.setattr(rebuild.adapters, "adapt_all", lambda rows: plans.append(real(rows)) or plans[-1])
+    for n in (1, 40):
+        rows, failed = rebuild.adapted(spark, str(raw), [source(f"s{i}") for i in range(n)] + [source("gone"), source("s1", "songs")])
+        assert rows.count() == n and [r.doc_id for r in rows.orderBy("ord").collect()] == [f"s{i}-a_md" for i in range(n)]
+        assert [(f[1], f[2]) for f in failed] == [("gone", "missing raw folder"), ("s1", "unknown kind")]
+    sizes = [len(p._jdf.queryExecution().optimizedPlan().toString().splitlines()) for p in plans]
+    assert sizes[0] == sizes[1]
+    found = {r.source_id: r.license_detected for r in rebuild.detected_licenses(spark, str(raw), [f"s{i}" for i in range(40)] + ["gone"]).collect()}
+    assert found == {"s0": "MIT", "s7": "MIT"} and rebuild.detected_licenses(spark, str(raw), ["gone"]).count() == 0
+
+
 def test_every_candidate_is_kept_or_an_event(spark):
     rows = [(f"d{k}", f"s{k % 3}", "g", f"p{k}", k, words(f"w{k}", 30)) for k in range(12)] + [("n", None, "g", "p", 50, words("n"))]
     docs = spark.createDataFrame(rows, "doc_id string, source_id string, grp string, rel_path string, ord int, text string")
@@ -144,7 +201,7 @@ def test_papers_by_page_or_by_pdf(spark, tmp_path):
     from corpusloom.sources.connectors import collected_papers
 
     long = "An abstract sentence of some length. " * 80
-    for name, kind, content in (("1", "html", f"<article class='ltx_document'><p>{long}</p></article>"), ("2", "pdf", "%PDF"), ("3", "html", "<p>short</p>")):
+    for name, kind, content in (("1", "html", f'<article class="ltx_document"><p>{long * 2}</p></article>'), ("2", "pdf", "%PDF"), ("3", "html", "<p>short</p>")):
         (tmp_path / name).mkdir()
         (tmp_path / name / f"paper.{kind}").write_text(content)
     book = lambda rows: rows.select("paper", F.array(F.lit(long), F.lit(long + "\n\nReferences\n[1] gone")).alias("pages"))
