@@ -36,7 +36,11 @@ def figures(rows: DataFrame, *dimensions: str, tokens: str = "n_tokens") -> Data
     )
     grouped = [F.when(F.col(f"__not_{i}") == 0, F.lit(d)) for i, d in enumerate(dimensions)]
     values = F.coalesce(*(F.when(F.col(f"__not_{i}") == 0, F.col(d).cast("string")) for i, d in enumerate(dimensions)))
-    return sums.select(F.coalesce(*grouped, F.lit(TOTAL)).alias("dimension"), values.alias("value"), "n_docs", "tokens", "exact")
+    found = sums.select(F.coalesce(*grouped, F.lit(TOTAL)).alias("dimension"), values.alias("value"), "n_docs", "tokens", "exact")
+    # no rows would give no total
+    zero = F.lit(0).cast("long")
+    none = rows.sparkSession.range(1).select(F.lit(TOTAL), F.lit(None).cast("string"), zero, zero, F.lit(None).cast("boolean"))
+    return found.union(none).groupBy("dimension", "value").agg(F.sum("n_docs").alias("n_docs"), F.sum("tokens").alias("tokens"), F.min("exact").alias("exact"))
 
 
 def _of(sums: DataFrame, dimension: str) -> DataFrame:

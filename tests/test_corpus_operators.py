@@ -147,7 +147,7 @@ def test_components(spark):
     from corpusloom.operators.components import connected
 
     draw = random.Random(8)
-    edges = [(i, i + 1) for i in range(300)] + [(draw.randrange(400, 700), draw.randrange(400, 700)) for _ in range(200)] + [(900, 900)]
+    edges = [(i, i + 1) for i in range(60)] + [(draw.randrange(400, 500), draw.randrange(400, 500)) for _ in range(70)] + [(900, 900)]
     draw.shuffle(edges)
     above = {}
     for a, b in edges:
