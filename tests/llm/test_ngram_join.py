@@ -82,6 +82,16 @@ def test_null_and_repeated_ids_and_empty(spark):
     assert got[7][0] == got[8][0] == 1 and got[7][1] != got[8][1]
 
 
+def test_copies_form_a_class_before_the_lists(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words)) for i in range(500)] + [(900, " ".join(words[:-3]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    order = spark.sparkContext.broadcast(op._order(op._survey(docs, 5, [])))
+    listed = op._list_rows(docs, 5, 75, order)
+    assert listed.count() <= 202 and listed.groupBy("key").count().agg({"count": "max"}).first()[0] == 2
+    assert {r.component_id for r in op.ngram_join(docs).collect()} == {0}
+
+
 def test_bitmaps_differ_in_no_more_bits_than_the_sets():
     import numpy as np
 

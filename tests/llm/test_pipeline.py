@@ -60,6 +60,15 @@ def test_near_duplicate_stage_loses_no_other_row(spark):
     assert kept == sorted([(1, rows[0][1]), (1, rows[1][1]), (2, near), (5, ""), (6, ""), (None, near), (None, near), (7, "..."), (8, None)], key=str)
 
 
+def test_columns_that_have_no_order_stay(spark):
+    near = text("aa", "r", 4)
+    rows = [(1, near, {"k": 1}), (1, near, {"k": 1}), (2, near + " more", {"k": 2}), (3, text("bb", "q"), None), (4, "", {}), (None, near, {"z": 9})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>").withColumn("json", F.parse_json(F.lit('{"a": [1]}')))
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.extra) for r in got.select("doc_id", "extra").collect()), key=str) == sorted([(1, {"k": 1}), (3, None), (4, {}), (None, {"z": 9})], key=str)
+
+
 def test_stages_take_empty_tables_null_ids_and_clashing_names(spark):
     fields = "doc_id long, text string, lang string, source string, __lang string, __gone string, __row long, __text string, ids string"
     none = spark.createDataFrame([], fields)
