@@ -111,7 +111,7 @@ class Packer:
             yield from self._sequence()
 
     def _best(self, tokens: int, segments: int, loss: int) -> tuple[int, int] | None:
-        """Of the pieces that fit, the place of the one with the largest dot product."""
+        """Of the longest pieces that fit, one a list of loss shares, the place of the one with the largest dot product."""
         lim, best, found = self.limits, -1.0, None
         for step, pieces in enumerate(self.pool):
             if not pieces:
