@@ -301,6 +301,19 @@ ORACLE_SQL = {
         total_mass_kg, max_joint_effort, max_joint_velocity, sum_actuated_range_rad_or_m, root_link, kinematic_span_m, coalesce(joint_types, '') as joint_types from links left join joints using (r) left join kinds using (r)""",
     "urdf_description": f"""with {ROBOTS.strip()}
         select r as robot_id, 'nation ' || r || ' is described by a URDF model with ' || n_links || ' links and ' || coalesce(n_joints, 0) || ' joints, totalling ' || coalesce(dof, 0) || ' degrees of freedom across ' || coalesce(actuated_joint_count, 0) || ' actuated joints.' as opening from links left join joints using (r)""",
+    "urdf_document": f"""with {ROBOTS.strip()},
+        said as (select r, string_agg(c || ' ' || kind, ', ' order by f) as kinds_said from (select r, kind, count(*) as c, min(k) as f from j group by r, kind) group by r),
+        p as (select *, lag(n) over (partition by r order by k) as parent from s),
+        joint_lines as (select r, string_agg('  <joint name="j' || n || '" type="' || kind || '">' || chr(10) || '    <parent link="s' || parent || '"/>' || chr(10) || '    <child link="s' || n || '"/>' || chr(10) || '    <origin xyz="0.25 0 0.1"/>' || chr(10)
+          || '    <limit lower="-' || n % 4 || '" upper="' || n % 7 || '.5" effort="' || n % 50 || '" velocity="2"/>' || chr(10) || '  </joint>' || chr(10), '' order by k) as l from p where k between 2 and 61 group by r),
+        link_lines as (select r, string_agg('  <link name="s' || n || '"/>' || chr(10), '' order by k) as l from s group by r)
+        select r as robot_id, concat_ws(' ', 'nation ' || r || ' is described by a URDF model with ' || n_links || ' links and ' || coalesce(n_joints, 0) || ' joints, totalling ' || coalesce(dof, 0) || ' degrees of freedom across ' || coalesce(actuated_joint_count, 0) || ' actuated joints.',
+            'Its joints break down as: ' || kinds_said || '.', 'The summed link mass is ' || total_mass_kg || ' kg.', 'The strongest actuated joint is rated at ' || max_joint_effort || ' (effort units as declared in the URDF).',
+            'The highest declared joint velocity limit is ' || max_joint_velocity || '.', 'At its zero configuration the kinematic structure spans about ' || kinematic_span_m || ' m from the base link (an extent proxy, not a sampled workspace).',
+            'The kinematic tree is rooted at link ' || chr(39) || root_link || chr(39) || ' and has 1 leaf links.')
+          || chr(10) || chr(10) || '```urdf' || chr(10) || '<robot name="nation ' || r || '">' || chr(10) || link_lines.l || coalesce(joint_lines.l, '')
+          || case when n_joints > 60 then '  <!-- ... ' || (n_joints - 60) || ' additional joints omitted -->' || chr(10) else '' end || '</robot>' || chr(10) || '```' as text
+        from links left join joints using (r) left join said using (r) join link_lines using (r) left join joint_lines using (r)""",
     "budget_by_family": "select n_regionkey::varchar as family, string_agg(n_name, ',' order by n_name) as sources, sum(n_nationkey * 1000)::bigint as token_budget, (select sum(n_nationkey * 1000)::bigint from nation) as total_budget from nation group by 1",
     "stats_by_license": f"select {STATUS} as license_status, substr(source, 4, 1) as lang, count(*) as n_docs, sum({TOKENS})::bigint as tokens, sum({TOKENS})::bigint // count(*) as mean_tokens from documents group by 1, 2",
     "stats_all_dimensions": f"""with d as (select source, lang, {STATUS} as license, {TOKENS} as n from documents)
