@@ -142,9 +142,13 @@ def parsed_lines(lines: DataFrame, schema: str, line: str = "line") -> DataFrame
     found = F.from_json(line, f"{schema}, {bad} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
     rows = lines.where(F.regexp_like(line, F.lit(r"\S"))).withColumn("__found", found)
     value = F.try_parse_json(line)
+    # Parsers stop behind the first value.  What follows it shows in one of these: it cannot close an array and an object.
+    text = F.col(line)
+    in_array, in_object = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))), F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
+    whole = value.isNotNull() & F.coalesce(in_array == 1, F.lit(False)) & in_object.isNotNull()
     # an array of objects is read as its first one: only an object is a record
     fits = F.col("__found").isNotNull() & F.col(f"__found.{bad}").isNull() & F.startswith(F.coalesce(F.schema_of_variant(value), F.lit("")), F.lit("OBJECT"))
-    reason = F.when(value.isNull(), MALFORMED).when(~fits, MISFIT)
+    reason = F.when(~whole, MALFORMED).when(~fits, MISFIT)
     names = [F.col("__found").getField(x.name).alias(x.name) for x in rows.schema["__found"].dataType.fields if x.name != bad]
     return rows.withColumn("reason", reason).withColumn("record", F.when(F.col("reason").isNull(), F.struct(*names))).drop("__found")
 
