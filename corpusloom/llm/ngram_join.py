@@ -475,7 +475,8 @@ def _pairs_in_blocks(batches, percent: int):
                 fits &= part["block"] != whole["block"]
             i, j = np.nonzero(fits)
             both = x["n"][at + i] + x["n"][j]
-            apart = sum((np.bitwise_count(x[w][at + i] ^ x[w][j]).astype(np.int64) for w in BITS), np.zeros(len(i), dtype=np.int64))
+            # unsigned: of a negative number numpy counts the bits of its absolute value
+            apart = sum((np.bitwise_count((x[w][at + i] ^ x[w][j]).view(np.uint64)).astype(np.int64) for w in BITS), np.zeros(len(i), dtype=np.int64))
             near = apart <= both - 2 * -(-both * percent // (100 + percent))
             if near.any():
                 found.append((x["node"][at + i[near]], x["node"][j[near]]))

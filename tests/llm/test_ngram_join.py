@@ -104,6 +104,37 @@ def test_bitmaps_differ_in_no_more_bits_than_the_sets():
         assert n < 100 or np.bitwise_count(x ^ y).sum() > 100
 
 
+def test_pairs_in_blocks_that_differ_in_sign_bits():
+    """Bitmaps that differ in the top bit of a word: their difference is a negative number."""
+    import numpy as np
+    import pyarrow as pa
+
+    sets = [np.arange(100, dtype=np.uint64) << np.uint64(20), np.delete(np.arange(102), [10, 56]).astype(np.uint64) << np.uint64(20)]
+    words = op._bitmaps(sets)
+    assert (words[0] ^ words[1]).min() < 0
+    names = ("key", "i", "j", "block", "component", "node", "n", "last", "long", "position")
+    rows = {x: np.zeros(2, dtype=np.int64) for x in names} | {"component": np.arange(2), "node": np.arange(2), "n": np.full(2, 100), "long": np.full(2, 26)}
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, rows.values()), *(pa.array(np.ascontiguousarray(x)) for x in words.T)], [*rows, *op.BITS])
+    assert [r for b in op._pairs_in_blocks(iter([batch]), 75) for r in b.to_pylist()] == [{"a": 0, "b": 1}]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_large_groups_of_near_copies(spark, seed):
+    """Many versions about the similarity limit apart, in lists that no star and no neighbour settles."""
+    draw = random.Random(seed)
+    rows, i = [], 0
+    for size in (200, 90):
+        base = [f"w{draw.randrange(300)}" for _ in range(size)]
+        for _ in range(60):
+            own = list(base)
+            for _ in range(draw.randrange(size // 22)):
+                own[draw.randrange(size)] = f"w{draw.randrange(300)}"
+            rows.append((i, " ".join(own)))
+            i += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in op.ngram_join(docs).collect()} == brute(rows)
+
+
 def test_lists_across_batches():
     import numpy as np
     import pyarrow as pa
