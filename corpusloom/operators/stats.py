@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,6 +115,32 @@ def quantiles(sketches: DataFrame, *keys: str, shares: tuple[float, ...] = (0.5,
     return merged.where("n_docs > 0").select(*keys, "n_docs", *(F.kll_sketch_get_quantile_bigint("sketch", F.lit(x)).alias(f"p{x * 100:g}") for x in shares))
 
 
+def token_counts(rows: DataFrame, *keys: str, tokens: str = "n_tokens") -> DataFrame:
+    """keys, tokens and n: how many documents of each key have so many tokens; nulls are left out.
+
+    The table has a row for each different count, and tables of parts are put together by exact_quantiles(), as sketches are.
+    """
+    return rows.where(F.col(tokens).isNotNull()).groupBy(*keys, F.col(tokens).cast("long").alias("tokens")).agg(F.count("*").alias("n"))
+
+
+def exact_quantiles(counts: DataFrame, *keys: str, shares: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """keys, n_docs and p50, p95 (or others) of tables of token_counts(): the least count that so large a share does not
+    exceed.  Without keys, of all.  No document gives no row.
+
+    What is summed up is a row for each different count, by ranges, so no key's counts are gathered in one task.
+    """
+    merged = counts.groupBy(*keys, "tokens").agg(F.sum("n").alias("n"))
+    placed = running_total(merged, list(keys), ["tokens"], F.col("n"), "before")
+    whole = merged.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.sum("n").alias("n_docs"))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__{k}"))
+    reached = F.col("before") + F.col("n")
+    # in decimals: a share of 0.95 is no whole number of binary places
+    found = [F.min(F.when(reached >= F.ceil(F.col("n_docs") * F.lit(Decimal(str(x)))), F.col("tokens"))).alias(f"p{x * 100:g}") for x in shares]
+    return placed.join(F.broadcast(whole), same).groupBy(*keys, "n_docs").agg(*found)
+
+
 def mix(rows: DataFrame, bands: tuple = TARGET_MIX, key: str = "category", tokens: str = "n_tokens") -> DataFrame:
     """Each category's tokens and share, and whether it is in its band, borders included; absent categories have 0."""
     spark = rows.sparkSession

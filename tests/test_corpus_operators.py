@@ -434,3 +434,21 @@ def test_budgets_from_one_table(spark):
         kept = {r.ord for r in quota.select_within_budget(docs, F.lit(budget)).where("kept").collect()}
         assert {r.ord for r in quota.within(table, F.lit(budget)).collect()} == kept
     assert "Exchange" not in quota.within(table, F.lit(700))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_are_exact_beyond_a_sketch(spark):
+    n = F.col("id")
+    docs = spark.range(30_000).select(F.when(n % 3 > 0, F.concat(F.lit("s"), n % 3)).alias("s"), F.when(n % 1000 > 0, n * 7919 % 30_011).alias("n_tokens"))
+    counts = stats.token_counts(docs, "s")
+    halves = stats.token_counts(docs.where("n_tokens % 2 = 0"), "s").union(stats.token_counts(docs.where("n_tokens % 2 = 1"), "s"))
+    plain = {}
+    for r in docs.where("n_tokens is not null").collect():
+        for key in (("s", r.s), ("all", None)):
+            plain.setdefault(key, []).append(r.n_tokens)
+    want = {k: (len(v), *(sorted(v)[-(-len(v) * p // 100) - 1] for p in (5, 50, 95))) for k, v in plain.items()}
+    shares = (0.05, 0.5, 0.95)
+    for table in (counts, halves):
+        got = {("s", r.s): (r.n_docs, r.p5, r.p50, r.p95) for r in stats.exact_quantiles(table, "s", shares=shares).collect()}
+        got |= {("all", None): (r.n_docs, r.p5, r.p50, r.p95) for r in stats.exact_quantiles(table, shares=shares).collect()}
+        assert got == want
+    assert stats.exact_quantiles(stats.token_counts(docs.limit(0))).count() == 0
