@@ -37,7 +37,7 @@ from .components import connected
 PERMUTATIONS, BANDS, SHINGLE_WORDS, THRESHOLD, SEED = 128, 16, 5, 0.85, 20260721
 PRIME, HASH_MAX = (1 << 61) - 1, (1 << 32) - 1
 #: Hashes that are permuted at once; entries of a block; rounds go on while one decides such a share of the rows.
-STEP_HASHES, BLOCK, ROUND_SHARE = 16_384, 4096, 0.5
+STEP_HASHES, BLOCK, ROUND_SHARE = 32_768, 4096, 0.5
 #: Bands of more entries are worth rounds; pairs of a component that one task walks.
 SMALL_BAND, WALK_PAIRS = 64, 2_000_000
 
@@ -61,20 +61,20 @@ def shingle_hashes(form: str, size: int = SHINGLE_WORDS):
     blanks = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 32)
     starts, ends = np.r_[0, blanks + 1], np.r_[blanks, len(raw)]
     most = min(size, len(starts))
-    cuts = zip(starts[: len(starts) - most + 1].tolist(), ends[most - 1 :].tolist(), strict=True)
-    return np.fromiter((zlib.crc32(raw[a:b]) for a, b in cuts), dtype=np.uint64, count=len(starts) - most + 1)
+    cuts = map(slice, starts[: len(starts) - most + 1].tolist(), ends[most - 1 :].tolist())
+    return np.fromiter(map(zlib.crc32, map(raw.__getitem__, cuts)), dtype=np.uint64, count=len(starts) - most + 1)
 
 
 def signatures_of(sets, factors, offsets):
     """A row for each set of hashes: the least permuted hash of each permutation.
 
     The hashes of all sets lie one behind the other and are read in steps that fit a processor's cache.  a*s + b modulo
-    2^61-1 in 64 bits: a = high*2^32 + low, a product with 2^32 is a rotation of 61 bits, and what is above 61 bits counts as
+    2^61-1 in 64 bits: a = high*2^29 + low, a product with 2^29 is a rotation of 61 bits, and what is above 61 bits counts as
     ones.
     """
     import numpy as np
 
-    prime, low32, one = np.uint64(PRIME), np.uint64(HASH_MAX), np.uint64(1)
+    prime, low32, low29, one = np.uint64(PRIME), np.uint64(HASH_MAX), np.uint64((1 << 29) - 1), np.uint64(1)
     shift = {k: np.uint64(k) for k in (29, 32, 61)}
     out = np.full((len(factors), len(sets)), HASH_MAX, dtype=np.uint32)
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
@@ -83,25 +83,23 @@ def signatures_of(sets, factors, offsets):
         s, own = flat[at : at + STEP_HASHES], owner[at : at + STEP_HASHES]
         starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         rows = own[starts]
-        top, low, rest = (np.empty_like(s) for _ in range(3))
+        top, rest = (np.empty_like(s) for _ in range(2))
         for i, (a, b) in enumerate(zip(factors, offsets, strict=True)):
-            np.multiply(s, a >> shift[32], out=top)
-            np.right_shift(top, shift[29], out=rest)
-            np.left_shift(top, shift[32], out=top)
-            np.bitwise_and(top, prime, out=top)
-            np.bitwise_or(top, rest, out=top)
-            np.multiply(s, a & low32, out=low)
-            np.right_shift(low, shift[61], out=rest)
-            np.bitwise_and(low, prime, out=low)
-            np.add(top, low, out=top)
+            np.multiply(s, a >> shift[29], out=top)
+            np.right_shift(top, shift[32], out=rest)
+            np.bitwise_and(top, low32, out=top)
+            np.left_shift(top, shift[29], out=top)
+            np.add(top, rest, out=top)
+            np.multiply(s, a & low29, out=rest)
             np.add(top, rest, out=top)
             np.add(top, b, out=top)
             np.right_shift(top, shift[61], out=rest)
             np.bitwise_and(top, prime, out=top)
             np.add(top, rest, out=top)
-            np.add(top, one, out=rest)  # the prime itself and what is above it lose the prime: one more, without bit 61
-            np.right_shift(rest, shift[61], out=rest)
-            np.add(top, rest, out=top)
+            if top.max() >= prime:  # hardly ever: the prime itself and what is above it lose the prime
+                np.add(top, one, out=rest)
+                np.right_shift(rest, shift[61], out=rest)
+                np.add(top, rest, out=top)
             out[i, rows] = np.minimum(out[i, rows], np.minimum.reduceat(top.astype(np.uint32), starts))
     return out.T.astype(np.int64)
 

@@ -22,6 +22,8 @@ from . import dedup
 TABLES = {"copies": "hash string, ord bigint", "bands": "key bigint, ord bigint", "signatures": "ord bigint, signature array<bigint>"}
 BATCHES = "batch string, last_ord bigint"
 BUCKETS = 64
+#: Tasks for each core that sign a batch.
+TASKS_PER_CORE = 4
 
 
 class DuplicateIndex:
@@ -60,7 +62,9 @@ class DuplicateIndex:
         done = {r.batch: r.last_ord for r in self.batches().collect()}  # a row a batch
         if batch in done:
             raise ValueError(f"batch {batch} is in the index already")
-        rows = dedup._signed(docs, order, text, self.n)
+        # a batch is often a range of a table, which few of the scan's tasks have: it is dealt out, as signing costs the most
+        tasks = TASKS_PER_CORE * self.spark.sparkContext.defaultParallelism
+        rows = dedup._signed(docs.select(order, text).repartition(tasks, order), order, text, self.n)
         ends = rows.agg(F.min("ord"), F.max("ord")).first()
         last = max((x for x in done.values() if x is not None), default=None)
         if last is not None and ends[0] is not None and ends[0] <= last:
