@@ -77,7 +77,8 @@ def collapsed(text: Column) -> Column:
 
 def hash_form(text: Column) -> Column:
     """Lower case, no punctuation, single blanks: texts that differ in nothing else are equal."""
-    return F.trim(replaced(F.lower(text), (rf"[^{WORD}{SPACE}]", " "), (rf"[{SPACE}]+", " ")))
+    # single blanks, of which there is one a word, are no match: they stay as they are
+    return F.trim(replaced(F.lower(text), (rf"[^{WORD} ][^{WORD}]*| [^{WORD}]+", " ")))
 
 
 def content_hash(text: Column) -> Column:

@@ -12,6 +12,7 @@ from corpusloom.functions import lines
 from corpusloom.functions import text as T
 from corpusloom.functions.lines import plain_form
 from corpusloom.operators import contamination, dedup, licenses, pages, quota, records, scrub, stats, urdf
+from corpusloom.operators.duplicate_index import DuplicateIndex
 from corpusloom.plans.build import build_category, merge
 
 
@@ -452,3 +453,46 @@ def test_quantiles_are_exact_beyond_a_sketch(spark):
         got |= {("all", None): (r.n_docs, r.p5, r.p50, r.p95) for r in stats.exact_quantiles(table, shares=shares).collect()}
         assert got == want
     assert stats.exact_quantiles(stats.token_counts(docs.limit(0))).count() == 0
+
+
+def test_minhash_is_exact_about_the_prime():
+    import numpy as np
+
+    draw = random.Random(5)
+    prime, most = dedup.PRIME, dedup.HASH_MAX
+    pairs = [(1, prime - 1), (1, prime - 2), (prime - 1, 0), (prime - 1, prime - 1), (1 << 60, prime - 1), *dedup.permutations(20)]
+    sets = [[1], [0], [2], [most], [0, 1, 2, most], [draw.randrange(most) for _ in range(40_000)]]
+    factors, offsets = (np.array(x, dtype=np.uint64) for x in zip(*pairs))
+    got = dedup.signatures_of([np.array(x, dtype=np.uint64) for x in sets], factors, offsets)
+    assert got.tolist() == [[min((a * s + b) % prime & most for s in x) for a, b in pairs] for x in sets]
+
+
+def test_a_batch_that_is_one_file_is_signed_by_all_tasks(spark, tmp_path):
+    spark.range(400).select(F.col("id").alias("ord"), F.concat_ws(" ", "id", F.col("id") * 7, F.col("id") * 11).alias("text")).coalesce(1).write.parquet(f"{tmp_path}/docs")
+    seen, real = [], dedup._signed
+
+    def signed(docs, *rest):
+        seen.append(docs.groupBy(F.spark_partition_id()).count().count())
+        return real(docs, *rest)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(dedup, "_signed", signed)
+        index = DuplicateIndex(spark, f"{tmp_path}/index", buckets=2)
+        assert index.add(spark.read.parquet(f"{tmp_path}/docs").where("ord < 200"), "a").where("kind = ''").count() == 200
+    assert seen[0] >= 4
+
+
+def test_forms_equal_their_definitions(spark):
+    def plain(text):
+        folded = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower()
+        return re.sub(r"\s+", " ", folded)
+
+    draw = random.Random(8)
+    signs = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u2003\u2028\u3000aBzZ_09.,-\u00e9\u00c9\u00df\u0130\u03a3\u0301\u0327\u0345\u1e9b\ufb03\u00bd\u212a\uac01\u3392\u0344\U0001d400\U0002f800"
+    texts = ["", " ", "\n\t ", " a", "a \u00a0", "\u0301", "\u00a0\u0301", *("".join(draw.choice(signs) for _ in range(draw.randrange(1, 40))) for _ in range(400))]
+    texts += ["".join(map(chr, range(0xAC00, 0xAC00 + 300))) + " \u0301x", "".join(map(chr, range(1, 0x3000)))]
+    assert [plain_form(t) for t in texts] == [plain(t) for t in texts]
+    assert all(plain_form(chr(i)) == plain(chr(i)) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    assert values(spark, texts, lines.plain) == [plain(t) for t in texts]
+    before = lambda t: F.trim(T.replaced(F.lower(t), (rf"[^{T.WORD}{T.SPACE}]", " "), (rf"[{T.SPACE}]+", " ")))
+    assert values(spark, texts, T.hash_form) == values(spark, texts, before)
